@@ -67,7 +67,8 @@ def _in_window(t: Column, lo: Column, hi: Column) -> Column:
 
 def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, groups=(),
                     compare: str = "string", how: str = "inner", weight=None,
-                    bucket_seconds: int = 3600, strategy: str = "buckets") -> DataFrame:
+                    bucket_seconds: int = 3600, strategy: str = "buckets",
+                    preaggregate: bool = True) -> DataFrame:
     """Probe rows joined with the number of touches in their window.
 
     ``on``: list of (probe column, touch column) equality pairs (names or
@@ -82,7 +83,13 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     (probe, group) whose ``n`` sum to the count.  With ``how="left"`` every
     probe appears, unmatched ones once with ``n = 0`` and null groups.
     Aggregate ``n`` downstream (sums are linear, so duplicates of a probe
-    count separately, as they do in the reference's join)."""
+    count separately, as they do in the reference's join).
+
+    ``preaggregate=False`` skips folding touches per exact time before the
+    shuffle.  Use it when the touches are already distinct at second grain
+    (every job here extracts them with DISTINCT), which bounds the rows per
+    (key, hour) by 3,600 times the few variants of the non-key columns; the
+    hour totals are still pre-aggregated."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     groups = list(groups)
@@ -118,7 +125,10 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
         t = t.where(t_val.isNotNull())
     bucket = F.when(t_pos.isNotNull(), F.floor(t_pos / bucket_seconds)).otherwise(F.lit(SENTINEL))
     t = t.select(*keys, *groups, t_val.alias("__t"), bucket.cast("long").alias("__b"), "__w")
-    edge = t.groupBy(*keys, *groups, "__b", "__t").agg(F.sum("__w").alias("__n"))
+    if preaggregate:
+        edge = t.groupBy(*keys, *groups, "__b", "__t").agg(F.sum("__w").alias("__n"))
+    else:
+        edge = t.withColumnRenamed("__w", "__n")
     full = (edge.where(F.col("__b") != SENTINEL)
             .groupBy(*keys, *groups, "__b").agg(F.sum("__n").alias("__n"))
             .withColumn("__t", F.lit(None).cast(edge.schema["__t"].dataType)))

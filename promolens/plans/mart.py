@@ -97,7 +97,8 @@ def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, pro
     on += [(c, "t_" + c) for c in carry]
     matched = count_in_window(probes, t.drop(*[g for g in ("t_platform",) if g not in groups]), on=on,
                               lo="o_order_exact_date_sub_24h", hi="o_order_exact_date", at="event_exact_date",
-                              groups=groups, compare=profile.compare, strategy=strategy)
+                              groups=groups, compare=profile.compare, strategy=strategy,
+                              preaggregate=False)
     platform = F.col("t_platform") if profile.platform_from == "touch" else F.col("o_platform")
     w = F.col("o___m") * F.col(N)
     out = (matched.groupBy(*carry, *MART_GRAIN, "fecha", platform.alias("platform"),

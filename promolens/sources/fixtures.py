@@ -65,15 +65,22 @@ def _quoted(c: F.Column) -> F.Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 
 
-def first_lines(lineitem: DataFrame) -> DataFrame:
-    """First line of every order: smallest (linenumber, partkey, suppkey,
-    extendedprice, shipdate, quantity).  A min over a struct is a hash
-    aggregate with map-side combine; no sort of the whole line table."""
+def first_line_of_orders(buys: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Purchase events with their order and the order's first line: smallest
+    (linenumber, partkey, suppkey, extendedprice, shipdate, quantity); orders
+    without lines keep null line columns.
+
+    The line lookup is grouped by the event's own columns, so a filter on
+    them (the ``ds`` window of a job) is pushed below the aggregate and only
+    the lines of the selected events are read into it; no aggregate over the
+    whole line table."""
+    j = (buys.join(orders, buys.event_id == F.col("o_orderkey"))
+         .join(lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
     first = F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
                            "l_shipdate", "l_quantity")).alias("f")
-    return (lineitem.groupBy("l_orderkey").agg(first)
-            .select("l_orderkey", F.col("f.l_partkey").alias("l_partkey"),
-                    F.col("f.l_quantity").alias("l_quantity")))
+    keys = buys.columns + ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    return (j.groupBy(*keys).agg(first)
+            .select(*keys, F.col("f.l_partkey").alias("l_partkey"), F.col("f.l_quantity").alias("l_quantity")))
 
 
 def tracks(t: dict[str, DataFrame]) -> DataFrame:
@@ -101,9 +108,7 @@ def tracks(t: dict[str, DataFrame]) -> DataFrame:
         "ds",
     )
 
-    buys = ev.where(F.col("event_type") == "purchase")
-    buys = (buys.join(t["orders"], buys.event_id == F.col("o_orderkey"))
-            .join(first_lines(t["lineitem"]), F.col("o_orderkey") == F.col("l_orderkey"), "left"))
+    buys = first_line_of_orders(ev.where(F.col("event_type") == "purchase"), t["orders"], t["lineitem"])
     line_item = F.concat(F.col("_site"), (F.coalesce(F.col("l_partkey"), F.lit(0)) % 3).cast("string"))
     qty = F.coalesce(F.col("l_quantity").cast("int"), F.lit(0)).cast("string")
     items = F.concat(F.lit('[{"item":{"id":'), _quoted(line_item), F.lit('},"quantity":'), qty, F.lit("}]"))
