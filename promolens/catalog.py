@@ -1,5 +1,6 @@
 """Registered queries: each runs one operator or job of the package over the
-inputs derived from the benchmark tables (``sources.fixtures``).
+inputs derived from the benchmark tables (``sources.fixtures``), stored once
+per session as Parquet tables (the click-stream partitioned by ``ds``).
 
 Run date for single-day queries: 2024-01-03 (reports cover 2024-01-02, the
 busiest day of the sf0.01 data); backfills cover run dates 2024-01-02 ..
@@ -49,7 +50,7 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def _in(spark, sf_dir):
-    return fixtures.inputs(spark, sf_dir)
+    return fixtures.stored_inputs(spark, sf_dir)
 
 
 def q_touches_gmv(spark, sf_dir):

@@ -12,11 +12,16 @@ rows), that is quadratic work in one task.
    rows) and per (key, group, hour bucket) -> ``n`` (``full`` rows), each
    with map-side partial aggregation, so a hot key shrinks to at most 3,600
    rows per hour before it is shuffled;
-2. each probe is expanded to the hour buckets its window overlaps: the two
-   end buckets as ``edge`` lookups, the buckets strictly inside as ``full``
-   lookups (25-26 rows per 24 h window);
+2. the distinct windows (key, lo, hi) of the probes -- narrow rows, many
+   probes share one (all lines of an order share its window) -- are expanded
+   to the hour buckets they overlap: the two end buckets as ``edge``
+   lookups, the buckets strictly inside as ``full`` lookups (25-26 rows per
+   24 h window);
 3. one equi join on (key, bucket, kind), with the exact reference predicate
-   as residual on ``edge`` rows only.
+   as residual on ``edge`` rows only, summed per (window, group);
+4. the per-window counts are joined back to the (wide) probes on
+   (key, lo, hi): many-to-one, so wide rows are shuffled once and never
+   multiplied.
 
 Work per probe is bounded by the bucket count and the seconds in its two end
 hours, not by the touch count of its key.  The result is exact: a touch with
@@ -135,26 +140,38 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     side = (edge.withColumn("__kind", F.lit(EDGE))
             .unionByName(full.withColumn("__kind", F.lit(FULL))))
 
-    # probe side: one lookup row per overlapped bucket (+ the sentinel)
-    b_lo = F.floor(lo_pos / bucket_seconds).cast("long")
-    b_hi = F.floor(hi_pos / bucket_seconds).cast("long")
-    usable = lo_pos.isNotNull() & hi_pos.isNotNull() & (lo_pos <= hi_pos)
-    spans = F.when(usable, F.sequence(b_lo, b_hi))
+    # window side: the distinct (key, lo, hi) of the probes, one lookup row
+    # per overlapped bucket (+ the sentinel).  The bounds are projected below
+    # the generator so that they are evaluated once per window.
+    # Both uses of the probes (windows, join back) read one hash exchange on
+    # the window key, so the probe lineage is computed and shuffled once and
+    # the join back needs no further shuffle of the wide rows.
+    p = p.repartition(*keys, "__lo_raw", "__hi_raw")
+    w = p.select(*keys, "__lo_raw", "__hi_raw").distinct()
+    w = w.select("*", lo_val.alias("__lo"), hi_val.alias("__hi"),
+                 F.floor(lo_pos / bucket_seconds).cast("long").alias("__blo"),
+                 F.floor(hi_pos / bucket_seconds).cast("long").alias("__bhi"))
+    b_lo, b_hi = F.col("__blo"), F.col("__bhi")
+    spans = F.when(b_lo <= b_hi, F.sequence(b_lo, b_hi))
     if compare == "string":
-        spans = F.when(lo_val.isNotNull() & hi_val.isNotNull(),
+        spans = F.when(F.col("__lo").isNotNull() & F.col("__hi").isNotNull(),
                        F.concat(F.coalesce(spans, F.array().cast("array<bigint>")),
                                 F.array(F.lit(SENTINEL).cast("long"))))
-    explode = F.posexplode_outer if how == "left" else F.posexplode
-    p = p.select("*", lo_val.alias("__lo"), hi_val.alias("__hi"), b_lo.alias("__blo"), b_hi.alias("__bhi"),
-                 explode(spans).alias("__pos", "__b"))
-    p = p.withColumn("__kind", F.when((F.col("__b") == F.col("__blo")) | (F.col("__b") == F.col("__bhi"))
+    w = w.select("*", F.explode(spans).alias("__b"))
+    w = w.withColumn("__kind", F.when((F.col("__b") == b_lo) | (F.col("__b") == b_hi)
                                       | (F.col("__b") == SENTINEL), F.lit(EDGE)).otherwise(F.lit(FULL)))
 
-    cond = reduce(lambda a, b: a & b, [p[k] == side[k] for k in keys + ["__b", "__kind"]])
-    cond = cond & ((side["__kind"] == FULL) | _in_window(side["__t"], p["__lo"], p["__hi"]))
-    j = p.join(side, cond, how)
-    if how == "left":
-        # keep matches, plus one row for each probe (its first lookup)
-        j = j.where(side["__n"].isNotNull() | p["__pos"].isNull() | (p["__pos"] == 0))
-    return j.select(*[p[c] for c in probes.columns], *[side[g] for g in groups],
-                    F.coalesce(side["__n"], F.lit(0)).cast("long").alias(N))
+    cond = reduce(lambda a, b: a & b, [w[k] == side[k] for k in keys + ["__b", "__kind"]])
+    cond = cond & ((side["__kind"] == FULL) | _in_window(side["__t"], w["__lo"], w["__hi"]))
+    back = [f"__c{i}" for i in range(len(keys))]
+    counts = (w.join(side, cond, "inner")
+              .groupBy(*[w[k].alias(c) for k, c in zip(keys, back)], w["__lo_raw"].alias("__clo"),
+                       w["__hi_raw"].alias("__chi"), *[side[g] for g in groups])
+              .agg(F.sum(side["__n"]).alias("__n")))
+
+    # back to the probes: many-to-one on (key, lo, hi)
+    on_back = [p[k] == counts[c] for k, c in zip(keys, back)] + [p["__lo_raw"] == counts["__clo"],
+                                                                 p["__hi_raw"] == counts["__chi"]]
+    j = p.join(counts, reduce(lambda a, b: a & b, on_back), how)
+    return j.select(*[p[c] for c in probes.columns], *[counts[g] for g in groups],
+                    F.coalesce(counts["__n"], F.lit(0)).cast("long").alias(N))
