@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+Every job this package reproduces is a daily batch over hourly partitions:
+no stream source, watermark, event-time window or stateful operator exists
+in the reference, so none is provided here.  A scheduler that runs
+``plans.daily_mart`` once a day (or ``plans.backfill`` for missed days) is
+the intended deployment.
+"""
