@@ -143,10 +143,8 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     # window side: the distinct (key, lo, hi) of the probes, one lookup row
     # per overlapped bucket (+ the sentinel).  The bounds are projected below
     # the generator so that they are evaluated once per window.
-    # Both uses of the probes (windows, join back) read one hash exchange on
-    # the window key, so the probe lineage is computed and shuffled once and
-    # the join back needs no further shuffle of the wide rows.
-    p = p.repartition(*keys, "__lo_raw", "__hi_raw")
+    # (no manual repartition: the exchanges Spark inserts for the distinct and
+    # the join back stay eligible for AQE skew splitting)
     w = p.select(*keys, "__lo_raw", "__hi_raw").distinct()
     w = w.select("*", lo_val.alias("__lo"), hi_val.alias("__hi"),
                  F.floor(lo_pos / bucket_seconds).cast("long").alias("__blo"),

@@ -93,6 +93,15 @@ def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, pro
     t = t.select(F.col("sit_site_id").alias("t_site"), "id_kind", "id_value", F.col("ite_item_id").alias("t_item"),
                  "event_exact_date", F.col("landing").alias("t_landing"), F.col("platform").alias("t_platform"),
                  *[F.col(c).alias("t_" + c) for c in carry])
+    # fold lines that share grain, platform and window (e.g. the lines of one
+    # order): map-side partial aggregation, so a hot order never reaches one
+    # task whole; sums stay linear in the touch count applied later
+    platform_cols = ["o_platform"] if profile.platform_from == "order" else []
+    window = ["o_sit_site_id", "id_kind", "id_value", "item_key", "o_order_exact_date_sub_24h", "o_order_exact_date"]
+    probes = probes.groupBy(*carry, *MART_GRAIN, "fecha", *platform_cols, *window).agg(
+        F.sum(F.col("__value") * F.col("o___m")).alias("__value"),
+        F.sum(F.col("__qty") * F.col("o___m")).alias("__qty"))
+
     on = [("o_sit_site_id", "t_site"), ("id_kind", "id_kind"), ("id_value", "id_value"), ("item_key", "t_item")]
     on += [(c, "t_" + c) for c in carry]
     matched = count_in_window(probes, t.drop(*[g for g in ("t_platform",) if g not in groups]), on=on,
@@ -100,10 +109,9 @@ def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, pro
                               groups=groups, compare=profile.compare, strategy=strategy,
                               preaggregate=False)
     platform = F.col("t_platform") if profile.platform_from == "touch" else F.col("o_platform")
-    w = F.col("o___m") * F.col(N)
     out = (matched.groupBy(*carry, *MART_GRAIN, "fecha", platform.alias("platform"),
                            F.col("t_landing").alias("landing"))
-           .agg(F.sum(F.col("__value") * w).alias("gmve"), F.sum(F.col("__qty") * w).alias("SI"))
+           .agg(F.sum(F.col("__value") * F.col(N)).alias("gmve"), F.sum(F.col("__qty") * F.col(N)).alias("SI"))
            .withColumn("atr_type", F.lit(ATR_24H)))
     return _finish(out)
 
