@@ -73,7 +73,7 @@ def _in_window(t: Column, lo: Column, hi: Column) -> Column:
 def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, groups=(),
                     compare: str = "string", how: str = "inner", weight=None,
                     bucket_seconds: int = 3600, strategy: str = "buckets",
-                    preaggregate: bool = True) -> DataFrame:
+                    preaggregate: bool = True, expand: str = "windows") -> DataFrame:
     """Probe rows joined with the number of touches in their window.
 
     ``on``: list of (probe column, touch column) equality pairs (names or
@@ -94,7 +94,13 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     shuffle.  Use it when the touches are already distinct at second grain
     (every job here extracts them with DISTINCT), which bounds the rows per
     (key, hour) by 3,600 times the few variants of the non-key columns; the
-    hour totals are still pre-aggregated."""
+    hour totals are still pre-aggregated.
+
+    ``expand="windows"`` (default) expands the distinct windows and joins the
+    counts back to the probes: right when probes are wide and several share
+    a window.  ``expand="probes"`` expands the probe rows themselves and
+    skips the distinct and the join back: right when each probe is its own
+    window and the rows are narrow (the reports' order rows)."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     groups = list(groups)
@@ -140,12 +146,15 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     side = (edge.withColumn("__kind", F.lit(EDGE))
             .unionByName(full.withColumn("__kind", F.lit(FULL))))
 
-    # window side: the distinct (key, lo, hi) of the probes, one lookup row
-    # per overlapped bucket (+ the sentinel).  The bounds are projected below
-    # the generator so that they are evaluated once per window.
+    # window side: the distinct (key, lo, hi) of the probes (or the probes
+    # themselves), one lookup row per overlapped bucket (+ the sentinel).  The
+    # bounds are projected below the generator so that they are evaluated once
+    # per window.
+    if expand not in ("windows", "probes"):
+        raise ValueError("expand must be 'windows' or 'probes'")
     # (no manual repartition: the exchanges Spark inserts for the distinct and
     # the join back stay eligible for AQE skew splitting)
-    w = p.select(*keys, "__lo_raw", "__hi_raw").distinct()
+    w = p.select(*keys, "__lo_raw", "__hi_raw").distinct() if expand == "windows" else p
     w = w.select("*", lo_val.alias("__lo"), hi_val.alias("__hi"),
                  F.floor(lo_pos / bucket_seconds).cast("long").alias("__blo"),
                  F.floor(hi_pos / bucket_seconds).cast("long").alias("__bhi"))
@@ -155,12 +164,24 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
         spans = F.when(F.col("__lo").isNotNull() & F.col("__hi").isNotNull(),
                        F.concat(F.coalesce(spans, F.array().cast("array<bigint>")),
                                 F.array(F.lit(SENTINEL).cast("long"))))
-    w = w.select("*", F.explode(spans).alias("__b"))
+    if expand == "probes":
+        explode = F.posexplode_outer if how == "left" else F.posexplode
+        w = w.select("*", explode(spans).alias("__pos", "__b"))
+    else:
+        w = w.select("*", F.explode(spans).alias("__b"))
     w = w.withColumn("__kind", F.when((F.col("__b") == b_lo) | (F.col("__b") == b_hi)
                                       | (F.col("__b") == SENTINEL), F.lit(EDGE)).otherwise(F.lit(FULL)))
 
     cond = reduce(lambda a, b: a & b, [w[k] == side[k] for k in keys + ["__b", "__kind"]])
     cond = cond & ((side["__kind"] == FULL) | _in_window(side["__t"], w["__lo"], w["__hi"]))
+    if expand == "probes":
+        j = w.join(side, cond, how)
+        if how == "left":
+            # keep matches, plus one row for each probe (its first lookup)
+            j = j.where(side["__n"].isNotNull() | w["__pos"].isNull() | (w["__pos"] == 0))
+        return j.select(*[w[c] for c in probes.columns], *[side[g] for g in groups],
+                        F.coalesce(side["__n"], F.lit(0)).cast("long").alias(N))
+
     back = [f"__c{i}" for i in range(len(keys))]
     counts = (w.join(side, cond, "inner")
               .groupBy(*[w[k].alias(c) for k, c in zip(keys, back)], w["__lo_raw"].alias("__clo"),

@@ -42,7 +42,7 @@ def order_touch_counts(touches: DataFrame, orders: DataFrame, *, compare="timest
     on = [(F.trim(F.col(k)), F.trim(F.col("t_" + k))) for k in _TOUCH_KEYS]
     matched = count_in_window(orders, t, on=on, lo="order_exact_date_sub_24h", hi="order_exact_date",
                               at="event_exact_date", groups=["__origin"], compare=compare, how=how,
-                              strategy=strategy, preaggregate=False)
+                              strategy=strategy, preaggregate=False, expand="probes")
     return _counts(matched, list(grain))
 
 

@@ -25,9 +25,10 @@ def _counts(df, how="inner"):
     return got
 
 
-def run(probes, touches, strategy, compare="string", how="inner", preaggregate=True):
+def run(probes, touches, strategy, compare="string", how="inner", preaggregate=True, expand="windows"):
     return count_in_window(probes, touches, on=[("k", "tk")], lo="lo", hi="hi", at="t", groups=["g"],
-                           compare=compare, how=how, strategy=strategy, preaggregate=preaggregate)
+                           compare=compare, how=how, strategy=strategy, preaggregate=preaggregate,
+                           expand=expand)
 
 
 @pytest.mark.parametrize("compare", ["string", "timestamp"])
@@ -93,6 +94,9 @@ def test_buckets_equal_pairs_on_random_data(spark, seed, compare):
     assert expected, "the random case should produce matches"
     assert _counts(run(p, t, "buckets", compare)) == expected
     assert _counts(run(p, t, "buckets", compare, preaggregate=False)) == expected
+    assert _counts(run(p, t, "buckets", compare, expand="probes")) == expected
+    assert _counts(run(p, t, "buckets", compare, how="left", expand="probes"), "left") == \
+        _counts(run(p, t, "pairs", compare, how="left"), "left")
     left = _counts(run(p, t, "buckets", compare, how="left"), "left")
     assert left == _counts(run(p, t, "pairs", compare, how="left"), "left")
     assert left[1] == list(range(40))
