@@ -10,8 +10,6 @@ as BIGINT, other numbers as DOUBLE."""
 from __future__ import annotations
 
 import datetime as _dt
-import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -148,19 +146,24 @@ def q_site_sales(spark, sf_dir):
     return site_sales(_in(spark, sf_dir)["bids"], ANALYSIS_DATE)
 
 
+def _scratch(spark, prefix):
+    """A fresh folder under the session's checkpoint folder (shared storage)."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+
+
 def q_daily_mart(spark, sf_dir):
+    """The daily job: touches staged once in the checkpoint folder, four families."""
     i = _in(spark, sf_dir)
-    return daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE)
+    return daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=_scratch(spark, "touches"))
 
 
 def q_mart_round_trip(spark, sf_dir):
     """Write the daily mart (append, partitioned by ``fecha``) under the
     session's checkpoint folder and read it back with the mart schema."""
     i = _in(spark, sf_dir)
-    base = checkpoint_dir(spark)
-    path = tempfile.mkdtemp(prefix="mart-", dir=base) if "://" not in base else \
-        f"{base.rstrip('/')}/mart-{os.getpid()}-{_dt.datetime.now():%Y%m%d%H%M%S%f}"
-    append_mart(daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE), path)
+    path = _scratch(spark, "mart")
+    append_mart(daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=_scratch(spark, "touches")), path)
     return read_mart(spark, path)
 
 

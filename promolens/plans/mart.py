@@ -159,11 +159,19 @@ def promo_and_site_sales(bids: DataFrame, analysis_date=None) -> DataFrame:
 
 
 def daily_mart(tracks: DataFrame, bids: DataFrame, analysis_date=None, profile=DAILY,
-               strategy: str = "buckets") -> DataFrame:
+               strategy: str = "buckets", stage_path: str | None = None) -> DataFrame:
     """Q14: the day's four families (by origin, merged, promotion-flagged,
-    total) as one frame, for a single partitioned write.  Touches and orders
-    are extracted once and shared by the two attributed families."""
+    total) as one frame, for a single partitioned write.
+
+    Touches and orders are extracted once and shared by the two attributed
+    families.  With ``stage_path`` (a fresh folder on shared storage) the
+    touches are staged there first, as the reference job does (K1): the
+    two-day click-stream scan then runs once, and the families read a short
+    lineage that survives executor loss."""
     touches = extract_touches(tracks, analysis_date, profile)
+    if stage_path is not None:
+        from promolens.sources.mart import stage_touches
+        touches = stage_touches(touches, stage_path)
     orders = extract_orders(tracks, analysis_date, profile)
     by_origin = attributed_sales(tracks, bids, analysis_date, profile, "origin", touches, orders, strategy=strategy)
     merged = attributed_sales(tracks, bids, analysis_date, profile, "global", touches, orders, strategy=strategy)
