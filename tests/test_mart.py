@@ -101,3 +101,14 @@ def test_backfill_equals_one_run_per_date(spark, small):
             part = attributed_sales(small["tracks"], small["bids"], d, prof, by)
             per_date = part if per_date is None else per_date.unionByName(part)
         assert sorted(map(tuple, one_plan.collect())) == sorted(map(tuple, per_date.collect()))
+
+
+def test_origin_rows_cover_merged_rows(spark):
+    i = fixtures.inputs(spark, "/root/testdata/sf0.01")
+    by_origin = attributed_sales(i["tracks"], i["bids"], T, DAILY, "origin")
+    merged = attributed_sales(i["tracks"], i["bids"], T, DAILY, "global")
+    o = by_origin.agg(F.sum("gmve"), F.sum("SI")).first()
+    m = merged.agg(F.sum("gmve"), F.sum("SI")).first()
+    assert o[0] >= m[0] > 0 and o[1] >= m[1] > 0
+    pairs = attributed_sales(i["tracks"], i["bids"], T, DAILY, "origin", strategy="pairs")
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, by_origin.collect()))

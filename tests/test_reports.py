@@ -63,3 +63,25 @@ def test_report_invariants_on_benchmark_data(spark, small):
     f = fine.agg(F.sum("GMVE_TS"), F.sum("GMVE_TA"), F.sum("SI_AG")).first()
     c = coarse.agg(F.sum("GMVE_TS"), F.sum("GMVE_TA"), F.sum("SI_AG")).first()
     assert tuple(f) == tuple(c)
+
+
+def test_reports_trim_padded_keys_but_loaders_do_not(spark):
+    from promolens.plans.mart import attributed_sales
+    from promolens.plans.profiles import HISTORY
+    tr = tracks_df(spark, [
+        view(site=" S0", platform="web ", uid="u1 ", item=" S01", fragment=CAROUSEL, at="2024-01-02 10:00:00"),
+        order(1, site="S0", platform="web", uid="u1", item="S01", at="2024-01-02 12:00:00"),
+    ])
+    b = bids_df(spark, [bid(1, price="10.00", qty=1)])
+    r = gmv_report(tr, b, T).first()
+    assert float(r["GMVE_CAR"]) == 10.0                      # trimmed keys match
+    assert attributed_sales(tr, b, T, HISTORY, "origin").count() == 0   # raw keys do not
+
+
+def test_volume_report_unreadable_amount_is_null(spark):
+    tr = tracks_df(spark, [
+        order(1, at="2024-01-02 12:00:00", amount='"12,5"', qty=1),
+        order(2, at="2024-01-02 12:00:00", amount="4.50", qty=2, item="S02"),
+    ])
+    r = volume_report(tr, customers_df(spark, []), T).first()
+    assert (r["GMVE_TS"], r["SI_TS"]) == (4.5, 3.0)
