@@ -109,8 +109,9 @@ def q_gmv_report(spark, sf_dir):
 
 
 def q_gmv_report_site_hour(spark, sf_dir):
+    """Coarse site x hour grain, order ids joined as trimmed text."""
     i = _in(spark, sf_dir)
-    return gmv_report(i["tracks"], i["bids"], ANALYSIS_DATE, grain=SITE_HOUR)
+    return gmv_report(i["tracks"], i["bids"], ANALYSIS_DATE, grain=SITE_HOUR, order_key="text")
 
 
 def q_volume_report(spark, sf_dir):

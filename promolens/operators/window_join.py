@@ -110,9 +110,9 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     keys = [f"__k{i}" for i in range(len(on))]
     p_keys = [_col(pc).alias(k) for (pc, _), k in zip(on, keys)]
     t_keys = [_col(tc).alias(k) for (_, tc), k in zip(on, keys)]
-    w = _col(weight) if weight is not None else F.lit(1).cast("long")
+    wt = _col(weight) if weight is not None else F.lit(1).cast("long")
 
-    t = touches.select(*t_keys, *groups, _col(at).alias("__raw"), w.alias("__w"))
+    t = touches.select(*t_keys, *groups, _col(at).alias("__raw"), wt.alias("__w"))
     t = t.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     t_val, t_pos = _position(compare, F.col("__raw"))
     p = probes.select("*", *p_keys, _col(lo).alias("__lo_raw"), _col(hi).alias("__hi_raw"))
@@ -150,10 +150,10 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     # themselves), one lookup row per overlapped bucket (+ the sentinel).  The
     # bounds are projected below the generator so that they are evaluated once
     # per window.
+    # No manual repartition anywhere: the exchanges Spark inserts for the
+    # distinct and the joins stay eligible for AQE skew splitting.
     if expand not in ("windows", "probes"):
         raise ValueError("expand must be 'windows' or 'probes'")
-    # (no manual repartition: the exchanges Spark inserts for the distinct and
-    # the join back stay eligible for AQE skew splitting)
     w = p.select(*keys, "__lo_raw", "__hi_raw").distinct() if expand == "windows" else p
     w = w.select("*", lo_val.alias("__lo"), hi_val.alias("__hi"),
                  F.floor(lo_pos / bucket_seconds).cast("long").alias("__blo"),

@@ -47,7 +47,7 @@ def order_touch_counts(touches: DataFrame, orders: DataFrame, *, compare="timest
 
 
 def gmv_report(tracks: DataFrame, bids: DataFrame, analysis_date=None, grain=SALES_GRAIN,
-               profile=GMV_REPORT, strategy="buckets", carry=()) -> DataFrame:
+               profile=GMV_REPORT, strategy="buckets", carry=(), order_key: str = "number") -> DataFrame:
     """Q5/Q6: attributed sales value by hour x site x category (or any
     coarser ``grain``, e.g. ``SITE_HOUR``).
 
@@ -62,11 +62,19 @@ def gmv_report(tracks: DataFrame, bids: DataFrame, analysis_date=None, grain=SAL
 
     Measures: ``GMVE_AG, SI_AG`` (promotion-flagged lines), ``GMVE_TS, SI_TS``
     (all lines), ``GMVE_LAN, SI_LAN``, ``GMVE_CAR, SI_CAR``, ``GMVE_TA, SI_TA``
-    (attributed to landing, carousel, either)."""
+    (attributed to landing, carousel, either).
+
+    ``order_key="text"`` joins lines and counts on the order id as trimmed
+    text instead of as a number (the reference's variant for keys stored
+    with different types)."""
     touches = extract_touches(tracks, analysis_date, profile, carry=carry)
     orders = extract_orders(tracks, analysis_date, profile, carry=carry)
     vxo = order_touch_counts(touches, orders, compare=profile.compare,
                              grain=("site_id", "platform", "item_id", "order_id", *carry), strategy=strategy)
+    if order_key == "text":
+        vxo = vxo.withColumn("order_id", F.trim(F.col("order_id").cast("string")))
+    elif order_key != "number":
+        raise ValueError("order_key must be 'number' or 'text'")
     per_order = vxo.groupBy("order_id", *carry).agg(
         F.count(F.lit(1)).alias("__rows"),
         F.count(F.when(F.col("qLanding") > 0, 1)).alias("__lan"),
@@ -74,6 +82,8 @@ def gmv_report(tracks: DataFrame, bids: DataFrame, analysis_date=None, grain=SAL
         F.count(F.when(F.col("qLanding") + F.col("qCarrousel") > 0, 1)).alias("__ta"),
     )
     lines = sales_lines(bids, analysis_date, carry=carry)
+    if order_key == "text":
+        lines = lines.withColumn("order_id", F.trim(F.col("order_id").cast("string")))
     j = lines.join(per_order, ["order_id", *carry], "left")
     rows = F.coalesce(F.col("__rows"), F.lit(1))
 
