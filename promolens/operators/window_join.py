@@ -140,8 +140,10 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
         edge = t.groupBy(*keys, *groups, "__b", "__t").agg(F.sum("__w").alias("__n"))
     else:
         edge = t.withColumnRenamed("__w", "__n")
-    full = (edge.where(F.col("__b") != SENTINEL)
-            .groupBy(*keys, *groups, "__b").agg(F.sum("__n").alias("__n"))
+    # hour totals from the same rows, with no extra filter, so that both
+    # branches share one subtree and its exchange is reused (sentinel totals
+    # are harmless: the sentinel bucket is only ever looked up as an edge)
+    full = (edge.groupBy(*keys, *groups, "__b").agg(F.sum("__n").alias("__n"))
             .withColumn("__t", F.lit(None).cast(edge.schema["__t"].dataType)))
     side = (edge.withColumn("__kind", F.lit(EDGE))
             .unionByName(full.withColumn("__kind", F.lit(FULL))))
