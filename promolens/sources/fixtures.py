@@ -18,6 +18,8 @@ Mapping summary (``k`` = ``props.k``, 0..99):
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,6 +179,7 @@ def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 _WRITTEN: dict = {}
+_LOCK = threading.Lock()
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -202,9 +205,14 @@ def stored_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     They live in the session's checkpoint folder (``spark.checkpoint.dir``,
     shared storage on a cluster) under a fingerprint of the source files, so
     they are derived once per session and survive executor loss."""
+    key = (spark.sparkContext.applicationId, _fingerprint(sf_dir))
+    with _LOCK:
+        return dict(_stored(spark, sf_dir, key))
+
+
+def _stored(spark: SparkSession, sf_dir: str, key) -> dict[str, DataFrame]:
     from promolens.session import checkpoint_dir
 
-    key = (spark.sparkContext.applicationId, _fingerprint(sf_dir))
     frames = _WRITTEN.get(key)
     if frames is None:
         base = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{key[1]}"
@@ -216,4 +224,4 @@ def stored_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         derived["customers"].write.mode("overwrite").parquet(paths["customers"])
         frames = {name: spark.read.parquet(p) for name, p in paths.items()}
         _WRITTEN[key] = frames
-    return dict(frames)
+    return frames
