@@ -20,22 +20,36 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Helpers accept a Column or a SQL expression string (a column name is one).
+# For strings the whole expression is built with one ``F.expr`` call: the same
+# expression tree, far fewer driver round trips while a plan is assembled.
+
+
+def _as_date(analysis_date):
+    if isinstance(analysis_date, str):
+        return _dt.date.fromisoformat(analysis_date)
+    return analysis_date
+
+
 def run_day(analysis_date=None) -> Column:
     """The run date T as a DATE column: a literal, a column, or today."""
     if analysis_date is None:
         return F.current_date()
     if isinstance(analysis_date, Column):
         return analysis_date
-    if isinstance(analysis_date, str):
-        analysis_date = _dt.date.fromisoformat(analysis_date)
-    return F.lit(analysis_date)
+    return F.lit(_as_date(analysis_date))
+
+
+def server_time_sql(c: str = "server_timestamp") -> str:
+    return f"concat(substring({c}, 1, 10), ' ', substring({c}, 12, 8))"
 
 
 def server_time(c="server_timestamp") -> Column:
     """Event time as ``yyyy-MM-dd HH:mm:ss``: characters 1-10 and 12-19 of the
     ISO text; fraction and offset are dropped as in the reference."""
-    s = _col(c)
-    return F.concat(F.substring(s, 1, 10), F.lit(" "), F.substring(s, 12, 8))
+    if isinstance(c, str):
+        return F.expr(server_time_sql(c))
+    return F.concat(F.substring(c, 1, 10), F.lit(" "), F.substring(c, 12, 8))
 
 
 def minus_lookback(time_text, seconds: int = LOOKBACK_SECONDS) -> Column:
@@ -44,6 +58,9 @@ def minus_lookback(time_text, seconds: int = LOOKBACK_SECONDS) -> Column:
     Parsed strictly; text that does not parse gives null (never an error).
     Seconds arithmetic, not a calendar interval, so a DST change cannot turn
     24 h into a calendar day."""
+    if isinstance(time_text, str):
+        return F.expr(f"from_unixtime(unix_timestamp(try_to_timestamp({time_text}, '{TIME_FORMAT}')) "
+                      f"- {int(seconds)}, '{TIME_FORMAT}')")
     ts = F.try_to_timestamp(_col(time_text), F.lit(TIME_FORMAT))
     return F.from_unixtime(F.unix_timestamp(ts) - F.lit(seconds), TIME_FORMAT)
 
@@ -57,6 +74,8 @@ def wall_seconds(time_text) -> Column:
     Null unless the text is a valid canonical ``yyyy-MM-dd HH:mm:ss``.  For
     such text, string order equals the order of this number, which is what
     lets a string range predicate be bucketed exactly."""
+    if isinstance(time_text, str):
+        return F.expr(wall_seconds_sql(time_text))
     s = _col(time_text)
     parsed = F.try_to_timestamp(s, F.lit(TIME_FORMAT))
     valid = s.rlike(_CANONICAL) & parsed.isNotNull() & (F.date_format(parsed, TIME_FORMAT) == s)
@@ -67,14 +86,28 @@ def wall_seconds(time_text) -> Column:
     return F.when(valid, secs)
 
 
+def wall_seconds_sql(c: str) -> str:
+    return (f"CASE WHEN {c} RLIKE '{_CANONICAL}' "
+            f"AND try_to_timestamp({c}, '{TIME_FORMAT}') IS NOT NULL "
+            f"AND date_format(try_to_timestamp({c}, '{TIME_FORMAT}'), '{TIME_FORMAT}') = {c} "
+            f"THEN CAST(unix_date(to_date(substring({c}, 1, 10))) AS BIGINT) * 86400 "
+            f"+ try_cast(substring({c}, 12, 2) AS BIGINT) * 3600 "
+            f"+ try_cast(substring({c}, 15, 2) AS BIGINT) * 60 "
+            f"+ try_cast(substring({c}, 18, 2) AS BIGINT) END")
+
+
 def hour_of(hhmmss) -> Column:
     """Two-digit hour of an ``HHMMSS`` number stored without leading zeros
     (93015 -> '09'), for integer, decimal or floating input."""
+    if isinstance(hhmmss, str):
+        return F.expr(f"lpad(CAST(floor({hhmmss} / 10000) AS STRING), 2, '0')")
     return F.lpad(F.floor(_col(hhmmss) / 10000).cast("string"), 2, "0")
 
 
 def hour_label(day, hhmmss) -> Column:
     """``yyyy-MM-dd HH`` label of a sale from its day and ``HHMMSS`` time."""
+    if isinstance(day, str) and isinstance(hhmmss, str):
+        return F.expr(f"concat(CAST({day} AS STRING), ' ', lpad(CAST(floor({hhmmss} / 10000) AS STRING), 2, '0'))")
     return F.concat(_col(day).cast("string"), F.lit(" "), hour_of(hhmmss))
 
 
@@ -84,5 +117,8 @@ def ds_bound(analysis_date, days_back: int, suffix: str = " 00") -> Column:
     ``suffix=''`` gives a bare date: lexically ``ds >= 'yyyy-MM-dd'`` keeps
     the whole day, ``ds < 'yyyy-MM-dd'`` drops it.  For a literal date the
     expression folds to a constant, so the bound reaches ``PartitionFilters``."""
+    if isinstance(analysis_date, (_dt.date, str)):
+        text = (_as_date(analysis_date) - _dt.timedelta(days=days_back)).isoformat()
+        return F.lit(text + suffix)
     day = F.date_sub(run_day(analysis_date), days_back).cast("string")
     return F.concat(day, F.lit(suffix)) if suffix else day

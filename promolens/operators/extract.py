@@ -16,6 +16,7 @@ from promolens.functions import (
     first_present, hour_label, hour_of, is_promo_touch, json_field, landing_code,
     minus_lookback, origin_label, server_time, value, when_flag,
 )
+from promolens.functions.timefmt import server_time_sql
 from promolens.operators.filters import ds_window, gmv_sales, sold_on, where_path
 
 
@@ -91,6 +92,7 @@ def extract_orders(tracks: DataFrame, analysis_date=None, profile=None, test_buy
         df = exclude_test_buyers(df, test_buyers)
     data = F.col("event_data")
     when = server_time()
+    sub_24h = minus_lookback(server_time_sql())
     order_id = json_field(data, "order_id").try_cast("decimal(18,0)")
     if p.order_shape in ("report", "volume"):
         cols = [F.col("application.site_id").alias("site_id"),
@@ -103,8 +105,7 @@ def extract_orders(tracks: DataFrame, analysis_date=None, profile=None, test_buy
         if p.order_shape == "volume":
             cols += [json_field(data, "items[0].quantity").alias("item_quantity"),
                      json_field(data, "total_amount_usd").alias("gmv")]
-        cols += [when.alias("order_exact_date"),
-                 minus_lookback(when).alias("order_exact_date_sub_24h")]
+        cols += [when.alias("order_exact_date"), sub_24h.alias("order_exact_date_sub_24h")]
         out = df.select(*cols, *_carry(carry))
         return out.distinct() if p.order_dedup else out
     cols = [F.col("application.site_id").alias("sit_site_id"), order_id.alias("ord_order_id")]
@@ -113,7 +114,7 @@ def extract_orders(tracks: DataFrame, analysis_date=None, profile=None, test_buy
     cols.append(F.col("usr.uid").alias("uid"))
     if p.order_platform:
         cols.append(F.col("device.platform").alias("platform"))
-    cols += [when.alias("order_exact_date"), minus_lookback(when).alias("order_exact_date_sub_24h")]
+    cols += [when.alias("order_exact_date"), sub_24h.alias("order_exact_date_sub_24h")]
     out = df.select(*cols, *_carry(carry))
     return out.distinct() if p.order_dedup else out
 

@@ -45,7 +45,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.functions.timefmt import wall_seconds
+from promolens.functions.timefmt import wall_seconds_sql
 
 FULL, EDGE = 0, 1
 SENTINEL = -(1 << 62)
@@ -56,13 +56,13 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _position(compare: str, text: Column):
-    """(comparable value, seconds used for bucketing)."""
+def _position(compare: str, name: str):
+    """(comparable value, seconds used for bucketing) of a text column, as SQL."""
     if compare == "string":
-        return text, wall_seconds(text)
+        return name, wall_seconds_sql(name)
     if compare == "timestamp":
-        ts = text.try_cast("timestamp")
-        return ts, F.unix_seconds(ts)
+        ts = f"try_cast({name} AS TIMESTAMP)"
+        return ts, f"unix_seconds({ts})"
     raise ValueError(f"compare must be 'string' or 'timestamp', not {compare!r}")
 
 
@@ -114,14 +114,14 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
 
     t = touches.select(*t_keys, *groups, _col(at).alias("__raw"), wt.alias("__w"))
     t = t.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    t_val, t_pos = _position(compare, F.col("__raw"))
+    t_val, t_pos = _position(compare, "__raw")
     p = probes.select("*", *p_keys, _col(lo).alias("__lo_raw"), _col(hi).alias("__hi_raw"))
-    lo_val, lo_pos = _position(compare, F.col("__lo_raw"))
-    hi_val, hi_pos = _position(compare, F.col("__hi_raw"))
+    lo_val, lo_pos = _position(compare, "__lo_raw")
+    hi_val, hi_pos = _position(compare, "__hi_raw")
 
     if strategy == "pairs":
-        t = t.select(*keys, *groups, t_val.alias("__t"), "__w")
-        p = p.withColumn("__lo", lo_val).withColumn("__hi", hi_val)
+        t = t.select(*keys, *groups, F.expr(t_val).alias("__t"), "__w")
+        p = p.select("*", F.expr(lo_val).alias("__lo"), F.expr(hi_val).alias("__hi"))
         cond = reduce(lambda a, b: a & b, [p[k] == t[k] for k in keys])
         cond = cond & _in_window(t["__t"], p["__lo"], p["__hi"])
         j = p.join(t, cond, how)
@@ -133,9 +133,9 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
 
     # touch side: exact-time rows and hour totals, pre-aggregated
     if compare == "timestamp":
-        t = t.where(t_val.isNotNull())
-    bucket = F.when(t_pos.isNotNull(), F.floor(t_pos / bucket_seconds)).otherwise(F.lit(SENTINEL))
-    t = t.select(*keys, *groups, t_val.alias("__t"), bucket.cast("long").alias("__b"), "__w")
+        t = t.where(F.expr(f"{t_val} IS NOT NULL"))
+    bucket = F.expr(f"CAST(coalesce(floor(({t_pos}) / {int(bucket_seconds)}), {SENTINEL}) AS BIGINT)")
+    t = t.select(*keys, *groups, F.expr(t_val).alias("__t"), bucket.alias("__b"), "__w")
     if preaggregate:
         edge = t.groupBy(*keys, *groups, "__b", "__t").agg(F.sum("__w").alias("__n"))
     else:
@@ -157,9 +157,9 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     if expand not in ("windows", "probes"):
         raise ValueError("expand must be 'windows' or 'probes'")
     w = p.select(*keys, "__lo_raw", "__hi_raw").distinct() if expand == "windows" else p
-    w = w.select("*", lo_val.alias("__lo"), hi_val.alias("__hi"),
-                 F.floor(lo_pos / bucket_seconds).cast("long").alias("__blo"),
-                 F.floor(hi_pos / bucket_seconds).cast("long").alias("__bhi"))
+    w = w.select("*", F.expr(lo_val).alias("__lo"), F.expr(hi_val).alias("__hi"),
+                 F.expr(f"CAST(floor(({lo_pos}) / {int(bucket_seconds)}) AS BIGINT)").alias("__blo"),
+                 F.expr(f"CAST(floor(({hi_pos}) / {int(bucket_seconds)}) AS BIGINT)").alias("__bhi"))
     b_lo, b_hi = F.col("__blo"), F.col("__bhi")
     spans = F.when(b_lo <= b_hi, F.sequence(b_lo, b_hi))
     if compare == "string":
