@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CAROUSEL, bid, bids_df, order, rows, tracks_df, view
+from conftest import CAROUSEL, DEAL, bid, bids_df, order, rows, tracks_df, view
 
 from promolens.plans.mart import attributed_sales, backfill, daily_mart, promo_sales, site_sales
 from promolens.plans.profiles import DAILY, HISTORY
@@ -112,3 +112,29 @@ def test_origin_rows_cover_merged_rows(spark):
     assert o[0] >= m[0] > 0 and o[1] >= m[1] > 0
     pairs = attributed_sales(i["tracks"], i["bids"], T, DAILY, "origin", strategy="pairs")
     assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, by_origin.collect()))
+
+
+def test_hot_key_matches_brute_force(spark):
+    """One (site, user, item) key holds about a third of all rows: the bucketed
+    count must equal the plain pair join exactly."""
+    import random
+    rnd = random.Random(7)
+    rows_ = []
+    for i in range(600):       # hot key: many touches of one item by one user
+        rows_.append(view(user_id="1", uid="u1", item="S01", fragment=CAROUSEL if i % 3 else DEAL,
+                          at=f"2024-01-0{rnd.choice([1, 2])} {rnd.randint(0, 23):02d}:{rnd.randint(0, 59):02d}:"
+                             f"{rnd.randint(0, 59):02d}"))
+    for i in range(1200):      # background keys
+        u = rnd.randint(2, 400)
+        rows_.append(view(user_id=str(u), uid=f"u{u}", item=f"S0{rnd.randint(0, 2)}",
+                          at=f"2024-01-0{rnd.choice([1, 2])} {rnd.randint(0, 23):02d}:00:00"))
+    for k in range(60):        # many orders on the hot key, plus duplicates of one
+        rows_.append(order(k + 1, user_id="1", uid="u1", at=f"2024-01-02 {k % 24:02d}:30:00"))
+    rows_.append(order(1, user_id="1", uid="u1", at="2024-01-02 00:30:00"))
+    tr = tracks_df(spark, rows_)
+    b = bids_df(spark, [bid(k + 1, item=1, price="3.00", qty=1 + k % 2) for k in range(60)]
+                + [bid(1, item=1, price="5.00", qty=1)])
+    for by in ("origin", "global"):
+        got = attributed_sales(tr, b, T, DAILY, by)
+        want = attributed_sales(tr, b, T, DAILY, by, strategy="pairs")
+        assert rows(got) == rows(want) and got.count() > 0
