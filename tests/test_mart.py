@@ -138,3 +138,28 @@ def test_hot_key_matches_brute_force(spark):
         got = attributed_sales(tr, b, T, DAILY, by)
         want = attributed_sales(tr, b, T, DAILY, by, strategy="pairs")
         assert rows(got) == rows(want) and got.count() > 0
+
+
+def test_mart_run_rerun_replaces_whole_run(spark, tmp_path):
+    from promolens.sources.mart import write_mart_run as write_run
+    b = bids_df(spark, [bid(1, won="2024-01-02"), bid(2, won="2024-01-01", created="2024-01-02")])
+    two_days = site_sales(b, "2024-01-03").unionByName(site_sales(b, "2024-01-02"))
+    runs = str(tmp_path / "runs")
+    write_run(two_days, runs, T)
+    assert sorted(r["fecha"] for r in read_mart(spark, runs).collect()) == ["2024-01-01", "2024-01-02"]
+    write_run(site_sales(b, "2024-01-03"), runs, T)        # rerun no longer has 2024-01-01
+    assert [r["fecha"] for r in read_mart(spark, runs).collect()] == ["2024-01-02"]
+    write_run(site_sales(b, "2024-01-02"), runs, dt.date(2024, 1, 2))   # another run is kept apart
+    assert read_mart(spark, runs).count() == 2
+
+
+def test_stage_touches_round_trip(spark, tmp_path):
+    from promolens.operators.extract import extract_touches
+    from promolens.sources.mart import stage_touches
+    from promolens.sources.schemas import TOUCH_SCHEMA
+    tr = tracks_df(spark, [view(at="2024-01-02 10:00:00"), view(at="2024-01-02 11:00:00", fragment=CAROUSEL,
+                                                                    user_id=None)])
+    touches = extract_touches(tr, T, DAILY)
+    staged = stage_touches(touches, str(tmp_path / "stage"))
+    assert staged.schema == TOUCH_SCHEMA
+    assert rows(staged) == rows(touches.select(*[f.name for f in TOUCH_SCHEMA.fields]))
