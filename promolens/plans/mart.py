@@ -57,14 +57,19 @@ def _finish(df: DataFrame) -> DataFrame:
 
 def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, profile=DAILY, by: str = "origin",
                      touches: DataFrame | None = None, orders: DataFrame | None = None, carry=(),
-                     strategy: str = "buckets") -> DataFrame:
+                     strategy: str = "buckets", identity_join: str = "tagged") -> DataFrame:
     """Q8-Q11: the ``24 HOURS`` family.
 
     ``profile``: ``DAILY`` (login id else device id, order platform) or
     ``HISTORY`` (device id, touch platform; with ``pin_win_day`` the line
     must also be won on T-1).  ``by``: ``"origin"`` (landing 0/1) or
     ``"global"`` (99).  ``touches`` / ``orders`` may be passed pre-extracted
-    (staged) to share them between families."""
+    (staged) to share them between families.
+
+    ``identity_join``: ``"tagged"`` (default; J8b, an equi join on a tagged
+    identity) or ``"residual"`` (J8a, the reference's form: equi join on
+    site and item only, the login-else-device CASE as residual; plain pair
+    join, kept for comparison -- a popular item is then a hot key)."""
     carry = list(carry)
     if touches is None:
         touches = extract_touches(tracks, analysis_date, profile, carry=carry)
@@ -86,6 +91,10 @@ def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, pro
 
     probes = bids_orders(lines, collapse_copies(orders), carry=carry)
     user_col = "o_user_id" if profile.with_user_id else "o_uid"
+    if identity_join == "residual":
+        return _attributed_residual(probes, touches, profile, carry)
+    if identity_join != "tagged":
+        raise ValueError("identity_join must be 'tagged' or 'residual'")
     probes = probe_identity(probes, profile.identity, user_col, "o_uid")
 
     t = touch_identity(touches, profile.identity)
@@ -116,6 +125,36 @@ def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, pro
     return _finish(out)
 
 
+def _attributed_residual(probes: DataFrame, touches: DataFrame, profile, carry) -> DataFrame:
+    """The identity condition as a residual of an equi join on (site,
+    item) -- the reference's shape, as a plain pair join."""
+    t = touches.select(F.col("sit_site_id").alias("t_site"), F.col("ite_item_id").alias("t_item"),
+                       F.col("uid").alias("t_uid"),
+                       (F.col("user_id") if "user_id" in touches.columns else F.lit(None).cast("string"))
+                       .alias("t_user_id"),
+                       "event_exact_date", F.col("landing").alias("t_landing"),
+                       F.col("platform").alias("t_platform"), *[F.col(c).alias("t_" + c) for c in carry])
+    if profile.identity == "user_then_uid":
+        def same_buyer(p, tt):
+            return F.when(tt["t_user_id"].isNotNull(), tt["t_user_id"] == p["o_user_id"]) \
+                .otherwise(tt["t_uid"] == p["o_uid"])
+    else:
+        def same_buyer(p, tt):
+            return tt["t_uid"] == p["o_uid"]
+    groups = ["t_landing"] + (["t_platform"] if profile.platform_from == "touch" else [])
+    on = [("o_sit_site_id", "t_site"), ("item_key", "t_item")] + [(c, "t_" + c) for c in carry]
+    matched = count_in_window(probes, t.drop(*[g for g in ("t_platform",) if g not in groups]), on=on,
+                              lo="o_order_exact_date_sub_24h", hi="o_order_exact_date", at="event_exact_date",
+                              groups=groups, compare=profile.compare, strategy="pairs", condition=same_buyer)
+    platform = F.col("t_platform") if profile.platform_from == "touch" else F.col("o_platform")
+    w = F.col("o___m") * F.col(N)
+    out = (matched.groupBy(*carry, *MART_GRAIN, "fecha", platform.alias("platform"),
+                           F.col("t_landing").alias("landing"))
+           .agg(F.sum(F.col("__value") * w).alias("gmve"), F.sum(F.col("__qty") * w).alias("SI"))
+           .withColumn("atr_type", F.lit(ATR_24H)))
+    return _finish(out)
+
+
 def _sold_value_lines(bids: DataFrame, analysis_date=None) -> DataFrame:
     return gmv_sales(sold_on(bids, analysis_date)).select(
         *_grain_columns(), value().alias("__value"), F.col("bid_quantity_ok").alias("__qty"),

@@ -163,3 +163,12 @@ def test_stage_touches_round_trip(spark, tmp_path):
     staged = stage_touches(touches, str(tmp_path / "stage"))
     assert staged.schema == TOUCH_SCHEMA
     assert rows(staged) == rows(touches.select(*[f.name for f in TOUCH_SCHEMA.fields]))
+
+
+def test_residual_identity_join_equals_tagged(spark):
+    i = fixtures.inputs(spark, "/root/testdata/sf0.01")
+    for prof in (DAILY, HISTORY):
+        for by in ("origin", "global"):
+            tagged = attributed_sales(i["tracks"], i["bids"], T, prof, by)
+            residual = attributed_sales(i["tracks"], i["bids"], T, prof, by, identity_join="residual")
+            assert rows(tagged) == rows(residual) and tagged.count() > 0
