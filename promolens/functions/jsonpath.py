@@ -35,6 +35,23 @@ def _component(fragment) -> Column:
     return json_field(fragment, "c_id")
 
 
+def promo_from_fields(component, deal) -> Column:
+    """``is_promo_touch`` on already-extracted ``c_id`` / ``deal_print_id``."""
+    return _col(deal).isNotNull() | F.coalesce(_col(component) == F.lit(CAROUSEL_COMPONENT), F.lit(False))
+
+
+def landing_from_component(component) -> Column:
+    """``landing_code`` on an already-extracted ``c_id``."""
+    carousel = F.coalesce(_col(component) == F.lit(CAROUSEL_COMPONENT), F.lit(False))
+    return F.when(carousel, F.lit(LANDING_CAROUSEL)).otherwise(F.lit(LANDING_LANDING))
+
+
+def origin_from_component(component) -> Column:
+    """``origin_label`` on an already-extracted ``c_id``."""
+    carousel = F.coalesce(_col(component) == F.lit(CAROUSEL_COMPONENT), F.lit(False))
+    return F.when(carousel, F.lit(ORIGIN_CAROUSEL)).otherwise(F.lit(ORIGIN_LANDING))
+
+
 def is_promo_touch(fragment) -> Column:
     """A promotion view: the fragment carries a ``deal_print_id`` or is the
     carousel component.  Null-safe: a fragment with neither is false."""

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from promolens.constants import LANDING_ANY
 from promolens.functions import (
-    first_present, hour_label, hour_of, is_promo_touch, json_field, landing_code,
-    minus_lookback, origin_label, server_time, value, when_flag,
+    hour_label, hour_of, json_field, minus_lookback, server_time, value, when_flag,
 )
+from promolens.functions.jsonpath import landing_from_component, origin_from_component, promo_from_fields
 from promolens.functions.timefmt import server_time_sql
 from promolens.operators.filters import ds_window, gmv_sales, sold_on, where_path
 
@@ -39,16 +39,20 @@ def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=(
     from promolens.plans.profiles import DAILY
     p = profile or DAILY
     df = where_path(tracks, *p.touch_paths)
-    df = df.where(ds_window(p.touch_ds, analysis_date) & F.col("usr.uid").isNotNull()
-                  & is_promo_touch(F.col("platform.fragment")))
-    frag = F.col("platform.fragment")
-    item = first_present("event_data", p.item_keys)
+    df = df.where(ds_window(p.touch_ds, analysis_date) & F.col("usr.uid").isNotNull())
+    # each JSON document is parsed once: json_tuple pulls several top-level
+    # keys in one pass (same values as get_json_object for these lookups)
+    df = df.select("*", F.json_tuple(F.col("platform.fragment"), "c_id", "deal_print_id").alias("__c_id", "__deal"))
+    df = df.where(promo_from_fields("__c_id", "__deal"))
+    item_cols = [f"__item{i}" for i in range(len(p.item_keys))]
+    df = df.select("*", F.json_tuple(F.col("event_data"), *p.item_keys).alias(*item_cols))
+    item = F.coalesce(*[F.col(c) for c in item_cols])
     if p.touch_shape == "report":
         cols = [F.col("application.site_id").alias("site_id"),
                 F.col("device.platform").alias("platform"),
                 F.col("usr.uid").alias("uid"),
                 item.alias("item_id"),
-                origin_label(frag).alias("originAttribut"),
+                origin_from_component("__c_id").alias("originAttribut"),
                 server_time().alias("event_exact_date")]
     else:
         cols = [F.col("application.site_id").alias("sit_site_id")]
@@ -58,7 +62,7 @@ def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=(
                  item.alias("ite_item_id"),
                  F.col("device.platform").alias("platform"),
                  server_time().alias("event_exact_date"),
-                 landing_code(frag).alias("landing")]
+                 landing_from_component("__c_id").alias("landing")]
     return df.select(*cols, *_carry(carry)).distinct()
 
 
