@@ -69,3 +69,17 @@ def test_test_buyers_removed_with_anti_join(spark):
     assert rows(out, "order_id") == [(2,), (3,)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftAnti" in plan
+
+
+def test_touch_fragment_edge_cases(spark):
+    tr = tracks_df(spark, [
+        view(at="2024-01-02 10:00:00", fragment='{"deal_print_id":7}'),      # numeric id: promo, landing
+        view(at="2024-01-02 10:00:01", fragment='{bad'),                     # malformed: not promo
+        view(at="2024-01-02 10:00:02", fragment=None),                       # missing: not promo
+        view(at="2024-01-02 10:00:03", fragment='{"deal_print_id":null}'),   # JSON null: not promo
+        view(at="2024-01-02 10:00:04", fragment='{"c_id":"/other","deal_print_id":"1"}'),
+        view(at="2024-01-02 10:00:05", event_data='{bad'),                   # promo, no readable item
+    ])
+    got = rows(extract_touches(tr, T, DAILY), "event_exact_date", "landing", "ite_item_id")
+    assert got == srt([("2024-01-02 10:00:00", 1, "S01"), ("2024-01-02 10:00:04", 1, "S01"),
+                       ("2024-01-02 10:00:05", 1, None)])
