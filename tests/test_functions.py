@@ -90,3 +90,10 @@ def test_ds_bound_folds_to_literal(spark):
     df = spark.range(1).select(ds_bound(dt.date(2024, 1, 3), 2, "").alias("a"), ds_bound("2024-01-03", 1).alias("b"))
     r = df.first()
     assert (r["a"], r["b"]) == ("2024-01-01", "2024-01-02 00")
+
+
+def test_session_settings_are_known_to_spark(spark):
+    from promolens.session import RECOMMENDED_CONF, SCALE_CONF
+    known = {r["key"] for r in spark.sql("SET -v").collect()}
+    unknown = [k for k in {**RECOMMENDED_CONF, **SCALE_CONF} if k.startswith("spark.sql.") and k not in known]
+    assert not unknown, unknown
