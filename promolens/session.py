@@ -7,6 +7,7 @@ for scripts, tests and the benchmark.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,15 +63,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (or set on the context).
 
-    On a cluster that setting names shared storage and is used as is.  Only
-    when it is unset (local tests) a fresh scratch folder is created and set.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    Only a local master may go without: then a scratch folder is made for the
+    context.  On a cluster a machine-local folder would be invisible to the
+    other machines, so there an unset folder is an error."""
+    context = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if current:
         return current
-    path = tempfile.mkdtemp(prefix="promolens-ckpt-", dir=os.environ.get("PROMOLENS_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="promolens-ckpt-", dir=os.environ.get("PROMOLENS_SCRATCH")))
+    return context.getCheckpointDir()
