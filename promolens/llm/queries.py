@@ -3,11 +3,16 @@ table and returns the columns of that operator's contract."""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from promolens.llm import bpe, langid, quality
-from promolens.llm.common import fold, table
+from promolens.llm import bpe, chat, langid, quality, vectors, warc
+from promolens.llm.common import fold, scratch, stored, table
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -24,6 +29,72 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write(warc.plan_revisits(table(spark, sf_dir, "pages")), path)
+    number = lambda c: F.regexp_extract(c, r"^<urn:x-page:(-?\d+)>$", 1).try_cast("long")
+    back = warc.read(spark, path, verify=True)
+    return back.select(
+        number("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload"), "payload_length").cast("long").alias("payload_bytes"),
+        "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
+def _chat_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Digests of conversations whose turns come one after the other, in order; only
+    the running hashes of one conversation are held."""
+    current, count, chars, loss, turns, learned = None, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+    done = []
+
+    def row():
+        return (None if current is None or pd.isna(current) else current, count, turns.hexdigest(), loss,
+                learned.hexdigest(), chars)
+
+    def frame():
+        out = pd.DataFrame(done, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        out["conv_id"] = out["conv_id"].astype("Int64")
+        return out
+
+    for batch in batches:
+        for conv, role, text, span, n in zip(batch["conversation"], batch["role"], batch["text"], batch["learned"], batch["n"]):
+            if count and not (conv == current or pd.isna(conv) and pd.isna(current)):
+                done.append(row())
+                count, chars, loss, turns, learned = 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+            current, count, chars = conv, count + 1, chars + n
+            turns.update(f"{role}\n{text}\n".encode())
+            if span is not None:
+                loss += len(span)
+                learned.update(span.encode())
+        if done:
+            yield frame()
+            done = []
+    if count:
+        done.append(row())
+        yield frame()
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = "\\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(own).alias("text")))
+    # a row is a whole message; rows of the same turn are several messages
+    ties = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    events = rows.select("conv_id", F.struct("turn", F.row_number().over(ties).alias("nth")).alias("seq"), "role", "text",
+                         F.lit("message").alias("kind")).withColumn("message", F.col("seq"))
+    formatted = stored(chat.render(chat.fold(events)).select("conversation", "place", "formatted", "loss_start", "loss_end"),
+                       "chat")
+    role, text = chat.parse(F.col("formatted"))
+    span = chat.unescape(F.substr("formatted", F.col("loss_start") + 1, F.col("loss_end") - F.col("loss_start")))
+    turns = formatted.select("conversation", "place", role.alias("role"), text.alias("text"), span.alias("learned"),
+                             F.length("formatted").cast("long").alias("n"))
+    return (turns.repartition("conversation").sortWithinPartitions("conversation", "place")
+            .select("conversation", "role", "text", "learned", "n")
+            .mapInPandas(_chat_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
+                                        "loss_sha256 string, formatted_chars long"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
     model = quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
@@ -32,6 +103,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
     model = langid.fit(docs.where(~held_out))
@@ -41,6 +116,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op3_warc": op3_warc,
+    "op5_chat": op5_chat,
     "op8_quality": op8_quality,
+    "op9_vectors": op9_vectors,
     "op10_language": op10_language,
 }

