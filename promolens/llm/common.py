@@ -52,3 +52,9 @@ def local_path(uri: str) -> str | None:
     """The file-system path of a ``file:`` URI or a plain path, else None."""
     m = re.match(r"^(?:file:(?://)?)?(/.*)$", uri)
     return m[1] if m else None
+
+
+def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows; else as it is.
+    ``df`` must be cheap to count, such as a stored table."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

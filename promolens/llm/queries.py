@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from promolens.llm import bpe, chat, langid, quality, vectors, warc
+from promolens.llm import bpe, chat, decontaminate, langid, quality, vectors, warc
 from promolens.llm.common import fold, scratch, stored, table
 
 
@@ -95,6 +95,11 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         "loss_sha256 string, formatted_chars long"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "n_matched", "share").distinct()
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
     model = quality.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
@@ -118,6 +123,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_warc": op3_warc,
     "op5_chat": op5_chat,
+    "op7_decontaminate": op7_decontaminate,
     "op8_quality": op8_quality,
     "op9_vectors": op9_vectors,
     "op10_language": op10_language,

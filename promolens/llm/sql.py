@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from promolens.llm.decontaminate import UNITS
+
 BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 OP3 = """
@@ -51,8 +53,51 @@ SELECT vec_id, coalesce(k, 0)::BIGINT AS n_links, least(vec_id, m) AS component_
 FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
 """
 
+#: Words with marks of names (p), numbers (n) and units (u), then windows of five.
+OP7 = r"""
+WITH src AS (
+  SELECT 0 AS side, doc_id AS id, hash(text)::UBIGINT AS row, text FROM documents
+  UNION ALL SELECT 1, item_id, 0, text FROM benchmark WHERE item_id IS NOT NULL),
+named AS (
+  SELECT side, id, row, text, regexp_replace(regexp_replace(text,
+    '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '' || chr(2) || 'p', 'g'),
+    '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '' || chr(2) || 'p', 'g') AS t FROM src),
+marked AS (
+  SELECT side, id, row, lower(CASE WHEN regexp_matches(text, '[0-9]') THEN regexp_replace(
+    lower(regexp_replace(t, '([0-9]+)', ' ' || chr(2) || 'n ', 'g')),
+    '(' || chr(2) || 'n[0-9]+ +)(UNITS)($|[^\p{L}\p{N}])', '' || chr(2) || 'u', 'g') ELSE t END) AS t FROM named),
+w AS (
+  SELECT side, id, row, list_filter(regexp_split_to_array(t, '[^\p{L}\p{N}' || chr(2) || ']+'), lambda x: x <> '') AS w FROM marked),
+win AS (
+  SELECT DISTINCT side, id, row, i AS place, w[i:i + 4] AS w
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+count_marks AS (SELECT *, len(list_filter(w, lambda x: x[1] = chr(2))) AS k FROM win),
+ways AS (
+  SELECT side, id, row, place, array_to_string(list_transform(w, lambda x: CASE WHEN x[1] = chr(2) THEN x[3:] ELSE x END), ' ') AS h,
+    NULL AS slots FROM count_marks
+  UNION ALL
+  SELECT side, id, row, place, array_to_string(list_transform(w, lambda x: CASE WHEN x[1] = chr(2) THEN x[1:2] ELSE x END), ' '), w
+  FROM count_marks WHERE k BETWEEN 1 AND 2),
+total AS (SELECT id AS item_id, count(DISTINCT place) AS n_windows FROM ways WHERE side = 1 GROUP BY 1),
+hits AS (
+  SELECT DISTINCT d.id AS doc_id, d.row, b.id AS item_id, b.place AS spot, d.place - b.place AS shift, d.slots, b.slots AS islots
+  FROM ways d JOIN ways b ON d.side = 0 AND b.side = 1 AND d.h = b.h AND (d.slots IS NULL) = (b.slots IS NULL)),
+pairs AS (
+  SELECT DISTINCT doc_id, row, item_id, shift, unnest(islots) AS a, unnest(slots) AS b FROM hits WHERE slots IS NOT NULL),
+clash AS (
+  SELECT doc_id, row, item_id, shift FROM pairs WHERE a[1] = chr(2) GROUP BY ALL
+  HAVING count(*) > count(DISTINCT a) OR count(*) > count(DISTINCT b)),
+found AS (
+  SELECT h.doc_id, h.row, h.item_id, count(DISTINCT spot) AS n_matched FROM hits h LEFT JOIN clash c
+    ON h.doc_id IS NOT DISTINCT FROM c.doc_id AND h.row = c.row AND h.item_id = c.item_id AND h.shift = c.shift
+  WHERE h.slots IS NULL OR c.item_id IS NULL GROUP BY ALL)
+SELECT DISTINCT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS share
+FROM found JOIN total USING (item_id) WHERE n_matched >= 0.6::DOUBLE * n_windows
+""".replace("UNITS", "|".join(UNITS))
+
 SQL: dict[str, str] = {
     "op3_warc": OP3,
     "op5_chat": OP5,
+    "op7_decontaminate": OP7,
     "op9_vectors": OP9,
 }
