@@ -60,12 +60,12 @@ WITH src AS (
   UNION ALL SELECT 1, item_id, 0, text FROM benchmark WHERE item_id IS NOT NULL),
 named AS (
   SELECT side, id, row, text, regexp_replace(regexp_replace(text,
-    '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '' || chr(2) || 'p', 'g'),
-    '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '' || chr(2) || 'p', 'g') AS t FROM src),
+    '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '\1' || chr(2) || 'p\2', 'g'),
+    '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '\1' || chr(2) || 'p\2', 'g') AS t FROM src),
 marked AS (
   SELECT side, id, row, lower(CASE WHEN regexp_matches(text, '[0-9]') THEN regexp_replace(
-    lower(regexp_replace(t, '([0-9]+)', ' ' || chr(2) || 'n ', 'g')),
-    '(' || chr(2) || 'n[0-9]+ +)(UNITS)($|[^\p{L}\p{N}])', '' || chr(2) || 'u', 'g') ELSE t END) AS t FROM named),
+    lower(regexp_replace(t, '([0-9]+)', ' ' || chr(2) || 'n\1 ', 'g')),
+    '(' || chr(2) || 'n[0-9]+ +)(UNITS)($|[^\p{L}\p{N}])', '\1' || chr(2) || 'u\2\3', 'g') ELSE t END) AS t FROM named),
 w AS (
   SELECT side, id, row, list_filter(regexp_split_to_array(t, '[^\p{L}\p{N}' || chr(2) || ']+'), lambda x: x <> '') AS w FROM marked),
 win AS (
