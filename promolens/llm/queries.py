@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from promolens.llm import bpe, chat, decontaminate, langid, quality, vectors, warc
+from promolens.llm import bpe, chat, decontaminate, jaccard, langid, quality, vectors, warc
 from promolens.llm.common import fold, scratch, stored, table
 
 
@@ -95,6 +95,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         "loss_sha256 string, formatted_chars long"))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_windows", "n_matched", "share").distinct()
@@ -123,6 +127,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_warc": op3_warc,
     "op5_chat": op5_chat,
+    "op6_jaccard": op6_jaccard,
     "op7_decontaminate": op7_decontaminate,
     "op8_quality": op8_quality,
     "op9_vectors": op9_vectors,

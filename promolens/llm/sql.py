@@ -53,6 +53,24 @@ SELECT vec_id, coalesce(k, 0)::BIGINT AS n_links, least(vec_id, m) AS component_
 FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
 """
 
+OP6 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+  HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, m) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+"""
+
 #: Words with marks of names (p), numbers (n) and units (u), then windows of five.
 OP7 = r"""
 WITH src AS (
@@ -98,6 +116,7 @@ FROM found JOIN total USING (item_id) WHERE n_matched >= 0.6::DOUBLE * n_windows
 SQL: dict[str, str] = {
     "op3_warc": OP3,
     "op5_chat": OP5,
+    "op6_jaccard": OP6,
     "op7_decontaminate": OP7,
     "op9_vectors": OP9,
 }
