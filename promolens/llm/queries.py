@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from promolens.llm import bpe, chat, decontaminate, jaccard, langid, quality, vectors, warc
+from promolens.llm import bpe, chat, decontaminate, jaccard, langid, quality, suffix, vectors, warc
 from promolens.llm.common import fold, scratch, stored, table
 
 
@@ -40,6 +40,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 
+def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _chat_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Digests of conversations whose turns come one after the other, in order; only
     the running hashes of one conversation are held."""
@@ -126,6 +131,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_warc": op3_warc,
+    "op4_suffix": op4_suffix,
     "op5_chat": op5_chat,
     "op6_jaccard": op6_jaccard,
     "op7_decontaminate": op7_decontaminate,

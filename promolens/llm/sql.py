@@ -19,6 +19,26 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM d JOIN f USING (hex)
 """ % BASE32
 
+#: All strings of 50 bytes as hexadecimal digits.
+OP4 = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS g FROM (SELECT doc_id, x, unnest(range(0, n - 49)) AS i FROM b WHERE n >= 50)),
+m AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g),
+gone AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w JOIN m USING (g) WHERE first < doc_id),
+marked AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END)
+  OVER (PARTITION BY doc_id ORDER BY i) AS span FROM gone),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM marked GROUP BY doc_id, span),
+left_over AS (
+  SELECT doc_id, coalesce(lag(s.b) OVER (PARTITION BY doc_id ORDER BY s.a), 0) AS a, s.a AS b FROM spans s
+  UNION ALL SELECT b.doc_id, coalesce(max(s.b), 0), any_value(b.n) FROM b LEFT JOIN spans s USING (doc_id) GROUP BY b.doc_id),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * l.a + 1, 2 * (l.b - l.a)), '' ORDER BY l.a) AS x
+  FROM left_over l JOIN b USING (doc_id) GROUP BY doc_id),
+counts AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(kept.x)) AS kept_sha256
+FROM b JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
 OP5 = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -115,6 +135,7 @@ FROM found JOIN total USING (item_id) WHERE n_matched >= 0.6::DOUBLE * n_windows
 
 SQL: dict[str, str] = {
     "op3_warc": OP3,
+    "op4_suffix": OP4,
     "op5_chat": OP5,
     "op6_jaccard": OP6,
     "op7_decontaminate": OP7,
