@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from promolens.llm import bpe, chat, decontaminate, jaccard, langid, quality, suffix, vectors, warc
+from promolens.llm import bpe, chat, decontaminate, jaccard, langid, lm, quality, suffix, vectors, warc
 from promolens.llm.common import fold, scratch, stored, table
 
 
@@ -20,6 +20,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path)
@@ -129,6 +133,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm": op1_lm,
     "op2_bpe": op2_bpe,
     "op3_warc": op3_warc,
     "op4_suffix": op4_suffix,
