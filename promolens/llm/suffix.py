@@ -34,9 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promolens.llm.common import pieces, stored
 from promolens.llm.hashing import _BASE, _power, mix, running
@@ -452,10 +454,11 @@ def cut_ranges(text: bytes, ranges: np.ndarray) -> tuple[bytes, np.ndarray]:
     return b"".join([*kept, text[at:]]), merged
 
 
-def _cut_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for lo in range(0, len(whole), 2048):
-            batch = whole.iloc[lo:lo + 2048]
+        for lo in range(0, whole.num_rows, 2048):
+            part = whole.slice(lo, 2048)
+            batch = part.select(["_t", "ranges"]).to_pandas()
             texts, kept, removed, spans = _bytes_of(batch["_t"]), [], [], []
             for t, ranges in zip(texts, batch["ranges"]):
                 raw = b"".join(bytes(x) for x in ranges) if ranges is not None else b""
@@ -463,19 +466,22 @@ def _cut_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 kept.append(left)
                 removed.append(len(t) - len(left))
                 spans.append(gone.reshape(-1))
-            yield pd.DataFrame({"_id": batch["_id"], "_k": batch["_k"], "n_bytes": [len(t) for t in texts],
-                                "n_removed": removed, "n_spans": [len(s) // 2 for s in spans], "kept": kept, "spans": spans})
+            through = [c for c in part.schema.names if c not in ("_o", "_t", "ranges")]
+            made = {"n_bytes": pa.array([len(t) for t in texts], pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+                    "n_spans": pa.array([len(x) // 2 for x in spans], pa.int64()), "kept": pa.array(kept, pa.binary()),
+                    "spans": pa.array(spans, pa.list_(pa.int64()))}
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in through), *made.values()], names=[*through, *made])
 
 
-def deduplicate(docs: DataFrame, *, key="doc_id", text="text") -> DataFrame:
-    """``(key, row, n_bytes, n_removed, n_spans, kept binary, spans array<long>)`` for
-    every row; spans holds start and end of each removed range.  ``row`` is a hash of
-    id and text that tells rows with the same id apart."""
+def deduplicate(docs: DataFrame, *, key="doc_id", text="text", carry: list[str] = ()) -> DataFrame:
+    """``(key, n_bytes, n_removed, n_spans, kept binary, spans array<long>)`` and the
+    columns of ``carry`` for every row; spans holds start and end of each removed range."""
     spark = docs.sparkSession
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     number = F.col(key).cast("long")
     source = docs.select(number.alias("_id"), F.xxhash64(number, text).alias("_k"),
-                         F.coalesce(number, F.lit(_LAST_ID)).alias("_o"), data.alias("_t"))
+                         F.coalesce(number, F.lit(_LAST_ID)).alias("_o"), data.alias("_t"),
+                         *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
     counted = stored(source.select("_t").mapInPandas(_count_anchors, "part int, size long, data binary"), "anchors")
     merged = sorted(counted.repartition("part").mapInPandas(_merge_counts, "part int, size long, data binary").collect(),
                     key=lambda r: r["part"])  # one table of fixed size
@@ -489,10 +495,15 @@ def deduplicate(docs: DataFrame, *, key="doc_id", text="text") -> DataFrame:
         "bucket int, _k long, _o long, keys binary, index binary, known binary, docs binary")
     told = sent.groupBy("bucket").applyInPandas(_anchors_again, "_k long, _o long, keys binary")
     told = told.groupBy("_k", "_o").agg(F.collect_list("keys").alias("keys"))  # at most a document's own anchors
-    found = source.join(told, ["_k", "_o"]).select("_id", "_k", "_o", "_t", "keys")
+    # both joins take the same columns of the documents, so that Spark moves the texts once
+    own = source.columns
+    found = source.join(told, ["_k", "_o"]).select(*own, "keys")
     cells = found.mapInPandas(_cut_pieces(hot, pieces(total, CELL_BYTES)), "cell int, data binary")
     ranges = cells.groupBy("cell").applyInPandas(_sort_cell, "_k long, _o long, ranges binary")
     ranges = ranges.groupBy("_k", "_o").agg(F.collect_list("ranges").alias("ranges"))  # at most a document's own ranges
-    out = source.join(ranges, ["_k", "_o"], "left").select("_id", "_k", "_o", "_t", "ranges").mapInPandas(
-        _cut_documents, "_id long, _k long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>")
-    return out.select(F.col("_id").alias(key), F.col("_k").alias("row"), "n_bytes", "n_removed", "n_spans", "kept", "spans")
+    joined = source.join(ranges, ["_k", "_o"], "left").select(*own, "ranges")
+    through = [f for f in joined.schema.fields if f.name not in ("_o", "_t", "ranges")]
+    made = T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>")
+    out = joined.mapInArrow(_cut_documents, T.StructType([*through, *made.fields]))
+    return out.select(F.col("_id").alias(key), *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)],
+                      *made.names)
