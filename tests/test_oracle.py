@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+import oracle_sql
 from oracle_compare import compare, duck
+from promolens import catalog
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle_sql.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF).toPandas()
     want = con.sql(entry.oracle_sql()[name]).df()
