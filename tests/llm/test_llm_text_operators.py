@@ -1,0 +1,160 @@
+"""Jaccard join, suffix dedup and decontamination against plain versions."""
+
+import random
+
+import numpy as np
+import pytest
+
+import helpers as H
+from promolens.llm import decontaminate, hashing, jaccard, suffix
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice(["th", "er", "on", "an", "re", "he"]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+def corpus(seed, n=60):
+    rng = random.Random(seed)
+    out, base = [], [prose(rng, rng.randint(3, 80)) for _ in range(8)]
+    passage = prose(rng, 30)
+    for i in range(n):
+        t = rng.choice(base) if rng.random() < 0.5 else prose(rng, rng.randint(0, 60))
+        w = t.split(" ")
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = rng.choice(["Zé", "x", "THE"])
+        t = " ".join(w)
+        if rng.random() < 0.3:
+            t += "\n" + passage + " " + prose(rng, 3)
+        out.append((i * 3 + 1, t))
+    rng.shuffle(out)
+    return [*out, (1000, None), (1001, ""), (1002, " \n\t"), (1003, "one two"), (1004, "One  two"), (1005, "a" * 400),
+            (1006, "b" + "a" * 300), (1007, "é" * 60 + passage)]
+
+
+def jaccard_by_hand(rows):
+    sets = {i: H.shingle_set(t) for i, t in rows}
+    ids = sorted(sets)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    near = H.smallest_reachable(ids, links)
+    return {i: (len(sets[i]), near[i]) for i in ids}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_components(spark, seed):
+    rows = corpus(seed)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar(H.documents(spark, rows)).collect()}
+    assert got == jaccard_by_hand(rows)
+
+
+def test_jaccard_null_ids_repeats_and_empty_table(spark):
+    rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (9, "a b c d e f"), (7, None)]
+    got = sorted([(r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in jaccard.similar(H.documents(spark, rows)).collect()])
+    assert got == [(-1, 2, None), (5, 2, 5), (5, 2, 5), (7, 0, 7), (9, 2, 5)]
+    assert jaccard.similar(H.documents(spark, [])).collect() == []
+
+
+def test_jaccard_copies_of_one_text_make_no_pairs_of_all(spark):
+    """A chain of edits: ends are linked through the middle only."""
+    w = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(30):
+        rows.append((i, " ".join(w)))
+        w[3 * i] = f"changed{i}"
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar(H.documents(spark, rows)).collect()}
+    assert got == {i: c for i, (_, c) in jaccard_by_hand(rows).items()}
+    assert set(got.values()) == {0}
+
+
+def test_word_hashes_in_blocks(monkeypatch):
+    text = ("Alpha  beta\tgamma " * 300 + "x" * 500 + " Tail").encode()
+    whole = hashing.word_hashes(text)
+    monkeypatch.setattr(hashing, "BLOCK", 64)
+    assert (hashing.word_hashes(text) == whole).all() and len(whole) == 902
+    assert (hashing.batch_word_hashes([b"", text, b" ", b"ALPHA"])[1] == whole).all()
+    assert hashing.batch_word_hashes([b"ALPHA"])[0][0] == whole[0]
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 26])
+def test_suffix_array_is_sorted(letters):
+    rng = np.random.default_rng(letters)
+    for n in (1, 2, 50, 400):
+        raw = rng.integers(97, 97 + letters, n).astype(np.uint8)
+        raw[rng.random(n) < 0.05] = 255
+        text, order = raw.tobytes(), suffix.suffix_array(raw)
+        assert sorted(order) == list(range(n))
+        cut = [text[i:i + suffix.LENGTH] for i in order]
+        assert cut == sorted(cut)
+
+
+def test_neighbouring_strings_have_one_anchor_wherever_they_stand(monkeypatch):
+    rng = random.Random(3)
+    shared = prose(rng, 60).encode()
+    a, b = b"12 " + shared + b" zz", prose(rng, 9).encode() + shared
+    def by_string(t):
+        _, first, last, h = suffix.anchors([t])
+        return {t[k:k + 50]: x for i, j, x in zip(first, last, h) for k in range(i, j)}
+    one, two = by_string(a), by_string(b)
+    assert len(one) == len({a[k:k + 50] for k in range(len(a) - 49)})
+    assert all(one[g] == two[g] for g in one.keys() & two.keys()) and len(one.keys() & two.keys()) > 100
+    monkeypatch.setattr(suffix, "BLOCK", 100)  # a long text in stretches
+    assert by_string(a) == one
+
+
+@pytest.mark.parametrize("seed,hot", [(1, 20_000), (2, 2), (3, 4)])
+def test_suffix_dedup_by_hand(spark, monkeypatch, seed, hot):
+    monkeypatch.setattr(suffix, "HOT", hot)  # small: the very frequent anchors too
+    rows = corpus(seed) + [(None, "q" * 70), (None, "q" * 70), (4, "zz" * 60), (4, "zz" * 60)]
+    got = suffix.deduplicate(H.documents(spark, rows), carry=["source"]).collect()
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], bytes(r["kept"]), r["n_removed"], r["n_spans"], r["n_bytes"], r["source"]) for r in got)
+    plain = H.cut_repeats([(i, (t or "").encode()) for i, t in rows])
+    assert got == sorted((-1 if i is None else i, k, n, s, len((t or "").encode()), "src0") for (i, t), (k, n, s) in zip(rows, plain))
+
+
+def test_suffix_dedup_of_nothing(spark):
+    assert suffix.deduplicate(H.documents(spark, [])).collect() == []
+
+
+ITEM = "Tom drove 120 km in 3 hours and then he walked 120 km again to see Anna at the old river house"
+
+
+def leak_ids(spark, docs, items=((1, ITEM), (2, None), (3, "")), **kw):
+    bench = spark.createDataFrame(list(items), "item_id long, text string")
+    return sorted((r["doc_id"] or -1, r["item_id"]) for r in decontaminate.leaks(H.documents(spark, docs), bench, **kw).collect())
+
+
+def test_leaks_with_other_values(spark):
+    docs = [(1, "Some words before. " + ITEM + ". Some words after it."),
+            (2, ITEM.replace("120", "77").replace("3 hours", "9 hours").replace("Anna", "Maria")),
+            (3, ITEM.replace("120 km in", "77 km in").replace("walked 120", "walked 55")),  # one value became two
+            (4, "Nothing of it is here at all, only some other words in a row."), (5, None), (6, ""), (7, "short"),
+            (8, ITEM.upper()), (None, ITEM), (9, ITEM[:40])]
+    got = leak_ids(spark, docs)
+    assert (1, 1) in got and (2, 1) in got and (8, 1) in got and (-1, 1) in got
+    assert not {i for i, _ in got} & {4, 5, 6, 7, 9}
+
+
+def test_slots_must_correspond(spark):
+    item = "add 5 to 7 then take 5 from 9 and give 7 to the boy who had 9 of them left over today"
+    swapped = item.replace("5", "x").replace("7", "8").replace("x", "6")
+    unlike = item.replace("take 5", "take 4")
+    both = leak_ids(spark, [(1, swapped), (2, unlike)], items=[(1, item)], share=0.9)
+    assert both == [(1, 1)]
+
+
+def test_leaks_shuffled_instead_of_broadcast(spark, monkeypatch):
+    docs = [(i, f"number {i} " + ITEM) for i in range(5)]
+    want = leak_ids(spark, docs)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert leak_ids(spark, docs) == want == [(-1, 1), (1, 1), (2, 1), (3, 1), (4, 1)]
+
+
+def test_leaks_of_empty_tables(spark):
+    assert leak_ids(spark, []) == []
+    assert leak_ids(spark, [(1, ITEM)], items=[]) == []
+
+
+def test_leak_plan_is_native(spark):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    plan = decontaminate.leaks(H.documents(spark, [(1, ITEM)]), bench)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
