@@ -47,7 +47,7 @@ LENGTH, GRAM = 50, 20
 #: Slots of the table of anchors (2^bits), parts it is merged in; an anchor is very frequent from
 #: HOT documents on and HOT_TIMES the mean of all slots.
 SLOT_BITS, PARTS, HOT, HOT_TIMES = 20, 16, 20_000, 16
-#: Bytes of text for each bucket of anchors and each cell of pieces.
+#: Bytes of text for each bucket of anchors, and for each cell of pieces and home of documents.
 BUCKET_BYTES, CELL_BYTES = 40 << 20, 8 << 20
 #: Bytes looked at together inside a task.
 BLOCK = 1 << 20
@@ -272,9 +272,10 @@ def _of_six(raw: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _send_anchors(hot, buckets: int):
+def _send_anchors(hot, buckets: int, homes: int):
     """Rows for buckets (bucket >= 0: anchors, each once for a batch) and rows for
-    documents (bucket < 0: anchors that another document of the batch has, or very frequent ones)."""
+    documents (bucket < 0: anchors that another document of the batch has, or very
+    frequent ones; packed by the home of the documents)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         is_hot = np.unpackbits(np.frombuffer(hot.value, np.uint8)).astype(bool)
         for batch in batches:
@@ -293,9 +294,8 @@ def _send_anchors(hot, buckets: int):
             again[order] = many[run_of]
             frequent = is_hot[_slot(h)]
             known = again | frequent
-            rows = []
-            for at, a, b in _runs(text[known]):
-                rows.append((-1 - int(at) % buckets, k[at], o[at], _six(h[known][a:b] >> np.uint64(16)), b"", b"", b""))
+            rows = [(-1 - int(home), 0, 0, data, b"", b"", b"")
+                    for home, data in _by_home(text[known], h[known] >> np.uint64(16), k, o, homes)]
             send = np.zeros(len(h), bool)
             send[first] = True
             send &= ~frequent
@@ -321,11 +321,29 @@ def _runs(values: np.ndarray) -> Iterator[tuple]:
         yield values[a], a, b
 
 
-def _anchors_again(rows: pd.DataFrame) -> pd.DataFrame:
-    """A bucket: for each document its anchors that another batch, or another document
-    of a batch, has too.  Rows for documents pass."""
+def _by_home(doc: np.ndarray, keys: np.ndarray, k: np.ndarray, o: np.ndarray, homes: int):
+    """(home, packed keys of its documents); ``doc`` counts up and points into ``k`` and ``o``."""
+    if not len(doc):
+        return
+    which, first, size = np.unique(doc, return_index=True, return_counts=True)
+    home = k[which] % homes
+    for h, part in _places_of(home):
+        at = np.concatenate([np.arange(first[i], first[i] + size[i]) for i in part])
+        yield h, pickle.dumps((k[which[part]], o[which[part]], size[part].astype(np.uint32), _six(keys[at])), protocol=5)
+
+
+def _places_of(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each distinct value and its places."""
+    order = np.argsort(values, kind="stable")
+    for v, a, b in _runs(values[order]):
+        yield int(v), order[a:b]
+
+
+def _anchors_again(rows: pd.DataFrame, homes: int) -> pd.DataFrame:
+    """A bucket: for the documents of each home their anchors that another batch, or
+    another document of a batch, has too.  Rows for documents pass."""
     if rows["bucket"].iat[0] < 0:
-        return rows[["_k", "_o", "keys"]]
+        return pd.DataFrame({"home": -1 - rows["bucket"], "data": rows["keys"]})
     keys = [_of_six(x) for x in rows["keys"]]
     size = [len(x) for x in keys]
     known = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for x, n in zip(rows["known"], size)])
@@ -343,8 +361,26 @@ def _anchors_again(rows: pd.DataFrame) -> pd.DataFrame:
     tell &= ~known  # the others have been told in their batch
     at = np.flatnonzero(tell)
     at = at[np.argsort(doc[at], kind="stable")]
-    out = [(k[d], o[d], _six(keys[at[a:b]])) for d, a, b in _runs(doc[at])]
-    return pd.DataFrame(out, columns=["_k", "_o", "keys"])
+    return pd.DataFrame(list(_by_home(doc[at], keys[at], k, o, homes)), columns=["home", "data"])
+
+
+def _told_documents(rows: pd.DataFrame) -> pd.DataFrame:
+    """A home: all told anchors of each of its documents, in one row."""
+    return _one_row_each([pickle.loads(x) for x in rows["data"]], 6, "keys")
+
+
+def _one_row_each(parts: list, width: int, name: str) -> pd.DataFrame:
+    """[(k, o, sizes, packed values)] -> one row for each (k, o) with all its values."""
+    k, o = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    size = [p[2].astype(np.int64) * width for p in parts]
+    found: dict[tuple[int, int], list[bytes]] = {}
+    at = 0
+    for p, n in zip(parts, size):
+        ends = np.cumsum(n)
+        for i, (a, b) in enumerate(zip(ends - n, ends)):
+            found.setdefault((k[at + i], o[at + i]), []).append(p[3][a:b])
+        at += len(n)
+    return pd.DataFrame({"_k": [x for x, _ in found], "_o": [x for _, x in found], name: [b"".join(v) for v in found.values()]})
 
 
 def _cut_pieces(hot, cells: int):
@@ -365,7 +401,7 @@ def _pieces_of(texts, keys, k, o, is_hot, cells):
         return []
     wanted = np.zeros(len(h), bool)
     for d, lo, hi in _runs(text):
-        told = np.unique(_of_six(b"".join(bytes(x) for x in keys.iat[d])))
+        told = np.unique(_of_six(bytes(keys.iat[d])))
         wanted[lo:hi] = np.isin(h[lo:hi] >> np.uint64(16), told)
     text, a, b, h = text[wanted], a[wanted], b[wanted], h[wanted]
     cell = (mix(h) % np.uint64(cells)).astype(np.int64)
@@ -395,8 +431,8 @@ def _pieces_of(texts, keys, k, o, is_hot, cells):
     return rows
 
 
-def _sort_cell(rows: pd.DataFrame) -> pd.DataFrame:
-    """Ranges to remove, per document, found in one cell."""
+def _sort_cell(rows: pd.DataFrame, homes: int) -> pd.DataFrame:
+    """Ranges to remove, found in one cell, packed by the home of the documents."""
     names: dict[bytes, int] = {}
     which, k, o, at = [], [], [], []
     for data in rows["data"]:
@@ -429,14 +465,22 @@ def _sort_cell(rows: pd.DataFrame) -> pd.DataFrame:
             out_a.append(at[r] + nth[starts])
             out_b.append(at[r] + nth[ends] + LENGTH)
     if not out_k:
-        return pd.DataFrame({"_k": [], "_o": [], "ranges": []}).astype({"_k": "int64", "_o": "int64", "ranges": "object"})
+        return pd.DataFrame({"home": [], "data": []}).astype({"home": "int64"})
     out_k, out_o, a, b = (np.concatenate(x) for x in (out_k, out_o, out_a, out_b))
-    order = np.lexsort((a, out_o, out_k))
-    out_k, out_o, a, b = out_k[order], out_o[order], a[order], b[order]
-    cut = np.flatnonzero(np.r_[True, (out_k[1:] != out_k[:-1]) | (out_o[1:] != out_o[:-1])])
-    both = np.stack([a, b], 1).astype(np.int64)
-    return pd.DataFrame({"_k": out_k[cut], "_o": out_o[cut],
-                         "ranges": [both[x:y].tobytes() for x, y in zip(cut, np.r_[cut[1:], len(a)])]})
+    home = out_k % homes
+    out = []
+    for h, part in _places_of(home):
+        order = part[np.lexsort((a[part], out_o[part], out_k[part]))]
+        k, o = out_k[order], out_o[order]
+        cut = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (o[1:] != o[:-1])])
+        both = np.stack([a[order], b[order]], 1).astype(np.uint32)
+        size = np.diff(np.r_[cut, len(k)]).astype(np.uint32)
+        out.append((h, zstandard.compress(pickle.dumps((k[cut], o[cut], size, both.tobytes()), protocol=5), 1)))
+    return pd.DataFrame(out, columns=["home", "data"])
+
+
+def _ranges_of_documents(rows: pd.DataFrame) -> pd.DataFrame:
+    return _one_row_each([pickle.loads(zstandard.decompress(x)) for x in rows["data"]], 8, "ranges")
 
 
 def cut_ranges(text: bytes, ranges: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -461,8 +505,8 @@ def _cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             batch = part.select(["_t", "ranges"]).to_pandas()
             texts, kept, removed, spans = _bytes_of(batch["_t"]), [], [], []
             for t, ranges in zip(texts, batch["ranges"]):
-                raw = b"".join(bytes(x) for x in ranges) if ranges is not None else b""
-                left, gone = cut_ranges(t, np.frombuffer(raw, np.int64).reshape(-1, 2))
+                raw = bytes(ranges) if ranges is not None else b""
+                left, gone = cut_ranges(t, np.frombuffer(raw, np.uint32).astype(np.int64).reshape(-1, 2))
                 kept.append(left)
                 removed.append(len(t) - len(left))
                 spans.append(gone.reshape(-1))
@@ -490,17 +534,18 @@ def deduplicate(docs: DataFrame, *, key="doc_id", text="text", carry: list[str]
     frequent = counts >= max(HOT, HOT_TIMES * counts.mean())
     hot = spark.sparkContext.broadcast(np.packbits(frequent).tobytes())
 
+    homes = pieces(total, CELL_BYTES)
     sent = source.select("_k", "_o", "_t").mapInPandas(
-        _send_anchors(hot, pieces(total, BUCKET_BYTES)),
+        _send_anchors(hot, pieces(total, BUCKET_BYTES), homes),
         "bucket int, _k long, _o long, keys binary, index binary, known binary, docs binary")
-    told = sent.groupBy("bucket").applyInPandas(_anchors_again, "_k long, _o long, keys binary")
-    told = told.groupBy("_k", "_o").agg(F.collect_list("keys").alias("keys"))  # at most a document's own anchors
+    told = sent.groupBy("bucket").applyInPandas(lambda rows: _anchors_again(rows, homes), "home long, data binary")
+    told = told.groupBy("home").applyInPandas(_told_documents, "_k long, _o long, keys binary")
     # both joins take the same columns of the documents, so that Spark moves the texts once
     own = source.columns
     found = source.join(told, ["_k", "_o"]).select(*own, "keys")
     cells = found.mapInPandas(_cut_pieces(hot, pieces(total, CELL_BYTES)), "cell int, data binary")
-    ranges = cells.groupBy("cell").applyInPandas(_sort_cell, "_k long, _o long, ranges binary")
-    ranges = ranges.groupBy("_k", "_o").agg(F.collect_list("ranges").alias("ranges"))  # at most a document's own ranges
+    ranges = cells.groupBy("cell").applyInPandas(lambda rows: _sort_cell(rows, homes), "home long, data binary")
+    ranges = ranges.groupBy("home").applyInPandas(_ranges_of_documents, "_k long, _o long, ranges binary")
     joined = source.join(ranges, ["_k", "_o"], "left").select(*own, "ranges")
     through = [f for f in joined.schema.fields if f.name not in ("_o", "_t", "ranges")]
     made = T._parse_datatype_string("n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>")
