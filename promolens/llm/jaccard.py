@@ -8,7 +8,8 @@ count together; any order that is the same for all sets gives the same links).
 
 1. one pass counts shingles and keeps, for each document, the size of its set and how
    many members fall in each of ``RANGES`` ranges of the hash;
-2. one pass emits the prefixes; a shingle in one prefix only is dropped;
+2. one pass sends the prefixes to buckets of shingles; a shingle in one prefix only goes
+   no further, and of shingles that the same documents have only one does, with their number;
 3. in two rounds every document proposes one partner, the one it shares most prefix
    shingles with among the leaders of its lists; these pairs are verified and give
    components, so that a large group of copies is joined by as many pairs as it has
@@ -29,20 +30,24 @@ one document whose text is the largest of its texts.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import bounded_broadcast, stored
+from promolens.llm.common import bounded_broadcast, pieces, stored
 from promolens.llm.components import components
-from promolens.llm.hashing import batch_word_hashes, shingles
+from promolens.llm.hashing import batch_word_hashes, mix, shingles
 
 N = 5
 #: Slots of the table of counts (2^bits), parts it is merged in, ranges of the suffix filter.
 SLOT_BITS, PARTS, RANGES = 20, 16, 16
+#: Shingles of all sets for each bucket (a quarter of them are in prefixes).
+BUCKET = 6_000_000
 #: Similarity as a fraction, so that comparisons are exact.
 OVER, UNDER = 75, 100
 #: Most ids that are broadcast to pick out documents; beyond that they are joined.
@@ -108,37 +113,83 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"part": list(total), "data": [x.tobytes() for x in total.values()]})
 
 
-def _prefixes(order, n: int):
+def _send_prefixes(order, n: int, buckets: int):
+    """Packed postings for each bucket of shingles: 40 bits of the hash (with the bucket,
+    as good as unique; the pairs are verified on whole hashes), the document, the size of its
+    set and the place in its order."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.frombuffer(order.value, np.int32)
         for batch in batches:
-            h, doc, size, place = [], [], [], []
+            h, doc, place, ids, sizes, held = [], [], [], [], [], 0
 
             def frame():
-                return pd.DataFrame({"h": np.concatenate(h).view(np.int64), "doc": np.concatenate(doc),
-                                     "n": np.concatenate(size), "place": np.concatenate(place)})
+                keys, who, at = np.concatenate(h), np.concatenate(doc), np.concatenate(place)
+                bucket = ((keys & np.uint64(0xFFFF)).astype(np.int64) * buckets) >> 16
+                by = np.argsort(bucket, kind="stable")
+                cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
+                every, size = np.array(ids, np.int64), np.array(sizes, np.uint32)
+                rows = []
+                for b in range(buckets):
+                    part = by[cut[b]:cut[b + 1]]
+                    if len(part):
+                        there, which = np.unique(who[part], return_inverse=True)
+                        short = (keys[part] >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+                        step = np.diff(which, prepend=0).astype(np.uint16)
+                        rows.append((b, zstandard.compress(pickle.dumps(
+                            (short, step, at[part].astype(np.uint32), every[there], size[there]), protocol=5), 1)))
+                return pd.DataFrame(rows, columns=["bucket", "data"])
 
-            rows = 0
             for _, key, s in _sets(batch, n):
                 if not len(s) or pd.isna(key):
                     continue
                 k = prefix_length(len(s))
                 c = counts[(s & np.uint64(len(counts) - 1)).astype(np.int64)]
                 # rarest first, ties by hash: s is in order of hash and the sort is stable
-                first = s[np.argsort(c, kind="stable")[:k]]
-                h.append(first)
-                doc.append(np.full(k, key, np.int64))
-                size.append(np.full(k, len(s), np.int32))
-                place.append(np.arange(k, dtype=np.int32))
-                rows += k
-                if rows > 200_000:
+                h.append(s[np.argsort(c, kind="stable")[:k]])
+                doc.append(np.full(k, len(ids), np.int64))
+                place.append(np.arange(k))
+                ids.append(key)
+                sizes.append(len(s))
+                held += k
+                if held > 2_000_000 or len(ids) > 60_000:
                     yield frame()
-                    h, doc, size, place, rows = [], [], [], [], 0
-            if rows:
+                    h, doc, place, ids, sizes, held = [], [], [], [], [], 0
+            if held:
                 yield frame()
     return run
 
 
+def _lists(rows: pd.DataFrame) -> pd.DataFrame:
+    """A bucket: postings of shingles that several documents have; of shingles with the
+    same documents the first, and in ``weight`` how many there are."""
+    sent = [pickle.loads(zstandard.decompress(x)) for x in rows["data"]]
+    raw = np.zeros((sum(len(x[2]) for x in sent), 8), np.uint8)
+    raw[:, :5] = np.frombuffer(b"".join([x[0] for x in sent]), np.uint8).reshape(-1, 5)
+    key = raw.reshape(-1).view("<u8")
+    which = [np.cumsum(x[1].astype(np.int64)) for x in sent]
+    doc = np.concatenate([x[3][w] for x, w in zip(sent, which)])
+    n = np.concatenate([x[4][w] for x, w in zip(sent, which)])
+    place = np.concatenate([x[2] for x in sent])
+    order = np.argsort(key, kind="stable")
+    key, doc, n, place = key[order], doc[order], n[order], place[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.r_[first, len(key)])
+    several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
+    one, two = mix(doc.view(np.uint64)), mix(doc.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
+    s1, s2 = (np.bitwise_xor.reduceat(x, first) for x in (one, two))
+    s2 = mix(s2 + size.astype(np.uint64))
+    kept = np.flatnonzero(several)
+    _, at, weight = np.unique(s1[kept] ^ s2[kept], return_index=True, return_counts=True)
+    kept = kept[at]
+    member = np.repeat(first[kept] - (np.cumsum(size[kept]) - size[kept]), size[kept]) + np.arange(int(size[kept].sum()))
+    run = np.repeat(np.arange(len(kept)), size[kept])
+    h = mix(key + np.uint64(int(rows["bucket"].iat[0]) << 40))
+    head = np.r_[True, run[1:] != run[:-1]] if len(run) else np.empty(0, bool)
+    return pd.DataFrame({"h": h[member].view(np.int64), "doc": doc[member], "n": n[member].astype(np.int32),
+                         "place": place[member].astype(np.int32), "weight": weight[run].astype(np.int64),
+                         "s1": s1[kept][run].view(np.int64), "s2": s2[kept][run].view(np.int64), "head": head})
+
+
 def _full_sets(n: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -168,10 +219,13 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
               .mapInPandas(_merge, "part int, data binary").collect())  # one table of fixed size
     table = [np.frombuffer(r["data"], np.int64) for r in sorted(merged, key=lambda r: r["part"])]
     order = np.minimum(np.concatenate(table), np.iinfo(np.int32).max).astype(np.int32) if table else np.zeros(1, np.int32)
-    postings = source.mapInPandas(_prefixes(spark.sparkContext.broadcast(order.tobytes()), n),
-                                  "h long, doc long, n int, place int")
-    # rows of one shingle meet once; shingles of a single prefix go no further
-    lists = stored(_shared(postings), "lists")
+    buckets = pieces(info.agg(F.sum("n")).first()[0] or 0, BUCKET)
+    sent = source.mapInPandas(_send_prefixes(spark.sparkContext.broadcast(order.tobytes()), n, buckets), "bucket int, data binary")
+    found = stored(sent.groupBy("bucket").applyInPandas(
+        _lists, "h long, doc long, n int, place int, weight long, s1 long, s2 long, head boolean"), "postings")
+    # shingles of the same documents in other buckets
+    heads = found.where("head").groupBy("s1", "s2").agg(F.min("h").alias("h"), F.sum("weight").alias("weight")).select("h", "weight")
+    lists = stored(found.select("h", "doc", "n", "place").join(heads, "h"), "lists")
     sizes = info.where("id is not null and n > 0").groupBy("id").agg(F.max(F.struct("n", "data")).alias("_s")).select(
         F.col("id").alias("doc"), "_s.n", "_s.data")
 
@@ -190,12 +244,6 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
             .select(key, "n_shingles", F.coalesce("component", key).alias("component_id")))
 
 
-def _shared(postings: DataFrame) -> DataFrame:
-    """Postings of shingles that at least two documents have in their prefixes."""
-    per = postings.groupBy("h").agg(F.min("doc").alias("_a"), F.max("doc").alias("_b")).where("_a < _b").select("h")
-    return postings.join(per, "h", "left_semi")
-
-
 def _labels(lists: DataFrame, joined: DataFrame | None) -> DataFrame:
     if joined is None:
         return lists.withColumn("c", F.col("doc"))
@@ -210,7 +258,7 @@ def _proposals(lists: DataFrame, joined: DataFrame | None, turn: int) -> DataFra
     leaders = rows.groupBy("h").agg(F.min(F.struct(rank.alias("r"), F.col("doc").alias("doc"), "n", "c")).alias("lead"))
     near = (rows.join(leaders, "h")
             .where((F.col("c") != F.col("lead.c")) & _lengths_fit(F.col("n"), F.col("lead.n"))))
-    votes = near.groupBy("doc", F.col("lead.doc").alias("partner")).agg(F.count("*").alias("votes"))
+    votes = near.groupBy("doc", F.col("lead.doc").alias("partner")).agg(F.sum("weight").alias("votes"))
     best = votes.groupBy("doc").agg(F.max(F.struct("votes", "partner")).alias("best"))
     return best.select(F.least("doc", "best.partner").alias("a"), F.greatest("doc", "best.partner").alias("b")).distinct()
 
@@ -256,8 +304,8 @@ def _verified(source: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
     wanted = source.join(bounded_broadcast(ids, BROADCAST_IDS), "_id", "left_semi")
     sets = wanted.mapInPandas(_full_sets(n), "doc long, members array<long>")
-    # rows that repeat an id: the text with the largest set
-    one = stored(sets.groupBy("doc").agg(F.max_by("members", F.size("members")).alias("members")), "sets")
+    # rows that repeat an id: the text with the largest set.  Read twice from one exchange
+    one = sets.groupBy("doc").agg(F.max_by("members", F.size("members")).alias("members"))
     a = one.select(F.col("doc").alias("a"), F.col("members").alias("ma"))
     b = one.select(F.col("doc").alias("b"), F.col("members").alias("mb"))
     common = F.size(F.array_intersect("ma", "mb"))
