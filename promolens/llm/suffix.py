@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from promolens.llm.common import pieces, stored
 from promolens.llm.hashing import _BASE, _power, mix, running
 
-LENGTH, GRAM = 50, 20
+LENGTH, GRAM = 50, 18
 #: Slots of the table of anchors (2^bits), parts it is merged in; an anchor is very frequent from
 #: HOT documents on and HOT_TIMES the mean of all slots.
 SLOT_BITS, PARTS, HOT, HOT_TIMES = 20, 16, 20_000, 16
@@ -55,6 +55,8 @@ _PLACE_BITS = np.uint64(28)
 _PLACES = np.uint64((1 << 28) - 1)
 _LAST_ID = (1 << 63) - 1
 _END = 0xFF  # never a byte of UTF-8
+#: Bytes of a sent anchor, documents cut into pieces together, and compression of what is sent.
+KEY, TOGETHER, LEVEL = 5, 4096, 3
 
 
 # --- anchors ------------------------------------------------------------------
@@ -261,15 +263,18 @@ def _merge_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"part": list(total), "size": [x[0] for x in total.values()], "data": [x[1].tobytes() for x in total.values()]})
 
 
-def _six(x: np.ndarray) -> bytes:
-    """48-bit numbers in six bytes each."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+def _short(h: np.ndarray) -> bytes:
+    """The upper 40 bits of hashes in five bytes each.  With the lower 16 bits, which
+    choose the bucket, they are as good as unique there; anchors that are taken for
+    equal by mistake only cost a comparison."""
+    return np.ascontiguousarray((h >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY]).tobytes()
 
 
-def _of_six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8").astype(np.uint64)
+def _of_short(raw: bytes) -> np.ndarray:
+    """Hashes of which only the upper 40 bits are known."""
+    out = np.zeros((len(raw) // KEY, 8), np.uint8)
+    out[:, :KEY] = np.frombuffer(raw, np.uint8).reshape(-1, KEY)
+    return out.reshape(-1).view("<u8").astype(np.uint64) << np.uint64(24)
 
 
 def _send_anchors(hot, buckets: int, homes: int):
@@ -295,7 +300,7 @@ def _send_anchors(hot, buckets: int, homes: int):
             frequent = is_hot[_slot(h)]
             known = again | frequent
             rows = [(-1 - int(home), 0, 0, data, b"", b"", b"")
-                    for home, data in _by_home(text[known], h[known] >> np.uint64(16), k, o, homes)]
+                    for home, data in _by_home(text[known], h[known], k, o, homes)]
             send = np.zeros(len(h), bool)
             send[first] = True
             send &= ~frequent
@@ -305,7 +310,7 @@ def _send_anchors(hot, buckets: int, homes: int):
             for b_id, a, b in _runs(bucket[by]):
                 part = by[a:b]
                 docs, index = np.unique(st[part], return_inverse=True)
-                rows.append((int(b_id), 0, 0, _six(sh[part] >> np.uint64(16)),
+                rows.append((int(b_id), 0, 0, _short(sh[part]),
                              np.diff(index, prepend=0).astype(np.uint32).tobytes() if len(index) else b"",
                              np.packbits(sk[part]).tobytes(), np.stack([k[docs], o[docs]]).tobytes()))
             yield pd.DataFrame(rows, columns=["bucket", "_k", "_o", "keys", "index", "known", "docs"])
@@ -329,7 +334,7 @@ def _by_home(doc: np.ndarray, keys: np.ndarray, k: np.ndarray, o: np.ndarray, ho
     home = k[which] % homes
     for h, part in _places_of(home):
         at = np.concatenate([np.arange(first[i], first[i] + size[i]) for i in part])
-        yield h, pickle.dumps((k[which[part]], o[which[part]], size[part].astype(np.uint32), _six(keys[at])), protocol=5)
+        yield h, pickle.dumps((k[which[part]], o[which[part]], size[part].astype(np.uint32), _short(keys[at])), protocol=5)
 
 
 def _places_of(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -344,7 +349,7 @@ def _anchors_again(rows: pd.DataFrame, homes: int) -> pd.DataFrame:
     another document of a batch, has too.  Rows for documents pass."""
     if rows["bucket"].iat[0] < 0:
         return pd.DataFrame({"home": -1 - rows["bucket"], "data": rows["keys"]})
-    keys = [_of_six(x) for x in rows["keys"]]
+    keys = [_of_short(x) for x in rows["keys"]]
     size = [len(x) for x in keys]
     known = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for x, n in zip(rows["known"], size)])
     docs = [np.frombuffer(x, np.int64).reshape(2, -1) for x in rows["docs"]]
@@ -366,7 +371,7 @@ def _anchors_again(rows: pd.DataFrame, homes: int) -> pd.DataFrame:
 
 def _told_documents(rows: pd.DataFrame) -> pd.DataFrame:
     """A home: all told anchors of each of its documents, in one row."""
-    return _one_row_each([pickle.loads(x) for x in rows["data"]], 6, "keys")
+    return _one_row_each([pickle.loads(x) for x in rows["data"]], KEY, "keys")
 
 
 def _one_row_each(parts: list, width: int, name: str) -> pd.DataFrame:
@@ -387,8 +392,8 @@ def _cut_pieces(hot, cells: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         is_hot = np.unpackbits(np.frombuffer(hot.value, np.uint8)).astype(bool)
         for whole in batches:
-            for lo in range(0, len(whole), 2048):
-                batch = whole.iloc[lo:lo + 2048]
+            for lo in range(0, len(whole), TOGETHER):
+                batch = whole.iloc[lo:lo + TOGETHER]
                 rows = _pieces_of(_bytes_of(batch["_t"]), batch["keys"], batch["_k"].to_numpy(), batch["_o"].to_numpy(), is_hot, cells)
                 if rows:
                     yield pd.DataFrame(rows, columns=["cell", "data"])
@@ -401,8 +406,8 @@ def _pieces_of(texts, keys, k, o, is_hot, cells):
         return []
     wanted = np.zeros(len(h), bool)
     for d, lo, hi in _runs(text):
-        told = np.unique(_of_six(bytes(keys.iat[d])))
-        wanted[lo:hi] = np.isin(h[lo:hi] >> np.uint64(16), told)
+        told = np.unique(_of_short(bytes(keys.iat[d])))
+        wanted[lo:hi] = np.isin(h[lo:hi] & ~np.uint64((1 << 24) - 1), told)
     text, a, b, h = text[wanted], a[wanted], b[wanted], h[wanted]
     cell = (mix(h) % np.uint64(cells)).astype(np.int64)
     frequent = is_hot[_slot(h)]
@@ -427,7 +432,7 @@ def _pieces_of(texts, keys, k, o, is_hot, cells):
         doc, which, at = np.array(doc), np.array(which, np.uint32), np.array(at, np.uint32)
         # a document that holds a piece many times: fine, each is a place to cut
         data = (list(names), which, k[doc], o[doc], at)
-        rows.append((c, zstandard.compress(pickle.dumps(data, protocol=5), 1)))
+        rows.append((c, zstandard.compress(pickle.dumps(data, protocol=5), LEVEL)))
     return rows
 
 
