@@ -1,7 +1,10 @@
-"""Fixed values that must equal the reference job's for identical results."""
+"""Fixed values that must equal the reference job's for identical results, and defaults."""
+
+#: ``c_id`` of a carousel view in the benchmark mapping; real data sets its own
+#: in ``Profile.carousel``
+CAROUSEL_COMPONENT = "/home/carousel/card"
 
 # --- fixed values (must match the reference exactly) -------------------------
-CAROUSEL_COMPONENT = "/home/promotions/element"   # fragment c_id of a carousel view
 ORIGIN_CAROUSEL = "Carrousel"                      # origin label, report variants
 ORIGIN_LANDING = "Landing"
 LANDING_CAROUSEL = 0                               # landing code, mart variants

@@ -1,7 +1,9 @@
 """Lookups into JSON held in string columns (schema-on-read).
 
-``get_json_object`` returns scalars as text and arrays/objects as JSON text;
-JSON null and malformed JSON give null, never an error."""
+Scalars come as text and arrays/objects as JSON text; JSON null and malformed
+JSON give null, never an error.  Where a key is repeated in one object, both
+lookups of this library take what Spark's ``json_tuple`` and
+``get_json_object`` give: the last and the first value."""
 
 from __future__ import annotations
 
@@ -25,51 +27,22 @@ def json_field(c, path: str) -> Column:
     return F.get_json_object(_col(c), path)
 
 
-def first_present(c, keys) -> Column:
-    """First key of ``keys`` whose value is present (not null), as text.
-    An array value comes back as its JSON text and is kept as is."""
-    return F.coalesce(*[json_field(c, k) for k in keys])
+def is_carousel(component, carousel: str = CAROUSEL_COMPONENT) -> Column:
+    """Whether a view's ``c_id`` names the carousel; a null does not."""
+    return F.coalesce(_col(component) == F.lit(carousel), F.lit(False))
 
 
-def _component(fragment) -> Column:
-    return json_field(fragment, "c_id")
+def is_promo(component, deal, carousel: str = CAROUSEL_COMPONENT) -> Column:
+    """A promotion view: its fragment carries a ``deal_print_id`` or is the
+    carousel component.  Never null."""
+    return _col(deal).isNotNull() | is_carousel(component, carousel)
 
 
-def promo_from_fields(component, deal) -> Column:
-    """``is_promo_touch`` on already-extracted ``c_id`` / ``deal_print_id``."""
-    return _col(deal).isNotNull() | F.coalesce(_col(component) == F.lit(CAROUSEL_COMPONENT), F.lit(False))
-
-
-def landing_from_component(component) -> Column:
-    """``landing_code`` on an already-extracted ``c_id``."""
-    carousel = F.coalesce(_col(component) == F.lit(CAROUSEL_COMPONENT), F.lit(False))
-    return F.when(carousel, F.lit(LANDING_CAROUSEL)).otherwise(F.lit(LANDING_LANDING))
-
-
-def origin_from_component(component) -> Column:
-    """``origin_label`` on an already-extracted ``c_id``."""
-    carousel = F.coalesce(_col(component) == F.lit(CAROUSEL_COMPONENT), F.lit(False))
-    return F.when(carousel, F.lit(ORIGIN_CAROUSEL)).otherwise(F.lit(ORIGIN_LANDING))
-
-
-def is_promo_touch(fragment) -> Column:
-    """A promotion view: the fragment carries a ``deal_print_id`` or is the
-    carousel component.  Null-safe: a fragment with neither is false."""
-    deal = json_field(fragment, "deal_print_id").isNotNull()
-    carousel = F.coalesce(_component(fragment) == F.lit(CAROUSEL_COMPONENT), F.lit(False))
-    return deal | carousel
-
-
-def _is_carousel(fragment) -> Column:
-    # a null comparison falls to the ELSE branch, as in CASE/IF
-    return F.coalesce(_component(fragment) == F.lit(CAROUSEL_COMPONENT), F.lit(False))
-
-
-def landing_code(fragment) -> Column:
+def landing_code(component, carousel: str = CAROUSEL_COMPONENT) -> Column:
     """0 for a carousel view, 1 for any other (landing) view."""
-    return F.when(_is_carousel(fragment), F.lit(LANDING_CAROUSEL)).otherwise(F.lit(LANDING_LANDING))
+    return F.when(is_carousel(component, carousel), F.lit(LANDING_CAROUSEL)).otherwise(F.lit(LANDING_LANDING))
 
 
-def origin_label(fragment) -> Column:
+def origin_label(component, carousel: str = CAROUSEL_COMPONENT) -> Column:
     """'Carrousel' or 'Landing', the report variants' origin label."""
-    return F.when(_is_carousel(fragment), F.lit(ORIGIN_CAROUSEL)).otherwise(F.lit(ORIGIN_LANDING))
+    return F.when(is_carousel(component, carousel), F.lit(ORIGIN_CAROUSEL)).otherwise(F.lit(ORIGIN_LANDING))

@@ -44,56 +44,38 @@ def server_time_sql(c: str = "server_timestamp") -> str:
     return f"concat(substring({c}, 1, 10), ' ', substring({c}, 12, 8))"
 
 
-def server_time(c="server_timestamp") -> Column:
+def server_time(c: str = "server_timestamp") -> Column:
     """Event time as ``yyyy-MM-dd HH:mm:ss``: characters 1-10 and 12-19 of the
     ISO text; fraction and offset are dropped as in the reference."""
-    if isinstance(c, str):
-        return F.expr(server_time_sql(c))
-    return F.concat(F.substring(c, 1, 10), F.lit(" "), F.substring(c, 12, 8))
+    return F.expr(server_time_sql(c))
 
 
-def minus_lookback(time_text, seconds: int = LOOKBACK_SECONDS) -> Column:
-    """``time_text`` minus exactly ``seconds`` seconds, as text.
+def minus_lookback(time_text: str, seconds: int = LOOKBACK_SECONDS) -> Column:
+    """The text that the SQL expression ``time_text`` gives, minus exactly
+    ``seconds`` seconds, as text.
 
     Parsed strictly; text that does not parse gives null (never an error).
     Seconds arithmetic, not a calendar interval, so a DST change cannot turn
     24 h into a calendar day."""
-    if isinstance(time_text, str):
-        return F.expr(f"from_unixtime(unix_timestamp(try_to_timestamp({time_text}, '{TIME_FORMAT}')) "
-                      f"- {int(seconds)}, '{TIME_FORMAT}')")
-    ts = F.try_to_timestamp(_col(time_text), F.lit(TIME_FORMAT))
-    return F.from_unixtime(F.unix_timestamp(ts) - F.lit(seconds), TIME_FORMAT)
+    return F.expr(f"from_unixtime(unix_timestamp(try_to_timestamp({time_text}, '{TIME_FORMAT}')) "
+                  f"- {int(seconds)}, '{TIME_FORMAT}')")
 
 
-_CANONICAL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
-
-
-def wall_seconds(time_text) -> Column:
-    """Seconds since 1970-01-01 00:00:00 of the wall-clock text, zone free.
-
-    Null unless the text is a valid canonical ``yyyy-MM-dd HH:mm:ss``.  For
-    such text, string order equals the order of this number, which is what
-    lets a string range predicate be bucketed exactly."""
-    if isinstance(time_text, str):
-        return F.expr(wall_seconds_sql(time_text))
-    s = _col(time_text)
-    parsed = F.try_to_timestamp(s, F.lit(TIME_FORMAT))
-    valid = s.rlike(_CANONICAL) & parsed.isNotNull() & (F.date_format(parsed, TIME_FORMAT) == s)
-    secs = (F.unix_date(F.to_date(F.substring(s, 1, 10))).cast("long") * 86400
-            + F.substring(s, 12, 2).try_cast("long") * 3600
-            + F.substring(s, 15, 2).try_cast("long") * 60
-            + F.substring(s, 18, 2).try_cast("long"))
-    return F.when(valid, secs)
+_CANONICAL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} ([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 
 
 def wall_seconds_sql(c: str) -> str:
+    """Seconds since 1970-01-01 00:00:00 of the wall-clock text ``c``, as SQL.
+
+    Null unless the text is a canonical ``yyyy-MM-dd HH:mm:ss`` of a day that
+    exists.  No time zone takes part, so text inside a clock-change gap counts
+    like any other.  For such text, string order equals the order of this
+    number, which lets a string range predicate be bucketed exactly."""
     return (f"CASE WHEN {c} RLIKE '{_CANONICAL}' "
-            f"AND try_to_timestamp({c}, '{TIME_FORMAT}') IS NOT NULL "
-            f"AND date_format(try_to_timestamp({c}, '{TIME_FORMAT}'), '{TIME_FORMAT}') = {c} "
-            f"THEN CAST(unix_date(to_date(substring({c}, 1, 10))) AS BIGINT) * 86400 "
-            f"+ try_cast(substring({c}, 12, 2) AS BIGINT) * 3600 "
-            f"+ try_cast(substring({c}, 15, 2) AS BIGINT) * 60 "
-            f"+ try_cast(substring({c}, 18, 2) AS BIGINT) END")
+            f"THEN CAST(unix_date(try_cast(substring({c}, 1, 10) AS DATE)) AS BIGINT) * 86400 "
+            f"+ CAST(substring({c}, 12, 2) AS BIGINT) * 3600 "
+            f"+ CAST(substring({c}, 15, 2) AS BIGINT) * 60 "
+            f"+ CAST(substring({c}, 18, 2) AS BIGINT) END")
 
 
 def hour_of(hhmmss) -> Column:

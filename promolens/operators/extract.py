@@ -15,7 +15,8 @@ from promolens.constants import LANDING_ANY
 from promolens.functions import (
     hour_label, hour_of, json_field, minus_lookback, server_time, value, when_flag,
 )
-from promolens.functions.jsonpath import landing_from_component, origin_from_component, promo_from_fields
+from promolens.functions.jsonpath import is_promo, landing_code, origin_label
+from promolens.functions.keys import key_text
 from promolens.functions.timefmt import server_time_sql
 from promolens.operators.filters import ds_window, gmv_sales, sold_on, where_path
 
@@ -29,7 +30,7 @@ def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=(
 
     ``profile.touch_shape``:
 
-    * ``"report"``: ``site_id, platform, uid, item_id, originAttribut,
+    * ``"report"``: ``site_id, platform, uid, item_id, origin,
       event_exact_date`` (origin as 'Carrousel' / 'Landing');
     * ``"staged"``: ``sit_site_id, [user_id,] uid, ite_item_id, platform,
       event_exact_date, landing`` (origin as 0 / 1).
@@ -39,11 +40,10 @@ def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=(
     from promolens.plans.profiles import DAILY
     p = profile or DAILY
     df = where_path(tracks, *p.touch_paths)
-    df = df.where(ds_window(p.touch_ds, analysis_date) & F.col("usr.uid").isNotNull())
-    # each JSON document is parsed once: json_tuple pulls several top-level
-    # keys in one pass (same values as get_json_object for these lookups)
+    df = df.where(ds_window(p.touch_bounds, analysis_date) & F.col("usr.uid").isNotNull())
+    # each JSON document is parsed once: json_tuple pulls several top-level keys in one pass
     df = df.select("*", F.json_tuple(F.col("platform.fragment"), "c_id", "deal_print_id").alias("__c_id", "__deal"))
-    df = df.where(promo_from_fields("__c_id", "__deal"))
+    df = df.where(is_promo("__c_id", "__deal", p.carousel))
     item_cols = [f"__item{i}" for i in range(len(p.item_keys))]
     df = df.select("*", F.json_tuple(F.col("event_data"), *p.item_keys).alias(*item_cols))
     item = F.coalesce(*[F.col(c) for c in item_cols])
@@ -52,7 +52,7 @@ def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=(
                 F.col("device.platform").alias("platform"),
                 F.col("usr.uid").alias("uid"),
                 item.alias("item_id"),
-                origin_from_component("__c_id").alias("originAttribut"),
+                origin_label("__c_id", p.carousel).alias("origin"),
                 server_time().alias("event_exact_date")]
     else:
         cols = [F.col("application.site_id").alias("sit_site_id")]
@@ -62,7 +62,7 @@ def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=(
                  item.alias("ite_item_id"),
                  F.col("device.platform").alias("platform"),
                  server_time().alias("event_exact_date"),
-                 landing_from_component("__c_id").alias("landing")]
+                 landing_code("__c_id", p.carousel).alias("landing")]
     return df.select(*cols, *_carry(carry)).distinct()
 
 
@@ -129,7 +129,7 @@ def exclude_test_buyers(events: DataFrame, test_buyers: DataFrame) -> DataFrame:
     keys compared as text.  The id list is small after its filter, so AQE
     turns this into a broadcast join at run time when its measured size
     allows, and keeps a shuffle join otherwise."""
-    ids = test_buyers.select(F.col("cus_cust_id").cast("string").alias("_test_id")).distinct()
+    ids = test_buyers.select(key_text(test_buyers, "cus_cust_id").alias("_test_id")).distinct()
     return events.join(ids, F.col("usr.user_id") == F.col("_test_id"), "left_anti")
 
 

@@ -33,9 +33,6 @@ with the reference predicate deciding, so nothing is dropped.
 Precondition (string mode): ``lo`` and ``hi`` are canonical
 ``yyyy-MM-dd HH:mm:ss`` text or null, which holds for every job here since
 ``lo`` is produced by strictly parsing ``hi``.
-
-``strategy="pairs"`` runs the plain equi join + residual (the reference's
-shape) and is kept as the brute-force check in the tests.
 """
 
 from __future__ import annotations
@@ -72,8 +69,7 @@ def _in_window(t: Column, lo: Column, hi: Column) -> Column:
 
 def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, groups=(),
                     compare: str = "string", how: str = "inner", weight=None,
-                    bucket_seconds: int = 3600, strategy: str = "buckets",
-                    preaggregate: bool = True, expand: str = "windows", condition=None) -> DataFrame:
+                    bucket_seconds: int = 3600, preaggregate: bool = True, expand: str = "windows") -> DataFrame:
     """Probe rows joined with the number of touches in their window.
 
     ``on``: list of (probe column, touch column) equality pairs (names or
@@ -100,11 +96,7 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     counts back to the probes: right when probes are wide and several share
     a window.  ``expand="probes"`` expands the probe rows themselves and
     skips the distinct and the join back: right when each probe is its own
-    window and the rows are narrow (the reports' order rows).
-
-    ``condition``: optional extra join predicate, a function of (probe
-    frame, touch frame) -> Column over their original column names; only
-    with ``strategy="pairs"`` (it is a residual on the equality keys)."""
+    window and the rows are narrow (the reports' order rows)."""
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     groups = list(groups)
@@ -123,26 +115,6 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     lo_val, lo_pos = _position(compare, "__lo_raw")
     hi_val, hi_pos = _position(compare, "__hi_raw")
 
-    if condition is not None and strategy != "pairs":
-        raise ValueError("condition needs strategy='pairs'")
-    if strategy == "pairs":
-        # touch columns an extra condition may refer to travel along
-        extra = [c for c in touches.columns if c not in groups] if condition is not None else []
-        t = touches.select(*t_keys, *groups, *extra, _col(at).alias("__raw"), wt.alias("__w"))
-        t = (t.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-             .select(*keys, *groups, *extra, F.expr(t_val).alias("__t"), "__w"))
-        p = p.select("*", F.expr(lo_val).alias("__lo"), F.expr(hi_val).alias("__hi"))
-        cond = reduce(lambda a, b: a & b, [p[k] == t[k] for k in keys])
-        cond = cond & _in_window(t["__t"], p["__lo"], p["__hi"])
-        if condition is not None:
-            cond = cond & condition(p, t)
-        j = p.join(t, cond, how)
-        out = j.select(*[p[c] for c in probes.columns], *[t[g] for g in groups],
-                       F.coalesce(t["__w"], F.lit(0)).cast("long").alias(N))
-        return out
-    if strategy != "buckets":
-        raise ValueError("strategy must be 'buckets' or 'pairs'")
-
     # touch side: exact-time rows and hour totals, pre-aggregated
     if compare == "timestamp":
         t = t.where(F.expr(f"{t_val} IS NOT NULL"))

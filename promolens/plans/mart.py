@@ -1,4 +1,4 @@
-"""Row families of the promotions mart (Q8-Q15).
+"""Row families of the attributed-sales mart (Q8-Q15).
 
 * ``attributed_sales``: value and units of promotion-flagged sales whose
   buyer viewed the item through a promotion surface in the 24 h before the
@@ -27,6 +27,7 @@ from promolens.operators.joins import (
 )
 from promolens.operators.window_join import N, count_in_window
 from promolens.plans.profiles import DAILY, HISTORY
+from promolens.sources.mart import stage, stage_touches
 
 MART_GRAIN = ["FechaHora", "hora", "sit_site_id", "category_L1", "category_L2", "category_L3",
               "category_name_L1", "category_name_L2", "category_name_L3"]
@@ -55,31 +56,11 @@ def _finish(df: DataFrame) -> DataFrame:
                      *[c for c in df.columns if c not in MART_COLUMNS])
 
 
-def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, profile=DAILY, by: str = "origin",
-                     touches: DataFrame | None = None, orders: DataFrame | None = None, carry=(),
-                     strategy: str = "buckets", identity_join: str = "tagged") -> DataFrame:
-    """Q8-Q11: the ``24 HOURS`` family.
-
-    ``profile``: ``DAILY`` (login id else device id, order platform) or
-    ``HISTORY`` (device id, touch platform; with ``pin_win_day`` the line
-    must also be won on T-1).  ``by``: ``"origin"`` (landing 0/1) or
-    ``"global"`` (99).  ``touches`` / ``orders`` may be passed pre-extracted
-    (staged) to share them between families.
-
-    ``identity_join``: ``"tagged"`` (default; J8b, an equi join on a tagged
-    identity) or ``"residual"`` (J8a, the reference's form: equi join on
-    site and item only, the login-else-device CASE as residual; plain pair
-    join, kept for comparison -- a popular item is then a hot key)."""
-    carry = list(carry)
-    if touches is None:
-        touches = extract_touches(tracks, analysis_date, profile, carry=carry)
-    if by == "global":
-        touches = collapse_origin(touches)
-    elif by != "origin":
-        raise ValueError("by must be 'origin' or 'global'")
-    if orders is None:
-        orders = extract_orders(tracks, analysis_date, profile, carry=carry)
-
+def _probe_windows(bids: DataFrame, orders: DataFrame, analysis_date, profile, carry) -> DataFrame:
+    """Promotion-flagged sale lines with the look-back windows of their orders
+    (J6), folded to one row per grain, platform and window: map-side partial
+    aggregation, so a hot order never reaches one task whole; sums stay linear
+    in the touch count applied later."""
     lines = promo_flagged(created_on(gmv_sales(bids), analysis_date))
     if profile.pin_win_day:
         lines = lines.where(F.col("tim_day_winning_date") == day_before(analysis_date))
@@ -88,35 +69,30 @@ def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, pro
     lines = line_item_key(lines).select(
         *_grain_columns(), "ord_order_id", "item_key",
         value().alias("__value"), F.col("bid_quantity_ok").alias("__qty"), *carry)
-
     probes = bids_orders(lines, collapse_copies(orders), carry=carry)
     user_col = "o_user_id" if profile.with_user_id else "o_uid"
-    if identity_join == "residual":
-        return _attributed_residual(probes, touches, profile, carry)
-    if identity_join != "tagged":
-        raise ValueError("identity_join must be 'tagged' or 'residual'")
     probes = probe_identity(probes, profile.identity, user_col, "o_uid")
+    platform_cols = ["o_platform"] if profile.platform_from == "order" else []
+    return probes.groupBy(*carry, *MART_GRAIN, "fecha", *platform_cols, *_WINDOW).agg(
+        F.sum(F.col("__value") * F.col("o___m")).alias("__value"),
+        F.sum(F.col("__qty") * F.col("o___m")).alias("__qty"))
+
+
+_WINDOW = ["o_sit_site_id", "id_kind", "id_value", "item_key", "o_order_exact_date_sub_24h", "o_order_exact_date"]
 
+
+def _credit(probes: DataFrame, touches: DataFrame, profile, carry) -> DataFrame:
+    """Value and units of the probe rows, once for each touch in their window."""
     t = touch_identity(touches, profile.identity)
     groups = ["t_landing"] + (["t_platform"] if profile.platform_from == "touch" else [])
     t = t.select(F.col("sit_site_id").alias("t_site"), "id_kind", "id_value", F.col("ite_item_id").alias("t_item"),
                  "event_exact_date", F.col("landing").alias("t_landing"), F.col("platform").alias("t_platform"),
                  *[F.col(c).alias("t_" + c) for c in carry])
-    # fold lines that share grain, platform and window (e.g. the lines of one
-    # order): map-side partial aggregation, so a hot order never reaches one
-    # task whole; sums stay linear in the touch count applied later
-    platform_cols = ["o_platform"] if profile.platform_from == "order" else []
-    window = ["o_sit_site_id", "id_kind", "id_value", "item_key", "o_order_exact_date_sub_24h", "o_order_exact_date"]
-    probes = probes.groupBy(*carry, *MART_GRAIN, "fecha", *platform_cols, *window).agg(
-        F.sum(F.col("__value") * F.col("o___m")).alias("__value"),
-        F.sum(F.col("__qty") * F.col("o___m")).alias("__qty"))
-
     on = [("o_sit_site_id", "t_site"), ("id_kind", "id_kind"), ("id_value", "id_value"), ("item_key", "t_item")]
     on += [(c, "t_" + c) for c in carry]
     matched = count_in_window(probes, t.drop(*[g for g in ("t_platform",) if g not in groups]), on=on,
                               lo="o_order_exact_date_sub_24h", hi="o_order_exact_date", at="event_exact_date",
-                              groups=groups, compare=profile.compare, strategy=strategy,
-                              preaggregate=False)
+                              groups=groups, compare=profile.compare, preaggregate=False)
     platform = F.col("t_platform") if profile.platform_from == "touch" else F.col("o_platform")
     out = (matched.groupBy(*carry, *MART_GRAIN, "fecha", platform.alias("platform"),
                            F.col("t_landing").alias("landing"))
@@ -125,34 +101,35 @@ def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, pro
     return _finish(out)
 
 
-def _attributed_residual(probes: DataFrame, touches: DataFrame, profile, carry) -> DataFrame:
-    """The identity condition as a residual of an equi join on (site,
-    item) -- the reference's shape, as a plain pair join."""
-    t = touches.select(F.col("sit_site_id").alias("t_site"), F.col("ite_item_id").alias("t_item"),
-                       F.col("uid").alias("t_uid"),
-                       (F.col("user_id") if "user_id" in touches.columns else F.lit(None).cast("string"))
-                       .alias("t_user_id"),
-                       "event_exact_date", F.col("landing").alias("t_landing"),
-                       F.col("platform").alias("t_platform"), *[F.col(c).alias("t_" + c) for c in carry])
-    if profile.identity == "user_then_uid":
-        def same_buyer(p, tt):
-            return F.when(tt["t_user_id"].isNotNull(), tt["t_user_id"] == p["o_user_id"]) \
-                .otherwise(tt["t_uid"] == p["o_uid"])
-    else:
-        def same_buyer(p, tt):
-            return tt["t_uid"] == p["o_uid"]
-    groups = ["t_landing"] + (["t_platform"] if profile.platform_from == "touch" else [])
-    on = [("o_sit_site_id", "t_site"), ("item_key", "t_item")] + [(c, "t_" + c) for c in carry]
-    matched = count_in_window(probes, t.drop(*[g for g in ("t_platform",) if g not in groups]), on=on,
-                              lo="o_order_exact_date_sub_24h", hi="o_order_exact_date", at="event_exact_date",
-                              groups=groups, compare=profile.compare, strategy="pairs", condition=same_buyer)
-    platform = F.col("t_platform") if profile.platform_from == "touch" else F.col("o_platform")
-    w = F.col("o___m") * F.col(N)
-    out = (matched.groupBy(*carry, *MART_GRAIN, "fecha", platform.alias("platform"),
-                           F.col("t_landing").alias("landing"))
-           .agg(F.sum(F.col("__value") * w).alias("gmve"), F.sum(F.col("__qty") * w).alias("SI"))
-           .withColumn("atr_type", F.lit(ATR_24H)))
-    return _finish(out)
+def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, profile=DAILY, by: str = "origin",
+                     touches: DataFrame | None = None, orders: DataFrame | None = None, carry=(),
+                     probes: DataFrame | None = None, stage_path: str | None = None) -> DataFrame:
+    """Q8-Q11: the ``24 HOURS`` family.
+
+    ``profile``: ``DAILY`` (login id else device id, order platform) or
+    ``HISTORY`` (device id, touch platform; with ``pin_win_day`` the line
+    must also be won on T-1).  ``by``: ``"origin"`` (landing 0/1) or
+    ``"global"`` (99).  ``touches``, ``orders`` and ``probes`` may be passed
+    ready-made to share them between families.
+
+    The range count reads the folded sale lines twice, for their windows and
+    for the join back.  ``stage_path``, a fresh folder on shared storage, keeps
+    them there in between, so that each input is scanned once and the join of
+    lines and orders runs once."""
+    carry = list(carry)
+    if by not in ("origin", "global"):
+        raise ValueError("by must be 'origin' or 'global'")
+    if touches is None:
+        touches = extract_touches(tracks, analysis_date, profile, carry=carry)
+    if by == "global":
+        touches = collapse_origin(touches)
+    if probes is None:
+        if orders is None:
+            orders = extract_orders(tracks, analysis_date, profile, carry=carry)
+        probes = _probe_windows(bids, orders, analysis_date, profile, carry)
+        if stage_path is not None:
+            probes = stage(probes, stage_path)
+    return _credit(probes, touches, profile, carry)
 
 
 def _sold_value_lines(bids: DataFrame, analysis_date=None) -> DataFrame:
@@ -198,22 +175,22 @@ def promo_and_site_sales(bids: DataFrame, analysis_date=None) -> DataFrame:
 
 
 def daily_mart(tracks: DataFrame, bids: DataFrame, analysis_date=None, profile=DAILY,
-               strategy: str = "buckets", stage_path: str | None = None) -> DataFrame:
+               stage_path: str | None = None) -> DataFrame:
     """Q14: the day's four families (by origin, merged, promotion-flagged,
     total) as one frame, for a single partitioned write.
 
-    Touches and orders are extracted once and shared by the two attributed
-    families.  With ``stage_path`` (a fresh folder on shared storage) the
-    touches are staged there first, as the reference job does (K1): the
-    two-day click-stream scan then runs once, and the families read a short
-    lineage that survives executor loss."""
+    With ``stage_path`` (a fresh folder on shared storage) the touches, as in
+    the reference job (K1), and the folded sale lines are staged there first:
+    the click-stream and the sale lines are then scanned once for both
+    attributed families, which read a short lineage that survives executor
+    loss.  ``sources.mart.remove_staged`` deletes the folder after the write."""
     touches = extract_touches(tracks, analysis_date, profile)
+    probes = _probe_windows(bids, extract_orders(tracks, analysis_date, profile), analysis_date, profile, [])
     if stage_path is not None:
-        from promolens.sources.mart import stage_touches
-        touches = stage_touches(touches, stage_path)
-    orders = extract_orders(tracks, analysis_date, profile)
-    by_origin = attributed_sales(tracks, bids, analysis_date, profile, "origin", touches, orders, strategy=strategy)
-    merged = attributed_sales(tracks, bids, analysis_date, profile, "global", touches, orders, strategy=strategy)
+        touches = stage_touches(touches, f"{stage_path}/touches")
+        probes = stage(probes, f"{stage_path}/lines")
+    by_origin = attributed_sales(tracks, bids, analysis_date, profile, "origin", touches, probes=probes)
+    merged = attributed_sales(tracks, bids, analysis_date, profile, "global", touches, probes=probes)
     return by_origin.unionByName(merged).unionByName(promo_and_site_sales(bids, analysis_date))
 
 
@@ -221,23 +198,36 @@ def _as_dates(dates):
     return sorted({_dt.date.fromisoformat(d) if isinstance(d, str) else d for d in dates})
 
 
-def tag_runs(tracks: DataFrame, dates, max_days_back: int = 2) -> DataFrame:
-    """Click-stream rows tagged with every run date whose windows may need
-    them (``run_date`` = day of ``ds`` + 0..max_days_back, restricted to
-    ``dates``).  The exact per-run ``ds`` predicates are applied later by the
-    extraction operators with ``T = run_date``.  A literal range on ``ds``
-    first keeps partition pruning."""
+def tag_runs(tracks: DataFrame, dates, profile=HISTORY) -> DataFrame:
+    """Click-stream rows tagged with every run date of ``dates`` whose ``ds``
+    windows may need them; the windows of ``profile`` give how far back and
+    ahead.  The exact per-run predicates are applied later by the extraction
+    operators with ``T = run_date``.  A literal range on ``ds`` first keeps
+    partition pruning.  ``ds`` text that is no hour is compared as text, as in
+    a single run."""
     dates = _as_dates(dates)
-    lo = (dates[0] - _dt.timedelta(days=max_days_back)).isoformat()
-    hi = dates[-1].isoformat() + " 00"
-    day = F.to_date(F.substring("ds", 1, 10))
-    tagged = (tracks.where((F.col("ds") >= lo) & (F.col("ds") <= hi))
-              .withColumn("run_date", F.explode(F.sequence(day, F.date_add(day, max_days_back)))))
+    most, least = profile.days()
+    if most is None or least is None:
+        raise ValueError(f"profile {profile.name!r} has a ds window without a bound, so runs cannot share one plan")
+    day = _dt.timedelta(days=1)
+    tracks = tracks.where((F.col("ds") >= (dates[0] - most * day).isoformat())
+                          & (F.col("ds") < (dates[-1] - (least - 1) * day).isoformat()))
+    at = F.expr("try_cast(substring(ds, 1, 10) AS DATE)")
+    hour = F.col("ds").rlike(r"^\d{4}-\d{2}-\d{2} \d{2}$") & at.isNotNull()
+    near = F.sequence(F.date_add(at, least), F.date_add(at, most))
+    as_text = F.filter(F.array(*[F.lit(d) for d in dates]), lambda d: (
+        (F.col("ds") >= F.date_sub(d, most).cast("string")) & (F.col("ds") < F.date_sub(d, least - 1).cast("string"))))
+    tagged = tracks.withColumn("run_date", F.explode(F.when(hour, near).otherwise(as_text)))
     return tagged.where(F.col("run_date").isin(*dates))
 
 
+def created_days(bids: DataFrame) -> list:
+    """The days on which orders of the sale lines were created (one small row each)."""
+    return sorted(r[0] for r in bids.select("ord_created_dt").where("ord_created_dt is not null").distinct().collect())
+
+
 def backfill(tracks: DataFrame, bids: DataFrame, dates, profile=None, by: str = "origin",
-             strategy: str = "buckets") -> DataFrame:
+             stage_path: str | None = None) -> DataFrame:
     """Q15: the history loaders for many run dates as one plan.
 
     Equivalent to running the loader once per date and appending: rows of
@@ -246,7 +236,16 @@ def backfill(tracks: DataFrame, bids: DataFrame, dates, profile=None, by: str =
     if profile is None:
         profile = HISTORY.but(pin_win_day=(by == "origin"))
     run = F.col("run_date")
-    tagged_tracks = tag_runs(tracks, dates)
-    tagged_bids = bids.withColumn("run_date", F.date_add("ord_created_dt", 1)).where(run.isin(*dates))
-    out = attributed_sales(tagged_tracks, tagged_bids, run, profile, by, carry=["run_date"], strategy=strategy)
+    tagged_tracks = tag_runs(tracks, dates, profile)
+    # literals on the source columns, so that they reach the scan
+    days = [d - _dt.timedelta(days=1) for d in dates]
+
+    def on_days(c):
+        return F.col(c).between(days[0], days[-1]) & F.col(c).isin(*days)
+
+    wanted = on_days("ord_created_dt")
+    if profile.pin_win_day:
+        wanted = wanted & on_days("tim_day_winning_date")
+    tagged_bids = bids.where(wanted).withColumn("run_date", F.date_add("ord_created_dt", 1))
+    out = attributed_sales(tagged_tracks, tagged_bids, run, profile, by, carry=["run_date"], stage_path=stage_path)
     return out.drop("run_date")

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from promolens.constants import PATH_ORDER_CREATED, PATH_PDP, PATH_VIP
+from promolens.constants import CAROUSEL_COMPONENT, PATH_ORDER_CREATED, PATH_PDP, PATH_VIP
 
 ITEM_ONLY = ("item_id",)
 ITEM_FALLBACK = ("item_id", "items", "item_ids")
@@ -30,10 +30,27 @@ class Profile:
     platform_from: str = "order"           # mart platform: "order" | "touch"
     pin_win_day: bool = False              # also require won on T-1 (else: won date not null)
     compare: str = "string"                # window predicate on text or timestamps
+    carousel: str = CAROUSEL_COMPONENT     # fragment c_id of a carousel view
+    touch_until: tuple | None = None       # an upper ds bound for runs of a past date
 
     def but(self, **kw) -> "Profile":
         return replace(self, **kw)
 
+    @property
+    def touch_bounds(self) -> tuple:
+        return self.touch_ds + ((self.touch_until,) if self.touch_until else ())
+
+    def days(self) -> tuple[int | None, int | None]:
+        """Most and least days before the run date that any of its ``ds`` windows
+        reaches (the widest window decides); None: not bounded."""
+        most, least = [], []
+        for bounds in (self.touch_bounds, self.order_ds):
+            low = [d for op, d, _ in bounds if op in (">=", ">")]
+            high = [d for op, d, _ in bounds if op in ("<=", "<")]
+            most.append(min(low) if low else None)
+            least.append(max(high) if high else None)
+        return (None if None in most else max(most), None if None in least else min(least))
+
 
 #: attributed GMV report: /vip, item_id only, effective touch window ds >= T-1 00
 GMV_REPORT = Profile(

@@ -17,24 +17,19 @@ SITE_HOUR = ["sit_site_id", "FechaHora"]
 _TOUCH_KEYS = ("site_id", "platform", "item_id", "uid")
 
 
-def _trimmed_keys():
-    # reports compare trimmed text keys: site, platform, item, device id
-    return [(F.trim(F.col(k)), F.trim(F.col(k))) for k in _TOUCH_KEYS]
-
-
 def _origin_touches(touches: DataFrame) -> DataFrame:
-    return touches.withColumnRenamed("originAttribut", "__origin").select(
+    return touches.withColumnRenamed("origin", "__origin").select(
         *[F.col(k).alias("t_" + k) for k in _TOUCH_KEYS], "__origin", "event_exact_date")
 
 
 def _counts(matched: DataFrame, grain) -> DataFrame:
     carousel = F.sum(F.when(F.col("__origin") == ORIGIN_CAROUSEL, F.col(N)).otherwise(0))
     landing = F.sum(F.when(F.col("__origin") == ORIGIN_LANDING, F.col(N)).otherwise(0))
-    return matched.groupBy(*grain).agg(carousel.alias("qCarrousel"), landing.alias("qLanding"))
+    return matched.groupBy(*grain).agg(carousel.alias("n_carousel"), landing.alias("n_landing"))
 
 
 def order_touch_counts(touches: DataFrame, orders: DataFrame, *, compare="timestamp", how="inner",
-                       grain=("site_id", "platform", "item_id", "order_id"), strategy="buckets") -> DataFrame:
+                       grain=("site_id", "platform", "item_id", "order_id")) -> DataFrame:
     """Q4 (A4 over J1/J2): per order, the number of carousel and landing
     touches by the same device, of the same item on the same site and
     platform, in the 24 h before the order."""
@@ -42,12 +37,12 @@ def order_touch_counts(touches: DataFrame, orders: DataFrame, *, compare="timest
     on = [(F.trim(F.col(k)), F.trim(F.col("t_" + k))) for k in _TOUCH_KEYS]
     matched = count_in_window(orders, t, on=on, lo="order_exact_date_sub_24h", hi="order_exact_date",
                               at="event_exact_date", groups=["__origin"], compare=compare, how=how,
-                              strategy=strategy, preaggregate=False, expand="probes")
+                              preaggregate=False, expand="probes")
     return _counts(matched, list(grain))
 
 
 def gmv_report(tracks: DataFrame, bids: DataFrame, analysis_date=None, grain=SALES_GRAIN,
-               profile=GMV_REPORT, strategy="buckets", carry=(), order_key: str = "number") -> DataFrame:
+               profile=GMV_REPORT, order_key: str = "number") -> DataFrame:
     """Q5/Q6: attributed sales value by hour x site x category (or any
     coarser ``grain``, e.g. ``SITE_HOUR``).
 
@@ -67,30 +62,34 @@ def gmv_report(tracks: DataFrame, bids: DataFrame, analysis_date=None, grain=SAL
     ``order_key="text"`` joins lines and counts on the order id as trimmed
     text instead of as a number (the reference's variant for keys stored
     with different types)."""
-    touches = extract_touches(tracks, analysis_date, profile, carry=carry)
-    orders = extract_orders(tracks, analysis_date, profile, carry=carry)
-    vxo = order_touch_counts(touches, orders, compare=profile.compare,
-                             grain=("site_id", "platform", "item_id", "order_id", *carry), strategy=strategy)
-    if order_key == "text":
-        vxo = vxo.withColumn("order_id", F.trim(F.col("order_id").cast("string")))
-    elif order_key != "number":
+    if order_key not in ("number", "text"):
         raise ValueError("order_key must be 'number' or 'text'")
-    per_order = vxo.groupBy("order_id", *carry).agg(
+
+    def keyed(df):
+        return df.withColumn("order_id", F.trim(F.col("order_id").cast("string"))) if order_key == "text" else df
+
+    touches = extract_touches(tracks, analysis_date, profile)
+    lines = keyed(sales_lines(bids, analysis_date))
+    # only orders of these lines can reach the report: drop the others before their windows are counted
+    orders = keyed(extract_orders(tracks, analysis_date, profile))
+    orders = orders.join(lines.select("order_id").distinct(), "order_id", "left_semi")
+    counts = order_touch_counts(touches, orders, compare=profile.compare)
+    per_order = counts.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("__rows"),
-        F.count(F.when(F.col("qLanding") > 0, 1)).alias("__lan"),
-        F.count(F.when(F.col("qCarrousel") > 0, 1)).alias("__car"),
-        F.count(F.when(F.col("qLanding") + F.col("qCarrousel") > 0, 1)).alias("__ta"),
+        F.count(F.when(F.col("n_landing") > 0, 1)).alias("__lan"),
+        F.count(F.when(F.col("n_carousel") > 0, 1)).alias("__car"),
+        F.count(F.when(F.col("n_landing") + F.col("n_carousel") > 0, 1)).alias("__ta"),
     )
-    lines = sales_lines(bids, analysis_date, carry=carry)
-    if order_key == "text":
-        lines = lines.withColumn("order_id", F.trim(F.col("order_id").cast("string")))
-    j = lines.join(per_order, ["order_id", *carry], "left")
+    j = lines.join(per_order, "order_id", "left")
     rows = F.coalesce(F.col("__rows"), F.lit(1))
 
     def weighted(measure, w):
-        return F.sum(F.col(measure) * F.coalesce(F.col(w), F.lit(0)) if w else F.col(measure) * rows)
+        if w is None:
+            return F.sum(F.col(measure) * rows)
+        # a line without touches adds 0, also when its value is unknown
+        return F.sum(F.when(F.col(w) > 0, F.col(measure) * F.col(w)).otherwise(F.lit(0)))
 
-    out = j.groupBy(*carry, *grain).agg(
+    out = j.groupBy(*grain).agg(
         weighted("GMVE_AG", None).alias("GMVE_AG"), weighted("SI_AG", None).alias("SI_AG"),
         weighted("GMVE_TS", None).alias("GMVE_TS"), weighted("SI_TS", None).alias("SI_TS"),
         weighted("GMVE_TS", "__lan").alias("GMVE_LAN"), weighted("SI_TS", "__lan").alias("SI_LAN"),
@@ -100,8 +99,7 @@ def gmv_report(tracks: DataFrame, bids: DataFrame, analysis_date=None, grain=SAL
     return out
 
 
-def volume_report(tracks: DataFrame, customers: DataFrame, analysis_date=None, profile=VOLUME_REPORT,
-                  strategy="buckets") -> DataFrame:
+def volume_report(tracks: DataFrame, customers: DataFrame, analysis_date=None, profile=VOLUME_REPORT) -> DataFrame:
     """Q7: attributed order value and units by site x platform x status.
 
     Orders are the order-created events of T-1 (test accounts removed); the
@@ -113,7 +111,7 @@ def volume_report(tracks: DataFrame, customers: DataFrame, analysis_date=None, p
     orders = extract_orders(tracks, analysis_date, profile, test_buyers=test_customers(customers))
     inner_grain = ["site_id", "platform", "item_id", "order_id", "uid", "status", "item_quantity", "gmv"]
     per_order = order_touch_counts(touches, orders, compare=profile.compare, how="left",
-                                   grain=inner_grain, strategy=strategy)
+                                   grain=inner_grain)
 
     def num(c):
         # read as DOUBLE like the reference, then sum exactly (decimal) so the
@@ -123,9 +121,9 @@ def volume_report(tracks: DataFrame, customers: DataFrame, analysis_date=None, p
     def attributed(cond, c):
         return F.sum(F.when(cond, num(c)).otherwise(F.lit(0))).cast("double")
 
-    car = F.col("qCarrousel") > 0
-    lan = F.col("qLanding") > 0
-    anyt = (F.col("qCarrousel") + F.col("qLanding")) > 0
+    car = F.col("n_carousel") > 0
+    lan = F.col("n_landing") > 0
+    anyt = (F.col("n_carousel") + F.col("n_landing")) > 0
     return per_order.groupBy("site_id", "platform", "status").agg(
         attributed(car, "gmv").alias("GMV_CAR"), attributed(car, "item_quantity").alias("SI_CAR"),
         attributed(lan, "gmv").alias("GMV_LAN"), attributed(lan, "item_quantity").alias("SI_LAN"),

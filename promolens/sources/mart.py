@@ -1,4 +1,4 @@
-"""Sinks: staged touches and the date-partitioned promotions mart (K1-K5)."""
+"""Sinks: staged touches and the date-partitioned mart (K1-K5)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolens.sources.schemas import MART_SCHEMA, TOUCH_SCHEMA
+from promolens.sources.tables import read_touches
 
 
 def to_mart(df: DataFrame) -> DataFrame:
@@ -22,10 +23,27 @@ def to_mart(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def append_mart(df: DataFrame, path: str) -> None:
+def _is_path(target: str) -> bool:
+    return "/" in target or ":" in target
+
+
+def _by_day(df: DataFrame) -> DataFrame:
+    """Rows of a day together, in pieces that adaptive execution sizes: few
+    files for each day, and a large day is still split."""
+    return to_mart(df).hint("rebalance", F.col("fecha"))
+
+
+def append_mart(df: DataFrame, target: str) -> None:
     """K4/K5: dynamic-partition append by ``fecha`` (the reference's mode: a
-    rerun appends again)."""
-    to_mart(df).write.mode("append").partitionBy("fecha").parquet(path)
+    rerun appends again).  ``target`` is a path or a catalog table, which is
+    created as a partitioned Parquet table when it does not exist."""
+    rows = _by_day(df)
+    if _is_path(target):
+        rows.write.mode("append").partitionBy("fecha").parquet(target)
+    elif df.sparkSession.catalog.tableExists(target):
+        rows.write.insertInto(target)
+    else:
+        rows.write.format("parquet").partitionBy("fecha").saveAsTable(target)
 
 
 def write_mart_run(df: DataFrame, path: str, run_date) -> str:
@@ -36,13 +54,15 @@ def write_mart_run(df: DataFrame, path: str, run_date) -> str:
     if isinstance(run_date, str):
         run_date = _dt.date.fromisoformat(run_date)
     target = f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
-    to_mart(df).write.mode("overwrite").partitionBy("fecha").parquet(target)
+    _by_day(df).write.mode("overwrite").partitionBy("fecha").parquet(target)
     return target
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    """Read the mart back with its schema (``fecha`` as text); a ``run_date``
-    folder level, if present, is dropped."""
+    """Read the mart (a path or a table) back with its schema (``fecha`` as
+    text); a ``run_date`` folder level, if present, is dropped."""
+    if not _is_path(path):
+        return spark.table(path).select(*[F.col(f.name).cast(f.dataType) for f in MART_SCHEMA.fields])
     df = (spark.read.option("basePath", path)
           .option("recursiveFileLookup", "false").parquet(path))
     df = df.withColumn("fecha", F.col("fecha").cast("string"))
@@ -53,5 +73,17 @@ def stage_touches(df: DataFrame, path: str) -> DataFrame:
     """K1: materialise the extracted touches as Parquet in a shared folder
     and return the re-read frame (cuts lineage; survives executor loss)."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TOUCH_SCHEMA.fields if f.name in df.columns]
-    df.select(*cols).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return read_touches(df.sparkSession, stage(df.select(*cols), path))
+
+
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet in a fresh shared folder and read again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_staged(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder, on any file system Spark reaches, when what was
+    built on it has been written."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

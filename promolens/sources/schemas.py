@@ -40,6 +40,9 @@ BIDS_SCHEMA = T.StructType([
     T.StructField("mkt_marketplace_id", _S),
 ])
 
+#: Types that text is read as where the usual type could cut a value.
+TEXT_AS = {"bid_base_current_price": T.DecimalType(20, 6), "bid_quantity_ok": T.DecimalType(18, 3)}
+
 CUSTOMERS_SCHEMA = T.StructType([
     T.StructField("cus_cust_id", T.LongType()),
     T.StructField("is_test", _S),

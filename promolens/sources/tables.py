@@ -3,9 +3,8 @@
 ``src`` may be a DataFrame, a table name, or a Parquet path.  The click-stream
 is expected as Parquet partitioned by the text column ``ds``; filters on
 ``ds`` then prune partitions, and nested-field projections reach the scan's
-``ReadSchema``.  Top-level scalar columns are cast to the declared type only
-where the source type differs (struct columns are left alone so that extra
-nested fields in real data do not break the read)."""
+``ReadSchema``.  Struct columns are left alone so that extra nested fields in
+real data do not break the read; see ``conform`` for the others."""
 
 from __future__ import annotations
 
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promolens.sources.schemas import BIDS_SCHEMA, CUSTOMERS_SCHEMA, TOUCH_SCHEMA
+from promolens.sources.schemas import BIDS_SCHEMA, CUSTOMERS_SCHEMA, TEXT_AS, TOUCH_SCHEMA
 
 
 def _load(spark: SparkSession, src) -> DataFrame:
@@ -24,17 +23,25 @@ def _load(spark: SparkSession, src) -> DataFrame:
     return spark.table(src)
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast top-level scalar columns to ``schema``; keep other columns."""
+def conform(df: DataFrame, schema: T.StructType, optional: tuple = ()) -> DataFrame:
+    """Columns of ``schema`` by name (in any case), other columns kept.
+
+    Text is read as the declared type and must be readable: a value that is
+    not stops the job under ANSI instead of becoming null.  Columns that are
+    numbers already keep their type, so no price or quantity is rounded; dates
+    and times become the declared type."""
     have = {f.name.lower(): f for f in df.schema.fields}
     out = []
     for f in schema.fields:
         src = have.get(f.name.lower())
         if src is None:
+            if f.name in optional:
+                continue
             raise ValueError(f"missing column {f.name}")
         c = F.col(src.name)
-        if not isinstance(f.dataType, T.StructType) and src.dataType != f.dataType:
-            c = c.try_cast(f.dataType)
+        both_numbers = isinstance(src.dataType, T.NumericType) and isinstance(f.dataType, T.NumericType)
+        if not isinstance(f.dataType, T.StructType) and src.dataType != f.dataType and not both_numbers:
+            c = c.cast(TEXT_AS.get(f.name, f.dataType))
         out.append(c.alias(f.name))
     known = {f.name.lower() for f in schema.fields}
     rest = [F.col(f.name) for f in df.schema.fields if f.name.lower() not in known]
@@ -58,7 +65,7 @@ def read_customers(spark: SparkSession, src) -> DataFrame:
 
 def read_touches(spark: SparkSession, src) -> DataFrame:
     """Promotion touches staged by ``stage_touches``."""
-    return conform(_load(spark, src), TOUCH_SCHEMA)
+    return conform(_load(spark, src), TOUCH_SCHEMA, optional=("user_id",))
 
 
 def test_customers(customers: DataFrame) -> DataFrame:
