@@ -26,9 +26,6 @@ def main():
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           extra={"spark.driver.memory": "8g"})
     from promolens import catalog
-    from promolens.plans.mart import attributed_sales
-    from promolens.plans.profiles import DAILY
-    from promolens.sources import fixtures
 
     qs = catalog.queries()
 
@@ -45,23 +42,9 @@ def main():
             dt = time.perf_counter() - t0
             best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
-    # the daily by-origin family with other join forms, for comparison:
-    # plain pair join on the tagged identity (J8b), and the reference's
-    # CASE-in-ON residual on (site, item)
-    extra = {}
-    for label, kw in (("daily_origin_pairs_join", {"strategy": "pairs"}),
-                      ("daily_origin_case_residual_join", {"identity_join": "residual"})):
-        best = None
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            i = fixtures.stored_inputs(spark, sf_dir)
-            run(attributed_sales(i["tracks"], i["bids"], catalog.ANALYSIS_DATE, DAILY, "origin", **kw))
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        extra[label] = round(best, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_jobs_wall_time", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "extra": extra, "sf": float(m.group(1)) if m else sf_dir,
+                      "queries": times, "sf": float(m.group(1)) if m else sf_dir,
                       "cpus": cpus, "repeat": repeat}))
 
 

@@ -3,8 +3,8 @@ inputs derived from the benchmark tables (``sources.fixtures``), stored once
 per session as Parquet tables (the click-stream partitioned by ``ds``).
 
 Run date for single-day queries: 2024-01-03 (reports cover 2024-01-02, the
-busiest day of the sf0.01 data); backfills cover run dates 2024-01-02 ..
-2024-01-31.  Output columns are normalised for comparison: integral numbers
+busiest day of the sf0.01 data); backfills cover the day after each day on
+which orders of the sale lines were created.  Output columns are normalised for comparison: integral numbers
 as BIGINT, other numbers as DOUBLE."""
 
 from __future__ import annotations
@@ -19,17 +19,16 @@ from promolens.operators.extract import (
     collapse_origin, exclude_test_buyers, extract_orders, extract_touches, sales_lines,
 )
 from promolens.plans.mart import (
-    attributed_sales, backfill, daily_mart, promo_sales, site_sales,
+    attributed_sales, backfill, created_days, daily_mart, promo_sales, site_sales,
 )
 from promolens.plans.profiles import DAILY, GMV_REPORT, HISTORY, VOLUME_REPORT
 from promolens.plans.reports import SITE_HOUR, gmv_report, order_touch_counts, volume_report
 from promolens.session import checkpoint_dir
 from promolens.sources import fixtures
-from promolens.sources.mart import append_mart, read_mart
+from promolens.sources.mart import append_mart, read_mart, remove_staged, stage_touches, write_mart_run
 from promolens.sources.tables import test_customers as _test_customers
 
 ANALYSIS_DATE = _dt.date(2024, 1, 3)
-BACKFILL_DATES = [ANALYSIS_DATE - _dt.timedelta(days=1) + _dt.timedelta(days=i) for i in range(30)]
 
 HISTORY_ORIGIN = HISTORY.but(pin_win_day=True)
 
@@ -121,22 +120,22 @@ def q_volume_report(spark, sf_dir):
 
 def q_history_origin(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, HISTORY_ORIGIN, "origin")
+    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, HISTORY_ORIGIN, "origin", stage_path=_scratch(spark, "lines"))
 
 
 def q_history_global(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, HISTORY, "global")
+    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, HISTORY, "global", stage_path=_scratch(spark, "lines"))
 
 
 def q_daily_origin(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, DAILY, "origin")
+    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, DAILY, "origin", stage_path=_scratch(spark, "lines"))
 
 
 def q_daily_global(spark, sf_dir):
     i = _in(spark, sf_dir)
-    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, DAILY, "global")
+    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, DAILY, "global", stage_path=_scratch(spark, "lines"))
 
 
 def q_promo_sales(spark, sf_dir):
@@ -156,26 +155,48 @@ def _scratch(spark, prefix):
 def q_daily_mart(spark, sf_dir):
     """The daily job: touches staged once in the checkpoint folder, four families."""
     i = _in(spark, sf_dir)
-    return daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=_scratch(spark, "touches"))
+    return daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=_scratch(spark, "staged"))
 
 
 def q_mart_round_trip(spark, sf_dir):
     """Write the daily mart (append, partitioned by ``fecha``) under the
     session's checkpoint folder and read it back with the mart schema."""
     i = _in(spark, sf_dir)
-    path = _scratch(spark, "mart")
-    append_mart(daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=_scratch(spark, "touches")), path)
+    path, staged = _scratch(spark, "mart"), _scratch(spark, "staged")
+    append_mart(daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=staged), path)
+    remove_staged(spark, staged)
     return read_mart(spark, path)
 
 
-def q_backfill_origin(spark, sf_dir):
+def q_mart_run(spark, sf_dir):
+    """The daily mart written twice as the same run, into a folder that the
+    second write replaces, and read back."""
     i = _in(spark, sf_dir)
-    return backfill(i["tracks"], i["bids"], BACKFILL_DATES, by="origin")
+    path, staged = _scratch(spark, "runs"), _scratch(spark, "staged")
+    mart = daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=staged)
+    for _ in range(2):
+        write_mart_run(mart, path, ANALYSIS_DATE)
+    remove_staged(spark, staged)
+    return read_mart(spark, path)
 
 
-def q_backfill_global(spark, sf_dir):
+def q_touches_reread(spark, sf_dir):
+    """Touches staged as Parquet and read again."""
+    return stage_touches(extract_touches(_in(spark, sf_dir)["tracks"], ANALYSIS_DATE, DAILY), _scratch(spark, "staged"))
+
+
+def _backfill(spark, sf_dir, by):
     i = _in(spark, sf_dir)
-    return backfill(i["tracks"], i["bids"], BACKFILL_DATES, by="global")
+    dates = [d + _dt.timedelta(days=1) for d in created_days(i["bids"])]
+    return backfill(i["tracks"], i["bids"], dates, by=by, stage_path=_scratch(spark, "lines"))
+
+
+def q_backfill_origin(spark, sf_dir):
+    return _backfill(spark, sf_dir, "origin")
+
+
+def q_backfill_global(spark, sf_dir):
+    return _backfill(spark, sf_dir, "global")
 
 
 _QUERIES = {
@@ -201,6 +222,8 @@ _QUERIES = {
     "site_sales": q_site_sales,
     "daily_mart": q_daily_mart,
     "mart_round_trip": q_mart_round_trip,
+    "mart_run": q_mart_run,
+    "touches_reread": q_touches_reread,
     "backfill_origin": q_backfill_origin,
     "backfill_global": q_backfill_global,
 }

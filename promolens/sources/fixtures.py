@@ -11,25 +11,33 @@ Mapping summary (``k`` = ``props.k``, 0..99):
 * site = ``'S' || user_id % 3``; platform = ``web`` for even event ids, else
   ``mobile``; server time = ``ts`` to the second + ``.000-04:00``;
   ``ds`` = ``yyyy-MM-dd HH`` of ``ts``.
-* clicks and views become promotion-surface candidates; purchases become
-  order-created events carrying the order and its first line.
-* every sale line of a purchased order becomes a sale line (``bids``).
+* clicks and views become promotion-surface candidates; signups and errors are
+  the same rows under paths of their own; purchases become order-created events
+  carrying the order and its first line.  Some item ids are padded, some are
+  JSON arrays, some order events occur twice.
+* every line of ``lineitem`` becomes a sale line (``bids``): at the time of its
+  order's purchase event, or, where the order has none, at a time derived from
+  the order key.  Some prices are unknown.
 """
 
 from __future__ import annotations
 
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolens.constants import CAROUSEL_COMPONENT, PATH_ORDER_CREATED, PATH_PDP, PATH_VIP
+from promolens.session import checkpoint_dir
+from promolens.sources.tables import read_bids, read_customers, read_tracks
 
 # --- fixed values of the mapping (shared with the DuckDB oracle) --------------
 ISO_SUFFIX = ".000-04:00"
 CATEGORY_NAME_PREFIX = "name "
 TEST_SEGMENT = "MACHINERY"
 LOW_PRIORITY = "5-LOW"
+FIRST_DAY = "2024-01-01"
 # ------------------------------------------------------------------------------
 
 TABLES = ("events", "orders", "lineitem", "part", "customer")
@@ -90,8 +98,8 @@ def tracks(t: dict[str, DataFrame]) -> DataFrame:
     ev = _common(t["events"])
     k = F.get_json_object("props", "$.k").try_cast("int")
 
-    views = ev.where(F.col("event_type").isin("click", "view"))
-    item = F.concat(F.col("_site"), (k % 3).cast("string"))
+    views = ev.where(F.col("event_type") != "purchase")
+    item = F.concat(F.when(F.col("event_id") % 31 == 0, " ").otherwise(""), F.col("_site"), (k % 3).cast("string"))
     key = (F.when(F.col("event_id") % 11 == 0, "items")
            .when(F.col("event_id") % 13 == 0, "item_ids").otherwise("item_id"))
     fragment = (F.when(k < 5, F.lit("{}"))
@@ -104,9 +112,11 @@ def tracks(t: dict[str, DataFrame]) -> DataFrame:
                  F.when(F.col("event_id") % 4 != 0, F.col("user_id").cast("string")).alias("user_id")
                  ).alias("usr"),
         F.struct(fragment.alias("fragment")).alias("platform"),
-        F.concat(F.lit('{"'), key, F.lit('":"'), item, F.lit('"}')).alias("event_data"),
+        F.concat(F.lit('{"'), key, F.when(F.col("event_id") % 77 == 0, '":["').otherwise('":"'), item,
+                 F.when(F.col("event_id") % 77 == 0, '"]}').otherwise('"}')).alias("event_data"),
         "server_timestamp",
-        F.when(F.col("event_id") % 5 == 0, PATH_PDP).otherwise(PATH_VIP).alias("path"),
+        F.when(F.col("event_type").isin("signup", "error"), F.concat(F.lit("/"), "event_type"))
+        .when(F.col("event_id") % 5 == 0, PATH_PDP).otherwise(PATH_VIP).alias("path"),
         "ds",
     )
 
@@ -118,6 +128,8 @@ def tracks(t: dict[str, DataFrame]) -> DataFrame:
                      ("status", _quoted(F.col("o_orderstatus"))),
                      ("total_amount_usd", F.col("o_totalprice").cast("decimal(18,2)").cast("string")),
                      ("items", items))
+    buys = buys.withColumn("_copy", F.explode(F.when(F.col("event_id") % 23 == 0, F.array(F.lit(1), F.lit(2)))
+                                              .otherwise(F.array(F.lit(1)))))
     buys = buys.select(
         F.struct(F.col("_site").alias("site_id")).alias("application"),
         F.struct(F.col("_platform").alias("platform")).alias("device"),
@@ -133,11 +145,17 @@ def tracks(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def bids(t: dict[str, DataFrame]) -> DataFrame:
-    """Sale lines: purchase event x order x line x part."""
-    ev = _common(t["events"]).where(F.col("event_type") == "purchase")
-    lines = (ev.join(t["orders"], ev.event_id == F.col("o_orderkey"))
-             .join(t["lineitem"], F.col("o_orderkey") == F.col("l_orderkey"))
-             .join(t["part"], F.col("l_partkey") == F.col("p_partkey")))
+    """Sale lines: every line with its order, part and purchase event, if any."""
+    ev = _common(t["events"]).where(F.col("event_type") == "purchase").select("event_id", "_site", "_day", "_hhmmss")
+    key = F.col("o_orderkey")
+    second = (key * 37) % 86400
+    lines = (t["orders"].join(t["lineitem"], key == F.col("l_orderkey"))
+             .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+             .join(ev, key == ev.event_id, "left")
+             .withColumn("_site", F.coalesce("_site", F.concat(F.lit("S"), (key % 3).cast("string"))))
+             .withColumn("_day", F.coalesce("_day", F.date_add(F.lit(FIRST_DAY).cast("date"), (key % 30).cast("int"))))
+             .withColumn("_hhmmss", F.coalesce(F.col("_hhmmss").cast("long"), F.floor(second / 3600) * 10000
+                                               + F.floor(second % 3600 / 60) * 100 + second % 60)))
 
     def cat(c):
         return c.cast("string")
@@ -160,7 +178,7 @@ def bids(t: dict[str, DataFrame]) -> DataFrame:
         (F.col("l_partkey") % 3).cast("long").alias("ite_item_id"),
         F.when(F.col("l_discount") >= 0.05, 1).otherwise(0).alias("ite_today_promotion_flag"),
         F.when(F.col("l_returnflag") != "R", 1).otherwise(0).alias("ite_gmv_flag"),
-        F.col("p_retailprice").cast("decimal(18,2)").alias("bid_base_current_price"),
+        F.when(F.col("l_partkey") % 97 != 0, F.col("p_retailprice").cast("decimal(18,2)")).alias("bid_base_current_price"),
         F.col("l_quantity").cast("int").alias("bid_quantity_ok"),
         F.when(F.col("o_orderpriority") == LOW_PRIORITY, "XX").otherwise("TM").alias("mkt_marketplace_id"),
     )
@@ -182,46 +200,31 @@ _WRITTEN: dict = {}
 _LOCK = threading.Lock()
 
 
-def _fingerprint(sf_dir: str) -> str:
-    import hashlib
-    import os
-    h = hashlib.sha1(os.path.realpath(sf_dir).encode())
-    for t in TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
-    return h.hexdigest()[:16]
-
-
 def stored_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The derived inputs written once as Parquet tables and read back.
-
-    Like the warehouse tables they stand for.  The click-stream is range
-    clustered by ``ds`` (each file holds a contiguous ``ds`` range, so the
-    Parquet min/max statistics let a pushed ``ds`` filter skip row groups and
-    files; at benchmark scale an hour holds a few dozen rows, too few for one
-    folder per hour), and nested projections reach the scan.
-    They live in the session's checkpoint folder (``spark.checkpoint.dir``,
-    shared storage on a cluster) under a fingerprint of the source files, so
-    they are derived once per session and survive executor loss."""
-    key = (spark.sparkContext.applicationId, _fingerprint(sf_dir))
+    """The derived inputs written once per application as Parquet tables and
+    read back through the readers, like the warehouse tables they stand for.
+
+    The click-stream is range clustered by ``ds`` and, within it, by time and
+    content, so that an hour that holds very many rows is split over several
+    files; each file holds a contiguous range, so a pushed ``ds`` filter skips
+    row groups and files.  The tables live in the session's checkpoint folder
+    (``spark.checkpoint.dir``, shared storage on a cluster) in a folder of this
+    application's own; a changed source is seen by a new application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
-        return dict(_stored(spark, sf_dir, key))
-
-
-def _stored(spark: SparkSession, sf_dir: str, key) -> dict[str, DataFrame]:
-    from promolens.session import checkpoint_dir
-
-    frames = _WRITTEN.get(key)
-    if frames is None:
-        base = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{key[1]}"
-        derived = inputs(spark, sf_dir)
-        paths = {name: f"{base}/{name}" for name in derived}
-        (derived["tracks"].repartitionByRange("ds").sortWithinPartitions("ds")
-         .write.mode("overwrite").parquet(paths["tracks"]))
-        derived["bids"].write.mode("overwrite").parquet(paths["bids"])
-        derived["customers"].write.mode("overwrite").parquet(paths["customers"])
-        frames = {name: spark.read.parquet(p) for name, p in paths.items()}
-        _WRITTEN[key] = frames
-    return frames
+        if key not in _WRITTEN:
+            _WRITTEN[key] = _store(spark, sf_dir)
+        paths = _WRITTEN[key]
+    return {"tracks": read_tracks(spark, paths["tracks"]), "bids": read_bids(spark, paths["bids"]),
+            "customers": read_customers(spark, paths["customers"])}
+
+
+def _store(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    base = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    derived = inputs(spark, sf_dir)
+    paths = {name: f"{base}/{name}" for name in derived}
+    order = ["ds", "server_timestamp", F.xxhash64("event_data", "usr.uid")]
+    derived["tracks"].repartitionByRange(*order).sortWithinPartitions("ds").write.parquet(paths["tracks"])
+    derived["bids"].write.parquet(paths["bids"])
+    derived["customers"].write.parquet(paths["customers"])
+    return paths
