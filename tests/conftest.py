@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from promolens.sources.schemas import BIDS_SCHEMA, CUSTOMERS_SCHEMA, TRACKS_SCHEMA  # noqa: E402
 
-CAROUSEL = '{"c_id":"/home/promotions/element"}'
+CAROUSEL = '{"c_id":"/home/carousel/card"}'
 DEAL = '{"deal_print_id":"7"}'
 
 

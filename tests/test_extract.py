@@ -31,7 +31,7 @@ def test_touch_filters_and_window(spark):
     gmv = extract_touches(tr, T, GMV_REPORT)
     # the GMV report looks up item_id only; its window starts at T-1 00 and has
     # no upper bound, so the view on day T is kept
-    assert rows(gmv, "item_id", "originAttribut") == srt([("S01", "Landing"), ("S02", "Carrousel"),
+    assert rows(gmv, "item_id", "origin") == srt([("S01", "Landing"), ("S02", "Carrousel"),
                                                           (None, "Landing"), (None, "Landing")])
 
 

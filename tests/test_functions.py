@@ -4,10 +4,10 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from promolens.functions import (
-    ds_bound, first_present, hour_label, hour_of, is_promo_touch, json_field, landing_code, minus_lookback,
-    origin_label, server_time, wall_seconds,
+    ds_bound, hour_label, hour_of, is_promo, json_field, landing_code, minus_lookback,
+    origin_label, server_time, wall_seconds_sql,
 )
-from promolens.functions.keys import item_key
+from promolens.functions.keys import item_key, key_text
 
 
 def one(spark, expr, value, schema="v string"):
@@ -19,20 +19,20 @@ def test_server_time_drops_fraction_and_offset(spark):
 
 
 def test_minus_lookback_is_86400_seconds(spark):
-    assert one(spark, minus_lookback(F.col("v")), "2024-01-02 10:00:00") == "2024-01-01 10:00:00"
-    assert one(spark, minus_lookback(F.col("v")), "2024-03-01 00:00:05") == "2024-02-29 00:00:05"
+    assert one(spark, minus_lookback("v"), "2024-01-02 10:00:00") == "2024-01-01 10:00:00"
+    assert one(spark, minus_lookback("v"), "2024-03-01 00:00:05") == "2024-02-29 00:00:05"
 
 
 def test_minus_lookback_bad_text_is_null_not_error(spark):
     for bad in ["garbage", "2024-01-02 25:00:00", "2024-1-2 10:00:00", None]:
-        assert one(spark, minus_lookback(F.col("v")), bad) is None
+        assert one(spark, minus_lookback("v"), bad) is None
 
 
 def test_minus_lookback_across_dst_uses_seconds(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/Santiago")
     try:
         # clocks go forward on 2024-09-08; 24 real hours before 12:00 is 11:00 the day before
-        assert one(spark, minus_lookback(F.col("v")), "2024-09-08 12:00:00") == "2024-09-07 11:00:00"
+        assert one(spark, minus_lookback("v"), "2024-09-08 12:00:00") == "2024-09-07 11:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -51,9 +51,10 @@ def test_hour_label(spark):
 
 
 def test_wall_seconds_only_for_canonical_text(spark):
-    assert one(spark, wall_seconds(F.col("v")), "1970-01-02 00:00:01") == 86401
-    for bad in ["2024-01-02 10:00:0", "2024-01-02T10:00:00", "2024-01-02 10:61:00", "x", None]:
-        assert one(spark, wall_seconds(F.col("v")), bad) is None
+    assert one(spark, F.expr(wall_seconds_sql("v")), "1970-01-02 00:00:01") == 86401
+    assert one(spark, F.expr(wall_seconds_sql("v")), "2024-02-29 23:59:59") == 1709251199
+    for bad in ["2024-02-30 10:00:00", "2024-01-02 24:00:00", "2024-01-02 10:00:60", "2024-01-02 10:00:0", "2024-01-02T10:00:00", "2024-01-02 10:61:00", "x", None]:
+        assert one(spark, F.expr(wall_seconds_sql("v")), bad) is None
 
 
 def test_json_lookups(spark):
@@ -61,24 +62,19 @@ def test_json_lookups(spark):
     assert one(spark, json_field("v", "$.items[0].item.id"), '{"items":[{"item":{"id":"A"}}]}') == "A"
     assert one(spark, json_field("v", "item_id"), '{"item_id":null}') is None
     assert one(spark, json_field("v", "item_id"), "{bad") is None
-    keys = ("item_id", "items", "item_ids")
-    assert one(spark, first_present("v", keys), '{"items":"S02"}') == "S02"
-    assert one(spark, first_present("v", keys), '{"item_ids":"S03"}') == "S03"
-    # an array value is kept as its JSON text (it then matches no item)
-    assert one(spark, first_present("v", keys), '{"items":["A","B"]}') == '["A","B"]'
 
 
 def test_promo_predicate_and_origin(spark):
-    car, deal, none = '{"c_id":"/home/promotions/element"}', '{"deal_print_id":"1"}', "{}"
-    assert one(spark, is_promo_touch(F.col("v")), car) is True
-    assert one(spark, is_promo_touch(F.col("v")), deal) is True
-    assert one(spark, is_promo_touch(F.col("v")), none) is False
-    assert one(spark, is_promo_touch(F.col("v")), None) is False
-    assert one(spark, landing_code(F.col("v")), car) == 0
-    assert one(spark, landing_code(F.col("v")), deal) == 1
-    assert one(spark, landing_code(F.col("v")), None) == 1
-    assert one(spark, origin_label(F.col("v")), car) == "Carrousel"
-    assert one(spark, origin_label(F.col("v")), deal) == "Landing"
+    df = spark.createDataFrame([("/home/carousel/card", None), (None, "1"), (None, None), ("other", None)], "c string, d string")
+    got = df.select(is_promo("c", "d"), landing_code("c"), origin_label("c"), is_promo("c", "d", "other")).collect()
+    assert [tuple(r) for r in got] == [(True, 0, "Carrousel", False), (True, 1, "Landing", True), (False, 1, "Landing", False),
+                                       (False, 1, "Landing", True)]
+
+
+def test_key_text_of_whole_numbers(spark):
+    df = spark.createDataFrame([(7.0, Decimal("7.00"), 7, "07"), (7.5, None, None, None)], "a double, b decimal(10,2), c long, d string")
+    got = df.select(*[key_text(df, c) for c in "abcd"]).collect()
+    assert [tuple(r) for r in got] == [("7", "7", "7", "07"), ("7.5", None, None, None)]
 
 
 def test_item_key_trims_and_casts(spark):

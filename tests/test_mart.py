@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import CAROUSEL, DEAL, bid, bids_df, order, rows, tracks_df, view
 
-from promolens.plans.mart import attributed_sales, backfill, daily_mart, promo_sales, site_sales
+from pairs import attributed_pairs
+from promolens.plans.mart import attributed_sales, backfill, created_days, daily_mart, promo_sales, site_sales, tag_runs
 from promolens.plans.profiles import DAILY, HISTORY
 from promolens.sources import fixtures
 from promolens.sources.mart import append_mart, read_mart, write_mart_run
@@ -34,8 +35,7 @@ def test_conditional_identity(spark):
     assert _gmve(daily) == [50.0]                          # items 1 and 3, same grain
     hist = attributed_sales(tr, b, T, HISTORY, "origin")   # device id only
     assert _gmve(hist) == [60.0]                           # items 2 and 3 by device id, same grain
-    for strategy in ("pairs",):
-        assert _gmve(attributed_sales(tr, b, T, DAILY, "origin", strategy=strategy)) == [50.0]
+    assert _gmve(attributed_pairs(tr, b, T, DAILY, "origin")) == [50.0]
 
 
 def test_fan_out_of_touches_and_duplicate_orders(spark):
@@ -110,7 +110,7 @@ def test_origin_rows_cover_merged_rows(spark):
     o = by_origin.agg(F.sum("gmve"), F.sum("SI")).first()
     m = merged.agg(F.sum("gmve"), F.sum("SI")).first()
     assert o[0] >= m[0] > 0 and o[1] >= m[1] > 0
-    pairs = attributed_sales(i["tracks"], i["bids"], T, DAILY, "origin", strategy="pairs")
+    pairs = attributed_pairs(i["tracks"], i["bids"], T, DAILY, "origin")
     assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, by_origin.collect()))
 
 
@@ -136,7 +136,7 @@ def test_hot_key_matches_brute_force(spark):
                 + [bid(1, item=1, price="5.00", qty=1)])
     for by in ("origin", "global"):
         got = attributed_sales(tr, b, T, DAILY, by)
-        want = attributed_sales(tr, b, T, DAILY, by, strategy="pairs")
+        want = attributed_pairs(tr, b, T, DAILY, by)
         assert rows(got) == rows(want) and got.count() > 0
 
 
@@ -170,5 +170,66 @@ def test_residual_identity_join_equals_tagged(spark):
     for prof in (DAILY, HISTORY):
         for by in ("origin", "global"):
             tagged = attributed_sales(i["tracks"], i["bids"], T, prof, by)
-            residual = attributed_sales(i["tracks"], i["bids"], T, prof, by, identity_join="residual")
+            residual = attributed_pairs(i["tracks"], i["bids"], T, prof, by)
             assert rows(tagged) == rows(residual) and tagged.count() > 0
+
+
+def test_backfill_follows_the_profile_however_far_it_looks(spark):
+    tr = tracks_df(spark, [view(at="2024-01-02 10:00:00"), order(1, at="2024-01-02 12:00:00"),
+                           order(2, at="2023-12-28 12:00:00"), view(at="2023-12-28 10:00:00")])
+    b = bids_df(spark, [bid(1, price="10.00", qty=1), bid(2, price="4.00", qty=1)])
+    wide = HISTORY.but(order_ds=((">=", 7, " 00"), ("<=", 0, " 00")), touch_ds=((">=", 8, ""), ("<", 0, "")))
+    assert wide.days() == (8, 0)
+    assert _gmve(attributed_sales(tr, b, T, wide, "origin")) == [14.0]
+    assert _gmve(backfill(tr, b, [T], wide)) == [14.0]
+    open_ended = wide.but(touch_ds=((">=", 8, ""),))
+    with pytest.raises(ValueError, match="without a bound"):
+        backfill(tr, b, [T], open_ended)
+
+
+def test_malformed_hours_are_compared_as_text(spark):
+    from promolens.sources.schemas import TRACKS_SCHEMA
+    rows_ = [order(1, at="2024-01-02 12:00:00"), view(at="2024-01-02 10:00:00")]
+    odd = [r[:-1] + (ds,) for r, ds in ((view(at="2024-01-02 11:00:00"), "2024-01-02x"), (view(at="2024-01-02 11:30:00"), "2024-13-45 99"))]
+    tr = spark.createDataFrame(rows_ + odd, TRACKS_SCHEMA)
+    b = bids_df(spark, [bid(1, price="10.00", qty=1)])
+    want = _gmve(attributed_sales(tr, b, T, HISTORY, "origin"))
+    assert want == [20.0] and _gmve(backfill(tr, b, [T], HISTORY)) == want
+    assert {r["ds"] for r in tag_runs(tr, [T]).collect()} == {"2024-01-02 12", "2024-01-02 10", "2024-01-02x"}
+
+
+def test_backfill_dates_come_from_the_lines(spark, small):
+    days = created_days(small["bids"])
+    assert days == sorted(set(days)) and len(days) >= 30
+
+
+def test_staging_gives_the_same_rows_and_can_be_removed(spark, tmp_path):
+    from promolens.sources.mart import remove_staged
+    i = fixtures.inputs(spark, "/root/testdata/sf0.001")
+    d = dt.date(2024, 1, 10)
+    plain = rows(daily_mart(i["tracks"], i["bids"], d))
+    at = str(tmp_path / "staged")
+    assert rows(daily_mart(i["tracks"], i["bids"], d, stage_path=at)) == plain
+    remove_staged(spark, at)
+    assert not (tmp_path / "staged").exists()
+
+
+def test_mart_in_a_catalog_table(spark):
+    b = bids_df(spark, [bid(1), bid(2, won="2024-01-01")])
+    spark.sql("DROP TABLE IF EXISTS mart_test")
+    try:
+        append_mart(site_sales(b, T), "mart_test")
+        append_mart(site_sales(b, "2024-01-02"), "mart_test")
+        assert read_mart(spark, "mart_test").schema == MART_SCHEMA
+        assert sorted(r["fecha"] for r in read_mart(spark, "mart_test").collect()) == ["2024-01-01", "2024-01-02"]
+        assert spark.sql("SHOW PARTITIONS mart_test").count() == 2
+    finally:
+        spark.sql("DROP TABLE IF EXISTS mart_test")
+
+
+def test_no_date_means_today(spark):
+    today = spark.sql("SELECT current_date() AS d").first()["d"]
+    won = (today - dt.timedelta(days=1)).isoformat()
+    tr = tracks_df(spark, [view(at=f"{won} 10:00:00"), order(1, at=f"{won} 12:00:00")])
+    b = bids_df(spark, [bid(1, won=won, price="10.00", qty=1), bid(1, won="2024-01-02", price="1.00", qty=1)])
+    assert _gmve(daily_mart(tr, b)) == _gmve(daily_mart(tr, b, today)) == [10.0] * 4

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-import __spark_entry__ as entry
+from promolens import catalog
 from promolens.operators.extract import extract_orders, extract_touches
 from promolens.plans.profiles import DAILY, HISTORY
 from promolens.sources import fixtures
@@ -12,6 +12,14 @@ SF = "/root/testdata/sf0.001"
 T = dt.date(2024, 1, 10)
 
 
+@pytest.fixture(autouse=True, scope="module")
+def whole_paths(spark):
+    """Scans show their whole path and filters."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -71,12 +79,55 @@ def test_partition_pruning_reads_only_the_window(spark, partitioned_tracks):
     assert all(m["numFiles"] * 5 < len(partitioned_tracks.inputFiles()) for m in scans)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cartesian_or_nested_loop_joins(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(catalog.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_volume_report_uses_anti_join(spark):
-    plan = _plan(entry.queries()["volume_report"](spark, SF))
+    plan = _plan(catalog.queries()["volume_report"](spark, SF))
     assert "LeftAnti" in plan
+
+
+def _scans(df):
+    """Paths of the Parquet scans in the final adaptive plan; a reused exchange is no scan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return [ln for ln in final.splitlines() if "FileScan" in ln]
+
+
+@pytest.mark.parametrize("by", ["origin", "global"])
+def test_attributed_sales_scan_each_input_once(spark, tmp_path, by):
+    from promolens.plans.mart import _probe_windows, attributed_sales
+    day = catalog.ANALYSIS_DATE   # a day with sales: adaptive execution drops the scans of an empty result
+    for name, df in fixtures.inputs(spark, "/root/testdata/sf0.01").items():
+        df.write.parquet(str(tmp_path / name))
+    tracks, bids = (spark.read.parquet(str(tmp_path / n)) for n in ("tracks", "bids"))
+    staging = _scans(_probe_windows(bids, extract_orders(tracks, day, DAILY), day, DAILY, []))
+    assert len([s for s in staging if "/bids" in s]) == 1 and len([s for s in staging if "/tracks" in s]) == 1
+    scans = _scans(attributed_sales(tracks, bids, day, DAILY, by, stage_path=str(tmp_path / "staged")))
+    assert not [s for s in scans if "/bids" in s]
+    assert len([s for s in scans if "/tracks" in s]) == 1   # the touches
+
+
+def test_backfill_pushes_literal_days_into_the_scan(spark, tmp_path):
+    from promolens.plans.mart import backfill
+    i = fixtures.inputs(spark, SF)
+    i["bids"].write.partitionBy("ord_created_dt").parquet(str(tmp_path / "bids"))
+    bids = spark.read.parquet(str(tmp_path / "bids"))
+    plan = _plan(backfill(i["tracks"], bids, [T, T + dt.timedelta(days=1)], by="origin"))
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "/bids" in ln]
+    assert scans
+    for scan in scans:
+        assert "2024-01-09" in scan[scan.index("PartitionFilters"):scan.index("PushedFilters")]
+        assert "tim_day_winning_date,2024-01-09" in scan or "In(tim_day_winning_date" in scan
+
+
+def test_gmv_report_drops_orders_before_their_windows(spark):
+    from promolens.plans.reports import gmv_report
+    i = fixtures.inputs(spark, SF)
+    plan = gmv_report(i["tracks"], i["bids"], T)._jdf.queryExecution().optimizedPlan().toString()
+    # the windows are expanded (a generator) above the semi join, that is, in an earlier line
+    assert plan.index("Generate") < plan.index("Join LeftSemi")

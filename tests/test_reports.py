@@ -85,3 +85,36 @@ def test_volume_report_unreadable_amount_is_null(spark):
     ])
     r = volume_report(tr, customers_df(spark, []), T).first()
     assert (r["GMVE_TS"], r["SI_TS"]) == (4.5, 3.0)
+
+
+def test_unknown_price_of_a_line_without_touches_counts_nothing(spark):
+    from conftest import BIDS_SCHEMA
+    tr = tracks_df(spark, [view(fragment=CAROUSEL, at="2024-01-02 10:00:00"), order(1, at="2024-01-02 12:00:00")])
+    lines = [bid(1, price="10.00", qty=1), bid(2, price="1.00", qty=1)]
+    lines[1] = lines[1][:14] + (None,) + lines[1][15:]
+    r = gmv_report(tr, spark.createDataFrame(lines, BIDS_SCHEMA), T).first()
+    assert (float(r["GMVE_CAR"]), float(r["GMVE_LAN"]), float(r["GMVE_TA"])) == (10.0, 0.0, 10.0)
+    alone = gmv_report(tr, spark.createDataFrame(lines[1:], BIDS_SCHEMA), T).first()
+    assert (float(alone["GMVE_CAR"]), float(alone["GMVE_TA"]), alone["SI_TA"]) == (0.0, 0.0, 0)
+
+
+def test_touch_windows_of_a_past_date_can_be_closed(spark):
+    from promolens.operators.extract import extract_touches
+    from promolens.plans.profiles import GMV_REPORT
+    tr = tracks_df(spark, [view(at="2024-01-02 10:00:00"), view(at="2024-01-05 10:00:00")])
+    assert extract_touches(tr, T, GMV_REPORT).count() == 2
+    assert extract_touches(tr, T, GMV_REPORT.but(touch_until=("<=", 0, " 00"))).count() == 1
+
+
+def test_carousel_id_is_a_setting(spark):
+    from promolens.plans.profiles import DAILY
+    from promolens.operators.extract import extract_touches
+    tr = tracks_df(spark, [view(fragment='{"c_id":"/mine"}'), view(fragment=CAROUSEL)])
+    assert [r["landing"] for r in extract_touches(tr, T, DAILY.but(carousel="/mine")).collect()] == [0]
+
+
+def test_reports_without_a_date_cover_yesterday(spark):
+    won = spark.sql("SELECT cast(date_sub(current_date(), 1) AS STRING) AS d").first()["d"]
+    tr = tracks_df(spark, [view(fragment=CAROUSEL, at=f"{won} 10:00:00"), order(1, at=f"{won} 12:00:00")])
+    assert float(gmv_report(tr, bids_df(spark, [bid(1, won=won, price="10.00", qty=1)])).first()["GMVE_CAR"]) == 10.0
+    assert volume_report(tr, customers_df(spark, [])).first()["GMV_CAR"] == 10.5

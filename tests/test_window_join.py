@@ -3,13 +3,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from promolens.functions import minus_lookback
+from pairs import pair_counts
+from promolens.functions import minus_lookback, wall_seconds_sql
 from promolens.operators.window_join import count_in_window
 
 
 def _probes(spark, rows):
     df = spark.createDataFrame(rows, "pid int, k string, hi string")
-    return df.withColumn("lo", minus_lookback(F.col("hi")))
+    return df.withColumn("lo", minus_lookback("hi"))
 
 
 def _touches(spark, rows):
@@ -25,10 +26,9 @@ def _counts(df, how="inner"):
     return got
 
 
-def run(probes, touches, strategy, compare="string", how="inner", preaggregate=True, expand="windows"):
-    return count_in_window(probes, touches, on=[("k", "tk")], lo="lo", hi="hi", at="t", groups=["g"],
-                           compare=compare, how=how, strategy=strategy, preaggregate=preaggregate,
-                           expand=expand)
+def run(probes, touches, strategy, compare="string", how="inner", **kw):
+    join = pair_counts if strategy == "pairs" else count_in_window
+    return join(probes, touches, on=[("k", "tk")], lo="lo", hi="hi", at="t", groups=["g"], compare=compare, how=how, **kw)
 
 
 @pytest.mark.parametrize("compare", ["string", "timestamp"])
@@ -100,3 +100,25 @@ def test_buckets_equal_pairs_on_random_data(spark, seed, compare):
     left = _counts(run(p, t, "buckets", compare, how="left"), "left")
     assert left == _counts(run(p, t, "pairs", compare, how="left"), "left")
     assert left[1] == list(range(40))
+
+
+@pytest.mark.parametrize("zone,hours", [
+    ("America/Santiago", ["2024-09-08 00:30:00", "2024-09-08 01:30:00", "2024-04-06 23:30:00"]),   # gap at midnight, repeated hour
+    ("Europe/Berlin", ["2024-03-31 02:30:00", "2024-03-31 03:10:00", "2024-10-27 02:30:00"]),
+])
+@pytest.mark.parametrize("compare", ["string", "timestamp"])
+def test_clock_changes_of_the_session_zone(spark, zone, hours, compare):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        p = _probes(spark, [(i, "a", h) for i, h in enumerate(hours)])
+        days = sorted({h[:10] for h in hours})
+        stamps = [f"{d} {h:02d}:{m:02d}:00" for d in days for h in range(0, 5) for m in (10, 30)]
+        before = ["2024-09-07 10:00:00", "2024-04-05 23:40:00", "2024-03-30 03:00:00", "2024-10-26 02:45:00"]
+        t = _touches(spark, [("a", "x", s) for s in stamps + before])
+        want = _counts(run(p, t, "pairs", compare))
+        assert want and _counts(run(p, t, "buckets", compare)) == want
+        assert _counts(run(p, t, "buckets", compare, expand="probes")) == want
+        if compare == "string":       # canonical text never needs the shared bucket, whatever the zone
+            assert t.select(F.expr(wall_seconds_sql("t")).alias("s")).where("s is null").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
