@@ -3,16 +3,17 @@
 A document's set holds its distinct runs of ``N`` words.  Sets are ordered rarest
 first; if two sets have similarity >= t, they share one of the first
 n - ceil(t n) + 1 members of each (prefix filter).  How often a shingle occurs is
-counted over all documents in a table of fixed size (shingles that share a slot
-count together; any order that is the same for all sets gives the same links).
+counted over all documents in a table of a bounded number of slots, one for every
+``SLOT_BYTES`` bytes of text (shingles that share a slot count together; any order
+that is the same for all sets gives the same links).
 
 1. one pass counts shingles and keeps, for each document, the size of its set and how
    many members fall in each of ``RANGES`` ranges of the hash;
 2. one pass sends the prefixes to buckets of shingles; a shingle in one prefix only goes
    no further, and of shingles that the same documents have only one does, with their number;
-3. in two rounds every document proposes one partner, the one it shares most prefix
-   shingles with among the leaders of its lists; these pairs are verified and give
-   components, so that a large group of copies is joined by as many pairs as it has
+3. in ``ROUNDS`` rounds every document proposes one partner, the one it shares most prefix
+   shingles with among the leaders of its lists (first the documents that share most,
+   then others); these pairs are verified and give components, so that a large group of copies is joined by as many pairs as it has
    members and not by all of its pairs;
 4. for every shingle whose documents are still in several components, all pairs of
    documents from different components are compared that pass the length filter, the
@@ -44,8 +45,11 @@ from promolens.llm.components import components
 from promolens.llm.hashing import batch_word_hashes, mix, shingles
 
 N = 5
-#: Slots of the table of counts (2^bits), parts it is merged in, ranges of the suffix filter.
-SLOT_BITS, PARTS, RANGES = 20, 16, 16
+#: Bytes of text for a slot of the table of counts, fewest and most slots (2^bits; a byte each is
+#: broadcast), parts it is merged in, ranges of the suffix filter.
+SLOT_BYTES, LEAST_BITS, MOST_BITS, PARTS, RANGES = 128, 18, 25, 16, 256
+#: Rounds in which documents propose partners.
+ROUNDS = 3
 #: Shingles of all sets for each bucket (a quarter of them are in prefixes).
 BUCKET = 6_000_000
 #: Similarity as a fraction, so that comparisons are exact.
@@ -64,31 +68,38 @@ def _sets(batch: pd.DataFrame, n: int) -> Iterator[tuple[int, int, np.ndarray]]:
             yield lo + i, key, shingles(w, n)
 
 
+def _ranges(s: np.ndarray) -> bytes:
+    """Members in each range of the hash; empty (no filter) where a range holds too many to note."""
+    count = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+    return count.astype(np.uint16).tobytes() if len(s) and count.max() < 1 << 16 else b""
+
+
 def prefix_length(size: int) -> int:
     """n - ceil(t n) + 1"""
     return size - -(-OVER * size // UNDER) + 1
 
 
-def _count(n: int):
-    slots, each = 1 << SLOT_BITS, (1 << SLOT_BITS) // PARTS
+def _count(n: int, bits: int):
+    slots, each = 1 << bits, (1 << bits) // PARTS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(slots, np.int64)
+        total = np.zeros(slots, np.int32)
         seen = False
         for batch in batches:
             keys, sizes, ranges = [], [], []
             pending, held = [], 0
 
             def add():
-                np.add(total, np.bincount(np.concatenate(pending), minlength=slots), out=total)
+                at, times = np.unique(np.concatenate(pending), return_counts=True)
+                total[at] += times.astype(np.int32)
 
             for _, key, s in _sets(batch, n):
                 keys.append(key)
                 sizes.append(len(s))
-                ranges.append(np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES).astype(np.int32).tobytes())
+                ranges.append(_ranges(s))
                 pending.append((s & np.uint64(slots - 1)).astype(np.int64))
                 held += len(s)
-                if held > slots:
+                if held > 1 << 20:
                     add()
                     pending, held = [], 0
             if held:
@@ -99,18 +110,21 @@ def _count(n: int):
         if seen:
             yield pd.DataFrame({"part": pd.array(range(PARTS), "Int32"), "id": pd.array([None] * PARTS, "Int64"),
                                 "n": pd.array([None] * PARTS, "Int64"),
-                                "data": [total[i * each:(i + 1) * each].astype(np.int64).tobytes() for i in range(PARTS)]})
+                                "data": [zstandard.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in range(PARTS)]})
     return run
 
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums the tables of a partition part by part; holds one table."""
+    """Sums the tables of a partition part by part; holds one sum for each.  Of the sum a
+    byte remains: exact to 16, then its logarithm in steps of about a seventh."""
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, data in zip(batch["part"], batch["data"]):
-            counts = np.frombuffer(data, np.int64)
+            counts = np.frombuffer(zstandard.decompress(data), np.int32).astype(np.int64)
             total[part] = total[part] + counts if part in total else counts
-    yield pd.DataFrame({"part": list(total), "data": [x.tobytes() for x in total.values()]})
+    for part, counts in total.items():
+        rank = np.where(counts <= 16, counts, np.minimum(255, 16 + 5 * np.log2(np.maximum(counts, 16) / 16)))
+        yield pd.DataFrame({"part": [part], "data": [rank.astype(np.uint8).tobytes()]})
 
 
 def _send_prefixes(order, n: int, buckets: int):
@@ -118,7 +132,7 @@ def _send_prefixes(order, n: int, buckets: int):
     as good as unique; the pairs are verified on whole hashes), the document, the size of its
     set and the place in its order."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.frombuffer(order.value, np.int32)
+        counts = np.frombuffer(order.value, np.uint8)
         for batch in batches:
             h, doc, place, ids, sizes, held = [], [], [], [], [], 0
 
@@ -213,14 +227,15 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
     """``(key, n_shingles, component_id)`` for every row."""
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
-    counted = stored(source.mapInPandas(_count(n), "part int, id long, n long, data binary"), "counted")
+    size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, (size // SLOT_BYTES).bit_length()))
+    counted = stored(source.mapInPandas(_count(n, bits), "part int, id long, n long, data binary"), "counted")
     info = counted.where("part is null").select("id", F.col("n").cast("long").alias("n"), "data")
     merged = (counted.where("part is not null").select("part", "data").repartition("part")
               .mapInPandas(_merge, "part int, data binary").collect())  # one table of fixed size
-    table = [np.frombuffer(r["data"], np.int64) for r in sorted(merged, key=lambda r: r["part"])]
-    order = np.minimum(np.concatenate(table), np.iinfo(np.int32).max).astype(np.int32) if table else np.zeros(1, np.int32)
+    order = b"".join(bytes(r["data"]) for r in sorted(merged, key=lambda r: r["part"])) or b"\0"
     buckets = pieces(info.agg(F.sum("n")).first()[0] or 0, BUCKET)
-    sent = source.mapInPandas(_send_prefixes(spark.sparkContext.broadcast(order.tobytes()), n, buckets), "bucket int, data binary")
+    sent = source.mapInPandas(_send_prefixes(spark.sparkContext.broadcast(order), n, buckets), "bucket int, data binary")
     found = stored(sent.groupBy("bucket").applyInPandas(
         _lists, "h long, doc long, n int, place int, weight long, s1 long, s2 long, head boolean"), "postings")
     # shingles of the same documents in other buckets
@@ -230,8 +245,9 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
         F.col("id").alias("doc"), "_s.n", "_s.data")
 
     links, joined = None, None
-    for turn in range(2):
-        pairs = stored(_proposals(lists, joined, turn), "pairs")
+    lists = _with_share(lists)
+    for turn in range(ROUNDS):
+        pairs = stored(_suffix_filter(_proposals(lists, joined, turn), sizes), "pairs")
         found = _verified(source, pairs, n)
         links = found if links is None else links.unionByName(found)
         joined = components(links)
@@ -244,6 +260,13 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
             .select(key, "n_shingles", F.coalesce("component", key).alias("component_id")))
 
 
+def _with_share(lists: DataFrame) -> DataFrame:
+    """Postings with how many shared shingles their document has.  Of a group of near
+    copies the text they come from has most: all of its prefix is shared."""
+    share = lists.groupBy("doc").agg(F.sum("weight").alias("share"))
+    return stored(lists.join(share, "doc"), "lists")
+
+
 def _labels(lists: DataFrame, joined: DataFrame | None) -> DataFrame:
     if joined is None:
         return lists.withColumn("c", F.col("doc"))
@@ -254,7 +277,7 @@ def _labels(lists: DataFrame, joined: DataFrame | None) -> DataFrame:
 def _proposals(lists: DataFrame, joined: DataFrame | None, turn: int) -> DataFrame:
     """A pair for each document at most: with the leader that heads most of its lists."""
     rows = _labels(lists, joined)
-    rank = F.xxhash64("doc", F.lit(turn))
+    rank = -F.col("share") if turn == 0 else F.xxhash64("doc", F.lit(turn))
     leaders = rows.groupBy("h").agg(F.min(F.struct(rank.alias("r"), F.col("doc").alias("doc"), "n", "c")).alias("lead"))
     near = (rows.join(leaders, "h")
             .where((F.col("c") != F.col("lead.c")) & _lengths_fit(F.col("n"), F.col("lead.n"))))
@@ -291,12 +314,15 @@ def _suffix_filter(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     both = pairs.join(a, "a").join(b, "b")
 
     @F.pandas_udf("long")
-    def bound(x: pd.Series, y: pd.Series) -> pd.Series:
-        left = np.frombuffer(b"".join(x), np.int32).reshape(-1, RANGES)
-        right = np.frombuffer(b"".join(y), np.int32).reshape(-1, RANGES)
-        return pd.Series(np.minimum(left, right).sum(1, dtype=np.int64))
-
-    return both.withColumn("most", bound("da", "db")).where(_alike(F.col("most"), F.col("na"), F.col("nb"))).select("a", "b")
+    def bound(x: pd.Series, y: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
+        known = ((x.str.len() > 0) & (y.str.len() > 0)).to_numpy()
+        out = np.minimum(na.to_numpy(), nb.to_numpy()).astype(np.int64)
+        if known.any():
+            left, right = (np.frombuffer(b"".join(v[known]), np.uint16).reshape(-1, RANGES) for v in (x, y))
+            out[known] = np.minimum(left, right).sum(1, dtype=np.int64)
+        return pd.Series(out)
+
+    return both.withColumn("most", bound("da", "db", "na", "nb")).where(_alike(F.col("most"), F.col("na"), F.col("nb"))).select("a", "b")
 
 
 def _verified(source: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
