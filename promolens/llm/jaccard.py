@@ -49,7 +49,7 @@ N = 5
 #: broadcast), parts it is merged in, ranges of the suffix filter.
 SLOT_BYTES, LEAST_BITS, MOST_BITS, PARTS, RANGES = 128, 18, 25, 16, 256
 #: Rounds in which documents propose partners.
-ROUNDS = 3
+ROUNDS = 5
 #: Shingles of all sets for each bucket (a quarter of them are in prefixes).
 BUCKET = 6_000_000
 #: Similarity as a fraction, so that comparisons are exact.
