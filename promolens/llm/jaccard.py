@@ -26,7 +26,8 @@ components are those of all links.
 Defined results: null and empty texts, and texts of white space, have an empty set
 and link with nothing; with fewer than ``N`` words the whole run is the one member;
 rows with a null id get their size and a null component; rows that repeat an id are
-one document whose text is the largest of its texts.
+one document whose text is the one with the largest set (of equally large ones the one
+with the largest hash): they are one row before prefixes are sent.
 """
 
 from __future__ import annotations
@@ -87,6 +88,7 @@ def _count(n: int, bits: int):
         seen = False
         for batch in batches:
             keys, sizes, ranges = [], [], []
+            rows = pd.array(batch["_row"], "Int64")
             pending, held = [], 0
 
             def add():
@@ -105,11 +107,11 @@ def _count(n: int, bits: int):
             if held:
                 add()
             seen = seen or bool(keys)
-            yield pd.DataFrame({"part": pd.array([None] * len(keys), "Int32"), "id": pd.array(keys, "Int64"),
+            yield pd.DataFrame({"part": pd.array([None] * len(keys), "Int32"), "id": pd.array(keys, "Int64"), "row": rows,
                                 "n": pd.array(sizes, "Int64"), "data": ranges})
         if seen:
             yield pd.DataFrame({"part": pd.array(range(PARTS), "Int32"), "id": pd.array([None] * PARTS, "Int64"),
-                                "n": pd.array([None] * PARTS, "Int64"),
+                                "row": pd.array([None] * PARTS, "Int64"), "n": pd.array([None] * PARTS, "Int64"),
                                 "data": [zstandard.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in range(PARTS)]})
     return run
 
@@ -190,7 +192,7 @@ def _lists(rows: pd.DataFrame) -> pd.DataFrame:
     size = np.diff(np.r_[first, len(key)])
     several = np.minimum.reduceat(doc, first) < np.maximum.reduceat(doc, first)
     one, two = mix(doc.view(np.uint64)), mix(doc.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
-    s1, s2 = (np.bitwise_xor.reduceat(x, first) for x in (one, two))
+    s1, s2 = (np.add.reduceat(x, first) for x in (one, two))  # sums: nothing cancels out
     s2 = mix(s2 + size.astype(np.uint64))
     kept = np.flatnonzero(several)
     _, at, weight = np.unique(s1[kept] ^ s2[kept], return_index=True, return_counts=True)
@@ -226,23 +228,25 @@ def _alike(common, a, b):
 def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFrame:
     """``(key, n_shingles, component_id)`` for every row."""
     spark = docs.sparkSession
-    source = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
+    source = docs.select(F.col(key).cast("long").alias("_id"), F.xxhash64(text).alias("_row"), F.col(text).alias("_text"))
     size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = min(MOST_BITS, max(LEAST_BITS, (size // SLOT_BYTES).bit_length()))
-    counted = stored(source.mapInPandas(_count(n, bits), "part int, id long, n long, data binary"), "counted")
-    info = counted.where("part is null").select("id", F.col("n").cast("long").alias("n"), "data")
+    counted = stored(source.mapInPandas(_count(n, bits), "part int, id long, row long, n long, data binary"), "counted")
+    info = counted.where("part is null").select("id", "row", F.col("n").cast("long").alias("n"), "data")
     merged = (counted.where("part is not null").select("part", "data").repartition("part")
               .mapInPandas(_merge, "part int, data binary").collect())  # one table of fixed size
     order = b"".join(bytes(r["data"]) for r in sorted(merged, key=lambda r: r["part"])) or b"\0"
     buckets = pieces(info.agg(F.sum("n")).first()[0] or 0, BUCKET)
+    each = stored(info.where("id is not null and n > 0").groupBy(F.col("id").alias("doc"))
+                  .agg(F.max(F.struct("n", "row", "data")).alias("_s"), F.count("*").alias("rows")).select("doc", "_s.*", "rows"), "documents")
+    source = _one_row_each(source, each)
     sent = source.mapInPandas(_send_prefixes(spark.sparkContext.broadcast(order), n, buckets), "bucket int, data binary")
     found = stored(sent.groupBy("bucket").applyInPandas(
         _lists, "h long, doc long, n int, place int, weight long, s1 long, s2 long, head boolean"), "postings")
     # shingles of the same documents in other buckets
     heads = found.where("head").groupBy("s1", "s2").agg(F.min("h").alias("h"), F.sum("weight").alias("weight")).select("h", "weight")
     lists = stored(found.select("h", "doc", "n", "place").join(heads, "h"), "lists")
-    sizes = info.where("id is not null and n > 0").groupBy("id").agg(F.max(F.struct("n", "data")).alias("_s")).select(
-        F.col("id").alias("doc"), "_s.n", "_s.data")
+    sizes = each.select("doc", "n", "data")
 
     links, joined = None, None
     lists = _with_share(lists)
@@ -260,6 +264,19 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
             .select(key, "n_shingles", F.coalesce("component", key).alias("component_id")))
 
 
+def _one_row_each(source: DataFrame, each: DataFrame) -> DataFrame:
+    """``source`` with the chosen row of each id that several rows have; only such rows are moved."""
+    again = stored(each.where("rows > 1").select("doc", "row"), "again")
+    if again.isEmpty():
+        return source
+    ids = bounded_broadcast(again, BROADCAST_IDS)
+    # rows of one id and one hash have one text
+    chosen = (source.join(ids, (F.col("_id") == F.col("doc")) & (F.col("_row") == F.col("row")), "left_semi")
+              .groupBy("_id", "_row").agg(F.max("_text").alias("_text")))
+    rest = source.join(ids, F.col("_id") == F.col("doc"), "left_anti")
+    return rest.unionByName(stored(chosen, "chosen"))
+
+
 def _with_share(lists: DataFrame) -> DataFrame:
     """Postings with how many shared shingles their document has.  Of a group of near
     copies the text they come from has most: all of its prefix is shared."""
@@ -330,8 +347,8 @@ def _verified(source: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
     wanted = source.join(bounded_broadcast(ids, BROADCAST_IDS), "_id", "left_semi")
     sets = wanted.mapInPandas(_full_sets(n), "doc long, members array<long>")
-    # rows that repeat an id: the text with the largest set.  Read twice from one exchange
-    one = sets.groupBy("doc").agg(F.max_by("members", F.size("members")).alias("members"))
+    # one row for each document; the aggregate makes one exchange that is read twice
+    one = sets.groupBy("doc").agg(F.first("members").alias("members"))
     a = one.select(F.col("doc").alias("a"), F.col("members").alias("ma"))
     b = one.select(F.col("doc").alias("b"), F.col("members").alias("mb"))
     common = F.size(F.array_intersect("ma", "mb"))

@@ -54,6 +54,26 @@ def test_jaccard_null_ids_repeats_and_empty_table(spark):
     assert jaccard.similar(H.documents(spark, [])).collect() == []
 
 
+def test_jaccard_groups_whose_rows_all_occur_twice(spark):
+    """Lists of repeated ids must not cancel out and pass for the same documents."""
+    rng = random.Random(8)
+    rows = []
+    for first in (1, 11, 21):
+        w = prose(rng, 60).split(" ")
+        rows += [(first + i, " ".join([*w, f"end{i}"])) for i in range(3)]
+    want = jaccard_by_hand(rows)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.similar(H.documents(spark, rows * 2)).collect())
+    assert got == sorted((i, *want[i]) for i, _ in rows * 2)
+    assert {c for _, c in want.values()} == {1, 11, 21}
+
+
+def test_jaccard_of_an_id_with_several_texts_takes_the_largest(spark):
+    long, other = " ".join(f"w{i}" for i in range(40)), " ".join(f"x{i}" for i in range(20))
+    rows = [(5, other), (5, long), (5, long), (8, long + " end"), (9, other)]
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.similar(H.documents(spark, rows)).collect())
+    assert got == [(5, 16, 5), (5, 36, 5), (5, 36, 5), (8, 37, 5), (9, 16, 9)]
+
+
 def test_jaccard_copies_of_one_text_make_no_pairs_of_all(spark):
     """A chain of edits: ends are linked through the middle only."""
     w = [f"w{i}" for i in range(100)]
