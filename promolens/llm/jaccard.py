@@ -7,8 +7,9 @@ counted over all documents in a table of a bounded number of slots, one for ever
 ``SLOT_BYTES`` bytes of text (shingles that share a slot count together; any order
 that is the same for all sets gives the same links).
 
-1. one pass counts shingles and keeps, for each document, the size of its set and how
-   many members fall in each of ``RANGES`` ranges of the hash;
+1. one pass counts shingles and keeps, for each document, the size of its set, a hash of
+   128 bits of it and how many members fall in each of ``RANGES`` ranges of the hash;
+   documents with equal sets are one class, and only its smallest id goes on;
 2. one pass sends the prefixes to buckets of shingles; a shingle in one prefix only goes
    no further, and of shingles that the same documents have only one does, with their number;
 3. in ``ROUNDS`` rounds every document proposes one partner, the one it shares most prefix
@@ -75,6 +76,11 @@ def _ranges(s: np.ndarray) -> bytes:
     return count.astype(np.uint16).tobytes() if len(s) and count.max() < 1 << 16 else b""
 
 
+def _whole(s: np.ndarray) -> bytes:
+    """A hash of 128 bits of a set."""
+    return b"".join(int(mix(s ^ np.uint64(x)).sum(dtype=np.uint64)).to_bytes(8, "big") for x in (0x9E3779B97F4A7C15, 0x5851F42D4C957F2D))
+
+
 def prefix_length(size: int) -> int:
     """n - ceil(t n) + 1"""
     return size - -(-OVER * size // UNDER) + 1
@@ -87,7 +93,7 @@ def _count(n: int, bits: int):
         total = np.zeros(slots, np.int32)
         seen = False
         for batch in batches:
-            keys, sizes, ranges = [], [], []
+            keys, sizes, ranges, wholes = [], [], [], []
             rows = pd.array(batch["_row"], "Int64")
             pending, held = [], 0
 
@@ -99,6 +105,7 @@ def _count(n: int, bits: int):
                 keys.append(key)
                 sizes.append(len(s))
                 ranges.append(_ranges(s))
+                wholes.append(_whole(s))
                 pending.append((s & np.uint64(slots - 1)).astype(np.int64))
                 held += len(s)
                 if held > 1 << 20:
@@ -108,10 +115,10 @@ def _count(n: int, bits: int):
                 add()
             seen = seen or bool(keys)
             yield pd.DataFrame({"part": pd.array([None] * len(keys), "Int32"), "id": pd.array(keys, "Int64"), "row": rows,
-                                "n": pd.array(sizes, "Int64"), "data": ranges})
+                                "n": pd.array(sizes, "Int64"), "whole": wholes, "data": ranges})
         if seen:
             yield pd.DataFrame({"part": pd.array(range(PARTS), "Int32"), "id": pd.array([None] * PARTS, "Int64"),
-                                "row": pd.array([None] * PARTS, "Int64"), "n": pd.array([None] * PARTS, "Int64"),
+                                "row": pd.array([None] * PARTS, "Int64"), "n": pd.array([None] * PARTS, "Int64"), "whole": [None] * PARTS,
                                 "data": [zstandard.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in range(PARTS)]})
     return run
 
@@ -231,22 +238,24 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
     source = docs.select(F.col(key).cast("long").alias("_id"), F.xxhash64(text).alias("_row"), F.col(text).alias("_text"))
     size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = min(MOST_BITS, max(LEAST_BITS, (size // SLOT_BYTES).bit_length()))
-    counted = stored(source.mapInPandas(_count(n, bits), "part int, id long, row long, n long, data binary"), "counted")
-    info = counted.where("part is null").select("id", "row", F.col("n").cast("long").alias("n"), "data")
+    counted = stored(source.mapInPandas(_count(n, bits), "part int, id long, row long, n long, whole binary, data binary"), "counted")
+    info = counted.where("part is null").select("id", "row", F.col("n").cast("long").alias("n"), "whole", "data")
     merged = (counted.where("part is not null").select("part", "data").repartition("part")
               .mapInPandas(_merge, "part int, data binary").collect())  # one table of fixed size
     order = b"".join(bytes(r["data"]) for r in sorted(merged, key=lambda r: r["part"])) or b"\0"
     buckets = pieces(info.agg(F.sum("n")).first()[0] or 0, BUCKET)
     each = stored(info.where("id is not null and n > 0").groupBy(F.col("id").alias("doc"))
-                  .agg(F.max(F.struct("n", "row", "data")).alias("_s"), F.count("*").alias("rows")).select("doc", "_s.*", "rows"), "documents")
-    source = _one_row_each(source, each)
+                  .agg(F.max(F.struct("n", "row", "whole", "data")).alias("_s"), F.count("*").alias("rows")).select("doc", "_s.*", "rows"), "documents")
+    classes = each.groupBy("n", "whole").agg(F.min("doc").alias("class"), F.count("*").alias("k")).where("k > 1").drop("k")
+    copies = stored(each.join(classes, ["n", "whole"]).where("doc <> class").select("doc", "class"), "copies")
+    source = _one_row_each(source, each, copies)
     sent = source.mapInPandas(_send_prefixes(spark.sparkContext.broadcast(order), n, buckets), "bucket int, data binary")
     found = stored(sent.groupBy("bucket").applyInPandas(
         _lists, "h long, doc long, n int, place int, weight long, s1 long, s2 long, head boolean"), "postings")
     # shingles of the same documents in other buckets
     heads = found.where("head").groupBy("s1", "s2").agg(F.min("h").alias("h"), F.sum("weight").alias("weight")).select("h", "weight")
     lists = stored(found.select("h", "doc", "n", "place").join(heads, "h"), "lists")
-    sizes = each.select("doc", "n", "data")
+    sizes = each.join(bounded_broadcast(copies, BROADCAST_IDS), "doc", "left_anti").select("doc", "n", "data")
 
     links, joined = None, None
     lists = _with_share(lists)
@@ -258,22 +267,26 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
     rest = stored(_suffix_filter(_remaining(lists, joined), sizes), "pairs")
     if not rest.isEmpty():
         joined = components(links.unionByName(_verified(source, rest, n)))
-    out = info.select(F.col("id").alias(key), F.col("n").alias("n_shingles"))
-    smallest = joined.select(F.col("id").alias("_id"), "component")
-    return (out.join(smallest, out[key] == smallest["_id"], "left")
-            .select(key, "n_shingles", F.coalesce("component", key).alias("component_id")))
+    # a class has the component of its smallest id
+    class_ = F.coalesce("class", "id")
+    out = info.select("id", F.col("n").alias("n_shingles")).join(copies.withColumnRenamed("doc", "id"), "id", "left")
+    out = out.select("id", "n_shingles", class_.alias("class"))
+    smallest = joined.select(F.col("id").alias("class"), "component")
+    return out.join(smallest, "class", "left").select(F.col("id").alias(key), "n_shingles", F.coalesce("component", "class").alias("component_id"))
 
 
-def _one_row_each(source: DataFrame, each: DataFrame) -> DataFrame:
-    """``source`` with the chosen row of each id that several rows have; only such rows are moved."""
+def _one_row_each(source: DataFrame, each: DataFrame, copies: DataFrame) -> DataFrame:
+    """``source`` without ``copies`` and with the chosen row of each id that several rows have;
+    only rows of such ids are moved."""
     again = stored(each.where("rows > 1").select("doc", "row"), "again")
+    gone = stored(copies.select("doc").union(again.select("doc")).distinct(), "gone")
+    rest = source.join(bounded_broadcast(gone, BROADCAST_IDS), F.col("_id") == F.col("doc"), "left_anti")
     if again.isEmpty():
-        return source
-    ids = bounded_broadcast(again, BROADCAST_IDS)
+        return rest
     # rows of one id and one hash have one text
-    chosen = (source.join(ids, (F.col("_id") == F.col("doc")) & (F.col("_row") == F.col("row")), "left_semi")
+    ids = stored(again.join(copies, "doc", "left_anti"), "ids")
+    chosen = (source.join(bounded_broadcast(ids, BROADCAST_IDS), (F.col("_id") == F.col("doc")) & (F.col("_row") == F.col("row")), "left_semi")
               .groupBy("_id", "_row").agg(F.max("_text").alias("_text")))
-    rest = source.join(ids, F.col("_id") == F.col("doc"), "left_anti")
     return rest.unionByName(stored(chosen, "chosen"))
 
 

@@ -74,6 +74,26 @@ def test_jaccard_of_an_id_with_several_texts_takes_the_largest(spark):
     assert got == [(5, 16, 5), (5, 36, 5), (5, 36, 5), (8, 37, 5), (9, 16, 9)]
 
 
+def test_jaccard_sends_one_posting_for_documents_with_equal_sets(spark, monkeypatch):
+    """A short text that a third of all rows hold, also spelt otherwise, is one document of the lists."""
+    made = []
+    stored = jaccard.stored
+    def kept(df, prefix):
+        out = stored(df, prefix)
+        made.extend([(prefix, out)])
+        return out
+    monkeypatch.setattr(jaccard, "stored", kept)
+    rng = random.Random(4)
+    long = prose(rng, 50)
+    rows = [(i, ["one  TWO three", "one two three"][i % 2] if i % 3 else prose(rng, 30)) for i in range(60)]
+    rows += [(100, long), (101, long), (102, long + " end"), (103, long + " end"), (90, long), (None, long)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar(H.documents(spark, rows)).collect()}
+    want = jaccard_by_hand([r for r in rows if r[0] is not None])
+    assert got == want | {None: (46, None)}
+    assert {got[i][1] for i in (90, 100, 101, 102, 103)} == {90} and got[59][1] == 1
+    assert {r["doc"] for p, d in made if p == "postings" for r in d.collect()} == {90, 102}
+
+
 def test_jaccard_copies_of_one_text_make_no_pairs_of_all(spark):
     """A chain of edits: ends are linked through the middle only."""
     w = [f"w{i}" for i in range(100)]
