@@ -9,12 +9,18 @@ words of item and document must correspond one to one along the passage (one val
 of the item, one value of the document); passages where they do not are dropped.
 An item is in a document if ``SHARE`` of its windows are.
 
+A window that is dense in marked words (fewer than ``LITERAL`` plain ones) is hashed by its
+types with the next ``LITERAL`` plain words from its start on and how far away they are, and
+with the last ones up to its end.  Capitalised words that open a sentence and are not in
+``COMMON`` may be names: windows with one are also hashed with it marked.  These two ways
+(``wide``) only add matches; the words marked in them must correspond as well.
+
 All of it is DataFrame functions.  The benchmark's windows are broadcast only while
 they are at most ``BROADCAST_ROWS``; beyond that both sides are shuffled by the hash.
 
 Defined results: null and empty texts match nothing; a text shorter than a window is
-one window; windows with fewer than ``LITERAL`` plain words match only as plain
-words; rows that repeat an id are judged each on its own text; rows with null ids
+one window; texts with fewer
+than ``LITERAL`` plain words match only as plain words; rows that repeat an id are judged each on its own text; rows with null ids
 too (they come out with a null id); items that are null or empty match nothing.
 """
 
@@ -35,9 +41,20 @@ UNITS = ("km", "m", "cm", "mm", "mi", "miles", "mile", "kg", "g", "mg", "lb", "l
          "inches", "inch", "meters", "metres", "meter", "metre", "liters", "litres", "grams", "kilograms", "kilometers")
 
 
+#: Words that open a sentence and are no names.
+COMMON = ("The", "An", "This", "That", "These", "Those", "He", "She", "It", "We", "You", "They", "His", "Her", "Its", "Our", "Your",
+          "Their", "My", "There", "Here", "If", "When", "While", "Then", "After", "Before", "How", "What", "Which", "Who", "Whose",
+          "Where", "Why", "Each", "Every", "All", "Both", "Some", "Many", "Most", "One", "Two", "Three", "In", "On", "At", "By", "For",
+          "From", "To", "Of", "With", "And", "But", "Or", "So", "As", "Is", "Are", "Was", "Were", "Do", "Does", "Did", "Can", "Find",
+          "Suppose", "Let", "Given", "Calculate", "Determine", "El", "La", "Los", "Las", "Un", "Una", "De", "En", "Que", "Le", "Les",
+          "Une", "Des", "Et", "Il", "Elle", "Der", "Die", "Das", "Ein", "Eine", "Und", "Er", "Sie", "Es", "Ist", "Wie", "Was")
+
+
 def words(text: Column) -> Column:
-    """The words of a text; a marked word begins with the mark and its type."""
-    name = F.regexp_replace(text, r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)", f"$1{MARK}p$2")
+    """The words of a text; a marked word begins with the mark and its type (``q``: a capitalised
+    word that opens a sentence)."""
+    name = F.regexp_replace(text, rf"(^\s*|[.!?:\n\"“”«(]\s*)(?!(?:{'|'.join(COMMON)})(?![\p{{L}}\p{{N}}]))(\p{{Lu}}\p{{Ll}}+)", f"$1{MARK}q$2")
+    name = F.regexp_replace(name, r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)", f"$1{MARK}p$2")
     name = F.regexp_replace(name, r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)", f"$1{MARK}p$2")  # the second of two in a row
     number = F.regexp_replace(name, r"([0-9]+)", f" {MARK}n$1 ")
     unit = F.regexp_replace(F.lower(number), f"({MARK}n[0-9]+ +)({'|'.join(UNITS)})($|[^\\p{{L}}\\p{{N}}])", f"$1{MARK}u$2$3")
@@ -53,52 +70,106 @@ def _word(w: Column, plain: bool) -> Column:
     return F.when(F.startswith(w, F.lit(MARK)), F.substr(w, F.lit(3)) if plain else F.substr(w, F.lit(1), F.lit(2))).otherwise(w)
 
 
+def _marked(w: Column) -> Column:
+    return F.startswith(w, F.lit(MARK))
+
+
 def windows(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys, place, h, slots``: a row for each window and way to match it; slots
+    """``keys, place, h, slots, wide``: a row for each window and way to match it; slots
     holds the words of a window that is hashed by types, else null."""
-    tokens = df.select(*keys, words(F.col(text)).alias("_w")).where(F.size("_w") > 0)
-    has_marks = F.exists("_w", lambda w: F.startswith(w, F.lit(MARK)))
+    opens = F.lit(MARK + "q")
+    tokens = df.select(*keys, words(F.col(text)).alias("_a")).where(F.size("_a") > 0)
+    has_opens = F.exists("_a", lambda w: F.startswith(w, opens))
+    # _w: without marks of opening words; _v: with these as names
+    tokens = tokens.select(
+        *keys, F.when(has_opens, F.transform("_a", lambda x: F.when(F.startswith(x, opens), F.substr(x, F.lit(3))).otherwise(x)))
+        .otherwise(F.col("_a")).alias("_w"),
+        F.when(has_opens, F.transform("_a", lambda x: F.when(F.startswith(x, opens), F.concat(F.lit(MARK + "p"), F.substr(x, F.lit(3))))
+                                      .otherwise(x))).otherwise(F.col("_a")).alias("_v"))
+    tokens = tokens.withColumn("_p", F.when(F.exists("_v", _marked), F.filter(
+        F.transform("_v", lambda x, i: F.when(_marked(x), 0).otherwise(i + 1)), lambda i: i > 0)))
+    has_marks = F.exists("_w", _marked)
     places = F.sequence(F.lit(1), F.greatest(F.size("_w") - (WINDOW - 1), F.lit(1)))
     none = F.lit(None).cast("array<string>")
-    w = F.col("_w")
+    w, v, p = F.col("_w"), F.col("_v"), F.col("_p")
 
-    def marks(i):
-        return F.size(F.filter(F.slice(w, i, WINDOW), lambda x: F.startswith(x, F.lit(MARK))))
+    def marks(i, of=w):
+        return F.size(F.filter(F.slice(of, i, WINDOW), _marked))
 
-    def row(i, h, slots):
-        return F.struct(i.alias("place"), h.alias("h"), slots.alias("slots"))
+    def row(i, h, slots, wide=False):
+        return F.struct(i.cast("int").alias("place"), h.alias("h"), slots.alias("slots"), F.lit(wide).alias("wide"))
 
     simple = F.transform(places, lambda i: row(i, F.xxhash64(*[F.get(w, i + (k - 1)) for k in range(WINDOW)]), none))
     plain = F.transform(places, lambda i: row(i, _hash(w, i, True), none))
     typed = F.transform(F.filter(places, lambda i: (marks(i) > 0) & (marks(i) <= WINDOW - LITERAL)),
                         lambda i: row(i, _hash(w, i, False), F.slice(w, i, WINDOW)))
     found = F.when(has_marks, F.concat(plain, typed)).otherwise(simple)
-    return tokens.select(*keys, F.inline(found))
+
+    # windows with an opening word that hold enough plain words
+    opened = F.transform(F.filter(places, lambda i: (F.slice(v, i, WINDOW) != F.slice(w, i, WINDOW)) & (marks(i, v) <= WINDOW - LITERAL)),
+                         lambda i: row(i, _hash(v, i, False), F.slice(v, i, WINDOW), True))
+
+    def beyond(i, which, side):
+        """A window and the plain words ``which`` (places in ``_p``)."""
+        far = [F.get(p, j) for j in which]
+        return row(i, F.xxhash64(F.lit(side), _hash(v, i, False), *[x - i for x in far], *[F.get(v, x - 1) for x in far]),
+                   F.slice(v, i, WINDOW), True)
+
+    last = F.size(v) - (WINDOW - 1)
+
+    def right(at, j):
+        """Windows that begin after the plain word before and hold too few of the next ones."""
+        begin = F.coalesce(F.get(p, F.greatest(j - 1, F.lit(0))) * F.when(j > 0, 1).otherwise(0), F.lit(0)) + 1
+        end = F.least(at, F.get(p, j + (LITERAL - 1)) - WINDOW, last)
+        return F.when(begin <= end, F.transform(F.sequence(begin, F.greatest(begin, end)),
+                                                lambda i: beyond(i, [j + k for k in range(LITERAL)], "right")))
+
+    def left(at, j):
+        """Windows that end before the next plain word and hold too few of the ones before."""
+        end = F.coalesce(F.get(p, j + 1), F.size(v) + 1) - 1 - (WINDOW - 1)
+        begin = F.greatest(at - (WINDOW - 1), F.get(p, F.greatest(j - (LITERAL - 1), F.lit(0))) + 1, F.lit(1))
+        return F.when((begin <= end) & (j >= LITERAL - 1), F.transform(F.sequence(begin, F.greatest(begin, end)),
+                                                                       lambda i: beyond(i, [j - k for k in range(LITERAL)], "left")))
+
+    def dense(way):
+        return F.flatten(F.filter(F.transform(p, way), lambda x: x.isNotNull()))
+
+    is_dense = F.exists(places, lambda i: marks(i, v) > WINDOW - LITERAL) & (F.size(v) >= WINDOW)
+    ways = [found, F.when(v != w, opened), F.when(p.isNotNull() & is_dense & (F.size(p) >= LITERAL), F.concat(dense(right), dense(left)))]
+    kind = "array<struct<place:int,h:bigint,slots:array<string>,wide:boolean>>"
+    every = F.concat(*[F.coalesce(x.cast(kind), F.array().cast(kind)) for x in ways])
+    return tokens.select(*keys, F.inline(every))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, key="doc_id", text="text", item="item_id", item_text="text",
           share: float = SHARE) -> DataFrame:
     """``(key, row, item, n_windows, n_matched, share)``: items found in documents.
     ``row`` tells rows with the same id apart (a hash of the text)."""
-    index = stored(windows(benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("_item"), F.col(item_text).alias("_t")),
-                           ["_item"], "_t").select("_item", F.col("place").alias("_at"), "h", F.col("slots").alias("_slots"))
-                   .distinct(), "index")
+    items = benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("_item"), F.col(item_text).alias("_t"))
+    index = stored(windows(items, ["_item"], "_t").select("_item", F.col("place").alias("_at"), "h", F.col("slots").alias("_slots"),
+                                                          F.col("wide").alias("_wide")).distinct(), "index")
     total = index.groupBy("_item").agg(F.count_distinct("_at").alias("n_windows"))
     source = docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_row"), F.col(text).alias("_t"))
     seen = windows(source, ["_id", "_row"], "_t")
-    # two windows with the same hash must both be plain or both typed
+    # two windows with the same hash must be matched the same way
     hits = seen.join(bounded_broadcast(index, BROADCAST_ROWS), ["h"]).where(
-        F.col("slots").isNull() == F.col("_slots").isNull())
-    hits = stored(hits.select("_id", "_row", "_item", "_at", (F.col("place") - F.col("_at")).alias("_shift"), "slots", "_slots")
+        (F.col("slots").isNull() == F.col("_slots").isNull()) & (F.col("wide") == F.col("_wide")))
+    hits = stored(hits.select("_id", "_row", "_item", "_at", (F.col("place") - F.col("_at")).alias("_shift"), "slots", "_slots", "wide")
                   .distinct(), "hits")
     passage = ["_id", "_row", "_item", "_shift"]
     pairs = (hits.where("slots is not null")
-             .select(*passage, F.explode(F.arrays_zip(F.col("_slots").alias("of_item"), F.col("slots").alias("of_doc"))).alias("p"))
-             .where(F.startswith("p.of_item", F.lit(MARK))).select(*passage, "p.of_item", "p.of_doc").distinct())
-    clash = (pairs.groupBy(*passage).agg(F.count("*").alias("n"), F.count_distinct("of_item").alias("a"),
-                                         F.count_distinct("of_doc").alias("b"))
-             .where("n > a or n > b").select(*[F.col(c).alias(f"x{c}") for c in passage]))
-    same = [F.col(c).eqNullSafe(F.col(f"x{c}")) for c in passage]
+             .select(*passage, "wide", F.explode(F.arrays_zip(F.col("_slots").alias("of_item"), F.col("slots").alias("of_doc"))).alias("p"))
+             .where(F.startswith("p.of_item", F.lit(MARK))).select(*passage, "wide", "p.of_item", "p.of_doc").distinct())
+
+    def clashes(of):
+        return (of.groupBy(*passage).agg(F.count("*").alias("n"), F.count_distinct("of_item").alias("a"),
+                                         F.count_distinct("of_doc").alias("b")).where("n > a or n > b").select(*passage))
+
+    # wide matches need all values to correspond, the others those marked without them
+    clash = (clashes(pairs.where("not wide")).withColumn("wide", F.lit(False))
+             .unionByName(clashes(pairs.drop("wide").distinct()).withColumn("wide", F.lit(True)))
+             .select(*[F.col(c).alias(f"x{c}") for c in [*passage, "wide"]]))
+    same = [F.col(c).eqNullSafe(F.col(f"x{c}")) for c in [*passage, "wide"]]
     # plain matches stand whatever the values; typed ones need values that correspond
     good = hits.join(clash, same, "left").where("slots is null or x_item is null")
     found = good.groupBy("_id", "_row", "_item").agg(F.count_distinct("_at").alias("n_matched"))
