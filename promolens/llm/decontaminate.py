@@ -19,7 +19,7 @@ All of it is DataFrame functions.  The benchmark's windows are broadcast only wh
 they are at most ``BROADCAST_ROWS``; beyond that both sides are shuffled by the hash.
 
 Defined results: null and empty texts match nothing; a text shorter than a window is
-one window; texts with fewer
+one window, and such an item is also sought in windows of its length; texts with fewer
 than ``LITERAL`` plain words match only as plain words; rows that repeat an id are judged each on its own text; rows with null ids
 too (they come out with a null id); items that are null or empty match nothing.
 """
@@ -62,8 +62,8 @@ def words(text: Column) -> Column:
     return F.filter(F.split(marked, rf"[^\p{{L}}\p{{N}}{MARK}]+"), lambda w: w != "")
 
 
-def _hash(parts: Column, first: Column, plain: bool) -> Column:
-    return F.xxhash64(*[_word(F.get(parts, first + (k - 1)), plain) for k in range(WINDOW)])
+def _hash(parts: Column, first: Column, plain: bool, n: int = WINDOW) -> Column:
+    return F.xxhash64(*[_word(F.get(parts, first + (k - 1)), plain) for k in range(n)])
 
 
 def _word(w: Column, plain: bool) -> Column:
@@ -74,9 +74,10 @@ def _marked(w: Column) -> Column:
     return F.startswith(w, F.lit(MARK))
 
 
-def windows(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None = None) -> DataFrame:
     """``keys, place, h, slots, wide``: a row for each window and way to match it; slots
-    holds the words of a window that is hashed by types, else null."""
+    holds the words of a window that is hashed by types, else null.  ``lengths``: of items
+    shorter than a window; windows of that many words are given too."""
     opens = F.lit(MARK + "q")
     tokens = df.select(*keys, words(F.col(text)).alias("_a")).where(F.size("_a") > 0)
     has_opens = F.exists("_a", lambda w: F.startswith(w, opens))
@@ -93,8 +94,8 @@ def windows(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     none = F.lit(None).cast("array<string>")
     w, v, p = F.col("_w"), F.col("_v"), F.col("_p")
 
-    def marks(i, of=w):
-        return F.size(F.filter(F.slice(of, i, WINDOW), _marked))
+    def marks(i, of=w, n=WINDOW):
+        return F.size(F.filter(F.slice(of, i, n), _marked))
 
     def row(i, h, slots, wide=False):
         return F.struct(i.cast("int").alias("place"), h.alias("h"), slots.alias("slots"), F.lit(wide).alias("wide"))
@@ -136,8 +137,17 @@ def windows(df: DataFrame, keys: list[str], text: str) -> DataFrame:
 
     is_dense = F.exists(places, lambda i: marks(i, v) > WINDOW - LITERAL) & (F.size(v) >= WINDOW)
     ways = [found, F.when(v != w, opened), F.when(p.isNotNull() & is_dense & (F.size(p) >= LITERAL), F.concat(dense(right), dense(left)))]
+    for n in lengths or []:
+        spots = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
+        ways.append(F.when(F.size(w) > n, F.transform(spots, lambda i: row(i, _hash(w, i, True, n), none))))
+        if n > LITERAL:
+            ways.append(F.when((F.size(w) > n) & p.isNotNull(), F.transform(
+                F.filter(spots, lambda i: (marks(i, v, n) > 0) & (marks(i, v, n) <= n - LITERAL)),
+                lambda i: row(i, _hash(v, i, False, n), F.slice(v, i, n), True))))
+    own = F.when((F.size(v) < WINDOW) & (marks(F.lit(1), v) > 0) & (F.size(v) - marks(F.lit(1), v) >= LITERAL),
+                 F.array(row(F.lit(1), _hash(v, F.lit(1), False), v, True)))
     kind = "array<struct<place:int,h:bigint,slots:array<string>,wide:boolean>>"
-    every = F.concat(*[F.coalesce(x.cast(kind), F.array().cast(kind)) for x in ways])
+    every = F.concat(*[F.coalesce(x.cast(kind), F.array().cast(kind)) for x in [*ways, own]])
     return tokens.select(*keys, F.inline(every))
 
 
@@ -146,11 +156,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, key="doc_id", text="text", i
     """``(key, row, item, n_windows, n_matched, share)``: items found in documents.
     ``row`` tells rows with the same id apart (a hash of the text)."""
     items = benchmark.where(F.col(item).isNotNull()).select(F.col(item).alias("_item"), F.col(item_text).alias("_t"))
+    lengths = sorted(r["n"] for r in items.select(F.size(words(F.col("_t"))).alias("n")).where(f"n > 0 and n < {WINDOW}").distinct().collect())
     index = stored(windows(items, ["_item"], "_t").select("_item", F.col("place").alias("_at"), "h", F.col("slots").alias("_slots"),
                                                           F.col("wide").alias("_wide")).distinct(), "index")
     total = index.groupBy("_item").agg(F.count_distinct("_at").alias("n_windows"))
     source = docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_row"), F.col(text).alias("_t"))
-    seen = windows(source, ["_id", "_row"], "_t")
+    seen = windows(source, ["_id", "_row"], "_t", lengths)
     # two windows with the same hash must be matched the same way
     hits = seen.join(bounded_broadcast(index, BROADCAST_ROWS), ["h"]).where(
         (F.col("slots").isNull() == F.col("_slots").isNull()) & (F.col("wide") == F.col("_wide")))

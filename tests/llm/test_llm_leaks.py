@@ -1,4 +1,4 @@
-"""Decontamination of dense items and names that open a sentence."""
+"""Decontamination of dense items, names that open a sentence, short items."""
 
 import helpers as H
 from promolens.llm import decontaminate
@@ -26,3 +26,9 @@ def test_names_that_open_a_sentence(spark):
     docs = [(1, other), (2, "It was late. " + other), (3, other.replace("Ann then", "Eve then")), (4, SARA),
             (5, "Ann reads 5 books to Bob. Bob sees 2 films at noon. Ann then sells 7 more books for the house")]
     assert leak_ids(spark, docs, SARA) == [(1, 1), (2, 1), (4, 1)]
+
+
+def test_short_items_inside_a_longer_text(spark):
+    docs = [(1, "They said that the quick red fox had gone away"), (2, "the quick red"), (3, "quick the red fox and others of it"),
+            (4, "the quick red fox"), (5, "go 9 steps north and then rest"), (6, "seven go north")]
+    assert leak_ids(spark, docs, "The quick red fox", "go 4 steps north") == [(1, 1), (4, 1), (5, 2)]
