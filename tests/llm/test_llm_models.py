@@ -1,10 +1,12 @@
 """Language model, language ID, quality score: exact parts, gradients, held-out accuracy."""
 
 import math
+import pickle
 import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import helpers as H
@@ -65,6 +67,36 @@ def test_lm_is_a_distribution_over_the_next_byte():
     assert together[1] == pytest.approx(one[0], rel=1e-6)  # whatever is scored beside it
 
 
+def test_lm_tables_and_weight_texts_grow_with_the_training_text(spark, monkeypatch):
+    """Counts of all ranges of slots are those of one table."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["the", "cat", "sat", "on", "mat", "é"]) for _ in range(30))) for i in range(120)]
+    monkeypatch.setattr(lm, "SLOT_BITS", 10)
+    for name, value in {"SLOT_BYTES": 2, "RANGE_BITS": 6, "WEIGHT_EACH": 10, "HELD": 500, "CHUNK": 900}.items():
+        monkeypatch.setattr(lm, name, value, raising=False)
+    used = []
+    costs = lm.MixModel.costs
+    monkeypatch.setattr(lm.MixModel, "costs", lambda m, texts, keep=False: used.extend(texts) or costs(m, texts, keep))
+    for n, bits in ((len(rows) // 8, 10), (len(rows), 13)):
+        used.clear()
+        model, size = lm.train(H.documents(spark, rows[:n]), weight_texts=5)
+        assert model.tables.shape == (lm.PREDICTORS, 1 << bits) and len(used) == max(5, n // 10)
+        rest = [t.encode() for _, t in rows[:n]]
+        assert size == sum(map(len, rest))
+        for t in used:
+            rest.remove(t)
+        total = np.zeros((lm.PREDICTORS, 2 << bits), np.int32)
+        lm.count_decisions(rest, model.tree, total)
+        assert (model.tables == lm.log_odds(total)).all()
+    # several chunks and several sendings of one task
+    held = type("Shared", (), {"value": pickle.dumps(model.tree)})
+    sent = list(lm._pass_decisions(held, bits)([pd.DataFrame({"_t": [t.decode() for t in rest]})]))
+    assert len(sent) > 2
+    for r in lm._merged_decisions(bits)(iter(sent)):
+        part, found = r["part"].iat[0], np.frombuffer(r["data"].iat[0], np.int16)
+        assert (model.tables.reshape(-1)[part * len(found):][:len(found)] == found).all()
+
+
 def test_lm_trees_code_every_byte():
     tree = lm.trees(np.zeros((256, 256), np.int64))
     assert (tree.length == 8).all()
