@@ -97,6 +97,19 @@ def test_lm_tables_and_weight_texts_grow_with_the_training_text(spark, monkeypat
         assert (model.tables.reshape(-1)[part * len(found):][:len(found)] == found).all()
 
 
+def test_lm_weights_follow_certain_decisions_too():
+    texts = [b"abcd" * 5] * 4000
+    tree = lm.trees(lm.count_pairs(texts).reshape(256, 256))
+    total = np.zeros((lm.PREDICTORS, 2 << lm.SLOT_BITS), np.int32)
+    lm.count_decisions(texts, tree, total)
+    m = lm.MixModel(tree, lm.log_odds(total), lm.first_weights() * 2)
+    before = m.weights.copy()
+    first = m.costs(texts[:1], keep=True)[0]
+    moved = m.weights - before
+    assert first < 1 and (moved != 0).any()  # no decision was missed by 0.03
+    assert m.costs(texts[:1])[0] < first
+
+
 def test_lm_trees_code_every_byte():
     tree = lm.trees(np.zeros((256, 256), np.int64))
     assert (tree.length == 8).all()
