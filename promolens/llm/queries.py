@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from promolens.llm import bpe, chat, decontaminate, jaccard, langid, lm, quality, suffix, vectors, warc
+from promolens.llm import bpe, chat, decontaminate, jaccard, langid, lm, merkle, quality, suffix, vectors, warc
 from promolens.llm.common import fold, scratch, stored, table
 
 
@@ -132,6 +132,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "_p.lang_pred", "_p.score"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = lambda n: [F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text")]
+    touched = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    one_more = F.col("n_chars").cast("decimal(20,0)") + 1
+    changed = merkle.leaf(*fields(F.when(touched, one_more).otherwise(F.col("n_chars"))))
+    rows = merkle.manifest(docs.withColumn("tampered", changed), fields(F.col("n_chars")), carry=["tampered"])
+    return (rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                        merkle.fold(F.col("tampered"), F.col("proof")).alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES = {
     "op1_lm": op1_lm,
     "op2_bpe": op2_bpe,
@@ -143,4 +155,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_vectors": op9_vectors,
     "op10_language": op10_language,
+    "op13_merkle": op13_merkle,
 }

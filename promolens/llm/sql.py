@@ -133,6 +133,49 @@ SELECT DISTINCT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS
 FROM found JOIN total USING (item_id) WHERE n_matched >= 0.6::DOUBLE * n_windows
 """.replace("UNITS", "|".join(UNITS))
 
+#: CRC-32 bit by bit; levels by recursion; siblings looked up level by level; folds by recursion.
+OP13 = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, n_chars, text, list_reduce(list_prepend(4294967295::UBIGINT,
+    flatten(list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: [ascii(substr(doc_id::VARCHAR, i, 1))::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, v: CASE WHEN xor(c, v) & 1 = 1 THEN xor(xor(c, v) >> 1, 3988292384::UBIGINT) ELSE xor(c, v) >> 1 END) AS crc
+  FROM documents),
+f AS (
+  SELECT r, doc_id, lang, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+    n_chars::HUGEINT AS n, n_chars::HUGEINT + CASE WHEN xor(crc, 4294967295::UBIGINT) % 7 = 0 THEN 1 ELSE 0 END AS m,
+    coalesce(strlen(text) || ':' || text, '-') AS z FROM d),
+leaves AS (
+  SELECT r, doc_id, coalesce('=' || lang, '-') AS g, sha256(a || coalesce(strlen(n::VARCHAR) || ':' || n, '-') || z) AS h,
+    sha256(a || coalesce(strlen(m::VARCHAR) || ':' || m, '-') || z) AS changed FROM f),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h, r) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+low(g, level, i, n, h) AS (
+  SELECT g, 0, i, n, h FROM placed
+  UNION ALL SELECT g, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY g, level, i // 2, n),
+subroots AS (
+  SELECT g, level, h, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+high(level, i, n, h) AS (
+  SELECT 0, i, n, h FROM subroots
+  UNION ALL SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY level, i // 2, n),
+steps AS (
+  SELECT p.r, l.level AS k, (p.i >> l.level) & 1 AS is_right, s.h AS sibling
+  FROM placed p JOIN low l ON l.g = p.g AND l.i = p.i >> l.level AND l.n > 1
+  LEFT JOIN low s ON s.g = p.g AND s.level = l.level AND s.i = xor(l.i, 1)
+  UNION ALL
+  SELECT p.r, b.level + t.level, (b.i >> t.level) & 1, s.h
+  FROM placed p JOIN subroots b ON b.g = p.g JOIN high t ON t.i = b.i >> t.level AND t.n > 1
+  LEFT JOIN high s ON s.level = t.level AND s.i = xor(t.i, 1)),
+proofs AS (SELECT r, sha256(string_agg(sibling, '' ORDER BY k)) AS p FROM steps WHERE sibling IS NOT NULL GROUP BY r),
+folds(r, k, h) AS (
+  SELECT r, 0, changed FROM placed
+  UNION ALL SELECT f.r, f.k + 1, sha256(CASE WHEN sibling IS NULL THEN h WHEN is_right = 1 THEN sibling || h ELSE h || sibling END)
+  FROM folds f JOIN steps s ON s.r = f.r AND s.k = f.k),
+ends AS (SELECT r, arg_max(h, k) AS h FROM folds GROUP BY r)
+SELECT p.doc_id, p.h AS leaf, b.h AS subroot, t.h AS root, coalesce(q.p, sha256('')) AS proof_sha256, e.h AS folded_root, e.h = t.h AS verified
+FROM placed p JOIN subroots b ON b.g = p.g JOIN high t ON t.n = 1 JOIN ends e ON e.r = p.r LEFT JOIN proofs q ON q.r = p.r
+"""
+
 SQL: dict[str, str] = {
     "op3_warc": OP3,
     "op4_suffix": OP4,
@@ -140,4 +183,5 @@ SQL: dict[str, str] = {
     "op6_jaccard": OP6,
     "op7_decontaminate": OP7,
     "op9_vectors": OP9,
+    "op13_merkle": OP13,
 }
