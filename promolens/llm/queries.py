@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from promolens.llm import bpe, chat, decontaminate, jaccard, langid, lm, merkle, quality, suffix, vectors, warc
+from promolens.llm import bpe, chat, decontaminate, jaccard, langid, lm, merkle, pieces, quality, suffix, vectors, warc
 from promolens.llm.common import fold, scratch, stored, table
 
 
@@ -132,6 +132,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "_p.lang_pred", "_p.score"))
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("piece_bpe_32k.model")
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), path)
+    return pieces.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fields = lambda n: [F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text")]
@@ -155,5 +164,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_vectors": op9_vectors,
     "op10_language": op10_language,
+    "op12_pieces": op12_pieces,
     "op13_merkle": op13_merkle,
 }

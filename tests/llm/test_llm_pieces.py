@@ -1,0 +1,112 @@
+"""SentencePiece encoding and decoding against the library."""
+
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import helpers as H
+from promolens.llm import pieces
+from promolens.llm.common import table
+from promolens.llm.queries import op12_pieces, tokenizer_path
+
+PATH = tokenizer_path("piece_bpe_32k.model")
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=PATH)
+MODEL = pieces.Model(open(PATH, "rb").read())
+LETTERS = st.one_of(st.sampled_from([" ", "▁", "e", "s", "t", "he", "in", "  ", "1", "0", "é", "\n", "\t", "\0", "漢", "\U0001f600", "<s>",
+                                     "<0x41>", " ", "​", "�"]), st.characters(exclude_categories=["Cs"]))
+TEXTS = st.lists(LETTERS, max_size=60).map("".join)
+
+
+def encode(text, table=None):
+    table = table or pieces.ChunkTable(MODEL)
+    row = pieces.chunks(text)
+    found = table.of(set(row))
+    return np.frombuffer(b"".join(found[c] for c in row), np.int32).tolist()
+
+
+@settings(max_examples=600, deadline=None)
+@given(TEXTS)
+def test_encode_equals_library(text):
+    ids = encode(text)
+    assert ids == LIBRARY.encode(text)
+    assert MODEL.decode(np.array(ids, np.int32)) == LIBRARY.decode(ids)
+
+
+def test_long_chunks_merge_alike():
+    rng = random.Random(1)
+    for n in (23, 24, 25, 300, 5000):
+        for letters in ("ab", "etaoin", "aaaa", "10", "▁", "▁a", "é漢x"):
+            text = "".join(rng.choice(letters) for _ in range(n))
+            assert encode(text) == LIBRARY.encode(text)
+            assert MODEL._merge_long(list(text)) == [p for p in MODEL._merge_long(list(text)) if p]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 31999), st.integers(0, 260), st.sampled_from([0, 1, 2, 259, 261, 29871, 195 + 3, 169 + 3])), max_size=30))
+def test_decode_of_any_ids(ids):
+    assert MODEL.decode(np.array(ids, np.int32)) == LIBRARY.decode(ids)
+
+
+def test_ids_beyond_the_model_are_refused():
+    for ids in ([-1], [32000]):
+        with pytest.raises(ValueError):
+            MODEL.decode(np.array(ids, np.int32))
+
+
+def test_each_distinct_chunk_is_segmented_once(monkeypatch):
+    seen = []
+    real = MODEL.segment
+    monkeypatch.setattr(MODEL, "segment", lambda c: seen.append(c) or real(c), raising=False)
+    known = pieces.ChunkTable(MODEL)
+    for text in ("the house and the river", "the river and a mill", "and the end"):
+        encode(text, known)
+    assert len(seen) == len(set(seen)) == 7
+
+
+def test_table_of_bounded_size():
+    known = pieces.ChunkTable(MODEL, half=10)
+    rng = random.Random(2)
+    for _ in range(200):
+        text = " ".join(str(rng.randrange(60)) for _ in range(8)) + " " + "x" * 500
+        assert encode(text, known) == LIBRARY.encode(text)
+        assert len(known.new) + len(known.old) <= 2 * (10 + 9) and not any(len(c) > pieces.KEEP for c in known.new)
+
+
+def test_pieces_across_markers_are_refused():
+    from sentencepiece import sentencepiece_model_pb2
+    spec = sentencepiece_model_pb2.ModelProto.FromString(open(PATH, "rb").read())
+    spec.pieces.add(piece="of▁the", score=-1.0, type=1)
+    with pytest.raises(ValueError):
+        pieces.Model(spec.SerializeToString())
+    spec.pieces.pop()
+    spec.normalizer_spec.remove_extra_whitespaces = True
+    with pytest.raises(ValueError):
+        pieces.Model(spec.SerializeToString())
+
+
+ODD = [(None, None), (None, "a b"), (1, None), (2, ""), (2, " "), (2**60 + 1, "the house"), (3, "the house"), (3, "the house"),
+       (4, "lang " * 300_000), (5, "x" * 200_000), (6, " " * 50_000 + "end "), (7, "▁ <s> \0 é")]
+
+
+def test_odd_rows(spark):
+    got = pieces.decode(pieces.encode(H.documents(spark, ODD), PATH), PATH).collect()
+    key = lambda x: repr(x)
+    want = [(i, LIBRARY.encode(t or ""), LIBRARY.decode(LIBRARY.encode(t or ""))) for i, t in ODD]
+    assert sorted(((r.doc_id, r.ids, r.decoded) for r in got), key=key) == sorted(want, key=key)
+    assert pieces.decode(pieces.encode(H.documents(spark, []), PATH), PATH).collect() == []
+    nulls = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert [r.decoded for r in pieces.decode(nulls, PATH).collect()] == ["", ""]
+
+
+def test_query_equals_library(spark):
+    got = {r.doc_id: r for r in op12_pieces(spark, H.SMALL).collect()}
+    docs = table(spark, H.SMALL, "documents").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        ids = LIBRARY.encode(d.text or "")
+        r = got[d.doc_id]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), H.sha(",".join(map(str, ids))), H.sha(LIBRARY.decode(ids)))
