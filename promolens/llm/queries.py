@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from promolens.llm import bpe, chat, decontaminate, jaccard, langid, lm, merkle, pieces, quality, suffix, vectors, warc
+from promolens.llm import bpe, chat, decontaminate, jaccard, langid, lm, merkle, pieces, quality, suffix, vectors, warc, whitening
 from promolens.llm.common import fold, scratch, stored, table
 
 
@@ -132,6 +132,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "_p.lang_pred", "_p.score"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), wanted=16)
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("piece_bpe_32k.model")
     encoded = pieces.encode(table(spark, sf_dir, "documents"), path)
@@ -164,6 +168,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_vectors": op9_vectors,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
     "op12_pieces": op12_pieces,
     "op13_merkle": op13_merkle,
 }
