@@ -25,22 +25,11 @@ def _carry(carry):
     return [F.col(c) for c in carry]
 
 
-def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=()) -> DataFrame:
-    """Q1: distinct promotion views at second grain.
-
-    ``profile.touch_shape``:
-
-    * ``"report"``: ``site_id, platform, uid, item_id, origin,
-      event_exact_date`` (origin as 'Carrousel' / 'Landing');
-    * ``"staged"``: ``sit_site_id, [user_id,] uid, ite_item_id, platform,
-      event_exact_date, landing`` (origin as 0 / 1).
-
-    ``carry`` names extra columns (a run date) kept in the output and in the
-    distinct key."""
-    from promolens.plans.profiles import DAILY
-    p = profile or DAILY
+def touch_rows(tracks: DataFrame, window, profile, carry=()) -> DataFrame:
+    """The promotion views of a click-stream window, a row for each event (Q1 without its DISTINCT)."""
+    p = profile
     df = where_path(tracks, *p.touch_paths)
-    df = df.where(ds_window(p.touch_bounds, analysis_date) & F.col("usr.uid").isNotNull())
+    df = df.where(window & F.col("usr.uid").isNotNull())
     # each JSON document is parsed once: json_tuple pulls several top-level keys in one pass
     df = df.select("*", F.json_tuple(F.col("platform.fragment"), "c_id", "deal_print_id").alias("__c_id", "__deal"))
     df = df.where(is_promo("__c_id", "__deal", p.carousel))
@@ -63,7 +52,24 @@ def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=(
                  F.col("device.platform").alias("platform"),
                  server_time().alias("event_exact_date"),
                  landing_code("__c_id", p.carousel).alias("landing")]
-    return df.select(*cols, *_carry(carry)).distinct()
+    return df.select(*cols, *_carry(carry))
+
+
+def extract_touches(tracks: DataFrame, analysis_date=None, profile=None, carry=()) -> DataFrame:
+    """Q1: distinct promotion views at second grain.
+
+    ``profile.touch_shape``:
+
+    * ``"report"``: ``site_id, platform, uid, item_id, origin,
+      event_exact_date`` (origin as 'Carrousel' / 'Landing');
+    * ``"staged"``: ``sit_site_id, [user_id,] uid, ite_item_id, platform,
+      event_exact_date, landing`` (origin as 0 / 1).
+
+    ``carry`` names extra columns (a run date) kept in the output and in the
+    distinct key."""
+    from promolens.plans.profiles import DAILY
+    p = profile or DAILY
+    return touch_rows(tracks, ds_window(p.touch_bounds, analysis_date), p, carry).distinct()
 
 
 def collapse_origin(touches: DataFrame) -> DataFrame:
@@ -73,6 +79,13 @@ def collapse_origin(touches: DataFrame) -> DataFrame:
     return touches.select(*cols).distinct().withColumn("landing", F.lit(LANDING_ANY))
 
 
+def with_merged_origin(touches: DataFrame) -> DataFrame:
+    """Staged touches and, beside them, those of ``collapse_origin``, in one pass."""
+    cols = [c for c in touches.columns if c != "landing"]
+    both = touches.groupBy(*cols).agg(F.collect_set("landing").alias("__set"))
+    return both.select(*cols, F.explode(F.concat("__set", F.array(F.lit(LANDING_ANY)))).alias("landing"))
+
+
 def extract_orders(tracks: DataFrame, analysis_date=None, profile=None, test_buyers: DataFrame | None = None,
                    carry=()) -> DataFrame:
     """Q2: order-created events with their 24 h look-back bound.

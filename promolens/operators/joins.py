@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.functions.keys import item_key
@@ -32,28 +32,27 @@ def line_item_key(df: DataFrame) -> DataFrame:
     return df.withColumn("item_key", item_key("sit_site_id", "ite_item_id"))
 
 
+def _tagged(kind: str, c) -> Column:
+    """An id with its kind before it, so that ids of different kinds never meet; null stays null."""
+    return F.concat(F.lit(f"{kind}:"), c)
+
+
 def touch_identity(touches: DataFrame, identity: str) -> DataFrame:
-    """Identity key of a touch as (kind, id).  ``user_then_uid``: the login
-    id when the touch has one, else the device id; ``uid``: the device id."""
+    """``identity`` of a touch.  ``user_then_uid``: the login id when the
+    touch has one, else the device id; ``uid``: the device id."""
+    device = _tagged(DEVICE, F.col("uid"))
     if identity == "uid":
-        return touches.withColumn("id_kind", F.lit(DEVICE)).withColumn("id_value", F.col("uid"))
+        return touches.withColumn("identity", device)
     if identity != "user_then_uid":
         raise ValueError(identity)
-    login = F.col("user_id").isNotNull()
-    return (touches.withColumn("id_kind", F.when(login, F.lit(LOGIN)).otherwise(F.lit(DEVICE)))
-            .withColumn("id_value", F.when(login, F.col("user_id")).otherwise(F.col("uid"))))
+    return touches.withColumn("identity", F.coalesce(_tagged(LOGIN, F.col("user_id")), device))
 
 
-def probe_identity(probes: DataFrame, identity: str, user_col: str, uid_col: str) -> DataFrame:
-    """The probe side of the conditional identity join.  Each order row
-    is looked up once by login id (against touches that have one) and once by
-    device id (against touches that have none).  The two halves are disjoint
-    by construction, so the sum equals the reference's CASE-in-ON join, while
-    both halves stay equi joins on the identity (no hot residual on item)."""
-    if identity == "uid":
-        return probes.withColumn("id_kind", F.lit(DEVICE)).withColumn("id_value", F.col(uid_col))
-    pair = F.explode(F.array(
-        F.struct(F.lit(LOGIN).alias("id_kind"), F.col(user_col).alias("id_value")),
-        F.struct(F.lit(DEVICE).alias("id_kind"), F.col(uid_col).alias("id_value"))))
-    return probes.select("*", pair.alias("__id")).select(
-        *probes.columns, F.col("__id.id_kind").alias("id_kind"), F.col("__id.id_value").alias("id_value"))
+def order_identities(identity: str, user_col: str, uid_col: str) -> list[Column]:
+    """What an order looks up.  With ``user_then_uid`` that is its login id
+    (against touches that have one) and its device id (against touches that have
+    none).  The two are disjoint by construction, so together they equal the
+    reference's CASE-in-ON join, while both stay equi joins on the identity (no
+    hot residual on item)."""
+    device = _tagged(DEVICE, F.col(uid_col))
+    return [device] if identity == "uid" else [_tagged(LOGIN, F.col(user_col)), device]

@@ -6,70 +6,88 @@ over the matches.  A plain equi join with the window as a residual compares
 every (touch, order) pair inside a key; if one key is hot (a third of all
 rows), that is quadratic work in one task.
 
-``count_in_window`` computes the same numbers without pairing rows:
-
-1. touches are aggregated per (key, group, exact time) -> ``n`` (``edge``
-   rows) and per (key, group, hour bucket) -> ``n`` (``full`` rows), each
-   with map-side partial aggregation, so a hot key shrinks to at most 3,600
-   rows per hour before it is shuffled;
-2. the distinct windows (key, lo, hi) of the probes -- narrow rows, many
-   probes share one (all lines of an order share its window) -- are expanded
-   to the hour buckets they overlap: the two end buckets as ``edge``
-   lookups, the buckets strictly inside as ``full`` lookups (25-26 rows per
-   24 h window);
-3. one equi join on (key, bucket, kind), with the exact reference predicate
-   as residual on ``edge`` rows only, summed per (window, group);
-4. the per-window counts are joined back to the (wide) probes on
-   (key, lo, hi): many-to-one, so wide rows are shuffled once and never
-   multiplied.
-
-Work per probe is bounded by the bucket count and the seconds in its two end
-hours, not by the touch count of its key.  The result is exact: a touch with
-canonical time text lies in exactly one bucket, and for canonical text the
-string order (or timestamp order) equals bucket order.  Touch times that are
-not canonical text go to a sentinel bucket that every probe also looks up,
-with the reference predicate deciding, so nothing is dropped.
-
-Precondition (string mode): ``lo`` and ``hi`` are canonical
-``yyyy-MM-dd HH:mm:ss`` text or null, which holds for every job here since
-``lo`` is produced by strictly parsing ``hi``.
+``count_in_window`` computes the same numbers from cumulative counts.  With R(x)
+the number of touches of a key and group before x, a window holds R(hi) - R(lo)
+touches, so it needs two lookups, however long it is:
+
+1. the distinct windows (key, lo, hi) of the probes are taken -- narrow rows, many
+   probes share one (all lines of an order share its window);
+2. touches and window ends are sorted together within (key, part), where the part
+   is the hour of a timestamp or the first 13 characters of a text, and running
+   counts give each end the touches before it in its part;
+3. the totals of the parts, carried on by the last row of each, are summed over
+   the parts before: what remains to be sorted by key are the window ends and one
+   row for each part;
+4. the difference per window is joined back to the (wide) probes on (key, lo, hi):
+   many-to-one, so wide rows are shuffled once and never multiplied.
+
+A group whose values are known (the origin of a touch) has a running count for each of
+them in the same pass (``split``), so a window makes two rows in all.  Groups of unknown
+values (the platform of a touch) are part of the key; a window is first joined with those
+that its key has, and makes two rows for each.
+
+A hot key is split by its parts, and touches of the same time are folded map-side, so
+a task sorts at most the distinct times of an hour and the windows that end in it.  The
+result is exact for any text: of two texts that differ in their first 13 characters these
+decide the order, and all others meet in one part.
+
+With ``once`` a window asks only whether a touch lies in it: the last touch before
+``hi`` must not lie before ``lo``.  That is one lookup, of a running maximum instead
+of a count, and nothing is summed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from promolens.functions.timefmt import wall_seconds_sql
-
-FULL, EDGE = 0, 1
-SENTINEL = -(1 << 62)
 N = "n"
+#: Characters of a time text that name its part (``yyyy-MM-dd HH``), and seconds of a timestamp's part.
+PART_CHARACTERS, PART_SECONDS = 13, 3600
+#: Sign of a window that has nothing to look up.
+NOTHING = 2
+
+
+class Source(NamedTuple):
+    """Touches with the windows that look them up: pairs (probe column, touch column) to be
+    equal, probe columns with the window's ends, and the touch column with the time.
+
+    In place of a probe column there may be a list of them: the window looks up each, and what
+    it finds is added up.  A touch must not be found twice by them."""
+
+    touches: DataFrame
+    on: Sequence
+    lo: str | Column
+    hi: str | Column
+    at: str
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _position(compare: str, name: str):
-    """(comparable value, seconds used for bucketing) of a text column, as SQL."""
+def _value(compare: str, c: Column) -> Column:
     if compare == "string":
-        return name, wall_seconds_sql(name)
+        return c
     if compare == "timestamp":
-        ts = f"try_cast({name} AS TIMESTAMP)"
-        return ts, f"unix_seconds({ts})"
+        return c.try_cast("timestamp")
     raise ValueError(f"compare must be 'string' or 'timestamp', not {compare!r}")
 
 
-def _in_window(t: Column, lo: Column, hi: Column) -> Column:
-    return (t >= lo) & (t < hi)
+def _part(compare: str, value: Column) -> Column:
+    """Coarser than the value, in the same order."""
+    if compare == "string":
+        return F.substring(value, 1, PART_CHARACTERS)
+    return F.floor(F.unix_seconds(value) / PART_SECONDS).cast("bigint")
 
 
-def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, groups=(),
-                    compare: str = "string", how: str = "inner", weight=None,
-                    bucket_seconds: int = 3600, preaggregate: bool = True, expand: str = "windows") -> DataFrame:
+def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, groups=(), split=None, compare: str = "string",
+                    how: str = "inner", weight=None, preaggregate: bool = True, expand: str = "windows",
+                    once: bool = False) -> DataFrame:
     """Probe rows joined with the number of touches in their window.
 
     ``on``: list of (probe column, touch column) equality pairs (names or
@@ -77,106 +95,171 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     window bounds as text; ``at``: touch column with the touch time as text.
     ``compare``: ``"string"`` (text order, as the loaders) or ``"timestamp"``
     (cast to timestamp, as the GMV report).  ``groups``: touch columns kept
-    in the output; counts are per group value.  ``weight``: touch column with
-    a multiplicity (default 1 per touch row).
+    in the output; counts are per group value.  ``split``: (touch column, all
+    its values) of one more group; another value stops the job.  ``weight``:
+    touch column with a multiplicity (default 1 per touch row).  ``once``:
+    ``n`` is 1 for a window with any touch of the group.
 
-    Output: all probe columns, ``groups``, and ``n``; one or more rows per
-    (probe, group) whose ``n`` sum to the count.  With ``how="left"`` every
-    probe appears, unmatched ones once with ``n = 0`` and null groups.
-    Aggregate ``n`` downstream (sums are linear, so duplicates of a probe
-    count separately, as they do in the reference's join).
+    Output: all probe columns, ``groups``, the split column and ``n``; one or
+    more rows per (probe, group) whose ``n`` sum to the count.  With
+    ``how="left"`` every probe appears, those without touches with ``n = 0``.
+    Aggregate ``n`` downstream (sums are linear, so duplicates of a probe count
+    separately, as they do in the reference's join).
 
     ``preaggregate=False`` skips folding touches per exact time before the
     shuffle.  Use it when the touches are already distinct at second grain
-    (every job here extracts them with DISTINCT), which bounds the rows per
-    (key, hour) by 3,600 times the few variants of the non-key columns; the
-    hour totals are still pre-aggregated.
+    (every job here extracts them with DISTINCT).
 
-    ``expand="windows"`` (default) expands the distinct windows and joins the
+    ``expand="windows"`` (default) looks up the distinct windows and joins the
     counts back to the probes: right when probes are wide and several share
-    a window.  ``expand="probes"`` expands the probe rows themselves and
-    skips the distinct and the join back: right when each probe is its own
-    window and the rows are narrow (the reports' order rows)."""
+    a window.  ``expand="probes"`` looks up the probe rows themselves, without
+    the distinct and the join back, and gives one row with ``-R(lo)`` and one
+    with ``R(hi)``: right when each probe is its own window and the rows are
+    narrow (the reports' order rows)."""
+    source = Source(touches, on, lo, hi, at)
+    if expand == "windows":
+        return count_in_windows(probes, [source], groups=groups, split=split, compare=compare, how=how, weight=weight,
+                                preaggregate=preaggregate, once=once)
+    if expand != "probes":
+        raise ValueError("expand must be 'windows' or 'probes'")
+    groups = _check(probes, groups, split, how)
+    keys = [f"__k{i}" for i in range(len(on))]
+    p = probes.select(F.struct(*probes.columns).alias("__probe"), *[_col(c).alias(k) for (c, _), k in zip(on, keys)],
+                      _value(compare, _col(lo)).alias("__lo"), _value(compare, _col(hi)).alias("__hi"))
+    side = _touch_side(source, keys, groups, split, compare, weight, preaggregate)
+    found = _look_up(p, side, keys, groups, split, ["__probe"], compare, how, once)
+    return _by_value(found, split).select("__probe.*", *groups, *_name(split), F.col("__n").cast("long").alias(N))
+
+
+def count_in_windows(probes: DataFrame, sources: Sequence[Source], *, groups=(), split=None, compare: str = "string",
+                     how: str = "inner", weight=None, preaggregate: bool = True, once: bool = False) -> DataFrame:
+    """``count_in_window`` over several sources of touches, each with its own keys and window
+    ends: the counts of a probe are added up (with ``once`` any of them decides)."""
+    groups = _check(probes, groups, split, how)
+    # what the windows are: all probe expressions that any source looks at
+    named, lists = {}, []
+    for i, s in enumerate(sources):
+        columns = [c if isinstance(c, list) else [c] for c, _ in s.on]
+        lists.append([[f"__k{i}_{j}_{a}" for a in range(len(c))] for j, c in enumerate(columns)])
+        named |= {n: _col(c) for ns, cs in zip(lists[-1], columns) for n, c in zip(ns, cs)} | {f"__lo{i}": _col(s.lo), f"__hi{i}": _col(s.hi)}
+    names = list(named)
+    p = probes.select("*", *[c.alias(n) for n, c in named.items()])
+    windows = p.select(*names).distinct()
+    found, apart = [], len(sources) > 1
+    for i, s in enumerate(sources):
+        keys = [f"__key{j}" for j in range(len(s.on))]
+        ways = max(map(len, lists[i]))
+        apart = apart or ways > 1
+        looked = [F.struct(*[F.col(ns[a if len(ns) > 1 else 0]).alias(k) for k, ns in zip(keys, lists[i])]) for a in range(ways)]
+        w = windows.select("*", _value(compare, F.col(f"__lo{i}")).alias("__lo"), _value(compare, F.col(f"__hi{i}")).alias("__hi"))
+        w = w.select("*", F.explode(F.array(*looked)).alias("__look")).select("*", "__look.*").drop("__look") if ways > 1 else \
+            w.withColumns({k: F.col(ns[0]) for k, ns in zip(keys, lists[i])})
+        side = _touch_side(s, keys, groups, split, compare, weight, preaggregate)
+        n = _look_up(w, side, keys, groups, split, names, compare, "inner", once)
+        if not once and not apart:  # both ends of a window are in one partition already
+            n = n.groupBy(*keys, *groups, *names).agg(*[F.sum(c).alias(c) for c in _counts(split)])
+        found.append(n.select(*names, *groups, *_counts(split)))
+    counts = reduce(DataFrame.unionByName, found)
+    if apart:
+        counts = counts.groupBy(*names, *groups).agg(*[(F.max if once else F.sum)(c).alias(c) for c in _counts(split)])
+    counts = _by_value(counts, split).where("__n > 0")
+    # back to the probes, many-to-one; what only another lookup needs may be null
+    counts = counts.withColumnsRenamed({n: f"__c{n}" for n in names})
+    same = [F.col(n).eqNullSafe(F.col(f"__c{n}")) if apart else F.col(n) == F.col(f"__c{n}") for n in names]
+    j = p.join(counts, reduce(lambda a, b: a & b, same), how)
+    return j.select(*probes.columns, *groups, *_name(split), F.coalesce("__n", F.lit(0)).cast("long").alias(N))
+
+
+def _check(probes: DataFrame, groups, split, how: str) -> list[str]:
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    groups = list(groups)
-    clash = set(groups) & set(probes.columns)
+    clash = {*groups, *_name(split)} & set(probes.columns)
     if clash:
         raise ValueError(f"group columns collide with probe columns: {sorted(clash)}")
-    keys = [f"__k{i}" for i in range(len(on))]
-    p_keys = [_col(pc).alias(k) for (pc, _), k in zip(on, keys)]
-    t_keys = [_col(tc).alias(k) for (_, tc), k in zip(on, keys)]
-    wt = _col(weight) if weight is not None else F.lit(1).cast("long")
+    return list(groups)
 
-    t = touches.select(*t_keys, *groups, _col(at).alias("__raw"), wt.alias("__w"))
-    t = t.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    t_val, t_pos = _position(compare, "__raw")
-    p = probes.select("*", *p_keys, _col(lo).alias("__lo_raw"), _col(hi).alias("__hi_raw"))
-    lo_val, lo_pos = _position(compare, "__lo_raw")
-    hi_val, hi_pos = _position(compare, "__hi_raw")
 
-    # touch side: exact-time rows and hour totals, pre-aggregated
-    if compare == "timestamp":
-        t = t.where(F.expr(f"{t_val} IS NOT NULL"))
-    bucket = F.expr(f"CAST(coalesce(floor(({t_pos}) / {int(bucket_seconds)}), {SENTINEL}) AS BIGINT)")
-    t = t.select(*keys, *groups, F.expr(t_val).alias("__t"), bucket.alias("__b"), "__w")
+def _name(split) -> list[str]:
+    return [split[0]] if split else []
+
+
+def _counts(split) -> list[str]:
+    """Columns with the counts: one for each value of the split column, or one in all."""
+    return [f"__n{v}" for v in range(len(split[1]))] if split else ["__n"]
+
+
+def _by_value(found: DataFrame, split) -> DataFrame:
+    """A row for each value of the split column."""
+    if not split:
+        return found
+    column, values = split
+    rows = [F.struct(F.lit(v).alias(column), F.col(c).alias("__n")) for v, c in zip(values, _counts(split))]
+    return found.select("*", F.explode(F.array(*rows)).alias("__row")).select(
+        *[c for c in found.columns if c not in _counts(split)], "__row.*")
+
+
+def _touch_side(source: Source, keys: list[str], groups: list[str], split, compare: str, weight, preaggregate: bool) -> DataFrame:
+    """``(keys, groups, split column, __p, __t, __w)`` of touches that can lie in a window."""
+    wt = _col(weight) if weight is not None else F.lit(1).cast("long")
+    t = source.touches.select(*[_col(c).alias(k) for (_, c), k in zip(source.on, keys)], *groups, *_name(split),
+                              _value(compare, _col(source.at)).alias("__t"), wt.alias("__w"))
+    t = t.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, "__t"]]))
+    if split:
+        column, values = split
+        t = t.withColumn(column, F.when(F.col(column).isin(*values), F.col(column)).otherwise(
+            F.raise_error(F.concat(F.lit(f"unexpected {column}: "), F.coalesce(F.col(column).cast("string"), F.lit("null"))))))
     if preaggregate:
-        edge = t.groupBy(*keys, *groups, "__b", "__t").agg(F.sum("__w").alias("__n"))
-    else:
-        edge = t.withColumnRenamed("__w", "__n")
-    # hour totals from the same rows, with no extra filter, so that both
-    # branches share one subtree and its exchange is reused (sentinel totals
-    # are harmless: the sentinel bucket is only ever looked up as an edge)
-    full = (edge.groupBy(*keys, *groups, "__b").agg(F.sum("__n").alias("__n"))
-            .withColumn("__t", F.lit(None).cast(edge.schema["__t"].dataType)))
-    side = (edge.withColumn("__kind", F.lit(EDGE))
-            .unionByName(full.withColumn("__kind", F.lit(FULL))))
-
-    # window side: the distinct (key, lo, hi) of the probes (or the probes
-    # themselves), one lookup row per overlapped bucket (+ the sentinel).  The
-    # bounds are projected below the generator so that they are evaluated once
-    # per window.
-    # No manual repartition anywhere: the exchanges Spark inserts for the
-    # distinct and the joins stay eligible for AQE skew splitting.
-    if expand not in ("windows", "probes"):
-        raise ValueError("expand must be 'windows' or 'probes'")
-    w = p.select(*keys, "__lo_raw", "__hi_raw").distinct() if expand == "windows" else p
-    w = w.select("*", F.expr(lo_val).alias("__lo"), F.expr(hi_val).alias("__hi"),
-                 F.expr(f"CAST(floor(({lo_pos}) / {int(bucket_seconds)}) AS BIGINT)").alias("__blo"),
-                 F.expr(f"CAST(floor(({hi_pos}) / {int(bucket_seconds)}) AS BIGINT)").alias("__bhi"))
-    b_lo, b_hi = F.col("__blo"), F.col("__bhi")
-    spans = F.when(b_lo <= b_hi, F.sequence(b_lo, b_hi))
-    if compare == "string":
-        spans = F.when(F.col("__lo").isNotNull() & F.col("__hi").isNotNull(),
-                       F.concat(F.coalesce(spans, F.array().cast("array<bigint>")),
-                                F.array(F.lit(SENTINEL).cast("long"))))
-    if expand == "probes":
-        explode = F.posexplode_outer if how == "left" else F.posexplode
-        w = w.select("*", explode(spans).alias("__pos", "__b"))
-    else:
-        w = w.select("*", F.explode(spans).alias("__b"))
-    w = w.withColumn("__kind", F.when((F.col("__b") == b_lo) | (F.col("__b") == b_hi)
-                                      | (F.col("__b") == SENTINEL), F.lit(EDGE)).otherwise(F.lit(FULL)))
-
-    cond = reduce(lambda a, b: a & b, [w[k] == side[k] for k in keys + ["__b", "__kind"]])
-    cond = cond & ((side["__kind"] == FULL) | _in_window(side["__t"], w["__lo"], w["__hi"]))
-    if expand == "probes":
-        j = w.join(side, cond, how)
-        if how == "left":
-            # keep matches, plus one row for each probe (its first lookup)
-            j = j.where(side["__n"].isNotNull() | w["__pos"].isNull() | (w["__pos"] == 0))
-        return j.select(*[w[c] for c in probes.columns], *[side[g] for g in groups],
-                        F.coalesce(side["__n"], F.lit(0)).cast("long").alias(N))
-
-    back = [f"__c{i}" for i in range(len(keys))]
-    counts = (w.join(side, cond, "inner")
-              .groupBy(*[w[k].alias(c) for k, c in zip(keys, back)], w["__lo_raw"].alias("__clo"),
-                       w["__hi_raw"].alias("__chi"), *[side[g] for g in groups])
-              .agg(F.sum(side["__n"]).alias("__n")))
-
-    # back to the probes: many-to-one on (key, lo, hi)
-    on_back = [p[k] == counts[c] for k, c in zip(keys, back)] + [p["__lo_raw"] == counts["__clo"],
-                                                                 p["__hi_raw"] == counts["__chi"]]
-    j = p.join(counts, reduce(lambda a, b: a & b, on_back), how)
-    return j.select(*[p[c] for c in probes.columns], *[counts[g] for g in groups],
-                    F.coalesce(counts["__n"], F.lit(0)).cast("long").alias(N))
+        t = t.groupBy(*keys, *groups, *_name(split), "__t").agg(F.sum("__w").alias("__w"))
+    return t.withColumn("__p", _part(compare, F.col("__t")))
+
+
+def _look_up(windows: DataFrame, side: DataFrame, keys: list[str], groups: list[str], split, kept: list[str], compare: str,
+             how: str, once: bool) -> DataFrame:
+    """``(keys, groups, kept, counts)``: for each window (and group of its key) a row with -R(lo) and one with R(hi),
+    or with ``once`` one row with 1 or 0.  With ``how="left"`` a window that has nothing to look up has a row with 0."""
+    fits = F.col("__lo") < F.col("__hi")
+    if how == "left" and groups:
+        raise ValueError("a left join of the probe rows takes no groups of unknown values")
+    if how == "inner":
+        windows = windows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], fits))
+    if groups:
+        # the filter keeps the count, so that the optimizer does not fold the touches' own DISTINCT into this
+        # one: both uses of the touches then share one exchange
+        owners = side.groupBy(*keys, *groups).agg(F.count("*").alias("__many")).where("__many > 0").drop("__many")
+        renamed = {k: f"__o{k}" for k in keys}
+        same = reduce(lambda a, b: a & b, [F.col(k) == F.col(o) for k, o in renamed.items()])
+        windows = windows.join(owners.withColumnsRenamed(renamed), same).drop(*renamed.values())
+    ends = [F.struct(F.col("__hi").alias("__t"), F.lit(1).alias("__sign"))]
+    if not once:
+        ends.append(F.struct(F.col("__lo").alias("__t"), F.lit(-1).alias("__sign")))
+    ends, by, salt = F.array(*ends), [*keys, *groups], []
+    if how == "left":  # without a key or a time a window needs no neighbours: its key may be as hot as it likes
+        idle = F.coalesce(~fits, F.lit(True)) | reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        nothing = F.array(F.struct(F.lit(None).cast(windows.schema["__hi"].dataType).alias("__t"), F.lit(NOTHING).alias("__sign")))
+        ends, salt = F.when(idle, nothing).otherwise(ends), [F.when(idle, F.xxhash64(*kept)).otherwise(0).alias("__s")]
+        side, by = side.withColumn("__s", F.lit(0).cast("long")), [*by, "__s"]
+    low = ["__lo"] if once else []
+    ends = windows.select(*keys, *groups, *salt, *kept, *low, F.explode(ends).alias("__end"))
+    ends = ends.select(*by, *kept, *low, "__end.*").withColumn("__p", _part(compare, F.col("__t")))
+    rows = side.withColumn("__sign", F.lit(0)).unionByName(ends, allowMissingColumns=True)
+    # at equal times ends come before touches: R counts what is earlier
+    in_part = Window.partitionBy(*by, "__p").orderBy("__t", F.col("__sign") == 0)
+    so_far, parts_before = in_part.rowsBetween(Window.unboundedPreceding, Window.currentRow), \
+        Window.partitionBy(*by).orderBy("__p", "__last").rowsBetween(Window.unboundedPreceding, -1)
+    add, what = (F.max, "__t") if once else (F.sum, "__w")
+    counts = _counts(split)
+    mine = [F.col(split[0]) == v for v in split[1]] if split else [F.col("__sign") == 0]
+    rows = rows.select("*", *[add(F.when(m & (F.col("__sign") == 0), F.col(what))).over(so_far).alias(f"__in{c}") for m, c in zip(mine, counts)],
+                       F.lead(F.lit(1)).over(in_part).isNull().alias("__last")).where("__sign <> 0 OR __last")
+    # the last row of a part carries its totals to the parts after it
+    rows = rows.select("*", *[add(F.when(F.col("__last"), F.col(f"__in{c}"))).over(parts_before).alias(f"__before{c}")
+                              for c in counts]).where("__sign <> 0")
+    out = []
+    for c in counts:
+        inside, before = F.col(f"__in{c}"), F.col(f"__before{c}")
+        if once:
+            n = F.when(F.greatest(inside, before) >= F.col("__lo"), F.lit(1).cast("long")).otherwise(0)
+        else:
+            n = F.col("__sign") * (F.coalesce(inside, F.lit(0)) + F.coalesce(before, F.lit(0)))
+        out.append(F.when(F.col("__sign") == NOTHING, 0).otherwise(n).cast("long").alias(c))
+    return rows.select(*keys, *groups, *kept, *out)

@@ -5,7 +5,9 @@
   order, by origin (``landing`` 0/1) or merged (99).  Like the reference,
   every (sale line, order event, qualifying touch) combination counts, so
   two touches credit a line twice; this is computed as
-  ``sum(value x copies x touch count)`` without pairing rows.
+  ``sum(value x copies x touch count)`` without pairing rows.  With
+  ``dedup_touches`` a line is credited once however many touches it has: once
+  for each origin (and each platform, where the touch's platform is reported).
 * ``promo_sales`` / ``site_sales``: all promotion-flagged / all value sales.
 * ``daily_mart``: the four families of one day, ready for one write.
 * ``backfill``: the attributed families for many run dates in one plan.
@@ -14,18 +16,23 @@
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.constants import ATR_24H, ATR_PROMO, ATR_TOTAL, LANDING_NONE, PLATFORM_NONE
-from promolens.functions import hour_label, hour_of, value, when_flag
-from promolens.operators.extract import collapse_origin, extract_orders, extract_touches
+from promolens.constants import (
+    ATR_24H, ATR_PROMO, ATR_TOTAL, LANDING_ANY, LANDING_CAROUSEL, LANDING_LANDING, LANDING_NONE, PLATFORM_NONE,
+)
+from promolens.functions import ds_bound, hour_label, hour_of, value, when_flag
+from promolens.operators.extract import (
+    collapse_origin, extract_orders, extract_touches, touch_rows, with_merged_origin,
+)
 from promolens.operators.filters import created_on, day_before, gmv_sales, promo_flagged, sold_on
 from promolens.operators.joins import (
-    bids_orders, collapse_copies, line_item_key, probe_identity, touch_identity,
+    bids_orders, collapse_copies, line_item_key, order_identities, touch_identity,
 )
-from promolens.operators.window_join import N, count_in_window
+from promolens.operators.window_join import N, Source, count_in_windows
 from promolens.plans.profiles import DAILY, HISTORY
 from promolens.sources.mart import stage, stage_touches
 
@@ -70,29 +77,32 @@ def _probe_windows(bids: DataFrame, orders: DataFrame, analysis_date, profile, c
         *_grain_columns(), "ord_order_id", "item_key",
         value().alias("__value"), F.col("bid_quantity_ok").alias("__qty"), *carry)
     probes = bids_orders(lines, collapse_copies(orders), carry=carry)
-    user_col = "o_user_id" if profile.with_user_id else "o_uid"
-    probes = probe_identity(probes, profile.identity, user_col, "o_uid")
+    ids = ["o_uid"] if profile.identity == "uid" else ["o_user_id", "o_uid"]
     platform_cols = ["o_platform"] if profile.platform_from == "order" else []
-    return probes.groupBy(*carry, *MART_GRAIN, "fecha", *platform_cols, *_WINDOW).agg(
+    return probes.groupBy(*carry, *MART_GRAIN, "fecha", *platform_cols, *ids, *_WINDOW).agg(
         F.sum(F.col("__value") * F.col("o___m")).alias("__value"),
         F.sum(F.col("__qty") * F.col("o___m")).alias("__qty"))
 
 
-_WINDOW = ["o_sit_site_id", "id_kind", "id_value", "item_key", "o_order_exact_date_sub_24h", "o_order_exact_date"]
+_WINDOW = ["o_sit_site_id", "item_key", "o_order_exact_date_sub_24h", "o_order_exact_date"]
 
 
-def _credit(probes: DataFrame, touches: DataFrame, profile, carry) -> DataFrame:
-    """Value and units of the probe rows, once for each touch in their window."""
+def _sources(touches: DataFrame, profile, carry) -> Source:
+    """Touches by the keys that the probe rows look up."""
     t = touch_identity(touches, profile.identity)
-    groups = ["t_landing"] + (["t_platform"] if profile.platform_from == "touch" else [])
-    t = t.select(F.col("sit_site_id").alias("t_site"), "id_kind", "id_value", F.col("ite_item_id").alias("t_item"),
+    t = t.select(F.col("sit_site_id").alias("t_site"), "identity", F.col("ite_item_id").alias("t_item"),
                  "event_exact_date", F.col("landing").alias("t_landing"), F.col("platform").alias("t_platform"),
                  *[F.col(c).alias("t_" + c) for c in carry])
-    on = [("o_sit_site_id", "t_site"), ("id_kind", "id_kind"), ("id_value", "id_value"), ("item_key", "t_item")]
+    on = [("o_sit_site_id", "t_site"), (order_identities(profile.identity, "o_user_id", "o_uid"), "identity"), ("item_key", "t_item")]
     on += [(c, "t_" + c) for c in carry]
-    matched = count_in_window(probes, t.drop(*[g for g in ("t_platform",) if g not in groups]), on=on,
-                              lo="o_order_exact_date_sub_24h", hi="o_order_exact_date", at="event_exact_date",
-                              groups=groups, compare=profile.compare, preaggregate=False)
+    return Source(t, on, "o_order_exact_date_sub_24h", "o_order_exact_date", "event_exact_date")
+
+
+def _credit(probes: DataFrame, sources: list[Source], profile, carry, landings, dedup_touches: bool) -> DataFrame:
+    """Value and units of the probe rows, once for each touch in their window (or once if there is any)."""
+    groups = ["t_platform"] if profile.platform_from == "touch" else []
+    matched = count_in_windows(probes, sources, groups=groups, split=("t_landing", landings), compare=profile.compare,
+                               preaggregate=False, once=dedup_touches)
     platform = F.col("t_platform") if profile.platform_from == "touch" else F.col("o_platform")
     out = (matched.groupBy(*carry, *MART_GRAIN, "fecha", platform.alias("platform"),
                            F.col("t_landing").alias("landing"))
@@ -101,35 +111,50 @@ def _credit(probes: DataFrame, touches: DataFrame, profile, carry) -> DataFrame:
     return _finish(out)
 
 
+_ORIGINS = [LANDING_CAROUSEL, LANDING_LANDING]
+_LANDINGS = {"origin": _ORIGINS, "global": [LANDING_ANY], "both": [*_ORIGINS, LANDING_ANY]}
+
+
 def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, profile=DAILY, by: str = "origin",
                      touches: DataFrame | None = None, orders: DataFrame | None = None, carry=(),
-                     probes: DataFrame | None = None, stage_path: str | None = None) -> DataFrame:
+                     probes: DataFrame | None = None, stage_path: str | None = None,
+                     dedup_touches: bool = False) -> DataFrame:
     """Q8-Q11: the ``24 HOURS`` family.
 
     ``profile``: ``DAILY`` (login id else device id, order platform) or
     ``HISTORY`` (device id, touch platform; with ``pin_win_day`` the line
-    must also be won on T-1).  ``by``: ``"origin"`` (landing 0/1) or
-    ``"global"`` (99).  ``touches``, ``orders`` and ``probes`` may be passed
-    ready-made to share them between families.
+    must also be won on T-1).  ``by``: ``"origin"`` (landing 0/1),
+    ``"global"`` (99) or ``"both"``, counted in one pass.  ``touches``,
+    ``orders`` and ``probes`` may be passed ready-made to share them between
+    families.
+
+    ``dedup_touches``: a line is credited once for each origin that it was
+    viewed through (for ``"global"`` once in all; where the platform is the
+    touch's, once for each platform), however often.  That is a range semi-join:
+    the last touch before the order decides, and nothing is counted.  Duplicate
+    order events still credit a line once each.
 
     The range count reads the folded sale lines twice, for their windows and
     for the join back.  ``stage_path``, a fresh folder on shared storage, keeps
     them there in between, so that each input is scanned once and the join of
     lines and orders runs once."""
     carry = list(carry)
-    if by not in ("origin", "global"):
-        raise ValueError("by must be 'origin' or 'global'")
+    if by not in _LANDINGS:
+        raise ValueError("by must be 'origin', 'global' or 'both'")
     if touches is None:
         touches = extract_touches(tracks, analysis_date, profile, carry=carry)
-    if by == "global":
-        touches = collapse_origin(touches)
+    touches = _merged(touches, by)
     if probes is None:
         if orders is None:
             orders = extract_orders(tracks, analysis_date, profile, carry=carry)
         probes = _probe_windows(bids, orders, analysis_date, profile, carry)
         if stage_path is not None:
             probes = stage(probes, stage_path)
-    return _credit(probes, touches, profile, carry)
+    return _credit(probes, [_sources(touches, profile, carry)], profile, carry, _LANDINGS[by], dedup_touches)
+
+
+def _merged(touches: DataFrame, by: str) -> DataFrame:
+    return {"origin": lambda t: t, "global": collapse_origin, "both": with_merged_origin}[by](touches)
 
 
 def _sold_value_lines(bids: DataFrame, analysis_date=None) -> DataFrame:
@@ -175,9 +200,11 @@ def promo_and_site_sales(bids: DataFrame, analysis_date=None) -> DataFrame:
 
 
 def daily_mart(tracks: DataFrame, bids: DataFrame, analysis_date=None, profile=DAILY,
-               stage_path: str | None = None) -> DataFrame:
+               stage_path: str | None = None, dedup_touches: bool = False) -> DataFrame:
     """Q14: the day's four families (by origin, merged, promotion-flagged,
-    total) as one frame, for a single partitioned write.
+    total) as one frame, for a single partitioned write.  Both attributed
+    families come from one pass over touches and lines (``by="both"``);
+    ``dedup_touches`` as in ``attributed_sales``.
 
     With ``stage_path`` (a fresh folder on shared storage) the touches, as in
     the reference job (K1), and the folded sale lines are staged there first:
@@ -189,9 +216,8 @@ def daily_mart(tracks: DataFrame, bids: DataFrame, analysis_date=None, profile=D
     if stage_path is not None:
         touches = stage_touches(touches, f"{stage_path}/touches")
         probes = stage(probes, f"{stage_path}/lines")
-    by_origin = attributed_sales(tracks, bids, analysis_date, profile, "origin", touches, probes=probes)
-    merged = attributed_sales(tracks, bids, analysis_date, profile, "global", touches, probes=probes)
-    return by_origin.unionByName(merged).unionByName(promo_and_site_sales(bids, analysis_date))
+    attributed = attributed_sales(tracks, bids, analysis_date, profile, "both", touches, probes=probes, dedup_touches=dedup_touches)
+    return attributed.unionByName(promo_and_site_sales(bids, analysis_date))
 
 
 def _as_dates(dates):
@@ -226,12 +252,76 @@ def created_days(bids: DataFrame) -> list:
     return sorted(r[0] for r in bids.select("ord_created_dt").where("ord_created_dt is not null").distinct().collect())
 
 
+def _bounds_as_time(profile) -> bool:
+    """Whether bounds on the text ``ds`` are bounds on the time text of an event that is stored under its own hour:
+    of texts that begin with the ``ds``, those from a bound on (or before it) are the same."""
+    return profile.compare == "string" and all(op in (">=", "<") and len(suffix) <= 3 for op, _, suffix in profile.touch_bounds)
+
+
+def run_touches(tracks: DataFrame, dates, profile=HISTORY, by: str = "origin") -> tuple[DataFrame, DataFrame]:
+    """Touches for many run dates, without a copy for each run: those stored under the hour of their own
+    time, once, and the others with every ``run_date`` whose ``ds`` window they are in.
+
+    What the runs' windows ask of the first is left to the probes (see ``backfill``).  A touch that was stored under
+    its own hour and under others is one touch, as in the runs' DISTINCT."""
+    dates = _as_dates(dates)
+    ranges = _merged_ranges([(_bound_text(profile.touch_bounds, d, ">="), _bound_text(profile.touch_bounds, d, "<")) for d in dates])
+    near = reduce(lambda a, b: a | b, [(F.col("ds") >= lo) & (F.col("ds") < hi) for lo, hi in ranges])
+    rows = touch_rows(tracks, near, profile, ["ds"]).where("event_exact_date is not null")
+    hour = F.substring("event_exact_date", 1, 13)
+    own = F.col("ds") == hour
+    cols = [c for c in rows.columns if c != "ds"]
+    if by == "global":
+        rows = rows.withColumn("landing", F.lit(LANDING_ANY))
+    once = rows.groupBy(*cols).agg(F.max(own).alias("__own"), F.collect_set(F.when(~own, F.col("ds"))).alias("__others"))
+    if by == "both":
+        raise ValueError("by must be 'origin' or 'global'")
+    in_place = once.where("__own").select(*cols)
+
+    def in_run(c, d):
+        return (c >= _bound_column(profile.touch_bounds, d, ">=")) & (c < _bound_column(profile.touch_bounds, d, "<"))
+    runs = F.filter(F.array(*[F.lit(d) for d in dates]), lambda d: (
+        F.exists("__others", lambda ds: in_run(ds, d)) & ~(F.col("__own") & in_run(hour, d))))
+    elsewhere = once.where(F.size("__others") > 0).select(*cols, F.explode(runs).alias("run_date"))
+    return in_place, elsewhere
+
+
+def _merged_ranges(ranges: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Text ranges joined where they touch; of very many one that holds all."""
+    out: list[list[str]] = []
+    for lo, hi in sorted(ranges):
+        if out and lo <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return [(lo, hi) for lo, hi in out] if len(out) <= 50 else [(out[0][0], max(hi for _, hi in out))]
+
+
+def _bound_text(bounds, day, wanted: str) -> str:
+    """The bound of that direction on ``ds`` for one run date."""
+    texts = [(day - _dt.timedelta(days=back)).isoformat() + suffix for op, back, suffix in bounds if op == wanted]
+    return max(texts) if wanted == ">=" else min(texts)
+
+
+def _bound_column(bounds, day, wanted: str):
+    """The same for a column of run dates."""
+    texts = [ds_bound(day, back, suffix) for op, back, suffix in bounds if op == wanted]
+    return texts[0] if len(texts) == 1 else (F.greatest if wanted == ">=" else F.least)(*texts)
+
+
 def backfill(tracks: DataFrame, bids: DataFrame, dates, profile=None, by: str = "origin",
-             stage_path: str | None = None) -> DataFrame:
+             stage_path: str | None = None, dedup_touches: bool = False) -> DataFrame:
     """Q15: the history loaders for many run dates as one plan.
 
     Equivalent to running the loader once per date and appending: rows of
-    different runs are never merged, even at the same grain."""
+    different runs are never merged, even at the same grain.  ``dedup_touches``
+    as in ``attributed_sales``.
+
+    Touches are not copied for the runs.  A run reads the touches of a ``ds``
+    window; for an event stored under the hour of its own time that is a range
+    of its time, so it narrows the look-back windows of the run's orders instead.
+    Only touches stored elsewhere (late files) are tagged with their runs, and
+    looked up beside the others."""
     dates = _as_dates(dates)
     if profile is None:
         profile = HISTORY.but(pin_win_day=(by == "origin"))
@@ -247,5 +337,17 @@ def backfill(tracks: DataFrame, bids: DataFrame, dates, profile=None, by: str =
     if profile.pin_win_day:
         wanted = wanted & on_days("tim_day_winning_date")
     tagged_bids = bids.where(wanted).withColumn("run_date", F.date_add("ord_created_dt", 1))
-    out = attributed_sales(tagged_tracks, tagged_bids, run, profile, by, carry=["run_date"], stage_path=stage_path)
+    if not _bounds_as_time(profile):
+        out = attributed_sales(tagged_tracks, tagged_bids, run, profile, by, carry=["run_date"], stage_path=stage_path,
+                               dedup_touches=dedup_touches)
+        return out.drop("run_date")
+    carry = ["run_date"]
+    probes = _probe_windows(tagged_bids, extract_orders(tagged_tracks, run, profile, carry=carry), run, profile, carry)
+    if stage_path is not None:
+        probes = stage(probes, stage_path)
+    in_place, elsewhere = run_touches(tracks, dates, profile, by)
+    own = _sources(in_place, profile, [])
+    own = own._replace(lo=F.greatest(own.lo, _bound_column(profile.touch_bounds, run, ">=")),
+                       hi=F.least(own.hi, _bound_column(profile.touch_bounds, run, "<")))
+    out = _credit(probes, [own, _sources(elsewhere, profile, carry)], profile, carry, _LANDINGS[by], dedup_touches)
     return out.drop("run_date")

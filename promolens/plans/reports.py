@@ -36,7 +36,7 @@ def order_touch_counts(touches: DataFrame, orders: DataFrame, *, compare="timest
     t = _origin_touches(touches)
     on = [(F.trim(F.col(k)), F.trim(F.col("t_" + k))) for k in _TOUCH_KEYS]
     matched = count_in_window(orders, t, on=on, lo="order_exact_date_sub_24h", hi="order_exact_date",
-                              at="event_exact_date", groups=["__origin"], compare=compare, how=how,
+                              at="event_exact_date", split=("__origin", [ORIGIN_CAROUSEL, ORIGIN_LANDING]), compare=compare, how=how,
                               preaggregate=False, expand="probes")
     return _counts(matched, list(grain))
 
@@ -70,9 +70,9 @@ def gmv_report(tracks: DataFrame, bids: DataFrame, analysis_date=None, grain=SAL
 
     touches = extract_touches(tracks, analysis_date, profile)
     lines = keyed(sales_lines(bids, analysis_date))
-    # only orders of these lines can reach the report: drop the others before their windows are counted
+    # orders whose device has no touch of the item end in the first join of the count, which needs no
+    # second pass over the sale lines to be selective
     orders = keyed(extract_orders(tracks, analysis_date, profile))
-    orders = orders.join(lines.select("order_id").distinct(), "order_id", "left_semi")
     counts = order_touch_counts(touches, orders, compare=profile.compare)
     per_order = counts.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("__rows"),

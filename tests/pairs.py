@@ -23,9 +23,10 @@ def pair_counts(probes, touches, *, on, lo, hi, at, groups=(), compare="string",
     return j.select(*[p[c] for c in probes.columns], *[t[g] for g in groups], F.coalesce(t["__one"], F.lit(0)).cast("long").alias(N))
 
 
-def attributed_pairs(tracks, bids, day, profile, by):
+def attributed_pairs(tracks, bids, day, profile, by, once=False):
     """The attributed family with the conditional identity as a residual of an equi
-    join on site and item: one row for each line, order event and touch."""
+    join on site and item: one row for each line, order event and touch (with ``once``
+    one for each line, order event, origin and reported platform)."""
     from promolens.operators.extract import collapse_origin, extract_orders, extract_touches
     from promolens.operators.filters import created_on, day_before, gmv_sales, promo_flagged
     from promolens.operators.joins import line_item_key
@@ -40,7 +41,7 @@ def attributed_pairs(tracks, bids, day, profile, by):
     won = F.col("tim_day_winning_date")
     lines = lines.where(won == day_before(day) if profile.pin_win_day else won.isNotNull())
     lines = line_item_key(lines).select(*_grain_columns(), "ord_order_id", "item_key", value().alias("__value"), F.col("bid_quantity_ok").alias("__qty"))
-    probes = lines.join(o, F.col("ord_order_id") == F.col("o_ord_order_id"))
+    probes = lines.join(o, F.col("ord_order_id") == F.col("o_ord_order_id")).withColumn("__row", F.monotonically_increasing_id())
     t = touches.select(*[F.col(c).alias("t_" + c) for c in touches.columns])
     if profile.identity == "user_then_uid":
         def same(p, tt):
@@ -50,6 +51,9 @@ def attributed_pairs(tracks, bids, day, profile, by):
             return tt["t_uid"] == p["o_uid"]
     matched = pair_counts(probes, t, on=[("o_sit_site_id", "t_sit_site_id"), ("item_key", "t_ite_item_id")], lo="o_order_exact_date_sub_24h",
                           hi="o_order_exact_date", at="t_event_exact_date", groups=["t_landing", "t_platform"], compare=profile.compare, condition=same)
+    if once:
+        reported = ["t_landing"] + (["t_platform"] if profile.platform_from == "touch" else [])
+        matched = matched.dropDuplicates(["__row", *reported])
     platform = F.col("t_platform" if profile.platform_from == "touch" else "o_platform")
     out = matched.groupBy(*MART_GRAIN, "fecha", platform.alias("platform"), F.col("t_landing").alias("landing")).agg(
         F.sum("__value").alias("gmve"), F.sum("__qty").alias("SI")).withColumn("atr_type", F.lit("24 HOURS"))

@@ -3,9 +3,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import CAROUSEL, DEAL, bid, bids_df, order, rows, tracks_df, view
+from conftest import CAROUSEL, DEAL, bid, bids_df, order, rows, srt, tracks_df, view
 
 from pairs import attributed_pairs
+from promolens.operators.extract import extract_touches
 from promolens.plans.mart import attributed_sales, backfill, created_days, daily_mart, promo_sales, site_sales, tag_runs
 from promolens.plans.profiles import DAILY, HISTORY
 from promolens.sources import fixtures
@@ -103,6 +104,79 @@ def test_backfill_equals_one_run_per_date(spark, small):
         assert sorted(map(tuple, one_plan.collect())) == sorted(map(tuple, per_date.collect()))
 
 
+def _displaced(tracks):
+    """The click-stream with a tenth of its events also, and a tenth only, stored under another hour."""
+    h = F.xxhash64("event_data", "server_timestamp", "usr") % 10
+    later = F.date_format(F.to_timestamp("ds", "yyyy-MM-dd HH") + F.expr("INTERVAL 30 HOURS"), "yyyy-MM-dd HH")
+    earlier = F.date_format(F.to_timestamp("ds", "yyyy-MM-dd HH") - F.expr("INTERVAL 20 HOURS"), "yyyy-MM-dd HH")
+    moved = tracks.where(F.abs(h) == 1).withColumn("ds", later).unionByName(tracks.where(F.abs(h) == 2).withColumn("ds", earlier))
+    return tracks.where(F.abs(h) != 2).unionByName(moved).unionByName(tracks.where(F.abs(h) == 3).withColumn("ds", F.lit("2024-01-0")))
+
+
+@pytest.mark.parametrize("once", [False, True])
+def test_backfill_with_touches_stored_under_other_hours(spark, once):
+    i = fixtures.inputs(spark, "/root/testdata/sf0.001")
+    tracks = _displaced(i["tracks"]).cache()
+    dates = [dt.date(2024, 1, d) for d in (2, 3, 4, 6, 9)]
+    for by, prof in (("origin", HISTORY.but(pin_win_day=True)), ("global", HISTORY), ("origin", DAILY)):
+        one_plan = backfill(tracks, i["bids"], dates, prof, by, dedup_touches=once)
+        per_date = [r for d in dates for r in rows(attributed_sales(tracks, i["bids"], d, prof, by, dedup_touches=once))]
+        assert rows(one_plan) == srt(per_date) and per_date
+
+
+def test_backfill_does_not_copy_touches(spark, small, tmp_path):
+    from promolens.plans.mart import run_touches
+    dates = [dt.date(2024, 1, d) for d in range(2, 9)]
+    small["tracks"].write.parquet(str(tmp_path / "tracks"))
+    tracks = spark.read.parquet(str(tmp_path / "tracks"))
+    own, elsewhere = run_touches(tracks, dates)
+    assert elsewhere.count() == 0 and own.count() > 0
+    want = None
+    for d in dates:
+        one = extract_touches(tracks, d, HISTORY)
+        want = one if want is None else want.union(one)
+    assert rows(own) == rows(want.distinct())
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan and plan.split("== Initial Plan ==")[0].count("FileScan") == 1
+
+
+@pytest.mark.parametrize("profile", [DAILY, HISTORY], ids=["daily", "history"])
+@pytest.mark.parametrize("by", ["origin", "global"])
+def test_dedup_touches_against_pairs(spark, profile, by):
+    i = fixtures.inputs(spark, "/root/testdata/sf0.01")
+    got = attributed_sales(i["tracks"], i["bids"], T, profile, by, dedup_touches=True)
+    want = attributed_pairs(i["tracks"], i["bids"], T, profile, by, once=True)
+    assert rows(got) == rows(want) and got.count() > 0
+    more = attributed_sales(i["tracks"], i["bids"], T, profile, by)
+    assert got.agg(F.sum("SI")).first()[0] <= more.agg(F.sum("SI")).first()[0]
+
+
+def test_dedup_touches_by_hand(spark):
+    tr = tracks_df(spark, [
+        view(fragment=CAROUSEL, at="2024-01-02 09:00:00"), view(fragment=CAROUSEL, at="2024-01-02 09:30:00"),
+        view(at="2024-01-02 10:00:00"), view(at="2024-01-02 10:00:00", platform="mobile"), view(at="2024-01-02 12:00:00"),
+        order(1, at="2024-01-02 12:00:00"), order(1, at="2024-01-02 12:00:00"), order(2, item="S02", at="2024-01-02 12:00:00"),
+    ])
+    b = bids_df(spark, [bid(1, price="10.00", qty=1), bid(2, item=2, price="7.00", qty=1)])
+    origin = attributed_sales(tr, b, T, DAILY, "origin", dedup_touches=True)
+    assert rows(origin, "landing", "gmve", "SI") == [(0, 20.0, 2), (1, 20.0, 2)]      # two order events
+    assert rows(attributed_sales(tr, b, T, DAILY, "global", dedup_touches=True), "landing", "gmve") == [(99, 20.0)]
+    history = attributed_sales(tr, b, T, HISTORY, "origin", dedup_touches=True)
+    assert rows(history, "platform", "landing", "SI") == [("mobile", 1, 2), ("web", 0, 2), ("web", 1, 2)]
+    mart = daily_mart(tr, b, T, dedup_touches=True)
+    assert rows(mart.where("atr_type = '24 HOURS'"), "landing", "gmve") == [(0, 20.0), (1, 20.0), (99, 20.0)]
+
+
+def test_both_families_in_one_pass(spark):
+    i = fixtures.inputs(spark, "/root/testdata/sf0.01")
+    for once in (False, True):
+        both = attributed_sales(i["tracks"], i["bids"], T, DAILY, "both", dedup_touches=once)
+        apart = [attributed_sales(i["tracks"], i["bids"], T, DAILY, by, dedup_touches=once) for by in ("origin", "global")]
+        assert rows(both) == rows(apart[0].unionByName(apart[1]))
+    with pytest.raises(ValueError):
+        attributed_sales(i["tracks"], i["bids"], T, DAILY, "none")
+
+
 def test_origin_rows_cover_merged_rows(spark):
     i = fixtures.inputs(spark, "/root/testdata/sf0.01")
     by_origin = attributed_sales(i["tracks"], i["bids"], T, DAILY, "origin")
