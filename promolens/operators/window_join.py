@@ -56,13 +56,13 @@ class Source(NamedTuple):
     """Touches with the windows that look them up: pairs (probe column, touch column) to be
     equal, probe columns with the window's ends, and the touch column with the time.
 
-    In place of a probe column there may be a list of them: the window looks up each, and what
-    it finds is added up.  A touch must not be found twice by them."""
+    In place of a probe column there may be a list of them (all lists of one length): the window
+    makes a lookup with each, and what they find is added up.  No touch must be found twice."""
 
     touches: DataFrame
     on: Sequence
-    lo: str | Column
-    hi: str | Column
+    lo: str | Column | list
+    hi: str | Column | list
     at: str
 
 
@@ -132,28 +132,37 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
 
 
 def count_in_windows(probes: DataFrame, sources: Sequence[Source], *, groups=(), split=None, compare: str = "string",
-                     how: str = "inner", weight=None, preaggregate: bool = True, once: bool = False) -> DataFrame:
+                     how: str = "inner", weight=None, preaggregate: bool = True, once: bool = False, window=None) -> DataFrame:
     """``count_in_window`` over several sources of touches, each with its own keys and window
-    ends: the counts of a probe are added up (with ``once`` any of them decides)."""
+    ends: the counts of a probe are added up (with ``once`` any of them decides).
+
+    ``window`` names the probe columns that the sources' expressions are made of, where these
+    are fewer than the expressions: the windows are then distinct by them."""
     groups = _check(probes, groups, split, how)
-    # what the windows are: all probe expressions that any source looks at
-    named, lists = {}, []
+    # what each source looks up, and what the windows are: by default all of that
+    looks, named = [], {}
     for i, s in enumerate(sources):
-        columns = [c if isinstance(c, list) else [c] for c, _ in s.on]
-        lists.append([[f"__k{i}_{j}_{a}" for a in range(len(c))] for j, c in enumerate(columns)])
-        named |= {n: _col(c) for ns, cs in zip(lists[-1], columns) for n, c in zip(ns, cs)} | {f"__lo{i}": _col(s.lo), f"__hi{i}": _col(s.hi)}
-    names = list(named)
+        look = {f"__key{j}": c for j, (c, _) in enumerate(s.on)} | {"__lo": s.lo, "__hi": s.hi}
+        look = {k: [_col(x) for x in c] if isinstance(c, list) else [_col(c)] for k, c in look.items()}
+        if window is None:
+            names = {k: [f"{k}_{i}_{a}" for a in range(len(c))] for k, c in look.items()}
+            named |= {n: c for k, ns in names.items() for n, c in zip(ns, look[k])}
+            look = {k: [F.col(n) for n in ns] for k, ns in names.items()}
+        looks.append(look)
     p = probes.select("*", *[c.alias(n) for n, c in named.items()])
+    names = list(named) if window is None else list(window)
     windows = p.select(*names).distinct()
     found, apart = [], len(sources) > 1
-    for i, s in enumerate(sources):
+    for s, look in zip(sources, looks):
         keys = [f"__key{j}" for j in range(len(s.on))]
-        ways = max(map(len, lists[i]))
+        ways = max(map(len, look.values()))
         apart = apart or ways > 1
-        looked = [F.struct(*[F.col(ns[a if len(ns) > 1 else 0]).alias(k) for k, ns in zip(keys, lists[i])]) for a in range(ways)]
-        w = windows.select("*", _value(compare, F.col(f"__lo{i}")).alias("__lo"), _value(compare, F.col(f"__hi{i}")).alias("__hi"))
-        w = w.select("*", F.explode(F.array(*looked)).alias("__look")).select("*", "__look.*").drop("__look") if ways > 1 else \
-            w.withColumns({k: F.col(ns[0]) for k, ns in zip(keys, lists[i])})
+
+        def way(a, look=look):
+            ends = {k: c[a if len(c) > 1 else 0] for k, c in look.items()}
+            return [(_value(compare, c) if k in ("__lo", "__hi") else c).alias(k) for k, c in ends.items()]
+        w = windows.select("*", *way(0)) if ways == 1 else windows.select(
+            "*", F.explode(F.array(*[F.struct(*way(a)) for a in range(ways)])).alias("__look")).select(*names, "__look.*")
         side = _touch_side(s, keys, groups, split, compare, weight, preaggregate)
         n = _look_up(w, side, keys, groups, split, names, compare, "inner", once)
         if not once and not apart:  # both ends of a window are in one partition already
@@ -165,7 +174,8 @@ def count_in_windows(probes: DataFrame, sources: Sequence[Source], *, groups=(),
     counts = _by_value(counts, split).where("__n > 0")
     # back to the probes, many-to-one; what only another lookup needs may be null
     counts = counts.withColumnsRenamed({n: f"__c{n}" for n in names})
-    same = [F.col(n).eqNullSafe(F.col(f"__c{n}")) if apart else F.col(n) == F.col(f"__c{n}") for n in names]
+    plain = {c for s in sources[:1] for c in [*[c for c, _ in s.on], s.lo, s.hi] if isinstance(c, str)} if len(sources) == 1 else set()
+    same = [F.col(n) == F.col(f"__c{n}") if not apart or n in plain else F.col(n).eqNullSafe(F.col(f"__c{n}")) for n in names]
     j = p.join(counts, reduce(lambda a, b: a & b, same), how)
     return j.select(*probes.columns, *groups, *_name(split), F.coalesce("__n", F.lit(0)).cast("long").alias(N))
 

@@ -77,9 +77,8 @@ def _probe_windows(bids: DataFrame, orders: DataFrame, analysis_date, profile, c
         *_grain_columns(), "ord_order_id", "item_key",
         value().alias("__value"), F.col("bid_quantity_ok").alias("__qty"), *carry)
     probes = bids_orders(lines, collapse_copies(orders), carry=carry)
-    ids = ["o_uid"] if profile.identity == "uid" else ["o_user_id", "o_uid"]
     platform_cols = ["o_platform"] if profile.platform_from == "order" else []
-    return probes.groupBy(*carry, *MART_GRAIN, "fecha", *platform_cols, *ids, *_WINDOW).agg(
+    return probes.groupBy(*carry, *MART_GRAIN, "fecha", *platform_cols, *_ids(profile), *_WINDOW).agg(
         F.sum(F.col("__value") * F.col("o___m")).alias("__value"),
         F.sum(F.col("__qty") * F.col("o___m")).alias("__qty"))
 
@@ -87,7 +86,11 @@ def _probe_windows(bids: DataFrame, orders: DataFrame, analysis_date, profile, c
 _WINDOW = ["o_sit_site_id", "item_key", "o_order_exact_date_sub_24h", "o_order_exact_date"]
 
 
-def _sources(touches: DataFrame, profile, carry) -> Source:
+def _ids(profile) -> list[str]:
+    return ["o_uid"] if profile.identity == "uid" else ["o_user_id", "o_uid"]
+
+
+def _source(touches: DataFrame, profile, carry) -> Source:
     """Touches by the keys that the probe rows look up."""
     t = touch_identity(touches, profile.identity)
     t = t.select(F.col("sit_site_id").alias("t_site"), "identity", F.col("ite_item_id").alias("t_item"),
@@ -98,11 +101,11 @@ def _sources(touches: DataFrame, profile, carry) -> Source:
     return Source(t, on, "o_order_exact_date_sub_24h", "o_order_exact_date", "event_exact_date")
 
 
-def _credit(probes: DataFrame, sources: list[Source], profile, carry, landings, dedup_touches: bool) -> DataFrame:
+def _credit(probes: DataFrame, source: Source, profile, carry, landings, dedup_touches: bool) -> DataFrame:
     """Value and units of the probe rows, once for each touch in their window (or once if there is any)."""
     groups = ["t_platform"] if profile.platform_from == "touch" else []
-    matched = count_in_windows(probes, sources, groups=groups, split=("t_landing", landings), compare=profile.compare,
-                               preaggregate=False, once=dedup_touches)
+    matched = count_in_windows(probes, [source], groups=groups, split=("t_landing", landings), compare=profile.compare,
+                               preaggregate=False, once=dedup_touches, window=[*carry, *_ids(profile), *_WINDOW])
     platform = F.col("t_platform") if profile.platform_from == "touch" else F.col("o_platform")
     out = (matched.groupBy(*carry, *MART_GRAIN, "fecha", platform.alias("platform"),
                            F.col("t_landing").alias("landing"))
@@ -150,7 +153,7 @@ def attributed_sales(tracks: DataFrame, bids: DataFrame, analysis_date=None, pro
         probes = _probe_windows(bids, orders, analysis_date, profile, carry)
         if stage_path is not None:
             probes = stage(probes, stage_path)
-    return _credit(probes, [_sources(touches, profile, carry)], profile, carry, _LANDINGS[by], dedup_touches)
+    return _credit(probes, _source(touches, profile, carry), profile, carry, _LANDINGS[by], dedup_touches)
 
 
 def _merged(touches: DataFrame, by: str) -> DataFrame:
@@ -258,32 +261,51 @@ def _bounds_as_time(profile) -> bool:
     return profile.compare == "string" and all(op in (">=", "<") and len(suffix) <= 3 for op, _, suffix in profile.touch_bounds)
 
 
-def run_touches(tracks: DataFrame, dates, profile=HISTORY, by: str = "origin") -> tuple[DataFrame, DataFrame]:
-    """Touches for many run dates, without a copy for each run: those stored under the hour of their own
-    time, once, and the others with every ``run_date`` whose ``ds`` window they are in.
+#: Run dates of one mask of bits.
+_MASK = 60
+
+
+def run_touches(tracks: DataFrame, dates, profile=HISTORY, by: str = "origin") -> DataFrame:
+    """Touches for many run dates, without a copy for each run.  ``run`` is null for touches stored
+    under the hour of their own time, which are there once; the others have a row for every run whose
+    ``ds`` window they are in.
 
-    What the runs' windows ask of the first is left to the probes (see ``backfill``).  A touch that was stored under
+    Which of the first a run may see is left to the probes (see ``backfill``).  A touch that was stored under
     its own hour and under others is one touch, as in the runs' DISTINCT."""
     dates = _as_dates(dates)
-    ranges = _merged_ranges([(_bound_text(profile.touch_bounds, d, ">="), _bound_text(profile.touch_bounds, d, "<")) for d in dates])
-    near = reduce(lambda a, b: a | b, [(F.col("ds") >= lo) & (F.col("ds") < hi) for lo, hi in ranges])
+    if by not in ("origin", "global"):
+        raise ValueError("by must be 'origin' or 'global'")
+    bounds = [(_bound_text(profile.touch_bounds, d, ">="), _bound_text(profile.touch_bounds, d, "<")) for d in dates]
+    near = reduce(lambda a, b: a | b, [(F.col("ds") >= lo) & (F.col("ds") < hi) for lo, hi in _merged_ranges(bounds)])
     rows = touch_rows(tracks, near, profile, ["ds"]).where("event_exact_date is not null")
+    if by == "global":
+        rows = rows.withColumn("landing", F.lit(LANDING_ANY))
     hour = F.substring("event_exact_date", 1, 13)
     own = F.col("ds") == hour
     cols = [c for c in rows.columns if c != "ds"]
-    if by == "global":
-        rows = rows.withColumn("landing", F.lit(LANDING_ANY))
-    once = rows.groupBy(*cols).agg(F.max(own).alias("__own"), F.collect_set(F.when(~own, F.col("ds"))).alias("__others"))
-    if by == "both":
-        raise ValueError("by must be 'origin' or 'global'")
-    in_place = once.where("__own").select(*cols)
 
-    def in_run(c, d):
-        return (c >= _bound_column(profile.touch_bounds, d, ">=")) & (c < _bound_column(profile.touch_bounds, d, "<"))
-    runs = F.filter(F.array(*[F.lit(d) for d in dates]), lambda d: (
-        F.exists("__others", lambda ds: in_run(ds, d)) & ~(F.col("__own") & in_run(hour, d))))
-    elsewhere = once.where(F.size("__others") > 0).select(*cols, F.explode(runs).alias("run_date"))
-    return in_place, elsewhere
+    def runs(k):  # one expression: a call for each literal would take longer than the query
+        each = list(zip(dates, bounds))[k:k + _MASK]
+        return F.expr("array(" + ", ".join(f"named_struct('run', DATE'{d}', 'lo', '{lo}', 'hi', '{hi}', 'bit', {1 << b}L)"
+                                           for b, (d, (lo, hi)) in enumerate(each)) + ")")
+
+    def mask(k):
+        seen = F.filter(runs(k), lambda r: (F.col("ds") >= r["lo"]) & (F.col("ds") < r["hi"]))
+        return F.when(own, F.lit(0).cast("long")).otherwise(
+            F.aggregate(seen, F.lit(0).cast("long"), lambda m, r: m.bitwiseOR(r["bit"])))
+
+    steps = range(0, len(dates), _MASK)
+    once = rows.groupBy(*cols).agg(F.max(own).alias("__own"), *[F.bit_or(mask(k)).alias(f"__mask{k}") for k in steps])
+    elsewhere = [_others(runs(k), F.col(f"__mask{k}"), hour) for k in steps]
+    here = F.when(F.col("__own"), F.array(F.lit(None).cast("date"))).otherwise(F.array().cast("array<date>"))
+    some = reduce(lambda a, b: a | b, [F.col(f"__mask{k}") != 0 for k in steps])
+    return once.select(*cols, F.explode(F.when(some, F.concat(here, *elsewhere)).otherwise(here)).alias("run"))
+
+
+def _others(runs, mask, hour):
+    """Runs of a mask of bits, but for those that see the touch under its own hour."""
+    seen = F.filter(runs, lambda r: (mask.bitwiseAND(r["bit"]) != 0) & ~(F.col("__own") & (hour >= r["lo"]) & (hour < r["hi"])))
+    return F.transform(seen, lambda r: r["run"])
 
 
 def _merged_ranges(ranges: list[tuple[str, str]]) -> list[tuple[str, str]]:
@@ -345,9 +367,15 @@ def backfill(tracks: DataFrame, bids: DataFrame, dates, profile=None, by: str =
     probes = _probe_windows(tagged_bids, extract_orders(tagged_tracks, run, profile, carry=carry), run, profile, carry)
     if stage_path is not None:
         probes = stage(probes, stage_path)
-    in_place, elsewhere = run_touches(tracks, dates, profile, by)
-    own = _sources(in_place, profile, [])
-    own = own._replace(lo=F.greatest(own.lo, _bound_column(profile.touch_bounds, run, ">=")),
-                       hi=F.least(own.hi, _bound_column(profile.touch_bounds, run, "<")))
-    out = _credit(probes, [own, _sources(elsewhere, profile, carry)], profile, carry, _LANDINGS[by], dedup_touches)
+    every = F.lit("every")
+    t = run_touches(tracks, dates, profile, by).withColumn("seen_by", F.coalesce(F.col("run").cast("string"), every))
+    source = _source(t, profile, ["seen_by"])
+    site, (ids, identity), item, _ = source.on
+    low, high = (_bound_column(profile.touch_bounds, run, op) for op in (">=", "<"))
+    lo, hi = F.col(source.lo), F.col(source.hi)
+    # for each identity a lookup among the touches that runs share, within the run's bounds, and one among its own
+    source = source._replace(
+        on=[site, ([i for i in ids for _ in range(2)], identity), item, ([every, run.cast("string")] * len(ids), "t_seen_by")],
+        lo=[F.greatest(lo, low), lo] * len(ids), hi=[F.least(hi, high), hi] * len(ids))
+    out = _credit(probes, source, profile, carry, _LANDINGS[by], dedup_touches)
     return out.drop("run_date")

@@ -124,20 +124,34 @@ def test_backfill_with_touches_stored_under_other_hours(spark, once):
         assert rows(one_plan) == srt(per_date) and per_date
 
 
+def test_more_runs_than_a_mask_holds(spark, small, monkeypatch):
+    from promolens.plans import mart
+    tracks = _displaced(small["tracks"]).cache()
+    dates = [dt.date(2024, 1, d) for d in range(1, 20)]
+    whole = rows(mart.run_touches(tracks, dates))
+    monkeypatch.setattr(mart, "_MASK", 4)
+    assert rows(mart.run_touches(tracks, dates)) == whole
+
+
 def test_backfill_does_not_copy_touches(spark, small, tmp_path):
     from promolens.plans.mart import run_touches
     dates = [dt.date(2024, 1, d) for d in range(2, 9)]
     small["tracks"].write.parquet(str(tmp_path / "tracks"))
     tracks = spark.read.parquet(str(tmp_path / "tracks"))
-    own, elsewhere = run_touches(tracks, dates)
-    assert elsewhere.count() == 0 and own.count() > 0
+    own = run_touches(tracks, dates)
+    assert own.where("run is not null").count() == 0 and own.count() > 0
+    own = own.drop("run")
     want = None
     for d in dates:
         one = extract_touches(tracks, d, HISTORY)
         want = one if want is None else want.union(one)
     assert rows(own) == rows(want.distinct())
     plan = own._jdf.queryExecution().executedPlan().toString()
-    assert "explode" not in plan and plan.split("== Initial Plan ==")[0].count("FileScan") == 1
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and not any("Generate explode" in ln for ln in final[final.index("Exchange"):].splitlines())
+    # of touches stored under other hours only those have a row for each run
+    late = run_touches(_displaced(tracks), dates)
+    assert 0 < late.where("run is not null").count() < late.where("run is null").count()
 
 
 @pytest.mark.parametrize("profile", [DAILY, HISTORY], ids=["daily", "history"])
