@@ -25,7 +25,9 @@ from promolens.plans.profiles import DAILY, GMV_REPORT, HISTORY, VOLUME_REPORT
 from promolens.plans.reports import SITE_HOUR, gmv_report, order_touch_counts, volume_report
 from promolens.session import checkpoint_dir
 from promolens.sources import fixtures
-from promolens.sources.mart import append_mart, read_mart, remove_staged, stage_touches, write_mart_run
+from promolens.sources.mart import (
+    append_mart, create_mart_table, read_mart, remove_staged, stage_touches, write_mart_run,
+)
 from promolens.sources.tables import test_customers as _test_customers
 
 ANALYSIS_DATE = _dt.date(2024, 1, 3)
@@ -138,6 +140,25 @@ def q_daily_global(spark, sf_dir):
     return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, DAILY, "global", stage_path=_scratch(spark, "lines"))
 
 
+def q_daily_origin_once(spark, sf_dir):
+    """Each line and order event credited once for each origin, however many touches it has."""
+    i = _in(spark, sf_dir)
+    return attributed_sales(i["tracks"], i["bids"], ANALYSIS_DATE, DAILY, "origin", stage_path=_scratch(spark, "lines"),
+                            dedup_touches=True)
+
+
+def q_backfill_global_once(spark, sf_dir):
+    """The history of all runs, a line credited once for each order event and touch platform."""
+    return _backfill(spark, sf_dir, "global", dedup_touches=True)
+
+
+def q_daily_mart_today(spark, sf_dir):
+    """The daily job without a date: it runs for today, on inputs moved so that the usual run date is today."""
+    today = spark.sql("SELECT current_date()").first()[0]
+    i = fixtures.stored_inputs(spark, sf_dir, (today - ANALYSIS_DATE).days)
+    return daily_mart(i["tracks"], i["bids"], stage_path=_scratch(spark, "staged"))
+
+
 def q_promo_sales(spark, sf_dir):
     return promo_sales(_in(spark, sf_dir)["bids"], ANALYSIS_DATE)
 
@@ -168,16 +189,47 @@ def q_mart_round_trip(spark, sf_dir):
     return read_mart(spark, path)
 
 
+def _run_twice(spark, sf_dir, target):
+    """The daily job as the same run, and a run of another day in between and its rows removed again by
+    an empty rerun: a rerun replaces its own run and nothing else."""
+    i = _in(spark, sf_dir)
+    staged, other = _scratch(spark, "staged"), ANALYSIS_DATE + _dt.timedelta(days=1)
+    mart = daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=staged)
+    write_mart_run(mart, target, ANALYSIS_DATE)
+    another = site_sales(i["bids"], other)
+    write_mart_run(another, target, other)
+    write_mart_run(another.limit(0), target, other)
+    write_mart_run(mart, target, ANALYSIS_DATE)
+    remove_staged(spark, staged)
+    return read_mart(spark, target)
+
+
 def q_mart_run(spark, sf_dir):
     """The daily mart written twice as the same run, into a folder that the
     second write replaces, and read back."""
+    return _run_twice(spark, sf_dir, _scratch(spark, "runs"))
+
+
+def _table(prefix):
+    import uuid
+    return f"{prefix}_{uuid.uuid4().hex}"
+
+
+def q_mart_table_run(spark, sf_dir):
+    """The same into a catalog table partitioned by run date and day."""
+    table = _table("mart_runs")
+    create_mart_table(spark, table, _scratch(spark, "runs"), by_run=True)
+    return _run_twice(spark, sf_dir, table)
+
+
+def q_mart_external(spark, sf_dir):
+    """The mart as an external table: written by path, registered, and read from the catalog."""
     i = _in(spark, sf_dir)
-    path, staged = _scratch(spark, "runs"), _scratch(spark, "staged")
-    mart = daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=staged)
-    for _ in range(2):
-        write_mart_run(mart, path, ANALYSIS_DATE)
+    path, staged, table = _scratch(spark, "mart"), _scratch(spark, "staged"), _table("mart")
+    create_mart_table(spark, table, path)
+    append_mart(daily_mart(i["tracks"], i["bids"], ANALYSIS_DATE, stage_path=staged), path, table)
     remove_staged(spark, staged)
-    return read_mart(spark, path)
+    return read_mart(spark, table)
 
 
 def q_touches_reread(spark, sf_dir):
@@ -185,10 +237,10 @@ def q_touches_reread(spark, sf_dir):
     return stage_touches(extract_touches(_in(spark, sf_dir)["tracks"], ANALYSIS_DATE, DAILY), _scratch(spark, "staged"))
 
 
-def _backfill(spark, sf_dir, by):
+def _backfill(spark, sf_dir, by, **options):
     i = _in(spark, sf_dir)
     dates = [d + _dt.timedelta(days=1) for d in created_days(i["bids"])]
-    return backfill(i["tracks"], i["bids"], dates, by=by, stage_path=_scratch(spark, "lines"))
+    return backfill(i["tracks"], i["bids"], dates, by=by, stage_path=_scratch(spark, "lines"), **options)
 
 
 def q_backfill_origin(spark, sf_dir):
@@ -218,14 +270,19 @@ _QUERIES = {
     "history_global": q_history_global,
     "daily_origin": q_daily_origin,
     "daily_global": q_daily_global,
+    "daily_origin_once": q_daily_origin_once,
     "promo_sales": q_promo_sales,
     "site_sales": q_site_sales,
     "daily_mart": q_daily_mart,
     "mart_round_trip": q_mart_round_trip,
+    "daily_mart_today": q_daily_mart_today,
     "mart_run": q_mart_run,
+    "mart_table_run": q_mart_table_run,
+    "mart_external": q_mart_external,
     "touches_reread": q_touches_reread,
     "backfill_origin": q_backfill_origin,
     "backfill_global": q_backfill_global,
+    "backfill_global_once": q_backfill_global_once,
 }
 
 

@@ -114,8 +114,8 @@ def count_in_window(probes: DataFrame, touches: DataFrame, *, on, lo, hi, at, gr
     counts back to the probes: right when probes are wide and several share
     a window.  ``expand="probes"`` looks up the probe rows themselves, without
     the distinct and the join back, and gives one row with ``-R(lo)`` and one
-    with ``R(hi)``: right when each probe is its own window and the rows are
-    narrow (the reports' order rows)."""
+    with ``R(hi)``, which also add up to 0 for a probe without touches: right when
+    each probe is its own window and the rows are narrow (the reports' order rows)."""
     source = Source(touches, on, lo, hi, at)
     if expand == "windows":
         return count_in_windows(probes, [source], groups=groups, split=split, compare=compare, how=how, weight=weight,

@@ -38,7 +38,8 @@ def order_touch_counts(touches: DataFrame, orders: DataFrame, *, compare="timest
     matched = count_in_window(orders, t, on=on, lo="order_exact_date_sub_24h", hi="order_exact_date",
                               at="event_exact_date", split=("__origin", [ORIGIN_CAROUSEL, ORIGIN_LANDING]), compare=compare, how=how,
                               preaggregate=False, expand="probes")
-    return _counts(matched, list(grain))
+    counts = _counts(matched, list(grain))
+    return counts if how == "left" else counts.where("n_carousel + n_landing > 0")
 
 
 def gmv_report(tracks: DataFrame, bids: DataFrame, analysis_date=None, grain=SALES_GRAIN,

@@ -8,5 +8,5 @@ from promolens.sources.tables import (  # noqa: F401
     read_bids, read_customers, read_touches, read_tracks, test_customers,
 )
 from promolens.sources.mart import (  # noqa: F401
-    append_mart, read_mart, stage_touches, to_mart, write_mart_run,
+    append_mart, create_mart_table, read_mart, register_partitions, stage_touches, to_mart, write_mart_run,
 )

@@ -22,6 +22,7 @@ Mapping summary (``k`` = ``props.k``, 0..99):
 
 from __future__ import annotations
 
+import datetime as _dt
 import threading
 import uuid
 
@@ -144,7 +145,7 @@ def tracks(t: dict[str, DataFrame]) -> DataFrame:
     return views.unionByName(buys)
 
 
-def bids(t: dict[str, DataFrame]) -> DataFrame:
+def bids(t: dict[str, DataFrame], first_day: str = FIRST_DAY) -> DataFrame:
     """Sale lines: every line with its order, part and purchase event, if any."""
     ev = _common(t["events"]).where(F.col("event_type") == "purchase").select("event_id", "_site", "_day", "_hhmmss")
     key = F.col("o_orderkey")
@@ -153,7 +154,7 @@ def bids(t: dict[str, DataFrame]) -> DataFrame:
              .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
              .join(ev, key == ev.event_id, "left")
              .withColumn("_site", F.coalesce("_site", F.concat(F.lit("S"), (key % 3).cast("string"))))
-             .withColumn("_day", F.coalesce("_day", F.date_add(F.lit(FIRST_DAY).cast("date"), (key % 30).cast("int"))))
+             .withColumn("_day", F.coalesce("_day", F.date_add(F.lit(first_day).cast("date"), (key % 30).cast("int"))))
              .withColumn("_hhmmss", F.coalesce(F.col("_hhmmss").cast("long"), F.floor(second / 3600) * 10000
                                                + F.floor(second % 3600 / 60) * 100 + second % 60)))
 
@@ -190,19 +191,24 @@ def customers(t: dict[str, DataFrame]) -> DataFrame:
                     F.when(F.col("c_mktsegment") == TEST_SEGMENT, "true").otherwise("false").alias("is_test"))
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """``{"tracks", "bids", "customers"}`` derived from the tables in ``sf_dir``."""
+def inputs(spark: SparkSession, sf_dir: str, days: int = 0) -> dict[str, DataFrame]:
+    """``{"tracks", "bids", "customers"}`` derived from the tables in ``sf_dir``, all
+    times moved by so many days."""
     t = load(spark, sf_dir)
-    return {"tracks": tracks(t), "bids": bids(t), "customers": customers(t)}
+    if days:
+        t["events"] = t["events"].withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {int(days)} DAYS"))
+    first = _dt.date.fromisoformat(FIRST_DAY) + _dt.timedelta(days=days)
+    return {"tracks": tracks(t), "bids": bids(t, first.isoformat()), "customers": customers(t)}
 
 
 _WRITTEN: dict = {}
 _LOCK = threading.Lock()
 
 
-def stored_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def stored_inputs(spark: SparkSession, sf_dir: str, days: int = 0) -> dict[str, DataFrame]:
     """The derived inputs written once per application as Parquet tables and
-    read back through the readers, like the warehouse tables they stand for.
+    read back through the readers, like the warehouse tables they stand for;
+    all times moved by so many ``days``.
 
     The click-stream is range clustered by ``ds`` and, within it, by time and
     content, so that an hour that holds very many rows is split over several
@@ -210,18 +216,18 @@ def stored_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     row groups and files.  The tables live in the session's checkpoint folder
     (``spark.checkpoint.dir``, shared storage on a cluster) in a folder of this
     application's own; a changed source is seen by a new application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, days)
     with _LOCK:
         if key not in _WRITTEN:
-            _WRITTEN[key] = _store(spark, sf_dir)
+            _WRITTEN[key] = _store(spark, sf_dir, days)
         paths = _WRITTEN[key]
     return {"tracks": read_tracks(spark, paths["tracks"]), "bids": read_bids(spark, paths["bids"]),
             "customers": read_customers(spark, paths["customers"])}
 
 
-def _store(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _store(spark: SparkSession, sf_dir: str, days: int = 0) -> dict[str, str]:
     base = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
-    derived = inputs(spark, sf_dir)
+    derived = inputs(spark, sf_dir, days)
     paths = {name: f"{base}/{name}" for name in derived}
     order = ["ds", "server_timestamp", F.xxhash64("event_data", "usr.uid")]
     derived["tracks"].repartitionByRange(*order).sortWithinPartitions("ds").write.parquet(paths["tracks"])

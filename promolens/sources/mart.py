@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promolens.sources.schemas import MART_SCHEMA, TOUCH_SCHEMA
 from promolens.sources.tables import read_touches
@@ -33,28 +35,85 @@ def _by_day(df: DataFrame) -> DataFrame:
     return to_mart(df).hint("rebalance", F.col("fecha"))
 
 
-def append_mart(df: DataFrame, target: str) -> None:
+#: Partition column of a table that keeps runs apart.
+RUN = "run_date"
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part.strip('`')}`" for part in name.split("."))
+
+
+def create_mart_table(spark: SparkSession, table: str, location: str | None = None, by_run: bool = False) -> None:
+    """K3: the mart as a catalog table with the declared columns and types,
+    partitioned by ``fecha`` (with ``by_run`` by run date and ``fecha``).
+
+    With a ``location`` the table is external: dropping it keeps the files, and
+    folders that were written there by path are seen after
+    ``register_partitions``.  A table that exists is left as it is, but must
+    have the mart's columns."""
+    partitions = [T.StructField(RUN, T.DateType())] if by_run else []
+    fields = [*MART_SCHEMA.fields[:-1], *partitions, MART_SCHEMA.fields[-1]]
+    if spark.catalog.tableExists(table):
+        have = {f.name.lower(): f.dataType for f in spark.table(table).schema.fields}
+        wrong = [f.name for f in fields if have.get(f.name.lower()) != f.dataType]
+        if wrong or len(have) != len(fields):
+            raise ValueError(f"table {table} has not the columns of the mart: {wrong or sorted(have)}")
+        return
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    by = ", ".join(f"`{f.name}`" for f in [*partitions, MART_SCHEMA.fields[-1]])
+    at = "" if location is None else " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    spark.sql(f"CREATE TABLE {_quoted(table)} ({columns}) USING parquet PARTITIONED BY ({by}){at}")
+
+
+def register_partitions(spark: SparkSession, table: str) -> None:
+    """Make the table see partition folders that were written by path (or are gone)."""
+    spark.sql(f"MSCK REPAIR TABLE {_quoted(table)} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
+def append_mart(df: DataFrame, target: str, table: str | None = None) -> None:
     """K4/K5: dynamic-partition append by ``fecha`` (the reference's mode: a
     rerun appends again).  ``target`` is a path or a catalog table, which is
-    created as a partitioned Parquet table when it does not exist."""
+    created with the mart's columns when it does not exist.  ``table``: the
+    external table over a path, whose partitions are then registered."""
     rows = _by_day(df)
     if _is_path(target):
         rows.write.mode("append").partitionBy("fecha").parquet(target)
-    elif df.sparkSession.catalog.tableExists(target):
-        rows.write.insertInto(target)
-    else:
-        rows.write.format("parquet").partitionBy("fecha").saveAsTable(target)
+        if table is not None:
+            register_partitions(df.sparkSession, table)
+        return
+    create_mart_table(df.sparkSession, target)
+    rows.write.insertInto(target)
 
 
-def write_mart_run(df: DataFrame, path: str, run_date) -> str:
-    """Idempotent variant of K4: the run's rows live under
-    ``run_date=<date>/fecha=<day>/`` and a rerun replaces exactly that run,
-    even when it wrote other ``fecha`` partitions (attributed rows are
-    filtered by creation date but partitioned by winning date)."""
+def write_mart_run(df: DataFrame, target: str, run_date, table: str | None = None) -> str:
+    """Idempotent variant of K4: a rerun replaces exactly its own run, even when
+    it wrote other ``fecha`` partitions (attributed rows are filtered by creation
+    date but partitioned by winning date).
+
+    ``target`` is a path, where the run's rows live under
+    ``run_date=<date>/fecha=<day>/``, or a catalog table partitioned by both,
+    which is created when it does not exist.  ``table`` as in ``append_mart``."""
     if isinstance(run_date, str):
         run_date = _dt.date.fromisoformat(run_date)
-    target = f"{path.rstrip('/')}/run_date={run_date.isoformat()}"
-    _by_day(df).write.mode("overwrite").partitionBy("fecha").parquet(target)
+    spark, day = df.sparkSession, run_date.isoformat()
+    if _is_path(target):
+        at = f"{target.rstrip('/')}/{RUN}={day}"
+        _by_day(df).write.mode("overwrite").partitionBy("fecha").parquet(at)
+        if table is not None:
+            register_partitions(spark, table)
+        return at
+    if spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "static":
+        raise RuntimeError("with dynamic partition overwrite a rerun would keep days that it no longer writes")
+    create_mart_table(spark, target, by_run=True)
+    view = f"mart_run_{uuid.uuid4().hex}"
+    _by_day(df).createOrReplaceTempView(view)
+    try:
+        # a given run date and any day: all partitions of the run are replaced in one commit
+        columns = ", ".join(f"`{f.name}`" for f in MART_SCHEMA.fields)
+        spark.sql(f"INSERT OVERWRITE TABLE {_quoted(target)} PARTITION (`{RUN}` = DATE'{day}', `fecha`) SELECT {columns} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
     return target
 
 

@@ -143,3 +143,11 @@ def test_volume_report_reads_touches_and_orders_once(spark, tmp_path):
     tracks, customers = (spark.read.parquet(str(tmp_path / n)) for n in ("tracks", "customers"))
     scans = _scans(volume_report(tracks, customers, catalog.ANALYSIS_DATE))
     assert len([s for s in scans if "/tracks" in s]) == 2 and len([s for s in scans if "/customers" in s]) == 1
+
+
+def test_a_run_without_a_date_prunes_partitions(spark, partitioned_tracks):
+    today = spark.sql("SELECT current_date()").first()[0]
+    for df in (extract_touches(partitioned_tracks, None, DAILY), extract_orders(partitioned_tracks, None, DAILY)):
+        scan = " ".join(_scan_lines(_plan(df)))
+        filters = scan[scan.index("PartitionFilters"):scan.index("PushedFilters")]
+        assert today.isoformat() in filters and "current_date" not in filters
