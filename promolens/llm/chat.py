@@ -7,10 +7,11 @@ A log row is (conversation, sequence number, message, kind, role, text).  Kinds:
 * ``edit``        the message's text is replaced;
 * ``regenerate``  the message's text so far is dropped and, if a text is given, begins with it.
 
-``fold`` brings the rows of each message together (a conversation with very many
-rows is thereby spread over its messages), finds the last row that replaces the
-text, and joins the texts from there in sequence.  ``render`` turns each message
-into a marked turn:
+``fold`` partitions the log by conversation and message (a conversation with very many
+rows is thereby spread over its messages) and sorts each part by sequence.  Read from its
+end, a row counts until one that replaces the text has been met; the rows before that
+are dropped while they stream by, and the texts of the others, which make up the
+message, are joined in sequence.  ``render`` turns each message into a marked turn:
 
     ### User: text </turn>
     ### Assistant: text </turn>
@@ -20,13 +21,15 @@ also ``:`` and ``=``), so no mark can occur in a text, and ``parse`` undoes it.
 loss mask is a span of each assistant turn: its escaped text.
 
 Defined results: null texts and roles are empty; rows with a null kind are whole
-messages; unknown kinds are an error; ties in sequence go by kind and text; a
-message keeps the place of its first row; null sequence numbers come first.
+messages; unknown kinds are an error; ties in sequence go by kind and text; rows that
+repeat are rows of their own (a repeated delta adds its text twice); a message keeps
+the place and role of its first row; null sequence numbers come first, null conversations
+and messages are ones of their own; an empty log gives no messages; other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the template
@@ -49,18 +52,18 @@ def fold(events: DataFrame, *, conversation="conv_id", seq="seq", message="messa
     """``(conversation, place, message, role, text)``, a row for each message."""
     k = F.coalesce(F.col(kind), F.lit("message"))
     checked = F.when(k.isin(*KINDS), k).otherwise(F.raise_error(F.concat(F.lit("unknown event kind: "), k)))
-    row = F.struct(F.col(seq).alias("seq"), checked.alias("kind"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-                   F.coalesce(F.col(role), F.lit("")).alias("role"))
-    rows = F.array_sort(F.collect_list(row))
-    logs = events.groupBy(F.col(conversation).alias("conversation"), F.col(message).alias("message")).agg(rows.alias("log"))
-    replaced = F.transform("log", lambda x: x["kind"] != "delta")
-    last = F.array_size("log") - F.array_position(F.reverse(replaced), True) + 1
-    begin = F.when(F.array_contains(replaced, True), last).otherwise(F.lit(1)).cast("int")
-    kept = F.expr("slice(log, begin, size(log))")
-    return (logs.withColumn("begin", begin)
-            .select("conversation", F.col("log")[0]["seq"].alias("place"), "message",
-                    F.col("log")[0]["role"].alias("role"),
-                    F.array_join(F.transform(kept, lambda x: x["text"]), "").alias("text")))
+    log = events.select(F.col(conversation).alias("conversation"), F.col(message).alias("message"), F.struct(
+        F.col(seq).alias("seq"), checked.alias("kind"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.coalesce(F.col(role), F.lit("")).alias("role")).alias("row"))
+    part = Window.partitionBy("conversation", "message")
+    from_end = part.orderBy(F.desc("row")).rowsBetween(Window.unboundedPreceding, -1)
+    replaced = F.max(F.col("row.kind") != "delta").over(from_end)  # by a later row
+    first = F.min(F.struct("row.seq", "row.kind", "row.text", "row.role")).over(part)
+    # the place and role of the first row, also where it is replaced itself
+    kept = log.withColumn("replaced", replaced).withColumn("first", first).where("replaced IS NULL OR NOT replaced")
+    texts = F.transform(F.array_sort(F.collect_list("row")), lambda x: x["text"])
+    return kept.groupBy("conversation", "message").agg(F.min("first").alias("first"), F.array_join(texts, "").alias("text")).select(
+        "conversation", F.col("first.seq").alias("place"), "message", F.col("first.role").alias("role"), "text")
 
 
 def render(messages: DataFrame) -> DataFrame:

@@ -8,8 +8,9 @@ counted over all documents in a table of a bounded number of slots, one for ever
 that is the same for all sets gives the same links).
 
 1. one pass counts shingles and keeps, for each document, the size of its set, a hash of
-   128 bits of it and how many members fall in each of ``RANGES`` ranges of the hash;
-   documents with equal sets are one class, and only its smallest id goes on;
+   128 bits of it, how many members fall in each of ``RANGES`` ranges of the hash, and
+   whether that number is odd for each of ``64 * SKETCH`` slots; documents with equal sets
+   are one class, and only its smallest id goes on;
 2. one pass sends the prefixes to buckets of shingles; a shingle in one prefix only goes
    no further, and of shingles that the same documents have only one does, with their number;
 3. in ``ROUNDS`` rounds every document proposes one partner, the one it shares most prefix
@@ -19,15 +20,17 @@ that is the same for all sets gives the same links).
 4. for every shingle whose documents are still in several components, all pairs of
    documents from different components are compared that pass the length filter, the
    positional filter (what lies before and after the shared shingle) and, as suffix
-   filter, the members by range of the hash.  Each pair is verified once on full sets.
+   filters, the odd slots (a member that only one of both has changes one slot, so sets
+   differ in as many members as in slots at least) and the members by range of the hash.
+   Each pair is verified once on full sets.
 
 All links between documents that step 3 has not joined are found in step 4, so the
 components are those of all links.
 
 Defined results: null and empty texts, and texts of white space, have an empty set
 and link with nothing; with fewer than ``N`` words the whole run is the one member;
-rows with a null id get their size and a null component; rows that repeat an id are
-one document whose text is the one with the largest set (of equally large ones the one
+rows with a null id get their size and a null component; an empty table gives no rows and
+other columns are not read; rows that repeat an id are one document whose text is the one with the largest set (of equally large ones the one
 with the largest hash): they are one row before prefixes are sent.
 """
 
@@ -35,6 +38,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -50,10 +54,13 @@ N = 5
 #: Bytes of text for a slot of the table of counts, fewest and most slots (2^bits; a byte each is
 #: broadcast), parts it is merged in, ranges of the suffix filter.
 SLOT_BYTES, LEAST_BITS, MOST_BITS, PARTS, RANGES = 128, 18, 25, 16, 256
+#: Longs of a document's odd slots.
+SKETCH = 16
 #: Rounds in which documents propose partners.
 ROUNDS = 5
-#: Shingles of all sets for each bucket (a quarter of them are in prefixes).
-BUCKET = 6_000_000
+#: Shingles of all sets for each bucket (a quarter of them are in prefixes), and postings that a task holds before
+#: it sends them.
+BUCKET, HELD = 3_000_000, 300_000
 #: Similarity as a fraction, so that comparisons are exact.
 OVER, UNDER = 75, 100
 #: Most ids that are broadcast to pick out documents; beyond that they are joined.
@@ -76,6 +83,12 @@ def _ranges(s: np.ndarray) -> bytes:
     return count.astype(np.uint16).tobytes() if len(s) and count.max() < 1 << 16 else b""
 
 
+def _odd(s: np.ndarray) -> np.ndarray:
+    """One bit for each slot: whether an odd number of members falls in it."""
+    count = np.bincount(((s >> np.uint64(40)) & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH)
+    return np.packbits((count & 1).astype(np.uint8)).view(np.int64)
+
+
 def _whole(s: np.ndarray) -> bytes:
     """A hash of 128 bits of a set."""
     return b"".join(int(mix(s ^ np.uint64(x)).sum(dtype=np.uint64)).to_bytes(8, "big") for x in (0x9E3779B97F4A7C15, 0x5851F42D4C957F2D))
@@ -93,19 +106,19 @@ def _count(n: int, bits: int):
         total = np.zeros(slots, np.int32)
         seen = False
         for batch in batches:
-            keys, sizes, ranges, wholes = [], [], [], []
-            rows = pd.array(batch["_row"], "Int64")
+            sizes, ranges, wholes, odd = [], [], [], []
+            n_rows = len(batch)
             pending, held = [], 0
 
             def add():
                 at, times = np.unique(np.concatenate(pending), return_counts=True)
                 total[at] += times.astype(np.int32)
 
-            for _, key, s in _sets(batch, n):
-                keys.append(key)
+            for _, _, s in _sets(batch, n):
                 sizes.append(len(s))
                 ranges.append(_ranges(s))
                 wholes.append(_whole(s))
+                odd.append(_odd(s))
                 pending.append((s & np.uint64(slots - 1)).astype(np.int64))
                 held += len(s)
                 if held > 1 << 20:
@@ -113,12 +126,13 @@ def _count(n: int, bits: int):
                     pending, held = [], 0
             if held:
                 add()
-            seen = seen or bool(keys)
-            yield pd.DataFrame({"part": pd.array([None] * len(keys), "Int32"), "id": pd.array(keys, "Int64"), "row": rows,
-                                "n": pd.array(sizes, "Int64"), "whole": wholes, "data": ranges})
+            seen = seen or n_rows > 0
+            # no column of the input has a null: pandas would round it through doubles
+            yield pd.DataFrame({"part": pd.array([None] * n_rows, "Int32"), "none": batch["_none"], "id": batch["_id"], "row": batch["_row"],
+                                "n": sizes, "whole": wholes, "odd": odd, "data": ranges})
         if seen:
-            yield pd.DataFrame({"part": pd.array(range(PARTS), "Int32"), "id": pd.array([None] * PARTS, "Int64"),
-                                "row": pd.array([None] * PARTS, "Int64"), "n": pd.array([None] * PARTS, "Int64"), "whole": [None] * PARTS,
+            yield pd.DataFrame({"part": pd.array(range(PARTS), "Int32"), "none": [True] * PARTS, "id": [0] * PARTS, "row": [0] * PARTS,
+                                "n": [0] * PARTS, "whole": [None] * PARTS, "odd": [None] * PARTS,
                                 "data": [zstandard.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in range(PARTS)]})
     return run
 
@@ -163,7 +177,7 @@ def _send_prefixes(order, n: int, buckets: int):
                 return pd.DataFrame(rows, columns=["bucket", "data"])
 
             for _, key, s in _sets(batch, n):
-                if not len(s) or pd.isna(key):
+                if not len(s):
                     continue
                 k = prefix_length(len(s))
                 c = counts[(s & np.uint64(len(counts) - 1)).astype(np.int64)]
@@ -174,7 +188,7 @@ def _send_prefixes(order, n: int, buckets: int):
                 ids.append(key)
                 sizes.append(len(s))
                 held += k
-                if held > 2_000_000 or len(ids) > 60_000:
+                if held > HELD or len(ids) > 60_000:
                     yield frame()
                     h, doc, place, ids, sizes, held = [], [], [], [], [], 0
             if held:
@@ -235,17 +249,22 @@ def _alike(common, a, b):
 def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFrame:
     """``(key, n_shingles, component_id)`` for every row."""
     spark = docs.sparkSession
-    source = docs.select(F.col(key).cast("long").alias("_id"), F.xxhash64(text).alias("_row"), F.col(text).alias("_text"))
+    id_ = F.col(key).cast("long")
+    # no nullable number goes to Python: pandas would turn its column into doubles and round large ids
+    source = docs.select(id_.isNull().alias("_none"), F.coalesce(id_, F.lit(0)).cast("long").alias("_id"),
+                         F.xxhash64(text).alias("_row"), F.col(text).alias("_text"))
     size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = min(MOST_BITS, max(LEAST_BITS, (size // SLOT_BYTES).bit_length()))
-    counted = stored(source.mapInPandas(_count(n, bits), "part int, id long, row long, n long, whole binary, data binary"), "counted")
-    info = counted.where("part is null").select("id", "row", F.col("n").cast("long").alias("n"), "whole", "data")
+    counted = stored(source.mapInPandas(_count(n, bits), "part int, none boolean, id long, row long, n long, whole binary, "
+                                                       "odd array<long>, data binary"), "counted")
+    info = counted.where("part is null").select(F.expr("if(none, null, id)").alias("id"), "row", "n", "whole", "odd", "data")
+    source = source.where("NOT _none").drop("_none")
     merged = (counted.where("part is not null").select("part", "data").repartition("part")
               .mapInPandas(_merge, "part int, data binary").collect())  # one table of fixed size
     order = b"".join(bytes(r["data"]) for r in sorted(merged, key=lambda r: r["part"])) or b"\0"
     buckets = pieces(info.agg(F.sum("n")).first()[0] or 0, BUCKET)
     each = stored(info.where("id is not null and n > 0").groupBy(F.col("id").alias("doc"))
-                  .agg(F.max(F.struct("n", "row", "whole", "data")).alias("_s"), F.count("*").alias("rows")).select("doc", "_s.*", "rows"), "documents")
+                  .agg(F.max(F.struct("n", "row", "whole", "odd", "data")).alias("_s"), F.count("*").alias("rows")).select("doc", "_s.*", "rows"), "documents")
     classes = each.groupBy("n", "whole").agg(F.min("doc").alias("class"), F.count("*").alias("k")).where("k > 1").drop("k")
     copies = stored(each.join(classes, ["n", "whole"]).where("doc <> class").select("doc", "class"), "copies")
     source = _one_row_each(source, each, copies)
@@ -255,7 +274,7 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
     # shingles of the same documents in other buckets
     heads = found.where("head").groupBy("s1", "s2").agg(F.min("h").alias("h"), F.sum("weight").alias("weight")).select("h", "weight")
     lists = stored(found.select("h", "doc", "n", "place").join(heads, "h"), "lists")
-    sizes = each.join(bounded_broadcast(copies, BROADCAST_IDS), "doc", "left_anti").select("doc", "n", "data")
+    sizes = each.join(bounded_broadcast(copies, BROADCAST_IDS), "doc", "left_anti").select("doc", "n", "odd", "data")
 
     links, joined = None, None
     lists = _with_share(lists)
@@ -264,7 +283,7 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
         found = _verified(source, pairs, n)
         links = found if links is None else links.unionByName(found)
         joined = components(links)
-    rest = stored(_suffix_filter(_remaining(lists, joined), sizes), "pairs")
+    rest = stored(_suffix_filter(_remaining(lists, joined, sizes), sizes), "pairs")
     if not rest.isEmpty():
         joined = components(links.unionByName(_verified(source, rest, n)))
     # a class has the component of its smallest id
@@ -320,20 +339,22 @@ def _lengths_fit(a, b):
     return (UNDER * F.least(a, b).cast("long")) >= OVER * F.greatest(a, b).cast("long")
 
 
-def _remaining(lists: DataFrame, joined: DataFrame) -> DataFrame:
+def _remaining(lists: DataFrame, joined: DataFrame, sizes: DataFrame) -> DataFrame:
     """Pairs of documents from different components that share a prefix shingle and
-    pass the length and positional filters.  The largest component of a shingle is
+    pass the length and positional filters and that of the odd slots.  The largest component of a shingle is
     only paired with the others, never with itself."""
     rows = stored(_labels(lists, joined), "labelled")
     by = rows.groupBy("h", "c").agg(F.count("*").alias("k"))
     mixed = by.groupBy("h").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("m")).where("m > 1").select(
         "h", F.col("top.c").alias("top"))
-    rows = stored(rows.join(mixed, "h"), "mixed")
-    few = rows.where("c <> top").select("h", *[F.col(x).alias(f"{x}1") for x in ("doc", "n", "place", "c")])
-    all_ = rows.select("h", *[F.col(x).alias(f"{x}2") for x in ("doc", "n", "place", "c")])
+    rows = stored(rows.join(mixed, "h").join(sizes.select("doc", "odd"), "doc"), "mixed")
+    few = rows.where("c <> top").select("h", *[F.col(x).alias(f"{x}1") for x in ("doc", "n", "place", "c", "odd")])
+    all_ = rows.select("h", *[F.col(x).alias(f"{x}2") for x in ("doc", "n", "place", "c", "odd")])
     need = F.ceil((OVER * (F.col("n1") + F.col("n2")).cast("long")) / (UNDER + OVER))
     most = (F.least("place1", "place2") + 1 + F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) - 1)
-    near = few.join(all_, "h").where((F.col("c1") != F.col("c2")) & _lengths_fit(F.col("n1"), F.col("n2")) & (most >= need))
+    differ = reduce(lambda x, y: x + y, [F.bit_count(F.col("odd1")[k].bitwiseXOR(F.col("odd2")[k])) for k in range(SKETCH)])
+    near = few.join(all_, "h").where((F.col("c1") != F.col("c2")) & _lengths_fit(F.col("n1"), F.col("n2")) & (most >= need)
+                                     & (differ <= F.col("n1") + F.col("n2") - 2 * need))
     return near.select(F.least("doc1", "doc2").alias("a"), F.greatest("doc1", "doc2").alias("b")).distinct()
 
 

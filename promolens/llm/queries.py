@@ -56,17 +56,15 @@ def _chat_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     done = []
 
     def row():
-        return (None if current is None or pd.isna(current) else current, count, turns.hexdigest(), loss,
-                learned.hexdigest(), chars)
+        return current, count, turns.hexdigest(), loss, learned.hexdigest(), chars
 
     def frame():
-        out = pd.DataFrame(done, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-        out["conv_id"] = out["conv_id"].astype("Int64")
-        return out
+        return pd.DataFrame(done, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
     for batch in batches:
         for conv, role, text, span, n in zip(batch["conversation"], batch["role"], batch["text"], batch["learned"], batch["n"]):
-            if count and not (conv == current or pd.isna(conv) and pd.isna(current)):
+            conv = None if pd.isna(conv) else conv
+            if count and conv != current:
                 done.append(row())
                 count, chars, loss, turns, learned = 0, 0, 0, hashlib.sha256(), hashlib.sha256()
             current, count, chars = conv, count + 1, chars + n
@@ -82,16 +80,34 @@ def _chat_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame()
 
 
+#: Letters of a streamed delta.
+DELTA = 400
+
+
+def chat_log(rows: DataFrame) -> DataFrame:
+    """The event log that leads to ``conversations``: an assistant's text is streamed, begun anew and
+    streamed in pieces; other texts are sent as a draft and edited.  Rows of one turn are several messages."""
+    ties = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    text = F.coalesce("text", F.lit(""))
+    event = lambda kind, t: F.struct(F.lit(kind).alias("kind"), t.alias("text"))
+    pieces_ = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % DELTA), F.lit(0))
+    again = F.concat(F.array(event("delta", F.lit("A first try")), event("delta", F.lit(", dropped")),
+                             event("regenerate", F.coalesce(F.get(pieces_, 0), F.lit("")))),
+                     F.transform(F.slice(pieces_, 2, DELTA * 10**6), lambda t: event("delta", t)))
+    edited = F.array(event("message", F.lit("A draft")), event("delta", F.lit(" with more")), event("edit", text))
+    steps = F.when(F.col("role") == chat.LEARNED, again).otherwise(edited)
+    numbered = rows.withColumn("message", F.struct("turn", F.row_number().over(ties).alias("nth")))
+    log = numbered.select("conv_id", "message", "role", F.posexplode(steps).alias("step", "_e"))
+    return log.select("conv_id", "message", "role", "_e.*", F.struct("message.turn", "message.nth", "step").alias("seq"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "\\### Assistant: </turn> ok"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.unionByName(spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(own).alias("text")))
-    # a row is a whole message; rows of the same turn are several messages
-    ties = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
-    events = rows.select("conv_id", F.struct("turn", F.row_number().over(ties).alias("nth")).alias("seq"), "role", "text",
-                         F.lit("message").alias("kind")).withColumn("message", F.col("seq"))
+    events = chat_log(rows)
     formatted = stored(chat.render(chat.fold(events)).select("conversation", "place", "formatted", "loss_start", "loss_end"),
                        "chat")
     role, text = chat.parse(F.col("formatted"))
@@ -99,9 +115,11 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = formatted.select("conversation", "place", role.alias("role"), text.alias("text"), span.alias("learned"),
                              F.length("formatted").cast("long").alias("n"))
     return (turns.repartition("conversation").sortWithinPartitions("conversation", "place")
-            .select("conversation", "role", "text", "learned", "n")
-            .mapInPandas(_chat_digests, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
-                                        "loss_sha256 string, formatted_chars long"))
+            # as text: pandas would round a nullable number
+            .select(F.col("conversation").cast("string").alias("conversation"), "role", "text", "learned", "n")
+            .mapInPandas(_chat_digests, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, "
+                                        "loss_sha256 string, formatted_chars long")
+            .withColumn("conv_id", F.col("conv_id").cast("long")))
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -198,3 +198,50 @@ def test_components(spark):
     real = [(a, b) for a, b in links if a is not None and a != b]
     want = H.smallest_reachable({x for p in real for x in p}, real)
     assert got == want
+
+
+def test_chat_null_beside_large_ids(spark, monkeypatch):
+    """Conversations above 2^53 that doubles cannot tell apart, in one batch with a null; ties and repeated rows; clashing names."""
+    from promolens.llm import queries
+    rows = [(2**60 + 1, 0, "user", "a"), (2**60 + 2, 0, "user", "b"), (2**60 + 2, 1, "assistant", "c" * 1000), (None, 0, "user", "d"),
+            (None, None, None, None), (5, 0, "user", "e"), (5, 0, "user", "e"), (5, 0, "assistant", ""), (-2**62 - 1, 3, "tool", "f \U0001f600" * 300)]
+    kind = "conv_id long, turn long, role string, text string, kind string, message int, seq int, place int, n int"
+    table = spark.createDataFrame([(*r, "x", 1, 2, 3, 4) for r in rows], kind).coalesce(1)
+    monkeypatch.setattr(queries, "table", lambda *a: table)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = {r["conv_id"]: r for r in queries.op5_chat(spark, "").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = {}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "", r[3] is not None, r[3] or ""))
+    for c, _, role, text in [*order, (-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]:
+        want.setdefault(c, []).append((role or "", text or ""))
+    assert set(got) == set(want)
+    for c, turns in want.items():
+        r, learned = got[c], "".join(t for role, t in turns if role == "assistant")
+        assert (r["n_turns"], r["turns_sha256"]) == (len(turns), H.sha("".join(f"{a}\n{t}\n" for a, t in turns)))
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(learned), H.sha(learned))
+
+
+def test_chat_log_is_made_of_every_kind(spark):
+    from promolens.llm import chat, queries
+    rows = spark.createDataFrame([(1, 0, "user", "a question"), (1, 1, "assistant", "x" * 1001), (1, 2, "assistant", None)],
+                                 "conv_id long, turn long, role string, text string")
+    log = queries.chat_log(rows)
+    assert {r["kind"] for r in log.collect()} == set(chat.KINDS) and log.count() == 3 + 5 + 3
+    back = sorted((r["place"]["turn"], r["role"], r["text"]) for r in chat.fold(log).collect())
+    assert back == [(0, "user", "a question"), (1, "assistant", "x" * 1001), (2, "assistant", "")]
+
+
+def test_chat_fold_holds_only_the_rows_of_the_last_text(spark):
+    """Rows before the last replacement are dropped before anything is gathered."""
+    from promolens.llm import chat
+    rows = [(1, i, 9, "delta", "user", f"d{i}") for i in range(500)] + [(1, 500, 9, "edit", "user", "new"), (1, 501, 9, "delta", "user", "er")]
+    log = spark.createDataFrame(rows, "conv_id long, seq long, message long, kind string, role string, text string")
+    out = chat.fold(log)
+    assert [(r["place"], r["text"]) for r in out.collect()] == [(0, "newer")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    gathered = plan.index("collect_list")
+    assert "Filter" in plan[gathered:] and "replaced" in plan[gathered:]

@@ -54,6 +54,29 @@ def test_jaccard_null_ids_repeats_and_empty_table(spark):
     assert jaccard.similar(H.documents(spark, [])).collect() == []
 
 
+def test_jaccard_null_beside_large_ids(spark):
+    """Ids above 2^53 that doubles cannot tell apart, in one batch with a null."""
+    text, like = "a b c d e f g h i j k l m n o p", "a b c d e f g h i j k l m n o p q"
+    rows = [(None, text), (2**60 + 1, text), (2**60 + 3, like), (2**60 + 5, "quite another text of some seven words"),
+            (2**60 + 7, None), (-2**62 - 1, "and one more that is like none of these"), (2**63 - 1, text)]
+    docs = H.documents(spark, rows).coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar(docs).collect()}
+    assert got == {None: None, **{i: i for i, _ in rows if i is not None}, 2**60 + 3: 2**60 + 1, 2**63 - 1: 2**60 + 1}
+    import corpus_pipeline
+    left = corpus_pipeline.near_duplicates(spark, docs, H.SMALL).collect()
+    assert sorted(r["doc_id"] or 0 for r in left) == [-2**62 - 1, 0, 2**60 + 1, 2**60 + 5, 2**60 + 7]
+
+
+def test_jaccard_odd_slots_bound_the_difference():
+    rng = np.random.default_rng(5)
+    for size, other in ((10, 5), (300, 80), (3000, 2500)):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.r_[a[other // 2:], rng.integers(0, 2**63, other).astype(np.uint64)])
+        differ = sum(bin(int(x) & (2**64 - 1)).count("1") for x in jaccard._odd(a) ^ jaccard._odd(b))
+        assert differ <= len(np.setxor1d(a, b)) and len(jaccard._odd(a)) == jaccard.SKETCH
+    assert not jaccard._odd(np.empty(0, np.uint64)).any()
+
+
 def test_jaccard_groups_whose_rows_all_occur_twice(spark):
     """Lists of repeated ids must not cancel out and pass for the same documents."""
     rng = random.Random(8)
