@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolens.session import checkpoint_dir
+from promolens.sources.mart import remove_staged
 
 #: White space that separates words, as a regular-expression class.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,7 +41,15 @@ def stored(df: DataFrame, prefix: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, prefix)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: what was made of them is stored itself."""
+    for t in tables:
+        remove_staged(t.sparkSession, t.stored_at)
 
 
 def pieces(total_bytes: int, each: int) -> int:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import stored
+from promolens.llm.common import drop, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -22,6 +22,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     both = stored(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("_m"))
                     .select("id", F.least("id", "_m").alias("component")), "labels")
+    last = labels
     while True:
         seen = (both.join(labels.select(F.col("id").alias("b"), "component"), "b")
                 .groupBy(F.col("a").alias("id")).agg(F.min("component").alias("_m")))
@@ -29,6 +30,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                   .select("id", "_old", F.least("_old", "_m").alias("_m")))
         jump = labels.select(F.col("id").alias("_m"), F.col("component").alias("_far"))
         after = stored(nearer.join(jump, "_m").select("id", "_old", F.least("_m", "_far").alias("component")), "labels")
-        labels = after.select("id", "component")
+        drop(last)
+        labels, last = after.select("id", "component"), after
         if after.where("component < _old").isEmpty():
+            drop(both)
             return labels

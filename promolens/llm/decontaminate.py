@@ -15,10 +15,17 @@ with the last ones up to its end.  Capitalised words that open a sentence and ar
 ``COMMON`` may be names: windows with one are also hashed with it marked.  These two ways
 (``wide``) only add matches; the words marked in them must correspond as well.
 
+A first pass finds the documents that can hold an item at all.  It hashes every word once as
+it is, by its type, and by its type with opening words as names, and makes of each window the
+hash of its five word hashes.  A window matched in any way above has the same words in one of
+these three readings, so a document with fewer such windows than ``SHARE`` does not hold the item.
+Only for the others are all ways of their windows made, with the words to compare.
+
 All of it is DataFrame functions.  The benchmark's windows are broadcast only while
 they are at most ``BROADCAST_ROWS``; beyond that both sides are shuffled by the hash.
 
-Defined results: null and empty texts match nothing; a text shorter than a window is
+Defined results: null and empty texts match nothing; empty tables give no rows and other columns
+are not read; a text shorter than a window is
 one window, and such an item is also sought in windows of its length; texts with fewer
 than ``LITERAL`` plain words match only as plain words; rows that repeat an id are judged each on its own text; rows with null ids
 too (they come out with a null id); items that are null or empty match nothing.
@@ -151,6 +158,48 @@ def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None
     return tokens.select(*keys, F.inline(every))
 
 
+def _readings(df: DataFrame, keys: list[str], text: str, lengths: list[int], placed: bool) -> DataFrame:
+    """``keys, [place,] g``: the hash of each window in each of its three readings (also of ``lengths`` words)."""
+    tokens = df.select(*keys, words(F.col(text)).alias("_a")).where(F.size("_a") > 0)
+    opens = lambda x: F.startswith(x, F.lit(MARK + "q"))
+    rest, kind = lambda x: F.substr(x, F.lit(3)), lambda x: F.substr(x, F.lit(1), F.lit(2))
+    some = F.exists("_a", _marked)
+    any_opens, any_typed = F.exists("_a", opens), F.exists("_a", lambda x: _marked(x) & ~opens(x))
+    none = F.lit(None).cast("array<bigint>")
+    plain = F.when(some, F.transform("_a", lambda x: F.xxhash64(F.when(_marked(x), rest(x)).otherwise(x)))).otherwise(
+        F.transform("_a", lambda x: F.xxhash64(x)))
+    typed = F.when(any_typed, F.transform("_a", lambda x: F.xxhash64(
+        F.when(opens(x), rest(x)).when(_marked(x), kind(x)).otherwise(x)))).otherwise(none)
+    named = F.when(any_opens, F.transform("_a", lambda x: F.xxhash64(
+        F.when(opens(x), MARK + "p").when(_marked(x), kind(x)).otherwise(x)))).otherwise(none)
+    tokens = tokens.select(*keys, F.size("_a").alias("_n"), plain.alias("_r0"), typed.alias("_r1"), named.alias("_r2"))
+
+    def hashes(r, n):
+        places = F.sequence(F.lit(1), F.greatest(F.col("_n") - (n - 1), F.lit(1)))
+        return F.transform(places, lambda i: F.xxhash64(*[F.get(r, i + (k - 1)) for k in range(n)]))
+
+    each = []
+    for n in [WINDOW, *lengths]:
+        for c in ("_r0", "_r1", "_r2"):
+            known = F.col(c).isNotNull()
+            each.append(F.when(known if n == WINDOW else known & (F.col("_n") > n), hashes(F.col(c), n)))
+    none = F.array().cast("array<bigint>")
+    each = [F.coalesce(h, none) for h in each]
+    if not placed:
+        return tokens.select(*keys, F.explode(F.concat(*each)).alias("g"))
+    each = [F.transform(h, lambda g, k: F.struct((k + 1).alias("place"), g.alias("g"))) for h in each]
+    return tokens.select(*keys, F.inline(F.concat(*each)))
+
+
+def _candidates(source: DataFrame, items: DataFrame, total: DataFrame, lengths: list[int], share: float) -> DataFrame:
+    """``_id, _row`` of the documents that may hold an item."""
+    index = stored(_readings(items, ["_item"], "_t", [], True).select("_item", F.col("place").alias("_at"), "g").distinct(), "readings")
+    hits = _readings(source, ["_id", "_row"], "_t", lengths, False).join(bounded_broadcast(index, BROADCAST_ROWS), "g")
+    found = hits.select("_id", "_row", "_item", "_at").distinct().groupBy("_id", "_row", "_item").agg(F.count("*").alias("n"))
+    found = found.join(bounded_broadcast(total, BROADCAST_ROWS), "_item").where(F.col("n") >= share * F.col("n_windows"))
+    return stored(found.select("_id", "_row").distinct(), "candidates")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, *, key="doc_id", text="text", item="item_id", item_text="text",
           share: float = SHARE) -> DataFrame:
     """``(key, row, item, n_windows, n_matched, share)``: items found in documents.
@@ -159,9 +208,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, key="doc_id", text="text", i
     lengths = sorted(r["n"] for r in items.select(F.size(words(F.col("_t"))).alias("n")).where(f"n > 0 and n < {WINDOW}").distinct().collect())
     index = stored(windows(items, ["_item"], "_t").select("_item", F.col("place").alias("_at"), "h", F.col("slots").alias("_slots"),
                                                           F.col("wide").alias("_wide")).distinct(), "index")
-    total = index.groupBy("_item").agg(F.count_distinct("_at").alias("n_windows"))
+    total = stored(index.groupBy("_item").agg(F.count_distinct("_at").alias("n_windows")), "total")
     source = docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_row"), F.col(text).alias("_t"))
-    seen = windows(source, ["_id", "_row"], "_t", lengths)
+    some = bounded_broadcast(_candidates(source, items, total, lengths, share).withColumnsRenamed({"_id": "_cid", "_row": "_crow"}), BROADCAST_ROWS)
+    few = source.join(some, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_row") == F.col("_crow")), "left_semi")
+    seen = windows(few, ["_id", "_row"], "_t", lengths)
     # two windows with the same hash must be matched the same way
     hits = seen.join(bounded_broadcast(index, BROADCAST_ROWS), ["h"]).where(
         (F.col("slots").isNull() == F.col("_slots").isNull()) & (F.col("wide") == F.col("_wide")))

@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import bounded_broadcast, pieces, stored
+from promolens.llm.common import bounded_broadcast, drop, pieces, stored
 from promolens.llm.components import components
 from promolens.llm.hashing import batch_word_hashes, mix, shingles
 
@@ -274,18 +274,24 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
     # shingles of the same documents in other buckets
     heads = found.where("head").groupBy("s1", "s2").agg(F.min("h").alias("h"), F.sum("weight").alias("weight")).select("h", "weight")
     lists = stored(found.select("h", "doc", "n", "place").join(heads, "h"), "lists")
+    drop(found)
     sizes = each.join(bounded_broadcast(copies, BROADCAST_IDS), "doc", "left_anti").select("doc", "n", "odd", "data")
 
     links, joined = None, None
-    lists = _with_share(lists)
+    lists, plain = _with_share(lists), lists
+    drop(plain)
     for turn in range(ROUNDS):
         pairs = stored(_suffix_filter(_proposals(lists, joined, turn), sizes), "pairs")
         found = _verified(source, pairs, n)
+        drop(pairs)
         links = found if links is None else links.unionByName(found)
         joined = components(links)
-    rest = stored(_suffix_filter(_remaining(lists, joined, sizes), sizes), "pairs")
+    left = _remaining(lists, joined, sizes)
+    rest = stored(_suffix_filter(left, sizes), "pairs")
+    drop(left.mixed, lists)
     if not rest.isEmpty():
         joined = components(links.unionByName(_verified(source, rest, n)))
+    drop(rest)
     # a class has the component of its smallest id
     class_ = F.coalesce("class", "id")
     out = info.select("id", F.col("n").alias("n_shingles")).join(copies.withColumnRenamed("doc", "id"), "id", "left")
@@ -343,11 +349,12 @@ def _remaining(lists: DataFrame, joined: DataFrame, sizes: DataFrame) -> DataFra
     """Pairs of documents from different components that share a prefix shingle and
     pass the length and positional filters and that of the odd slots.  The largest component of a shingle is
     only paired with the others, never with itself."""
-    rows = stored(_labels(lists, joined), "labelled")
+    labelled = rows = stored(_labels(lists, joined), "labelled")
     by = rows.groupBy("h", "c").agg(F.count("*").alias("k"))
     mixed = by.groupBy("h").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("m")).where("m > 1").select(
         "h", F.col("top.c").alias("top"))
     rows = stored(rows.join(mixed, "h").join(sizes.select("doc", "odd"), "doc"), "mixed")
+    drop(labelled)
     few = rows.where("c <> top").select("h", *[F.col(x).alias(f"{x}1") for x in ("doc", "n", "place", "c", "odd")])
     all_ = rows.select("h", *[F.col(x).alias(f"{x}2") for x in ("doc", "n", "place", "c", "odd")])
     need = F.ceil((OVER * (F.col("n1") + F.col("n2")).cast("long")) / (UNDER + OVER))
@@ -355,7 +362,9 @@ def _remaining(lists: DataFrame, joined: DataFrame, sizes: DataFrame) -> DataFra
     differ = reduce(lambda x, y: x + y, [F.bit_count(F.col("odd1")[k].bitwiseXOR(F.col("odd2")[k])) for k in range(SKETCH)])
     near = few.join(all_, "h").where((F.col("c1") != F.col("c2")) & _lengths_fit(F.col("n1"), F.col("n2")) & (most >= need)
                                      & (differ <= F.col("n1") + F.col("n2") - 2 * need))
-    return near.select(F.least("doc1", "doc2").alias("a"), F.greatest("doc1", "doc2").alias("b")).distinct()
+    near = near.select(F.least("doc1", "doc2").alias("a"), F.greatest("doc1", "doc2").alias("b")).distinct()
+    near.mixed = rows
+    return near
 
 
 def _suffix_filter(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -386,4 +395,6 @@ def _verified(source: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     a = one.select(F.col("doc").alias("a"), F.col("members").alias("ma"))
     b = one.select(F.col("doc").alias("b"), F.col("members").alias("mb"))
     common = F.size(F.array_intersect("ma", "mb"))
-    return stored(pairs.join(a, "a").join(b, "b").where(_alike(common, F.size("ma"), F.size("mb"))).select("a", "b"), "links")
+    found = stored(pairs.join(a, "a").join(b, "b").where(_alike(common, F.size("ma"), F.size("mb"))).select("a", "b"), "links")
+    drop(ids)
+    return found

@@ -37,11 +37,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promolens.llm.common import pieces, stored
-from promolens.llm.hashing import batch_word_hashes, running, span
+from promolens.llm.hashing import batch_word_hashes, mix, running, span
 
 #: Fewest slots of a predictor's table (2^bits), bytes of training text for a slot, most slots (the
 #: hashes have 32 bits, of which a count takes one for the outcome), slots of a range (2^bits).
@@ -445,25 +445,32 @@ def bits(docs: DataFrame, model: MixModel, *, text="text"):
 
 # --- words ------------------------------------------------------------------------
 
+#: Documents whose words are sent together and whose answers meet again.
+TOGETHER = 2048
+
+
 def _send_words(buckets: int):
-    """For each bucket of words: distinct words of the batch with their training count, and
-    which documents hold them how often.  Bucket -1: words of each document."""
+    """For each bucket of words: distinct words of some documents with their training count, and
+    which documents hold them how often.  ``home`` names the documents that were sent together; one
+    message of each home (``own``, in any bucket) holds their keys and numbers of words."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            for lo in range(0, len(whole), 2048):
-                batch = whole.iloc[lo:lo + 2048]
+            for lo in range(0, len(whole), TOGETHER):
+                batch = whole.iloc[lo:lo + TOGETHER]
                 words = batch_word_hashes(_texts(batch["_t"]))
-                row, learned = batch["_k"].to_numpy(), batch["_learn"].to_numpy(bool)
+                keys, learned = batch[["_k", "_k2"]].to_numpy(np.int64), batch["_learn"].to_numpy(bool)
                 size = np.array([len(w) for w in words])
-                rows = [(-1, pickle.dumps((row, size, learned)))]
+                # all keys of the rows, in order, and their place: no two groups of rows have one name
+                home = int(mix(keys.reshape(-1).view(np.uint64) + np.arange(2 * len(keys), dtype=np.uint64)).sum(dtype=np.uint64).view(np.int64))
+                rows = [(home % buckets, home, True, pickle.dumps((keys, size)))]
                 h = np.concatenate(words)
                 if len(h):
-                    rows += _packed_words(h, np.repeat(np.arange(len(words)), size), learned, row, buckets)
-                yield pd.DataFrame(rows, columns=["bucket", "data"])
+                    rows += [(b, home, False, data) for b, data in _packed_words(h, np.repeat(np.arange(len(words)), size), learned, buckets)]
+                yield pd.DataFrame(rows, columns=["bucket", "home", "own", "data"])
     return run
 
 
-def _packed_words(h, doc, learned, row, buckets):
+def _packed_words(h, doc, learned, buckets):
     order = np.argsort(h)
     ranked = h[order]
     new = np.r_[True, ranked[1:] != ranked[:-1]]
@@ -487,62 +494,79 @@ def _packed_words(h, doc, learned, row, buckets):
         n, p = by_name[cut[b]:cut[b + 1]], by_pair[cut_pair[b]:cut_pair[b + 1]]
         if len(p):
             data = (names[n], count[n].astype(np.uint32), np.diff(local[which[p]], prepend=0).astype(np.int32),
-                    np.diff(doc[p], prepend=0).astype(np.uint16), times[p].astype(np.uint32), row)
+                    np.diff(doc[p], prepend=0).astype(np.uint16), times[p].astype(np.uint32))
             out.append((b, zstandard.compress(pickle.dumps(data, protocol=5), 1)))
     return out
 
 
+_ANSWER = ["all", "home", "own", "known", "words", "data"]
+
+
 def _sum_words(rows: pd.DataFrame) -> pd.DataFrame:
-    """A bucket: for each document the sum of log10(c + 1) and the known words; and, with
-    a null document, the bucket's training words and distinct training words."""
-    columns = ["_k", "logs", "known", "words", "n"]
-    if rows["bucket"].iat[0] < 0:
-        out = []
-        for data in rows["data"]:
-            k, size, learned = pickle.loads(data)
-            out.append(pd.DataFrame({"_k": k, "logs": 0.0, "known": 0, "words": 1, "n": size}))
-        return pd.concat(out)[columns]
+    """A bucket: one answer for each message, with the sum of log10(c + 1) and the known words of its
+    documents; and one row (``all``) with the bucket's training words and distinct training words."""
+    own = rows["own"].to_numpy(bool)
+    through = [(False, home, True, 0, 0, data) for home, data in zip(rows["home"][own], rows["data"][own])]
+    rows = rows[~own]
+    if not len(rows):
+        return pd.DataFrame(through, columns=_ANSWER)
     sent = [pickle.loads(zstandard.decompress(x)) for x in rows["data"]]
     names, at = np.unique(np.concatenate([x[0] for x in sent]), return_inverse=True)
     count = np.bincount(at, weights=np.concatenate([x[1] for x in sent]), minlength=len(names)).astype(np.int64)
     logs = np.log10(count + 1.0)
     out, lo = [], 0
-    for own, _, which, step, times, row in sent:
+    for own, _, which, step, times in sent:
         place = at[lo:lo + len(own)][np.cumsum(which.astype(np.int64))]
         lo += len(own)
         doc = np.cumsum(step.astype(np.int64))
-        n = int(doc[-1]) + 1
-        some = np.flatnonzero(np.bincount(doc, minlength=n))
-        out.append(pd.DataFrame({"_k": row[some], "logs": np.bincount(doc, weights=times * logs[place])[some],
-                                 "known": np.bincount(doc, weights=times * (count[place] > 0))[some].astype(np.int64),
-                                 "words": 0, "n": 0}))
-    out.append(pd.DataFrame({"_k": pd.array([None], "Int64"), "logs": [0.0], "known": [int((count > 0).sum())],
-                             "words": [int(count.sum())], "n": [0]}))
-    return pd.concat([x.astype({"_k": "Int64"}) for x in out])[columns]
+        some = np.flatnonzero(np.bincount(doc))
+        out.append(zstandard.compress(pickle.dumps((
+            some.astype(np.uint16), np.bincount(doc, weights=times * logs[place])[some],
+            np.bincount(doc, weights=times * (count[place] > 0))[some].astype(np.uint32)), protocol=5), 1))
+    return pd.DataFrame([*through, *((False, home, False, 0, 0, data) for home, data in zip(rows["home"], out)),
+                         (True, 0, False, int((count > 0).sum()), int(count.sum()), None)], columns=_ANSWER)
+
+
+def _answers(rows: pd.DataFrame) -> pd.DataFrame:
+    """Documents that were sent together: what all buckets have answered, added up by place."""
+    first = [pickle.loads(x) for x, own in zip(rows["data"], rows["own"]) if own]
+    keys, size = first[0]
+    logs, known = np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+    for data, own in zip(rows["data"], rows["own"]):
+        if not own:
+            at, some, words = pickle.loads(zstandard.decompress(data))
+            logs[at] += some
+            known[at] += words
+    # the same rows sent several times have the same name, and as many times the answers
+    return pd.DataFrame({"_k": keys[:, 0], "_k2": keys[:, 1], "logs": logs / len(first), "known": known // len(first), "n": size})
 
 
 def word_scores(docs: DataFrame, learn, total_bytes: int, *, key="doc_id", text="text") -> DataFrame:
     """Add-one word model: for each row ``_k`` (a hash of id and text) n_tokens, n_known,
     train_tokens and base_score.  Tokens are words in small letters and one end."""
-    k = F.xxhash64(key, text)
-    source = docs.select(k.alias("_k"), F.coalesce(learn, F.lit(False)).alias("_learn"), F.col(text).alias("_t"))
-    sent = source.mapInPandas(_send_words(pieces(total_bytes, WORD_BUCKET)), "bucket int, data binary")
-    # the rows of documents need no meeting: they are spread as they come
-    spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("data"), F.lit(64))).otherwise(F.col("bucket")).cast("int")
-    kind = "_k long, logs double, known long, words long, n long"
-    parts = stored(sent.withColumn("bucket", spread).groupBy("bucket").applyInPandas(_sum_words, kind), "words")
-    totals = parts.where("_k is null").agg(F.sum("known").alias("v"), F.sum("words").alias("n")).first()
+    one, two = _keys(key, text)
+    source = docs.select(one.alias("_k"), two.alias("_k2"), F.coalesce(learn, F.lit(False)).alias("_learn"), F.col(text).alias("_t"))
+    sent = source.mapInPandas(_send_words(pieces(total_bytes, WORD_BUCKET)), "bucket int, home long, own boolean, data binary")
+    parts = stored(sent.groupBy("bucket").applyInPandas(
+        _sum_words, "all boolean, home long, own boolean, known long, words long, data binary"), "words")
+    totals = parts.where("all").agg(F.sum("known").alias("v"), F.sum("words").alias("n")).first()
     ends = source.where("_learn").count()
     v, n = (totals["v"] or 0) + (ends > 0), (totals["n"] or 0) + ends
     floor = float(np.log10(n + v + 1))
-    # rows that repeat id and text have sent the same as often as they occur
-    per = (parts.where("_k is not null").groupBy("_k")
-           .agg(F.sum("logs").alias("logs"), F.sum("known").alias("known"), F.sum("words").alias("rows"), F.sum("n").alias("n")))
-    tokens = (F.col("n") / F.col("rows")).cast("long") + 1
+    told = parts.where("not all").select("home", "own", "data")
+    each = told.groupBy("home").applyInPandas(_answers, "_k long, _k2 long, logs double, known long, n long")
+    # rows that repeat id and text have the same answer
+    per = each.groupBy("_k", "_k2").agg(F.max("logs").alias("logs"), F.max("known").alias("known"), F.max("n").alias("n"))
+    tokens = F.col("n") + 1
     return per.select(
-        "_k", tokens.alias("n_tokens"), ((F.col("known") / F.col("rows")).cast("long") + int(ends > 0)).alias("n_known"),
+        "_k", "_k2", tokens.alias("n_tokens"), (F.col("known") + int(ends > 0)).alias("n_known"),
         F.lit(int(n)).cast("long").alias("train_tokens"),
-        (F.col("logs") / F.col("rows") + float(np.log10(ends + 1)) - tokens * floor).alias("base_score"))
+        (F.col("logs") + float(np.log10(ends + 1)) - tokens * floor).alias("base_score"))
+
+
+def _keys(key: str, text: str) -> tuple[Column, Column]:
+    """Two hashes of a row, which together tell any number of rows apart."""
+    return F.xxhash64(key, text), F.xxhash64(F.lit(2), key, text)
 
 
 def score(docs: DataFrame, learn, *, key="doc_id", text="text") -> DataFrame:
@@ -551,8 +575,9 @@ def score(docs: DataFrame, learn, *, key="doc_id", text="text") -> DataFrame:
     learn = F.coalesce(learn, F.lit(False))
     model, size = train(docs.where(learn), key=key, text=text)
     words = word_scores(docs, learn, 2 * size, key=key, text=text)
-    rows = docs.select(F.col(key).alias("_id"), F.xxhash64(key, text).alias("_k"), (~learn).alias("held_out"),
+    one, two = _keys(key, text)
+    rows = docs.select(F.col(key).alias("_id"), one.alias("_k"), two.alias("_k2"), (~learn).alias("held_out"),
                        F.octet_length(F.coalesce(F.col(text), F.lit(""))).alias("_size"), bits(docs, model, text=text).alias("_bits"))
-    return rows.join(words, "_k").select(
+    return rows.join(words, ["_k", "_k2"]).select(
         F.col("_id").alias(key), "held_out", "n_tokens", "n_known", "train_tokens", "base_score",
         (-F.col("_bits") * float(np.log10(2))).alias("score"), (F.col("_bits") / F.greatest("_size", F.lit(1))).alias("bits_per_byte"))

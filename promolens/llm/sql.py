@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from promolens.llm.decontaminate import UNITS
+from promolens.llm.decontaminate import COMMON, UNITS
 
 BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -91,47 +91,80 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(d.doc_id, m) AS com
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 """
 
-#: Words with marks of names (p), numbers (n) and units (u), then windows of five.
+#: Words with marks of names (p), names that open a sentence (q), numbers (n) and units (u); w reads q as plain words,
+#: v as names; p holds the places of v's plain words.  Then all ways of their windows, as text instead of hashes.
 OP7 = r"""
 WITH src AS (
   SELECT 0 AS side, doc_id AS id, hash(text)::UBIGINT AS row, text FROM documents
   UNION ALL SELECT 1, item_id, 0, text FROM benchmark WHERE item_id IS NOT NULL),
+opened AS (
+  SELECT side, id, row, text, regexp_replace(regexp_replace(text, '(^\s*|[.!?:\n"“”«(]\s*)(\p{Lu}\p{Ll}+)', '\1' || chr(2) || 'q\2', 'g'),
+    chr(2) || 'q(COMMON)($|[^\p{L}\p{N}])', '\1\2', 'g') AS t FROM src),
 named AS (
-  SELECT side, id, row, text, regexp_replace(regexp_replace(text,
+  SELECT side, id, row, text, regexp_replace(regexp_replace(t,
     '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '\1' || chr(2) || 'p\2', 'g'),
-    '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '\1' || chr(2) || 'p\2', 'g') AS t FROM src),
+    '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '\1' || chr(2) || 'p\2', 'g') AS t FROM opened),
 marked AS (
-  SELECT side, id, row, lower(CASE WHEN regexp_matches(text, '[0-9]') THEN regexp_replace(
+  SELECT side, id, row, CASE WHEN regexp_matches(text, '[0-9]') THEN regexp_replace(
     lower(regexp_replace(t, '([0-9]+)', ' ' || chr(2) || 'n\1 ', 'g')),
-    '(' || chr(2) || 'n[0-9]+ +)(UNITS)($|[^\p{L}\p{N}])', '\1' || chr(2) || 'u\2\3', 'g') ELSE t END) AS t FROM named),
-w AS (
-  SELECT side, id, row, list_filter(regexp_split_to_array(t, '[^\p{L}\p{N}' || chr(2) || ']+'), lambda x: x <> '') AS w FROM marked),
-win AS (
-  SELECT DISTINCT side, id, row, i AS place, w[i:i + 4] AS w
-  FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
-count_marks AS (SELECT *, len(list_filter(w, lambda x: x[1] = chr(2))) AS k FROM win),
+    '(' || chr(2) || 'n[0-9]+ +)(UNITS)($|[^\p{L}\p{N}])', '\1' || chr(2) || 'u\2\3', 'g') ELSE lower(t) END AS t FROM named),
+a AS (
+  SELECT side, id, row, list_filter(regexp_split_to_array(t, '[^\p{L}\p{N}' || chr(2) || ']+'), lambda x: x <> '') AS a FROM marked),
+wv AS (
+  SELECT row_number() OVER () AS r, side, id, row, list_transform(a, lambda x: CASE WHEN x[1:2] = chr(2) || 'q' THEN x[3:] ELSE x END) AS w,
+    list_transform(a, lambda x: CASE WHEN x[1:2] = chr(2) || 'q' THEN chr(2) || 'p' || x[3:] ELSE x END) AS v
+  FROM a WHERE len(a) > 0),
+texts AS (
+  SELECT *, list_filter(list_transform(v, lambda x, i: CASE WHEN x[1] = chr(2) THEN 0 ELSE i END), lambda i: i > 0) AS p,
+    len(list_filter(v, lambda x: x[1] = chr(2))) AS marks FROM wv),
+lengths AS (SELECT DISTINCT len(w) AS n FROM texts WHERE side = 1 AND len(w) < 5),
+spots AS (
+  SELECT * EXCLUDE i, i AS place, 5 AS n FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM texts)
+  UNION ALL
+  SELECT * EXCLUDE (i, n), i AS place, n FROM (
+    SELECT texts.*, unnest(range(1, len(w) - n + 2)) AS i, n FROM texts JOIN lengths ON side = 0 AND len(w) > n)),
+win AS (SELECT *, w[place:place + n - 1] AS ww, v[place:place + n - 1] AS vw FROM spots),
+told AS (
+  SELECT *, array_to_string(list_transform(ww, lambda x: CASE WHEN x[1] = chr(2) THEN x[3:] ELSE x END), ' ') AS plain,
+    array_to_string(list_transform(ww, lambda x: CASE WHEN x[1] = chr(2) THEN x[1:2] ELSE x END), ' ') AS typed_w,
+    array_to_string(list_transform(vw, lambda x: CASE WHEN x[1] = chr(2) THEN x[1:2] ELSE x END), ' ') AS typed_v,
+    len(list_filter(ww, lambda x: x[1] = chr(2))) AS mw, len(list_filter(vw, lambda x: x[1] = chr(2))) AS mv FROM win),
+dense AS (SELECT r FROM told WHERE n = 5 AND len(v) >= 5 AND len(p) >= 3 GROUP BY r HAVING max(mv) > 2),
+beside AS (
+  SELECT told.*, list_filter(p, lambda x: x >= place)[1:3] AS after, list_reverse(list_filter(p, lambda x: x <= place + 4))[1:3] AS before
+  FROM told SEMI JOIN dense USING (r) WHERE n = 5),
 ways AS (
-  SELECT side, id, row, place, array_to_string(list_transform(w, lambda x: CASE WHEN x[1] = chr(2) THEN x[3:] ELSE x END), ' ') AS h,
-    NULL AS slots FROM count_marks
+  SELECT side, id, row, place, plain AS h, NULL AS slots, FALSE AS wide FROM told
+  UNION ALL SELECT side, id, row, place, typed_w, ww, FALSE FROM told WHERE n = 5 AND mw BETWEEN 1 AND 2
+  UNION ALL SELECT side, id, row, place, typed_v, vw, TRUE FROM told WHERE n = 5 AND vw <> ww AND mv <= 2
+  UNION ALL SELECT side, id, row, place, typed_v, vw, TRUE FROM told WHERE n = 4 AND marks > 0 AND mv = 1
+  UNION ALL SELECT side, id, row, place, typed_v, vw, TRUE FROM told WHERE n = 5 AND len(v) < 5 AND mv > 0 AND len(v) - mv >= 3
+  UNION ALL
+  SELECT side, id, row, place, 'right ' || typed_v || array_to_string(list_transform(after, lambda x: ' ' || (x - place) || ' ' || v[x]), ''), vw, TRUE
+  FROM beside WHERE len(after) = 3 AND after[3] > place + 4
   UNION ALL
-  SELECT side, id, row, place, array_to_string(list_transform(w, lambda x: CASE WHEN x[1] = chr(2) THEN x[1:2] ELSE x END), ' '), w
-  FROM count_marks WHERE k BETWEEN 1 AND 2),
+  SELECT side, id, row, place, 'left ' || typed_v || array_to_string(list_transform(before, lambda x: ' ' || (x - place) || ' ' || v[x]), ''), vw, TRUE
+  FROM beside WHERE len(before) = 3 AND before[3] < place),
 total AS (SELECT id AS item_id, count(DISTINCT place) AS n_windows FROM ways WHERE side = 1 GROUP BY 1),
 hits AS (
-  SELECT DISTINCT d.id AS doc_id, d.row, b.id AS item_id, b.place AS spot, d.place - b.place AS shift, d.slots, b.slots AS islots
-  FROM ways d JOIN ways b ON d.side = 0 AND b.side = 1 AND d.h = b.h AND (d.slots IS NULL) = (b.slots IS NULL)),
-pairs AS (
-  SELECT DISTINCT doc_id, row, item_id, shift, unnest(islots) AS a, unnest(slots) AS b FROM hits WHERE slots IS NOT NULL),
+  SELECT DISTINCT d.id AS doc_id, d.row, b.id AS item_id, b.place AS spot, d.place - b.place AS shift, d.slots, b.slots AS islots, d.wide
+  FROM ways d JOIN ways b ON d.side = 0 AND b.side = 1 AND d.h = b.h AND (d.slots IS NULL) = (b.slots IS NULL) AND d.wide = b.wide),
+zipped AS (
+  SELECT doc_id, row, item_id, shift, wide, unnest(islots) AS a, unnest(slots) AS b FROM hits WHERE slots IS NOT NULL),
+pairs AS (SELECT DISTINCT * FROM zipped WHERE a[1] = chr(2)),
 clash AS (
-  SELECT doc_id, row, item_id, shift FROM pairs WHERE a[1] = chr(2) GROUP BY ALL
+  SELECT doc_id, row, item_id, shift, FALSE AS wide FROM pairs WHERE NOT wide GROUP BY ALL
+  HAVING count(*) > count(DISTINCT a) OR count(*) > count(DISTINCT b)
+  UNION ALL
+  SELECT doc_id, row, item_id, shift, TRUE FROM (SELECT DISTINCT * EXCLUDE wide FROM pairs) GROUP BY ALL
   HAVING count(*) > count(DISTINCT a) OR count(*) > count(DISTINCT b)),
 found AS (
   SELECT h.doc_id, h.row, h.item_id, count(DISTINCT spot) AS n_matched FROM hits h LEFT JOIN clash c
-    ON h.doc_id IS NOT DISTINCT FROM c.doc_id AND h.row = c.row AND h.item_id = c.item_id AND h.shift = c.shift
+    ON h.doc_id IS NOT DISTINCT FROM c.doc_id AND h.row = c.row AND h.item_id = c.item_id AND h.shift = c.shift AND h.wide = c.wide
   WHERE h.slots IS NULL OR c.item_id IS NULL GROUP BY ALL)
 SELECT DISTINCT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS share
 FROM found JOIN total USING (item_id) WHERE n_matched >= 0.6::DOUBLE * n_windows
-""".replace("UNITS", "|".join(UNITS))
+""".replace("UNITS", "|".join(UNITS)).replace("COMMON", "|".join(COMMON))
 
 #: CRC-32 bit by bit; levels by recursion; siblings looked up level by level; folds by recursion.
 OP13 = r"""

@@ -524,7 +524,10 @@ def _cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def deduplicate(docs: DataFrame, *, key="doc_id", text="text", carry: list[str] = ()) -> DataFrame:
     """``(key, n_bytes, n_removed, n_spans, kept binary, spans array<long>)`` and the
-    columns of ``carry`` for every row; spans holds start and end of each removed range."""
+    columns of ``carry`` for every row; spans holds start and end of each removed range.
+    Other columns are not read, and a carried one may not have the name of a result."""
+    if {key, "n_bytes", "n_removed", "n_spans", "kept", "spans"} & set(carry):
+        raise ValueError("a carried column has the name of a result")
     spark = docs.sparkSession
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     number = F.col(key).cast("long")

@@ -15,6 +15,7 @@ Equal vectors are one class before the join, so copies cost nothing.
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null id, link with nothing; vectors of different
 lengths do not link.  Every input row gives a row; repeated ids share a component.
+An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 from promolens.llm.common import pieces, stored
 from promolens.llm.components import components
 
-#: Vectors for each cell, most pivots (a bound for what is broadcast), vectors of a block.
-CELL, PIVOTS, BLOCK = 4096, 1024, 2048
+#: Vectors for each cell, most pivots (a bound for what is broadcast), vectors of a block, and of a
+#: tile: so many of a block are compared with the other block at a time.
+CELL, PIVOTS, BLOCK, TILE = 4096, 1024, 8192, 512
 
 
 def _unit(rows) -> np.ndarray:
@@ -116,7 +118,9 @@ def range_join(groups: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
             return pd.DataFrame({"_id": [], "_links": [], "_with": []}).astype("int64")
         x, y = _unit(one["_v"]), _unit(two["_v"])
         ids, others, n = one["_id"].to_numpy(), two["_id"].to_numpy(), two["_n"].to_numpy()
-        linked = (x @ y.T >= threshold) & (ids[:, None] != others[None, :])
+        linked = np.empty((len(x), len(y)), bool)
+        for lo in range(0, len(x), TILE):
+            linked[lo:lo + TILE] = (x[lo:lo + TILE] @ y.T >= threshold) & (ids[lo:lo + TILE, None] != others[None, :])
         some, edges = linked.any(1), _spanning(linked)
         first = others[linked[some].argmax(1)] if some.any() else others[:0]
         out = [pd.DataFrame({"_id": ids[some], "_links": linked[some] @ n, "_with": first}),

@@ -48,6 +48,20 @@ def test_lm_nulls_repeats_and_little_text(spark):
     assert lm.score(H.documents(spark, []), fold("doc_id", 7) != 2).collect() == []
 
 
+def test_lm_answers_meet_by_the_documents_sent_together(spark, monkeypatch):
+    """Several messages, buckets and homes, rows that repeat in blocks of equal keys, and few tokens."""
+    from promolens.llm.common import fold
+    monkeypatch.setattr(lm, "TOGETHER", 3)
+    monkeypatch.setattr(lm, "WORD_BUCKET", 40)
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice("abcdefghij") * rng.randint(1, 2) for _ in range(rng.randint(0, 9)))) for i in range(30)]
+    rows = (rows[:3] * 4) + rows
+    docs = H.documents(spark, rows).coalesce(1)
+    got = sorted((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 8))
+                 for r in lm.score(docs, fold("doc_id", 7) != 2).collect())
+    assert got == sorted((i, n, k, t, round(b, 8)) for i, _, n, k, t, b in base_by_hand(rows))
+
+
 def test_lm_is_a_distribution_over_the_next_byte():
     """The probabilities of all bytes that can come next add up to one."""
     texts = [b"the cat sat on the mat", b"the dog sat"] * 20
@@ -184,3 +198,68 @@ def test_quality_of_odd_texts_and_labels(spark):
     one_class = quality.fit(docs, labels.where("quality = 1"))
     assert {round(r["s"], 3) for r in docs.select(quality.score(docs, one_class).alias("s")).collect()} == {1.0}
     assert quality.fit(docs, labels.limit(0)).probability(np.zeros(1))[0] == pytest.approx(0.5)
+
+
+def _language_by_hand(m, text):
+    """Mean over all bytes of a text's language probabilities: each stretch on its own, forwards and backwards, a byte
+    at a time, from the model's weights."""
+    total = np.zeros(len(m.languages))
+    for lo in range(0, len(text), langid.STRETCH):
+        part = text[lo:lo + langid.STRETCH]
+        logits = np.tile(m.bias.astype(np.float64), (len(part), 1))
+        for d in range(2):
+            h = m.states[d].shape[0]
+            state = np.zeros(h)
+            for i in (range(len(part)) if d == 0 else range(len(part) - 1, -1, -1)):
+                x, u = m.inputs[d][part[i]].astype(np.float64), state @ m.states[d].astype(np.float64)
+                keep, reset = (1 / (1 + np.exp(-(x[a:b] + u[a:b]))) for a, b in ((0, h), (h, 2 * h)))
+                new = np.tanh(x[2 * h:] + reset * u[2 * h:])
+                state = keep * state + (1 - keep) * new
+                logits[i] += state @ m.outputs[d].astype(np.float64)
+        p = np.exp(logits - logits.max(1, keepdims=True))
+        total += (p / p.sum(1, keepdims=True)).sum(0)
+    return total / max(len(text), 1)
+
+
+def test_language_scores_by_hand(spark):
+    docs = spark.read.parquet(f"{H.SMALL}/documents.parquet").where("doc_id % 5 = 0")
+    model = langid.fit(spark.read.parquet(f"{H.SMALL}/documents.parquet"), per_language=40)
+    got = {r["doc_id"]: (r["text"], r["p"]) for r in docs.select("doc_id", "text", langid.predict(docs, model).alias("p")).collect()}
+    assert len(got) > 20
+    for text, p in got.values():
+        raw = (text or "").encode()
+        if p["lang_pred"] == langid.UNKNOWN:
+            assert not any(c.isalpha() for c in text or "")
+            continue
+        want = _language_by_hand(model, raw)
+        assert p["score"] == pytest.approx(want.max(), abs=1e-4)
+        top = sorted(want)[-2:]
+        assert p["lang_pred"] == model.languages[want.argmax()] or top[1] - top[0] < 1e-4
+
+
+def test_quality_scores_by_hand(spark):
+    """Every score from the two dictionaries, a new compressor for each piece."""
+    import zstandard
+    docs, labels = (spark.read.parquet(f"{H.SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    assert model.good and model.bad
+
+    def size(raw, dictionary):
+        d = zstandard.ZstdCompressionDict(dictionary)
+        return len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=d, write_checksum=False, write_content_size=False,
+                                            write_dict_id=False).compress(raw))
+    got = docs.select("doc_id", "text", quality.score(docs, model).alias("s")).collect()
+    for r in got:
+        raw = (r["text"] or "").encode()
+        parts = [raw[i:i + quality.PIECE] for i in range(0, len(raw), quality.PIECE)]
+        x = sum(size(p, model.bad) - size(p, model.good) for p in parts) / max(len(raw), 1)
+        assert r["s"] == pytest.approx(1 / (1 + math.exp(-(model.scale * x + model.shift))), rel=1e-9)
+    assert len({r["s"] for r in got}) > 50
+
+
+def test_quality_of_empty_tables(spark):
+    docs, labels = (spark.read.parquet(f"{H.SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    nothing = quality.fit(docs.limit(0), labels)
+    assert docs.limit(0).select(quality.score(docs, nothing)).collect() == []
+    plain = {r[0] for r in docs.select(quality.score(docs, quality.fit(docs, labels.limit(0)))).collect()}
+    assert plain == {0.5}

@@ -66,3 +66,20 @@ def test_pipeline_odd_rows(spark):
         assert stage(spark, docs.limit(0), H.SMALL).collect() == [], name
         docs = spark.createDataFrame(got, out.schema)
     assert {r["doc_id"] for r in got} >= {None, 3, 6} and len(got) < len(rows)
+
+
+def test_pipeline_run_is_its_stages(spark):
+    """``run`` against the stages called one by one and the tokenizers library."""
+    from tokenizers import Tokenizer
+    from promolens.llm.queries import tokenizer_path
+    docs = table(spark, H.SMALL, "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, H.SMALL)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    t = Tokenizer.from_file(tokenizer_path())
+    want = []
+    for r in docs.collect():
+        ids = t.encode(r["text"] or "", add_special_tokens=False).ids
+        want.append((r["doc_id"], len(ids), H.sha(" ".join(map(str, ids))), H.sha(t.decode(ids, skip_special_tokens=False))))
+    got = [tuple(r) for r in corpus_pipeline.run(spark, H.SMALL).collect()]
+    assert sorted(got) == sorted(want) and len(got) > 100

@@ -106,6 +106,7 @@ def test_jaccard_sends_one_posting_for_documents_with_equal_sets(spark, monkeypa
         made.extend([(prefix, out)])
         return out
     monkeypatch.setattr(jaccard, "stored", kept)
+    monkeypatch.setattr(jaccard, "drop", lambda *tables: None)  # to look at them afterwards
     rng = random.Random(4)
     long = prose(rng, 50)
     rows = [(i, ["one  TWO three", "one two three"][i % 2] if i % 3 else prose(rng, 30)) for i in range(60)]
