@@ -57,16 +57,29 @@ COMMON = ("The", "An", "This", "That", "These", "Those", "He", "She", "It", "We"
           "Une", "Des", "Et", "Il", "Elle", "Der", "Die", "Das", "Ein", "Eine", "Und", "Er", "Sie", "Es", "Ist", "Wie", "Was")
 
 
-def words(text: Column) -> Column:
-    """The words of a text; a marked word begins with the mark and its type (``q``: a capitalised
-    word that opens a sentence)."""
+def marked_text(text: Column) -> Column:
+    """A text in small letters with marks before numbers, units and names, and before capitalised words
+    that open a sentence (``q``)."""
     name = F.regexp_replace(text, rf"(^\s*|[.!?:\n\"“”«(]\s*)(?!(?:{'|'.join(COMMON)})(?![\p{{L}}\p{{N}}]))(\p{{Lu}}\p{{Ll}}+)", f"$1{MARK}q$2")
-    name = F.regexp_replace(name, r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)", f"$1{MARK}p$2")
-    name = F.regexp_replace(name, r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)", f"$1{MARK}p$2")  # the second of two in a row
+    # after a small letter, comma or semicolon and a space
+    name = F.regexp_replace(name, r"(\p{Lu}(?<=[\p{Ll},;] .)\p{Ll}+)", f"{MARK}p$1")
     number = F.regexp_replace(name, r"([0-9]+)", f" {MARK}n$1 ")
     unit = F.regexp_replace(F.lower(number), f"({MARK}n[0-9]+ +)({'|'.join(UNITS)})($|[^\\p{{L}}\\p{{N}}])", f"$1{MARK}u$2$3")
-    marked = F.when(text.rlike("[0-9]"), unit).otherwise(F.lower(name))
-    return F.filter(F.split(marked, rf"[^\p{{L}}\p{{N}}{MARK}]+"), lambda w: w != "")
+    return F.when(text.rlike("[0-9]"), unit).otherwise(F.lower(name))
+
+
+def split_words(marked: Column) -> Column:
+    """The words of a marked text; a marked word begins with the mark and its type."""
+    parts = F.split(marked, rf"[^\p{{L}}\p{{N}}{MARK}]+")
+    # only the first and the last can be empty
+    first, last = F.get(parts, 0) == "", F.get(parts, F.size(parts) - 1) == ""
+    begin = F.when(first, 2).otherwise(1)
+    size = F.size(parts) - F.when(first, 1).otherwise(0) - F.when(last & (F.size(parts) > 1), 1).otherwise(0)
+    return F.when(first | last, F.slice(parts, begin, size)).otherwise(parts)
+
+
+def words(text: Column) -> Column:
+    return split_words(marked_text(text))
 
 
 def _hash(parts: Column, first: Column, plain: bool, n: int = WINDOW) -> Column:
@@ -81,6 +94,11 @@ def _marked(w: Column) -> Column:
     return F.startswith(w, F.lit(MARK))
 
 
+def _piece(parts: Column, first: Column, n: int = WINDOW) -> Column:
+    """Up to ``n`` words from a place on (``slice`` would copy all words of the text for each window)."""
+    return F.filter(F.array(*[F.get(parts, first + (k - 1)) for k in range(n)]), lambda w: w.isNotNull())
+
+
 def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None = None) -> DataFrame:
     """``keys, place, h, slots, wide``: a row for each window and way to match it; slots
     holds the words of a window that is hashed by types, else null.  ``lengths``: of items
@@ -102,7 +120,7 @@ def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None
     w, v, p = F.col("_w"), F.col("_v"), F.col("_p")
 
     def marks(i, of=w, n=WINDOW):
-        return F.size(F.filter(F.slice(of, i, n), _marked))
+        return F.size(F.filter(_piece(of, i, n), _marked))
 
     def row(i, h, slots, wide=False):
         return F.struct(i.cast("int").alias("place"), h.alias("h"), slots.alias("slots"), F.lit(wide).alias("wide"))
@@ -110,18 +128,18 @@ def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None
     simple = F.transform(places, lambda i: row(i, F.xxhash64(*[F.get(w, i + (k - 1)) for k in range(WINDOW)]), none))
     plain = F.transform(places, lambda i: row(i, _hash(w, i, True), none))
     typed = F.transform(F.filter(places, lambda i: (marks(i) > 0) & (marks(i) <= WINDOW - LITERAL)),
-                        lambda i: row(i, _hash(w, i, False), F.slice(w, i, WINDOW)))
+                        lambda i: row(i, _hash(w, i, False), _piece(w, i)))
     found = F.when(has_marks, F.concat(plain, typed)).otherwise(simple)
 
     # windows with an opening word that hold enough plain words
-    opened = F.transform(F.filter(places, lambda i: (F.slice(v, i, WINDOW) != F.slice(w, i, WINDOW)) & (marks(i, v) <= WINDOW - LITERAL)),
-                         lambda i: row(i, _hash(v, i, False), F.slice(v, i, WINDOW), True))
+    opened = F.transform(F.filter(places, lambda i: (_piece(v, i) != _piece(w, i)) & (marks(i, v) <= WINDOW - LITERAL)),
+                         lambda i: row(i, _hash(v, i, False), _piece(v, i), True))
 
     def beyond(i, which, side):
         """A window and the plain words ``which`` (places in ``_p``)."""
         far = [F.get(p, j) for j in which]
         return row(i, F.xxhash64(F.lit(side), _hash(v, i, False), *[x - i for x in far], *[F.get(v, x - 1) for x in far]),
-                   F.slice(v, i, WINDOW), True)
+                   _piece(v, i), True)
 
     last = F.size(v) - (WINDOW - 1)
 
@@ -150,7 +168,7 @@ def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None
         if n > LITERAL:
             ways.append(F.when((F.size(w) > n) & p.isNotNull(), F.transform(
                 F.filter(spots, lambda i: (marks(i, v, n) > 0) & (marks(i, v, n) <= n - LITERAL)),
-                lambda i: row(i, _hash(v, i, False, n), F.slice(v, i, n), True))))
+                lambda i: row(i, _hash(v, i, False, n), _piece(v, i, n), True))))
     own = F.when((F.size(v) < WINDOW) & (marks(F.lit(1), v) > 0) & (F.size(v) - marks(F.lit(1), v) >= LITERAL),
                  F.array(row(F.lit(1), _hash(v, F.lit(1), False), v, True)))
     kind = "array<struct<place:int,h:bigint,slots:array<string>,wide:boolean>>"
@@ -159,30 +177,38 @@ def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None
 
 
 def _readings(df: DataFrame, keys: list[str], text: str, lengths: list[int], placed: bool) -> DataFrame:
-    """``keys, [place,] g``: the hash of each window in each of its three readings (also of ``lengths`` words)."""
-    tokens = df.select(*keys, words(F.col(text)).alias("_a")).where(F.size("_a") > 0)
+    """``keys, [place,] g``: the hash of each window in each of its three readings (also of ``lengths`` words).
+    Only whole arrays are cut: a slice inside a lambda would copy the array for every element."""
     opens = lambda x: F.startswith(x, F.lit(MARK + "q"))
     rest, kind = lambda x: F.substr(x, F.lit(3)), lambda x: F.substr(x, F.lit(1), F.lit(2))
-    some = F.exists("_a", _marked)
-    any_opens, any_typed = F.exists("_a", opens), F.exists("_a", lambda x: _marked(x) & ~opens(x))
+    tokens = df.select(*keys, marked_text(F.col(text)).alias("_m")).select(
+        *keys, split_words(F.col("_m")).alias("_a"), F.contains("_m", F.lit(MARK + "q")).alias("_q"),
+        F.col("_m").rlike(f"{MARK}[npu]").alias("_o")).where(F.size("_a") > 0)
     none = F.lit(None).cast("array<bigint>")
-    plain = F.when(some, F.transform("_a", lambda x: F.xxhash64(F.when(_marked(x), rest(x)).otherwise(x)))).otherwise(
+    plain = F.when(F.col("_q") | F.col("_o"), F.transform("_a", lambda x: F.xxhash64(F.when(_marked(x), rest(x)).otherwise(x)))).otherwise(
         F.transform("_a", lambda x: F.xxhash64(x)))
-    typed = F.when(any_typed, F.transform("_a", lambda x: F.xxhash64(
-        F.when(opens(x), rest(x)).when(_marked(x), kind(x)).otherwise(x)))).otherwise(none)
-    named = F.when(any_opens, F.transform("_a", lambda x: F.xxhash64(
-        F.when(opens(x), MARK + "p").when(_marked(x), kind(x)).otherwise(x)))).otherwise(none)
+    typed = F.when(F.col("_o"), F.transform("_a", lambda x: F.xxhash64(
+        F.when(_marked(x), F.when(opens(x), rest(x)).otherwise(kind(x))).otherwise(x)))).otherwise(none)
+    named = F.when(F.col("_q"), F.transform("_a", lambda x: F.xxhash64(
+        F.when(_marked(x), F.when(opens(x), MARK + "p").otherwise(kind(x))).otherwise(x)))).otherwise(none)
     tokens = tokens.select(*keys, F.size("_a").alias("_n"), plain.alias("_r0"), typed.alias("_r1"), named.alias("_r2"))
 
     def hashes(r, n):
-        places = F.sequence(F.lit(1), F.greatest(F.col("_n") - (n - 1), F.lit(1)))
-        return F.transform(places, lambda i: F.xxhash64(*[F.get(r, i + (k - 1)) for k in range(n)]))
+        """Of all runs of ``n`` words, from those of one, two and four."""
+        def beside(a, b, step):
+            return F.zip_with(a, F.slice(b, step + 1, F.greatest(F.size(b) - step, F.lit(0))), lambda x, y: F.xxhash64(x, y))
+        two = beside(r, r, 1)
+        whole = {1: r, 2: two, 3: beside(two, r, 2), 4: beside(two, two, 2), 5: beside(beside(two, two, 2), r, 4)}[n]
+        return F.slice(whole, 1, F.greatest(F.col("_n") - (n - 1), F.lit(1)))
 
     each = []
-    for n in [WINDOW, *lengths]:
-        for c in ("_r0", "_r1", "_r2"):
-            known = F.col(c).isNotNull()
-            each.append(F.when(known if n == WINDOW else known & (F.col("_n") > n), hashes(F.col(c), n)))
+    for c in ("_r0", "_r1", "_r2"):
+        known = F.col(c).isNotNull()
+        # a shorter text is one run of all its words
+        short = [F.when(F.col("_n") == n, hashes(F.col(c), n)) for n in range(1, WINDOW)]
+        each.append(F.when(known & (F.col("_n") >= WINDOW), hashes(F.col(c), WINDOW)))
+        each.append(F.when(known & (F.col("_n") < WINDOW), F.coalesce(*short)))
+        each += [F.when(known & (F.col("_n") > n), hashes(F.col(c), n)) for n in lengths]
     none = F.array().cast("array<bigint>")
     each = [F.coalesce(h, none) for h in each]
     if not placed:
