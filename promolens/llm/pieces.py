@@ -23,6 +23,7 @@ repeated rows and ids are rows of their own; other columns are not read.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from array import array
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ from pyspark.sql import types as T
 MARK = "▁"
 #: Chunks in each half of a worker's table, and the longest chunk (in letters) that is kept there.
 HALF, KEEP = 200_000, 64
+#: Letters of a chunk up to which all pairs are looked through for each merge, instead of a queue.
+SHORT = 64
 #: Rows and bytes of a block.
 ROWS, BYTES = 512, 4_000_000
 #: Kinds of pieces, as the model file numbers them.
@@ -82,21 +85,18 @@ class Model:
     def segment(self, chunk: str) -> list[int]:
         """Ids of one chunk: of all neighbours that make a piece, the best-scored merge first,
         of equals the one furthest left."""
-        score = self.score
         part = list(chunk)
-        if len(part) <= 24:
-            while len(part) > 1:
-                best, at, joined = None, -1, ""
-                left = part[0]
-                for k in range(1, len(part)):
-                    right = part[k]
-                    s = score.get(left + right)
-                    if s is not None and (best is None or s > best):
-                        best, at, joined = s, k - 1, left + right
-                    left = right
-                if at < 0:
-                    break
-                part[at:at + 2] = [joined]
+        if len(part) <= SHORT:
+            get, none = self.score.get, -math.inf
+            rank = [get(a + b, none) for a, b in zip(part, part[1:])]  # of each pair of neighbours
+            while rank and (best := max(rank)) != none:
+                k = rank.index(best)
+                part[k:k + 2] = [part[k] + part[k + 1]]
+                del rank[k]
+                if k:
+                    rank[k - 1] = get(part[k - 1] + part[k], none)
+                if k < len(rank):
+                    rank[k] = get(part[k] + part[k + 1], none)
         else:
             part = self._merge_long(part)
         out = []

@@ -24,7 +24,7 @@ Steps 1 to 3 only choose what to sort; equality is decided on the bytes in step
 
 Defined results: null texts are empty; texts shorter than ``LENGTH`` stay whole; rows
 with equal ids are one document and do not cut each other; rows with a null id come
-after all others and do not cut each other; rows may repeat.
+after all others and do not cut each other; rows may repeat; an empty table gives no rows.
 """
 
 from __future__ import annotations

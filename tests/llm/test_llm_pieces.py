@@ -38,7 +38,7 @@ def test_encode_equals_library(text):
 
 def test_long_chunks_merge_alike():
     rng = random.Random(1)
-    for n in (23, 24, 25, 300, 5000):
+    for n in (24, 63, 64, 65, 300, 5000):
         for letters in ("ab", "etaoin", "aaaa", "10", "▁", "▁a", "é漢x"):
             text = "".join(rng.choice(letters) for _ in range(n))
             assert encode(text) == LIBRARY.encode(text)
