@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from promolens.llm.common import give_back
+
 #: Entries after which the caches of a worker start anew.
 CACHE = 400_000
 
@@ -249,6 +251,8 @@ def encode(df: DataFrame, path: str, *, key="doc_id", text="text") -> DataFrame:
                 kind = pa.list_(pa.field("element", pa.int32(), nullable=False))
                 lists = pa.ListArray.from_arrays(pa.array(offsets), values).cast(kind)
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[key, "ids"])
+        del one
+        give_back()
 
     return source.mapInArrow(run, out)
 
@@ -271,5 +275,6 @@ def decode(df: DataFrame, path: str, *, ids="ids", out="decoded") -> DataFrame:
                          for a, b, ok in zip(offsets[:-1], offsets[1:], valid)]
                 columns = [part.column(part.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*names, out])
+        give_back()
 
     return df.mapInArrow(run, schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import uuid
 
@@ -63,6 +65,16 @@ def local_path(uri: str) -> str | None:
     return m[1] if m else None
 
 
+def give_back() -> None:
+    """Return the freed memory of a Python worker to the system when a task ends: later stages use the same
+    workers, and what earlier ones once needed would stay with them."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it keeps what it has
+
+
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows; else as it is.
     ``df`` must be cheap to count, such as a stored table."""

@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import bounded_broadcast, drop, pieces, stored
+from promolens.llm.common import bounded_broadcast, drop, give_back, pieces, stored
 from promolens.llm.components import components
 from promolens.llm.hashing import batch_word_hashes, mix, shingles
 
@@ -134,6 +134,7 @@ def _count(n: int, bits: int):
             yield pd.DataFrame({"part": pd.array(range(PARTS), "Int32"), "none": [True] * PARTS, "id": [0] * PARTS, "row": [0] * PARTS,
                                 "n": [0] * PARTS, "whole": [None] * PARTS, "odd": [None] * PARTS,
                                 "data": [zstandard.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in range(PARTS)]})
+        give_back()
     return run
 
 
@@ -193,6 +194,7 @@ def _send_prefixes(order, n: int, buckets: int):
                     h, doc, place, ids, sizes, held = [], [], [], [], [], 0
             if held:
                 yield frame()
+        give_back()
     return run
 
 
@@ -239,6 +241,7 @@ def _full_sets(n: int):
                     keys, sets = [], []
             if keys:
                 yield pd.DataFrame({"doc": keys, "members": sets})
+        give_back()
     return run
 
 

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promolens.llm.common import give_back
+
 UNKNOWN = "und"
 HIDDEN = 8
 STRETCH = 128
@@ -240,6 +242,7 @@ def predict(docs: DataFrame, model: LanguageModel, *, text="text") -> Column:
                     best = p.argmax(1)
                     answer[lo:lo + 256], score[lo:lo + 256] = best, p[np.arange(len(p)), best]
             yield pd.DataFrame({"lang_pred": names[answer], "score": np.clip(score, 0, 1)})
+        give_back()
 
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
