@@ -18,6 +18,28 @@ def collapse_copies(df: DataFrame, weight: str = "__m") -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(weight))
 
 
+#: Most rows of packed ids that are broadcast to pick out rows.
+PACKED_ROWS = 2_000_000
+
+
+def pack_ids(ids: DataFrame) -> DataFrame:
+    """The whole numbers of a one-column frame, up to 64 neighbours to a row: ``__word, __bits``."""
+    i = F.col(ids.columns[0]).cast("long")
+    return (ids.where(i.isNotNull()).groupBy(F.shiftright(i, 6).alias("__word"))
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(F.lit(63)).cast("int"))).alias("__bits")))
+
+
+def only_packed(df: DataFrame, column: str, packed: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is among the ``packed`` ids, picked out before anything is shuffled.
+    ``packed`` must be cheap to count, such as a stored table; with more than ``PACKED_ROWS`` rows
+    ``df`` comes back as it is, and a join that follows must drop the others."""
+    if packed.limit(PACKED_ROWS + 1).count() > PACKED_ROWS:
+        return df
+    i = F.col(column).cast("long")
+    here = F.getbit("__bits", i.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return df.join(F.broadcast(packed), (F.shiftright(i, 6) == F.col("__word")) & here, "left_semi")
+
+
 def bids_orders(lines: DataFrame, orders: DataFrame, carry=()) -> DataFrame:
     """Sale lines x order-created events on the order id (inner).
     Order columns come out prefixed ``o_``."""

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from promolens.constants import CAROUSEL_COMPONENT, PATH_ORDER_CREATED, PATH_PDP, PATH_VIP
+from promolens.operators.joins import only_packed, pack_ids
 from promolens.session import checkpoint_dir
 from promolens.sources.tables import read_bids, read_customers, read_tracks
 
@@ -81,12 +82,10 @@ def first_line_of_orders(buys: DataFrame, orders: DataFrame, lineitem: DataFrame
     (linenumber, partkey, suppkey, extendedprice, shipdate, quantity); orders
     without lines keep null line columns.
 
-    The line lookup is grouped by the event's own columns, so a filter on
-    them (the ``ds`` window of a job) is pushed below the aggregate and only
-    the lines of the selected events are read into it; no aggregate over the
-    whole line table."""
+    Equal events are one.  Only the lines of orders with an event are shuffled."""
+    lines = only_packed(lineitem, "l_orderkey", pack_ids(buys.select("event_id")))
     j = (buys.join(orders, buys.event_id == F.col("o_orderkey"))
-         .join(lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
+         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
     first = F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
                            "l_shipdate", "l_quantity")).alias("f")
     keys = buys.columns + ["o_orderkey", "o_orderstatus", "o_totalprice"]
@@ -97,9 +96,8 @@ def first_line_of_orders(buys: DataFrame, orders: DataFrame, lineitem: DataFrame
 def tracks(t: dict[str, DataFrame]) -> DataFrame:
     """Click-stream with the nested layout of the real table."""
     ev = _common(t["events"])
-    k = F.get_json_object("props", "$.k").try_cast("int")
-
-    views = ev.where(F.col("event_type") != "purchase")
+    views = ev.where(F.col("event_type") != "purchase").withColumn("_k", F.get_json_object("props", "$.k").try_cast("int"))
+    k = F.col("_k")  # read once for each event
     item = F.concat(F.when(F.col("event_id") % 31 == 0, " ").otherwise(""), F.col("_site"), (k % 3).cast("string"))
     key = (F.when(F.col("event_id") % 11 == 0, "items")
            .when(F.col("event_id") % 13 == 0, "item_ids").otherwise("item_id"))
@@ -146,17 +144,25 @@ def tracks(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def bids(t: dict[str, DataFrame], first_day: str = FIRST_DAY) -> DataFrame:
-    """Sale lines: every line with its order, part and purchase event, if any."""
+    """Sale lines: every line with its order, part and purchase event, if any.
+
+    Events, orders and lines are joined by the same key in one shuffle of the lines; what
+    goes on to the join with the parts is narrow."""
     ev = _common(t["events"]).where(F.col("event_type") == "purchase").select("event_id", "_site", "_day", "_hhmmss")
     key = F.col("o_orderkey")
     second = (key * 37) % 86400
-    lines = (t["orders"].join(t["lineitem"], key == F.col("l_orderkey"))
-             .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
-             .join(ev, key == ev.event_id, "left")
-             .withColumn("_site", F.coalesce("_site", F.concat(F.lit("S"), (key % 3).cast("string"))))
-             .withColumn("_day", F.coalesce("_day", F.date_add(F.lit(first_day).cast("date"), (key % 30).cast("int"))))
-             .withColumn("_hhmmss", F.coalesce(F.col("_hhmmss").cast("long"), F.floor(second / 3600) * 10000
-                                               + F.floor(second % 3600 / 60) * 100 + second % 60)))
+    orders = t["orders"].join(ev, key == ev.event_id, "left").select(
+        "o_orderkey", F.when(F.col("o_orderpriority") == LOW_PRIORITY, "XX").otherwise("TM").alias("_market"),
+        F.coalesce("_site", F.concat(F.lit("S"), (key % 3).cast("string"))).alias("_site"),
+        F.coalesce("_day", F.date_add(F.lit(first_day).cast("date"), (key % 30).cast("int"))).alias("_day"),
+        F.coalesce(F.col("_hhmmss").cast("long"), F.floor(second / 3600) * 10000
+                   + F.floor(second % 3600 / 60) * 100 + second % 60).cast("int").alias("_hhmmss"))
+    lines = orders.join(t["lineitem"], key == F.col("l_orderkey")).select(
+        "o_orderkey", "_market", "_site", "_day", "_hhmmss", "l_partkey",
+        F.when(F.col("l_discount") >= 0.05, 1).otherwise(0).alias("_promo"),
+        F.when(F.col("l_returnflag") != "R", 1).otherwise(0).alias("_gmv"),
+        F.col("l_quantity").cast("int").alias("_quantity"))
+    lines = lines.join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
 
     def cat(c):
         return c.cast("string")
@@ -166,7 +172,7 @@ def bids(t: dict[str, DataFrame], first_day: str = FIRST_DAY) -> DataFrame:
 
     return lines.select(
         F.col("_day").alias("tim_day_winning_date"),
-        F.col("_hhmmss").cast("int").alias("tim_time_winning_date"),
+        F.col("_hhmmss").alias("tim_time_winning_date"),
         F.col("_site").alias("sit_site_id"),
         cat(F.col("p_type")).alias("cat_categ_id_l1"),
         cat(F.col("p_brand")).alias("cat_categ_id_l2"),
@@ -177,11 +183,11 @@ def bids(t: dict[str, DataFrame], first_day: str = FIRST_DAY) -> DataFrame:
         F.col("o_orderkey").cast("decimal(18,0)").alias("ord_order_id"),
         F.col("_day").alias("ord_created_dt"),
         (F.col("l_partkey") % 3).cast("long").alias("ite_item_id"),
-        F.when(F.col("l_discount") >= 0.05, 1).otherwise(0).alias("ite_today_promotion_flag"),
-        F.when(F.col("l_returnflag") != "R", 1).otherwise(0).alias("ite_gmv_flag"),
+        F.col("_promo").alias("ite_today_promotion_flag"),
+        F.col("_gmv").alias("ite_gmv_flag"),
         F.when(F.col("l_partkey") % 97 != 0, F.col("p_retailprice").cast("decimal(18,2)")).alias("bid_base_current_price"),
-        F.col("l_quantity").cast("int").alias("bid_quantity_ok"),
-        F.when(F.col("o_orderpriority") == LOW_PRIORITY, "XX").otherwise("TM").alias("mkt_marketplace_id"),
+        F.col("_quantity").alias("bid_quantity_ok"),
+        F.col("_market").alias("mkt_marketplace_id"),
     )
 
 
@@ -210,10 +216,9 @@ def stored_inputs(spark: SparkSession, sf_dir: str, days: int = 0) -> dict[str,
     read back through the readers, like the warehouse tables they stand for;
     all times moved by so many ``days``.
 
-    The click-stream is range clustered by ``ds`` and, within it, by time and
-    content, so that an hour that holds very many rows is split over several
-    files; each file holds a contiguous range, so a pushed ``ds`` filter skips
-    row groups and files.  The tables live in the session's checkpoint folder
+    The click-stream is sorted by ``ds`` within each file, where it was made: nothing is
+    shuffled for it, an hour that holds very many rows lies in several files, and a pushed
+    ``ds`` filter skips pages.  The tables live in the session's checkpoint folder
     (``spark.checkpoint.dir``, shared storage on a cluster) in a folder of this
     application's own; a changed source is seen by a new application."""
     key = (spark.sparkContext.applicationId, sf_dir, days)
@@ -229,8 +234,7 @@ def _store(spark: SparkSession, sf_dir: str, days: int = 0) -> dict[str, str]:
     base = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     derived = inputs(spark, sf_dir, days)
     paths = {name: f"{base}/{name}" for name in derived}
-    order = ["ds", "server_timestamp", F.xxhash64("event_data", "usr.uid")]
-    derived["tracks"].repartitionByRange(*order).sortWithinPartitions("ds").write.parquet(paths["tracks"])
+    derived["tracks"].sortWithinPartitions("ds").write.parquet(paths["tracks"])
     derived["bids"].write.parquet(paths["bids"])
     derived["customers"].write.parquet(paths["customers"])
     return paths
