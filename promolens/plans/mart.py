@@ -30,7 +30,7 @@ from promolens.operators.extract import (
 )
 from promolens.operators.filters import created_on, day_before, gmv_sales, promo_flagged, sold_on
 from promolens.operators.joins import (
-    bids_orders, collapse_copies, line_item_key, order_identities, touch_identity,
+    bids_orders, collapse_copies, line_item_key, only_packed, order_identities, pack_ids, touch_identity,
 )
 from promolens.operators.window_join import N, Source, count_in_windows
 from promolens.plans.profiles import DAILY, HISTORY
@@ -41,6 +41,11 @@ MART_GRAIN = ["FechaHora", "hora", "sit_site_id", "category_L1", "category_L2",
 MART_COLUMNS = MART_GRAIN + ["platform", "landing", "atr_type", "gmve", "SI", "fecha"]
 
 
+_LINE = ["tim_day_winning_date", "tim_time_winning_date", "sit_site_id", "cat_categ_id_l1", "cat_categ_id_l2", "cat_categ_id_l3",
+         "cat_categ_name_l1", "cat_categ_name_l2", "cat_categ_name_l3", "ord_order_id", "ite_item_id", "bid_base_current_price",
+         "bid_quantity_ok"]
+
+
 def _grain_columns():
     return [
         hour_label("tim_day_winning_date", "tim_time_winning_date").alias("FechaHora"),
@@ -73,10 +78,11 @@ def _probe_windows(bids: DataFrame, orders: DataFrame, analysis_date, profile, c
         lines = lines.where(F.col("tim_day_winning_date") == day_before(analysis_date))
     else:
         lines = lines.where(F.col("tim_day_winning_date").isNotNull())
-    lines = line_item_key(lines).select(
-        *_grain_columns(), "ord_order_id", "item_key",
-        value().alias("__value"), F.col("bid_quantity_ok").alias("__qty"), *carry)
-    probes = bids_orders(lines, collapse_copies(orders), carry=carry)
+    # the join moves the lines as they are stored; text is made of the rows that it leaves
+    lines = lines.select(*_LINE, *carry)
+    joined = line_item_key(bids_orders(lines, collapse_copies(orders), carry=carry))
+    probes = joined.select(*_grain_columns(), "item_key", value().alias("__value"), F.col("bid_quantity_ok").alias("__qty"), *carry,
+                           *[c for c in joined.columns if c.startswith("o_")])
     platform_cols = ["o_platform"] if profile.platform_from == "order" else []
     return probes.groupBy(*carry, *MART_GRAIN, "fecha", *platform_cols, *_ids(profile), *_WINDOW).agg(
         F.sum(F.col("__value") * F.col("o___m")).alias("__value"),
@@ -364,9 +370,15 @@ def backfill(tracks: DataFrame, bids: DataFrame, dates, profile=None, by: str =
                                dedup_touches=dedup_touches)
         return out.drop("run_date")
     carry = ["run_date"]
-    probes = _probe_windows(tagged_bids, extract_orders(tagged_tracks, run, profile, carry=carry), run, profile, carry)
+    orders = extract_orders(tagged_tracks, run, profile, carry=carry)
     if stage_path is not None:
-        probes = stage(probes, stage_path)
+        # few lines belong to an order event: the others are not moved
+        orders = stage(orders, f"{stage_path}/orders")
+        known = stage(pack_ids(orders.select("ord_order_id")), f"{stage_path}/ids")
+        tagged_bids = only_packed(tagged_bids, "ord_order_id", known)
+    probes = _probe_windows(tagged_bids, orders, run, profile, carry)
+    if stage_path is not None:
+        probes = stage(probes, f"{stage_path}/lines")
     every = F.lit("every")
     t = run_touches(tracks, dates, profile, by).withColumn("seen_by", F.coalesce(F.col("run").cast("string"), every))
     source = _source(t, profile, ["seen_by"])

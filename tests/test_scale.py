@@ -1,10 +1,13 @@
 """Steps whose volume must not grow faster than the input."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import bid, bids_df, order, rows, tracks_df, view
 from promolens.operators import joins
 from promolens.operators.joins import only_packed, pack_ids
+from promolens.plans.mart import backfill
 from promolens.sources import fixtures
 
 
@@ -38,3 +41,16 @@ def test_bids_shuffle_their_lines_by_the_order_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # events, orders and lines by the order; lines and parts by the part
     assert plan.count("Exchange hashpartitioning") == 5
+
+
+def test_staged_backfill_moves_only_lines_with_an_order_event(spark, tmp_path):
+    tr = tracks_df(spark, [view(at="2024-01-02 10:00:00"), order(1, at="2024-01-02 12:00:00"), order(1, at="2024-01-02 12:00:00"),
+                           order(70, at="2024-01-02 13:00:00")])
+    b = bids_df(spark, [bid(1, price="10.00", qty=1), bid(2, price="4.00", qty=1), bid(70, price="1.00", qty=1), bid(70, item=2)])
+    dates = [dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    for once in (False, True):
+        plain = rows(backfill(tr, b, dates, dedup_touches=once))
+        at = str(tmp_path / f"staged-{once}")
+        assert rows(backfill(tr, b, dates, stage_path=at, dedup_touches=once)) == plain and len(plain) == 1
+        # ids 1 and 70 make two rows
+        assert spark.read.parquet(f"{at}/ids").count() == 2
