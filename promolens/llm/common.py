@@ -7,6 +7,7 @@ import gc
 import re
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,7 @@ def give_back() -> None:
     """Return the freed memory of a Python worker to the system when a task ends: later stages use the same
     workers, and what earlier ones once needed would stay with them."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):

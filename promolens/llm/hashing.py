@@ -18,8 +18,8 @@ _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-#: Bytes hashed at a time.
-BLOCK = 1 << 20
+#: Bytes hashed at a time (each takes some 60 bytes meanwhile).
+BLOCK = 1 << 18
 _powers: dict[str, np.ndarray] = {}
 
 
