@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import heapq
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import pieces, stored
+from promolens.llm.common import give_back, pieces, stored
 from promolens.llm.hashing import batch_word_hashes, mix, running, span
 
 #: Fewest slots of a predictor's table (2^bits), bytes of training text for a slot, most slots (the
@@ -57,7 +57,7 @@ GATES = SEEN * SEEN * 2
 RATE, MOST = 0.016, 64
 END = 0xFF  # never a byte of UTF-8
 HISTORY = 8  # zero bytes before each text
-#: Bytes counted, and bytes scored, side by side; steps of a text between new weights.
+#: Bytes counted together, and bytes hashed for that, and scored, side by side; steps of a text between new weights.
 CHUNK, SIDE = 3 << 19, 1 << 19
 STEPS = [*[128] * 4, *[256] * 4, *[512] * 4, *[1024] * 4]
 LAST_STEP = 4096
@@ -324,14 +324,18 @@ def _texts(column) -> list[bytes]:
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[list[bytes]]:
+    return _runs(((t or "").encode() for batch in batches for t in batch["_t"]), CHUNK)
+
+
+def _runs(texts: Iterable[bytes], most: int) -> Iterator[list[bytes]]:
+    """Lists of texts, each ending with the text that reaches so many bytes."""
     chunk, held = [], 0
-    for batch in batches:
-        for t in _texts(batch["_t"]):
-            chunk.append(t)
-            held += len(t)
-            if held >= CHUNK:
-                yield chunk
-                chunk, held = [], 0
+    for t in texts:
+        chunk.append(t)
+        held += len(t)
+        if held >= most:
+            yield chunk
+            chunk, held = [], 0
     if chunk:
         yield chunk
 
@@ -342,6 +346,7 @@ def _pass_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total += count_pairs(chunk)
         size += sum(map(len, chunk))
     yield pd.DataFrame({"part": [0], "size": [size], "data": [zstandard.compress(total.tobytes(), 1)]})
+    give_back()
 
 
 def _pass_decisions(tree, bits: int):
@@ -363,13 +368,18 @@ def _pass_decisions(tree, bits: int):
         t = pickle.loads(tree.value)
         held: list[np.ndarray] | None = None
         for chunk in _chunks(batches):
-            new = [_counted(found) for found in decisions(chunk, t, bits)]
+            # what the hashes need is several times the text, so they are made of a part at a time
+            found = list(zip(*[decisions(part, t, bits) for part in _runs(chunk, SIDE)]))
+            new = [_counted(np.concatenate(x)) for x in found]
+            del found
             held = new if held is None else [_added([a, b]) for a, b in zip(held, new)]
             if sum(map(len, held)) > HELD:
                 yield frame(held)
                 held = None
         if held is not None:
             yield frame(held)
+        del held
+        give_back()
     return run
 
 
@@ -397,6 +407,8 @@ def _merged_decisions(bits: int):
                 total[part][code & (each - 1)] += counts  # a decision is there once
         for part, counts in total.items():
             yield pd.DataFrame({"part": [part], "size": [0], "data": [log_odds(counts).tobytes()]})
+        total.clear()
+        give_back()
     return run
 
 
@@ -439,6 +451,7 @@ def bits(docs: DataFrame, model: MixModel, *, text="text"):
         m = shared.value
         for batch in batches:
             yield pd.Series(m.costs(_texts(batch)))
+        give_back()
 
     return cost(F.col(text))
 
@@ -467,6 +480,7 @@ def _send_words(buckets: int):
                 if len(h):
                     rows += [(b, home, False, data) for b, data in _packed_words(h, np.repeat(np.arange(len(words)), size), learned, buckets)]
                 yield pd.DataFrame(rows, columns=["bucket", "home", "own", "data"])
+        give_back()
     return run
 
 
