@@ -30,6 +30,7 @@ after all others and do not cut each other; rows may repeat; an empty table give
 from __future__ import annotations
 
 import pickle
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from promolens.llm.common import pieces, stored
+from promolens.llm.common import give_back, pieces, stored
 from promolens.llm.hashing import _BASE, _power, mix, running
 
 LENGTH, GRAM = 50, 18
@@ -49,8 +50,10 @@ LENGTH, GRAM = 50, 18
 SLOT_BITS, PARTS, HOT, HOT_TIMES = 20, 16, 20_000, 16
 #: Bytes of text for each bucket of anchors, and for each cell of pieces and home of documents.
 BUCKET_BYTES, CELL_BYTES = 40 << 20, 8 << 20
+#: Parts a cell is sorted in, one after the other (a part has all pieces of its anchors).
+SUB = 32
 #: Bytes looked at together inside a task.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _PLACE_BITS = np.uint64(28)
 _PLACES = np.uint64((1 << 28) - 1)
 _LAST_ID = (1 << 63) - 1
@@ -251,6 +254,7 @@ def _count_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     each = len(total) // PARTS
     yield pd.DataFrame({"part": range(PARTS), "size": [size] + [0] * (PARTS - 1),
                         "data": [zstandard.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in range(PARTS)]})
+    give_back()
 
 
 def _merge_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -314,6 +318,7 @@ def _send_anchors(hot, buckets: int, homes: int):
                              np.diff(index, prepend=0).astype(np.uint32).tobytes() if len(index) else b"",
                              np.packbits(sk[part]).tobytes(), np.stack([k[docs], o[docs]]).tobytes()))
             yield pd.DataFrame(rows, columns=["bucket", "_k", "_o", "keys", "index", "known", "docs"])
+        give_back()
     return run
 
 
@@ -397,6 +402,7 @@ def _cut_pieces(hot, cells: int):
                 rows = _pieces_of(_bytes_of(batch["_t"]), batch["keys"], batch["_k"].to_numpy(), batch["_o"].to_numpy(), is_hot, cells)
                 if rows:
                     yield pd.DataFrame(rows, columns=["cell", "data"])
+        give_back()
     return run
 
 
@@ -409,13 +415,16 @@ def _pieces_of(texts, keys, k, o, is_hot, cells):
         told = np.unique(_of_short(bytes(keys.iat[d])))
         wanted[lo:hi] = np.isin(h[lo:hi] & ~np.uint64((1 << 24) - 1), told)
     text, a, b, h = text[wanted], a[wanted], b[wanted], h[wanted]
-    cell = (mix(h) % np.uint64(cells)).astype(np.int64)
+    cell = (mix(h) % np.uint64(cells * SUB)).astype(np.int64)
     frequent = is_hot[_slot(h)]
-    found: dict[int, tuple[dict, list, list, list]] = {}
+    found: dict[int, tuple[dict, bytearray, array, array, array]] = {}
 
     def add(where, piece, d, start):
-        names, which, doc, at = found.setdefault(where, ({}, [], [], []))
-        which.append(names.setdefault(piece, len(names)))
+        names, sub, which, doc, at = found.setdefault(where % cells, ({}, bytearray(), array("I"), array("I"), array("I")))
+        n = names.setdefault(piece, len(names))
+        if n == len(sub):
+            sub.append(where // cells)
+        which.append(n)
         doc.append(d)
         at.append(start)
 
@@ -426,12 +435,13 @@ def _pieces_of(texts, keys, k, o, is_hot, cells):
             continue
         for i in range(start, end):
             one = t[i:i + LENGTH]
-            add(int.from_bytes(mix(np.frombuffer(one[:48], np.uint64).sum(keepdims=True)).tobytes(), "little") % cells, one, d, i)
+            add(int.from_bytes(mix(np.frombuffer(one[:48], np.uint64).sum(keepdims=True)).tobytes(), "little") % (cells * SUB), one, d, i)
     rows = []
-    for c, (names, which, doc, at) in found.items():
-        doc, which, at = np.array(doc), np.array(which, np.uint32), np.array(at, np.uint32)
+    while found:
+        c, (names, sub, which, doc, at) = found.popitem()
+        doc, which, at = (np.frombuffer(x, np.uint32) for x in (doc, which, at))
         # a document that holds a piece many times: fine, each is a place to cut
-        data = (list(names), which, k[doc], o[doc], at)
+        data = (list(names), bytes(sub), which, k[doc], o[doc], at)
         rows.append((c, zstandard.compress(pickle.dumps(data, protocol=5), LEVEL)))
     return rows
 
@@ -439,23 +449,54 @@ def _pieces_of(texts, keys, k, o, is_hot, cells):
 def _sort_cell(rows: pd.DataFrame, homes: int) -> pd.DataFrame:
     """Ranges to remove, found in one cell, packed by the home of the documents."""
     names: dict[bytes, int] = {}
+    part = bytearray()  # equal pieces are in the same one
     which, k, o, at = [], [], [], []
     for data in rows["data"]:
-        own, w, dk, do, start = pickle.loads(zstandard.decompress(data))
-        index = np.array([names.setdefault(p, len(names)) for p in own], np.int64)
+        own, sub, w, dk, do, start = pickle.loads(zstandard.decompress(data))
+        index = np.empty(len(own), np.uint32)
+        for i, (x, s) in enumerate(zip(own, sub)):
+            index[i] = n = names.setdefault(x, len(names))
+            if n == len(part):
+                part.append(s)
         which.append(index[w])
         k.append(dk)
         o.append(do)
-        at.append(start.astype(np.int64))
+        at.append(start)
     which, k, o, at = (np.concatenate(x) for x in (which, k, o, at))
+    texts = list(names)
+    del names
+    part = np.frombuffer(part, np.uint8)
+    found, part_of = [], part[which]
+    for s in range(SUB):
+        own, here = np.flatnonzero(part == s), np.flatnonzero(part_of == s)
+        if len(own):
+            found += _gone([texts[i] for i in own], np.searchsorted(own, which[here]), k[here], o[here], at[here].astype(np.int64))
+    del texts, part_of, which
+    give_back()
+    if not found:
+        return pd.DataFrame({"home": [], "data": []}).astype({"home": "int64"})
+    out_k, out_o, a, b = (np.concatenate(x) for x in zip(*found))
+    home = out_k % homes
+    out = []
+    for h, part in _places_of(home):
+        order = part[np.lexsort((a[part], out_o[part], out_k[part]))]
+        k, o = out_k[order], out_o[order]
+        cut = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (o[1:] != o[:-1])])
+        both = np.stack([a[order], b[order]], 1).astype(np.uint32)
+        size = np.diff(np.r_[cut, len(k)]).astype(np.uint32)
+        out.append((h, zstandard.compress(pickle.dumps((k[cut], o[cut], size, both.tobytes()), protocol=5), 1)))
+    return pd.DataFrame(out, columns=["home", "data"])
+
+
+def _gone(names: list[bytes], which: np.ndarray, k: np.ndarray, o: np.ndarray, at: np.ndarray) -> list[tuple]:
+    """For every place of every piece the strings that a smaller document holds: (k, o, starts, ends)."""
     owner = np.full(len(names), _LAST_ID, np.int64)
     np.minimum.at(owner, which, o)
-    least, count = smallest_owner(list(names), owner)
+    least, count = smallest_owner(names, owner)
     first = np.cumsum(count) - count
-    # every place of every piece: the strings that a smaller document holds
-    out_k, out_o, out_a, out_b = [], [], [], []
-    for lo in range(0, len(which), 100_000):
-        w = which[lo:lo + 100_000]
+    out = []
+    for lo in range(0, len(which), 20_000):
+        w = which[lo:lo + 20_000]
         size = count[w]
         row = np.repeat(np.arange(len(w)), size)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
@@ -465,23 +506,8 @@ def _sort_cell(rows: pd.DataFrame, homes: int) -> pd.DataFrame:
         ends = np.flatnonzero((edge == 1) & np.r_[(edge[1:] == 0) | (row[1:] != row[:-1]), True]) if len(row) else []
         if len(starts):
             r = lo + row[starts]
-            out_k.append(k[r])
-            out_o.append(o[r])
-            out_a.append(at[r] + nth[starts])
-            out_b.append(at[r] + nth[ends] + LENGTH)
-    if not out_k:
-        return pd.DataFrame({"home": [], "data": []}).astype({"home": "int64"})
-    out_k, out_o, a, b = (np.concatenate(x) for x in (out_k, out_o, out_a, out_b))
-    home = out_k % homes
-    out = []
-    for h, part in _places_of(home):
-        order = part[np.lexsort((a[part], out_o[part], out_k[part]))]
-        k, o = out_k[order], out_o[order]
-        cut = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (o[1:] != o[:-1])])
-        both = np.stack([a[order], b[order]], 1).astype(np.uint32)
-        size = np.diff(np.r_[cut, len(k)]).astype(np.uint32)
-        out.append((h, zstandard.compress(pickle.dumps((k[cut], o[cut], size, both.tobytes()), protocol=5), 1)))
-    return pd.DataFrame(out, columns=["home", "data"])
+            out.append((k[r], o[r], at[r] + nth[starts], at[r] + nth[ends] + LENGTH))
+    return out
 
 
 def _ranges_of_documents(rows: pd.DataFrame) -> pd.DataFrame:
@@ -520,6 +546,7 @@ def _cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     "n_spans": pa.array([len(x) // 2 for x in spans], pa.int64()), "kept": pa.array(kept, pa.binary()),
                     "spans": pa.array(spans, pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in through), *made.values()], names=[*through, *made])
+    give_back()
 
 
 def deduplicate(docs: DataFrame, *, key="doc_id", text="text", carry: list[str] = ()) -> DataFrame:

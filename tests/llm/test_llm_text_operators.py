@@ -1,9 +1,12 @@
 """Jaccard join, suffix dedup and decontamination against plain versions."""
 
+import pickle
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 
 import helpers as H
 from promolens.llm import decontaminate, hashing, jaccard, suffix
@@ -179,6 +182,36 @@ def test_suffix_dedup_of_nothing(spark):
     assert suffix.deduplicate(H.documents(spark, [])).collect() == []
 
 
+def test_a_cell_is_sorted_in_parts(monkeypatch):
+    """Each part has all pieces of its anchors, holds a share of the cell, and freed memory goes back."""
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 101, 300, dtype=np.uint8)) for _ in range(40)]
+    texts = [t + texts[(7 * i) % 40][20:140] + t[:90] for i, t in enumerate(texts)]
+    ids, returned, sizes, plain = np.arange(40), [], [], suffix.smallest_owner
+    monkeypatch.setattr(suffix, "give_back", lambda: returned.append(1))
+    monkeypatch.setattr(suffix, "smallest_owner", lambda names, *a: (sizes.append(sum(map(len, names))), plain(names, *a))[1])
+    text, _, _, h = suffix.anchors(texts)
+    text, h = suffix._once_per_text(text, h)
+    keys = pd.Series([b""] * 40, dtype=object)
+    for d, a, b in suffix._runs(text):
+        keys[d] = suffix._short(h[a:b])
+    for hot in (False, True):  # pieces, and single strings of frequent anchors
+        sizes.clear()
+        cells = pd.DataFrame(suffix._pieces_of(texts, keys, ids, ids, np.full(1 << suffix.SLOT_BITS, hot), 2), columns=["cell", "data"])
+        ranges = [[] for _ in texts]
+        for _, cell in cells.groupby("cell"):
+            for data in suffix._sort_cell(cell, 1)["data"]:
+                k, _, size, raw = pickle.loads(zstandard.decompress(data))
+                both = np.split(np.frombuffer(raw, np.uint32).reshape(-1, 2).astype(np.int64), np.cumsum(size)[:-1])
+                for i, part in zip(k, both):
+                    ranges[i] += part.tolist()
+        cut = [suffix.cut_ranges(t, np.array(r, np.int64).reshape(-1, 2)) for t, r in zip(texts, ranges)]
+        want = H.cut_repeats(list(enumerate(texts)))
+        assert [(kept, len(t) - len(kept), len(gone)) for t, (kept, gone) in zip(texts, cut)] == want and sum(w[1] for w in want)
+        assert len(sizes) > suffix.SUB and max(sizes) < sum(sizes) / 8
+    assert len(returned) == 4
+
+
 ITEM = "Tom drove 120 km in 3 hours and then he walked 120 km again to see Anna at the old river house"
 
 
