@@ -46,8 +46,8 @@ from promolens.llm.hashing import batch_word_hashes, mix, running, span
 #: Fewest slots of a predictor's table (2^bits), bytes of training text for a slot, most slots (the
 #: hashes have 32 bits, of which a count takes one for the outcome), slots of a range (2^bits).
 SLOT_BITS, SLOT_BYTES, MOST_BITS, RANGE_BITS = 21, 128, 31, 17
-#: Counts a task holds before it sends them.
-HELD = 2_000_000
+#: Counts of eight bytes that a task holds before it sends them: those that occur again are sent once.
+HELD = 8_000_000
 #: Texts the first weights are learned on, at least, and one of how many; they are not in the tables.
 WEIGHT_TEXTS, WEIGHT_EACH = 64, 1024
 #: Hashed predictors, inputs of a sum (with the pointer and a constant), classes of counts.
@@ -58,7 +58,7 @@ RATE, MOST = 0.016, 64
 END = 0xFF  # never a byte of UTF-8
 HISTORY = 8  # zero bytes before each text
 #: Bytes counted together, and bytes hashed for that, and scored, side by side; steps of a text between new weights.
-CHUNK, SIDE = 3 << 19, 1 << 19
+CHUNK, SIDE = 3 << 19, 1 << 18
 STEPS = [*[128] * 4, *[256] * 4, *[512] * 4, *[1024] * 4]
 LAST_STEP = 4096
 #: Log-odds are kept as whole numbers of 1 / SCALE.
@@ -79,6 +79,26 @@ class Trees:
     node: np.ndarray
     bit: np.ndarray
 
+    def __post_init__(self):
+        # the same by (last byte, byte) first, and the outcomes as one number, the first in its highest bit
+        self.nodes, self.paths = self.node.T.ravel(), np.ascontiguousarray(self.bit.T)
+        high = np.uint32(1) << np.arange(31, 31 - len(self.bit), -1, dtype=np.uint32)  # depths are bounded, see ``trees``
+        self.route = (self.paths * high).sum(1, dtype=np.uint32)
+
+    def decisions(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of decisions of each symbol; and of each decision, symbol after symbol, its level, node and outcome."""
+        length = self.length.take(code)
+        end = np.cumsum(length)
+        level = np.arange(int(length.sum())) - np.repeat(end - length, length)
+        at = np.repeat(code * self.paths.shape[1], length)
+        at += level
+        return length, level, self.nodes.take(at), self.paths.reshape(-1).take(at)
+
+    def common(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """How many first decisions two bytes after the same byte share; 127 for the same byte."""
+        apart = self.route.take(one) ^ self.route.take(other)
+        return np.where(apart == 0, 127, 32 - np.frexp(apart.astype(np.float64))[1]).astype(np.int8)
+
 
 def trees(pairs: np.ndarray) -> Trees:
     """Huffman trees from counts (256, 256) of pairs of bytes."""
@@ -165,16 +185,12 @@ def decisions(texts: list[bytes], tree: Trees, bits: int) -> Iterator[np.ndarray
     at = _places(first, size)
     code = (raw[at - 1].astype(np.int64) << 8) | raw[at]
     context = _contexts(raw, at)
-    length = tree.length.take(code)
-    levels = []
-    for d in range(len(tree.node)):
-        left = np.flatnonzero(length > d)
-        if not len(left):
-            break
-        c = code.take(left)
-        levels.append((left, tree.node[d].take(c), tree.bit[d].take(c).astype(np.uint32)))
+    length, _, node, bit = tree.decisions(code)
     for k in range(PREDICTORS):
-        yield np.concatenate([(_slots(context[k].take(left), node, bits) << np.uint32(1)) | bit for left, node, bit in levels])
+        found = _slots(np.repeat(context[k], length), node, bits)
+        found <<= np.uint32(1)
+        found |= bit.view(np.uint8)
+        yield found
 
 
 def _added(runs: list[np.ndarray]) -> np.ndarray:
@@ -186,6 +202,13 @@ def _added(runs: list[np.ndarray]) -> np.ndarray:
     return (code[first] << np.uint64(32)) | np.add.reduceat(packed & np.uint64(0xFFFFFFFF), first)
 
 
+def _hold(runs: list[np.ndarray], new: np.ndarray) -> None:
+    """Adds a run of counts to those held; a run is added to the one before once it is half as long."""
+    runs.append(new)
+    while len(runs) > 1 and len(runs[-2]) < 2 * len(runs[-1]):
+        runs[-2:] = [_added(runs[-2:])]
+
+
 def _counted(found: np.ndarray) -> np.ndarray:
     found = np.sort(found)
     first = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
@@ -265,49 +288,45 @@ class MixModel:
         return cost
 
     def _step(self, raw, pointed, contexts, here, who, weights, cost) -> None:
-        base = here[0] - HISTORY
+        """All decisions of the symbols at ``here``, symbol after symbol."""
         code = (raw[here - 1].astype(np.int64) << 8) | raw[here]
-        context = [x.take(here) for x in contexts]
-        first_gate, gates = who * GATES, (int(who[-1]) + 1) * GATES
-        length = self.tree.length.take(code)
         guess = pointed[here]
-        guess_code = (code & 0xFF00) | np.maximum(guess, 0)
-        follows = guess >= 0  # the guessed byte still agrees with what is known of the byte
+        length, level, node, bit = self.tree.decisions(code)
+        texts = int(who[-1]) + 1
+        # the guessed byte agrees with what is known of the byte up to the level where they part
+        agreed = np.where(guess < 0, np.int8(-1), self.tree.common(code, (code & 0xFF00) | np.maximum(guess, 0)))
+        agreed, level = np.repeat(agreed, length), level.astype(np.int8)
+        follows, says = level <= agreed, bit ^ (level == agreed)
         bits = self.tables.shape[1].bit_length() - 1
-        change, seen, spent = np.zeros((INPUTS, gates)), np.zeros(gates), np.zeros(gates)
-        for d in range(len(self.tree.node)):
-            if d:
-                keep = length > d
-                if not keep.any():
-                    break
-                code, length, first_gate, guess_code, follows = (x[keep] for x in (code, length, first_gate, guess_code, follows))
-                context = [x[keep] for x in context]
-            node, bit = self.tree.node[d].take(code), self.tree.bit[d].take(code)
-            says = self.tree.bit[d].take(guess_code)
-            looked = [self.tables[k].take(_slots(context[k], node, bits)) for k in range(PREDICTORS)]
-            g = first_gate + (((looked[-2] & 3) * np.int16(SEEN) + (looked[-1] & 3)) * np.int16(2) + follows)
-            inputs = [(x >> 8).astype(np.float32) for x in looked]
-            inputs.append(np.where(follows, says * np.float32(4 * SCALE) - np.float32(2 * SCALE), np.float32(0)))
-            total = weights[INPUTS - 1].take(g)
-            for k in range(INPUTS - 1):
-                inputs[k] *= np.float32(1 / SCALE)
-                total += inputs[k] * weights[k].take(g)
-            np.clip(total, -14, 14, out=total)
-            np.negative(total, out=total)
-            np.exp(total, out=total)
-            total += 1
-            np.reciprocal(total, out=total)  # the probability of the outcome 1
-            error = bit - total
-            np.abs(error, out=total)
-            np.subtract(1, total, out=total)  # the probability of what came
-            np.log2(total, out=total)
-            spent += np.bincount(g, weights=total, minlength=gates)
-            seen += np.bincount(g, minlength=gates)
-            for k in range(INPUTS - 1):
-                change[k] += np.bincount(g, weights=error * inputs[k], minlength=gates)
-            change[INPUTS - 1] += np.bincount(g, weights=error, minlength=gates)
-            follows = follows & (says == bit)
-        cost[:gates // GATES] -= spent.reshape(-1, GATES).sum(1)
+        looked = [self.tables[k].take(_slots(np.repeat(contexts[k].take(here), length), node, bits)) for k in range(PREDICTORS)]
+        gate = (((looked[-2] & 3) * np.int16(SEEN) + (looked[-1] & 3)) * np.int16(2) + follows)
+        g = np.repeat(who * GATES, length)
+        g += gate
+        gates = texts * GATES
+        inputs = [(x >> 8).astype(np.float32) for x in looked]
+        inputs.append((says * np.float32(4 * SCALE) - np.float32(2 * SCALE)) * follows)
+        total = weights[INPUTS - 1].take(g)
+        for k in range(INPUTS - 1):
+            inputs[k] *= np.float32(1 / SCALE)
+            part = weights[k].take(g)
+            part *= inputs[k]
+            total += part
+        np.clip(total, -14, 14, out=total)
+        np.negative(total, out=total)
+        np.exp(total, out=total)
+        total += 1
+        np.reciprocal(total, out=total)  # the probability of the outcome 1
+        error = bit - total
+        np.abs(error, out=total)
+        np.subtract(1, total, out=total)  # the probability of what came
+        np.log2(total, out=total)
+        first = np.searchsorted(who, np.arange(texts))  # each text has a symbol here
+        cost[:texts] -= np.add.reduceat(total, (np.cumsum(length) - length)[first], dtype=np.float64)
+        seen = np.bincount(g, minlength=gates)
+        change = np.empty((INPUTS, gates))
+        for k in range(INPUTS - 1):
+            change[k] = np.bincount(g, weights=np.multiply(inputs[k], error, out=inputs[k]), minlength=gates)
+        change[INPUTS - 1] = np.bincount(g, weights=error, minlength=gates)
         weights[:, :gates] += change * (RATE * np.minimum(1, MOST / np.maximum(seen, 1)))
 
 
@@ -366,18 +385,20 @@ def _pass_decisions(tree, bits: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = pickle.loads(tree.value)
-        held: list[np.ndarray] | None = None
+        held: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
         for chunk in _chunks(batches):
             # what the hashes need is several times the text, so they are made of a part at a time
             found = list(zip(*[decisions(part, t, bits) for part in _runs(chunk, SIDE)]))
-            new = [_counted(np.concatenate(x)) for x in found]
-            del found
-            held = new if held is None else [_added([a, b]) for a, b in zip(held, new)]
-            if sum(map(len, held)) > HELD:
-                yield frame(held)
-                held = None
-        if held is not None:
-            yield frame(held)
+            for k in range(PREDICTORS):
+                _hold(held[k], _counted(np.concatenate(found[k])))
+                found[k] = None
+            if sum(len(x) for runs in held for x in runs) > HELD:
+                held = [[_added(runs)] for runs in held]
+                if sum(len(x[0]) for x in held) > HELD // 2:
+                    yield frame([x[0] for x in held])
+                    held = [[] for _ in range(PREDICTORS)]
+        if held[0]:
+            yield frame([_added(runs) for runs in held])
         del held
         give_back()
     return run

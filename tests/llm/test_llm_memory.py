@@ -49,3 +49,64 @@ def test_word_hashes_do_not_depend_on_the_block(monkeypatch):
     monkeypatch.setattr(hashing, "BLOCK", 64)
     assert [h.tolist() for h in hashing.batch_word_hashes(texts)] == whole
     assert hashing.BLOCK < 1 << 20
+
+
+def test_a_decision_is_sent_once_while_its_counts_fit(monkeypatch):
+    """Runs of counts are added up as they grow, and again before anything is sent."""
+    texts = _texts() * 6
+    tree = lm.trees(lm.count_pairs(lm._texts(texts)).reshape(256, 256))
+    monkeypatch.setattr(lm, "CHUNK", 500)
+    bits, batch = 10, [pd.DataFrame({"_t": texts})]
+
+    class Shared:
+        value = pickle.dumps(tree)
+
+    total = np.zeros((lm.PREDICTORS, 2 << bits), np.int64)
+    lm.count_decisions(lm._texts(texts), tree, total)
+    distinct = int((total > 0).sum())
+    monkeypatch.setattr(lm, "HELD", 2 * distinct)
+    assert len(list(lm._pass_decisions(Shared, bits)(batch))) == 1
+    monkeypatch.setattr(lm, "HELD", distinct // 2)
+    sent = list(lm._pass_decisions(Shared, bits)(batch))
+    assert len(sent) > 1
+    merged = pd.concat(lm._merged_decisions(bits)(sent)).set_index("part")
+    assert all(merged.loc[k]["data"] == lm.log_odds(total[k]).tobytes() for k in range(lm.PREDICTORS))
+    runs = []
+    for n in (900, 300, 200, 100):
+        lm._hold(runs, lm._counted(np.arange(n, dtype=np.uint32)))
+    assert [len(r) for r in runs] == [900, 300, 100] and lm._added(runs)[0] & np.uint64(0xFFFFFFFF) == 4
+
+
+def test_a_step_scores_all_levels_of_its_symbols_together():
+    """Against decisions made one by one; a step looks each table up once."""
+    texts = [b"the cat the cat the cat", b"aaaa the caaaat", b"q", b""]
+    tree = lm.trees(lm.count_pairs(texts).reshape(256, 256))
+    bits = 10
+    total = np.zeros((lm.PREDICTORS, 2 << bits), np.int64)
+    lm.count_decisions(texts[:2], tree, total)
+    looks = []
+
+    class Table(np.ndarray):
+        def take(self, *a, **k):
+            looks.append(1)
+            return np.asarray(self).take(*a, **k)
+
+    m = lm.MixModel(tree, lm.log_odds(total).view(Table), lm.first_weights())
+    got = m.costs(texts)
+    assert len(looks) == lm.PREDICTORS
+    for text, cost in zip(texts, got):
+        raw, first, size = lm._laid_out([text])
+        at = lm._places(first, size)
+        context, pointed, want = lm._contexts(raw, at), lm._pointed(raw, at, np.zeros(len(at), int)), 0.0
+        for i, place in enumerate(at):
+            code = int(raw[place - 1]) << 8 | int(raw[place])
+            follows, guess = pointed[i] >= 0, (code & 0xFF00) | max(0, int(pointed[i]))
+            for d in range(tree.length[code]):
+                node, bit, says = tree.node[d, code:code + 1], tree.bit[d, code], tree.bit[d, guess]
+                look = [int(m.tables[k][lm._slots(context[k, i:i + 1], node, bits)[0]]) for k in range(lm.PREDICTORS)]
+                gate = ((look[-2] & 3) * lm.SEEN + (look[-1] & 3)) * 2 + follows
+                inputs = [*((x >> 8) / lm.SCALE for x in look), (4.0 * says - 2) * follows, 1.0]
+                one = 1 / (1 + np.exp(-np.clip(inputs @ m.weights[:, gate], -14, 14)))
+                want -= np.log2(one if bit else 1 - one)
+                follows = follows and says == bit
+        assert abs(want - cost) < 1e-4 * max(1, want)
