@@ -19,7 +19,8 @@ A first pass finds the documents that can hold an item at all.  It hashes every
 it is, by its type, and by its type with opening words as names, and makes of each window the
 hash of its five word hashes.  A window matched in any way above has the same words in one of
 these three readings, so a document with fewer such windows than ``SHARE`` does not hold the item.
-Only for the others are all ways of their windows made, with the words to compare.
+Only for the others, and there only at the places of such windows, are all ways of the windows made,
+with the words to compare.
 
 All of it is DataFrame functions.  The benchmark's windows are broadcast only while
 they are at most ``BROADCAST_ROWS``; beyond that both sides are shuffled by the hash.
@@ -70,7 +71,7 @@ def marked_text(text: Column) -> Column:
 
 def split_words(marked: Column) -> Column:
     """The words of a marked text; a marked word begins with the mark and its type."""
-    return F.filter(F.split(marked, rf"[^\p{{L}}\p{{N}}{MARK}]+"), lambda w: w != "")
+    return F.array_remove(F.split(marked, rf"[^\p{{L}}\p{{N}}{MARK}]+"), "")
 
 
 def words(text: Column) -> Column:
@@ -94,23 +95,33 @@ def _piece(parts: Column, first: Column, n: int = WINDOW) -> Column:
     return F.filter(F.array(*[F.get(parts, first + (k - 1)) for k in range(n)]), lambda w: w.isNotNull())
 
 
-def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None = None) -> DataFrame:
+def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None = None, at: str | None = None) -> DataFrame:
     """``keys, place, h, slots, wide``: a row for each window and way to match it; slots
     holds the words of a window that is hashed by types, else null.  ``lengths``: of items
-    shorter than a window; windows of that many words are given too."""
+    shorter than a window; windows of that many words are given too.  ``at``: a column with the places
+    that are wanted (of windows that may match); else all are."""
+    extra = [at] if at else []
     opens = F.lit(MARK + "q")
-    tokens = df.select(*keys, words(F.col(text)).alias("_a")).where(F.size("_a") > 0)
+    tokens = df.select(*keys, *extra, words(F.col(text)).alias("_a")).where(F.size("_a") > 0)
     has_opens = F.exists("_a", lambda w: F.startswith(w, opens))
     # _w: without marks of opening words; _v: with these as names
     tokens = tokens.select(
-        *keys, F.when(has_opens, F.transform("_a", lambda x: F.when(F.startswith(x, opens), F.substr(x, F.lit(3))).otherwise(x)))
+        *keys, *extra, F.when(has_opens, F.transform("_a", lambda x: F.when(F.startswith(x, opens), F.substr(x, F.lit(3))).otherwise(x)))
         .otherwise(F.col("_a")).alias("_w"),
         F.when(has_opens, F.transform("_a", lambda x: F.when(F.startswith(x, opens), F.concat(F.lit(MARK + "p"), F.substr(x, F.lit(3))))
                                       .otherwise(x))).otherwise(F.col("_a")).alias("_v"))
     tokens = tokens.withColumn("_p", F.when(F.exists("_v", _marked), F.filter(
         F.transform("_v", lambda x, i: F.when(_marked(x), 0).otherwise(i + 1)), lambda i: i > 0)))
     has_marks = F.exists("_w", _marked)
-    places = F.sequence(F.lit(1), F.greatest(F.size("_w") - (WINDOW - 1), F.lit(1)))
+
+    def places_of(n):
+        last = F.greatest(F.size("_w") - (n - 1), F.lit(1))
+        return F.filter(at, lambda i: i <= last) if at else F.sequence(F.lit(1), last)
+
+    def wanted(spots):
+        return F.filter(spots, lambda i: F.array_contains(at, i)) if at else spots
+
+    places = places_of(WINDOW)
     none = F.lit(None).cast("array<string>")
     w, v, p = F.col("_w"), F.col("_v"), F.col("_p")
 
@@ -142,14 +153,14 @@ def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None
         """Windows that begin after the plain word before and hold too few of the next ones."""
         begin = F.coalesce(F.get(p, F.greatest(j - 1, F.lit(0))) * F.when(j > 0, 1).otherwise(0), F.lit(0)) + 1
         end = F.least(at, F.get(p, j + (LITERAL - 1)) - WINDOW, last)
-        return F.when(begin <= end, F.transform(F.sequence(begin, F.greatest(begin, end)),
+        return F.when(begin <= end, F.transform(wanted(F.sequence(begin, F.greatest(begin, end))),
                                                 lambda i: beyond(i, [j + k for k in range(LITERAL)], "right")))
 
     def left(at, j):
         """Windows that end before the next plain word and hold too few of the ones before."""
         end = F.coalesce(F.get(p, j + 1), F.size(v) + 1) - 1 - (WINDOW - 1)
         begin = F.greatest(at - (WINDOW - 1), F.get(p, F.greatest(j - (LITERAL - 1), F.lit(0))) + 1, F.lit(1))
-        return F.when((begin <= end) & (j >= LITERAL - 1), F.transform(F.sequence(begin, F.greatest(begin, end)),
+        return F.when((begin <= end) & (j >= LITERAL - 1), F.transform(wanted(F.sequence(begin, F.greatest(begin, end))),
                                                                        lambda i: beyond(i, [j - k for k in range(LITERAL)], "left")))
 
     def dense(way):
@@ -158,7 +169,7 @@ def windows(df: DataFrame, keys: list[str], text: str, lengths: list[int] | None
     is_dense = F.exists(places, lambda i: marks(i, v) > WINDOW - LITERAL) & (F.size(v) >= WINDOW)
     ways = [found, F.when(v != w, opened), F.when(p.isNotNull() & is_dense & (F.size(p) >= LITERAL), F.concat(dense(right), dense(left)))]
     for n in lengths or []:
-        spots = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
+        spots = places_of(n)
         ways.append(F.when(F.size(w) > n, F.transform(spots, lambda i: row(i, _hash(w, i, True, n), none))))
         if n > LITERAL:
             ways.append(F.when((F.size(w) > n) & p.isNotNull(), F.transform(
@@ -187,32 +198,40 @@ def _readings(df: DataFrame, keys: list[str], text: str, lengths: list[int], pla
         F.when(_marked(x), F.when(opens(x), MARK + "p").otherwise(kind(x))).otherwise(x)))).otherwise(none)
     tokens = tokens.select(*keys, F.size("_a").alias("_n"), plain.alias("_r0"), typed.alias("_r1"), named.alias("_r2"))
 
-    def hashes(r, n):
-        places = F.sequence(F.lit(1), F.greatest(F.col("_n") - (n - 1), F.lit(1)))
-        return F.transform(places, lambda i: F.xxhash64(*[F.get(r, i + (k - 1)) for k in range(n)]))
+    def windows_of(r, n):
+        """The word hashes of each window of ``n`` words, side by side: slices are zipped and hashed as columns,
+        which Spark compiles (a function of each place of the array would be interpreted)."""
+        many = F.greatest(F.col("_n") - (n - 1), F.lit(1))
+        sides = [F.slice(r, k + 1, many) if k < n else F.array().cast("array<bigint>") for k in range(WINDOW)]
+        return F.arrays_zip(F.sequence(F.lit(1), many) if placed else F.slice(r, 1, 0), *sides)
 
     each = []
     for n in [WINDOW, *lengths]:
         for c in ("_r0", "_r1", "_r2"):
             known = F.col(c).isNotNull()
-            each.append(F.when(known if n == WINDOW else known & (F.col("_n") > n), hashes(F.col(c), n)))
-    none = F.array().cast("array<bigint>")
-    each = [F.coalesce(h, none) for h in each]
-    if not placed:
-        return tokens.select(*keys, F.explode(F.concat(*each)).alias("g"))
-    each = [F.transform(h, lambda g, k: F.struct((k + 1).alias("place"), g.alias("g"))) for h in each]
-    return tokens.select(*keys, F.inline(F.concat(*each)))
-
-
-def _candidates(source: DataFrame, items: DataFrame, total: DataFrame, lengths: list[int], share: float) -> DataFrame:
-    """``_id, _row`` of the documents that may hold an item."""
-    index = stored(_readings(items, ["_item"], "_t", [], True).select("_item", F.col("place").alias("_at"), "g").distinct(), "readings")
+            each.append(F.when(known if n == WINDOW else known & (F.col("_n") > n), windows_of(F.col(c), n)))
+    names = ["place", *[f"_w{k}" for k in range(WINDOW)]]
+    kind = "array<struct<" + ",".join(f"{c}:{'int' if c == 'place' and placed else 'bigint'}" for c in names) + ">>"
+    each = [F.coalesce(x.cast(kind), F.array().cast(kind)) for x in each]
+    rows = tokens.select(*keys, F.inline(F.concat(*each)))
+    return rows.select(*keys, *["place"] * placed, F.xxhash64(*names[1:]).alias("g"))
+
+
+def _candidates(source: DataFrame, index: DataFrame, total: DataFrame, lengths: list[int], share: float) -> DataFrame:
+    """``_id, _row`` of the documents that may hold an item; ``index``: the readings of the items."""
     hits = _readings(source, ["_id", "_row"], "_t", lengths, False).join(bounded_broadcast(index, BROADCAST_ROWS), "g")
     found = hits.select("_id", "_row", "_item", "_at").distinct().groupBy("_id", "_row", "_item").agg(F.count("*").alias("n"))
     found = found.join(bounded_broadcast(total, BROADCAST_ROWS), "_item").where(F.col("n") >= share * F.col("n_windows"))
     return stored(found.select("_id", "_row").distinct(), "candidates")
 
 
+def _places(few: DataFrame, index: DataFrame, lengths: list[int]) -> DataFrame:
+    """``_cid, _crow, _near``: the places of each document where a window has a reading of an item's window."""
+    known = stored(index.select("g").distinct(), "known")
+    hits = _readings(few, ["_id", "_row"], "_t", lengths, True).join(bounded_broadcast(known, BROADCAST_ROWS), "g")
+    return stored(hits.groupBy(F.col("_id").alias("_cid"), F.col("_row").alias("_crow")).agg(F.collect_set("place").alias("_near")), "places")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, *, key="doc_id", text="text", item="item_id", item_text="text",
           share: float = SHARE) -> DataFrame:
     """``(key, row, item, n_windows, n_matched, share)``: items found in documents.
@@ -223,9 +242,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, key="doc_id", text="text", i
                                                           F.col("wide").alias("_wide")).distinct(), "index")
     total = stored(index.groupBy("_item").agg(F.count_distinct("_at").alias("n_windows")), "total")
     source = docs.select(F.col(key).alias("_id"), F.xxhash64(text).alias("_row"), F.col(text).alias("_t"))
-    some = bounded_broadcast(_candidates(source, items, total, lengths, share).withColumnsRenamed({"_id": "_cid", "_row": "_crow"}), BROADCAST_ROWS)
-    few = source.join(some, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_row") == F.col("_crow")), "left_semi")
-    seen = windows(few, ["_id", "_row"], "_t", lengths)
+    readings = stored(_readings(items, ["_item"], "_t", [], True).select("_item", F.col("place").alias("_at"), "g").distinct(), "readings")
+    some = bounded_broadcast(_candidates(source, readings, total, lengths, share).withColumnsRenamed({"_id": "_cid", "_row": "_crow"}), BROADCAST_ROWS)
+    same_row = F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_row") == F.col("_crow"))
+    few = stored(source.join(some, same_row, "left_semi"), "few")
+    near = few.join(bounded_broadcast(_places(few, readings, lengths), BROADCAST_ROWS), same_row)
+    seen = windows(near, ["_id", "_row"], "_t", lengths, "_near")
     # two windows with the same hash must be matched the same way
     hits = seen.join(bounded_broadcast(index, BROADCAST_ROWS), ["h"]).where(
         (F.col("slots").isNull() == F.col("_slots").isNull()) & (F.col("wide") == F.col("_wide")))

@@ -1,10 +1,14 @@
 """Decontamination of dense items, names that open a sentence, short items; the operator against its SQL."""
 
+import random
+
 import duckdb
 import pandas as pd
 import pytest
 
 import helpers as H
+from pyspark.sql import functions as F
+
 from promolens.llm import decontaminate
 from promolens.llm.sql import OP7
 
@@ -91,3 +95,32 @@ def test_sql_on_made_up_texts(spark):
     items = [" ".join(rng.choice(some) for _ in range(rng.choice([2, 3, 4, 6, 12, 20]))) for _ in range(20)]
     docs = [(i, " ".join(rng.choice(some) if rng.random() < 0.15 else w for w in rng.choice(items).split(" "))) for i in range(60)]
     assert len(leak_ids(spark, docs, *items)) > 20
+
+
+def test_windows_are_made_at_matching_places_only(spark, monkeypatch):
+    """The ways of a window that match are all at places of the first pass; the others are not made."""
+    rng = random.Random(8)
+    names, plain = ["Anna", "Tom", "Paris"], ["the", "cat", "walks", "to", "old", "house", "km", "sees"]
+
+    def text(n):
+        return " ".join(rng.choice([rng.choice(names), str(rng.randint(1, 40)), *[rng.choice(plain) for _ in range(4)], "end. And"]) for _ in range(n))
+
+    items = [text(rng.randint(2, 14)) for _ in range(30)]
+    docs = H.documents(spark, [(i, f"{text(25)} {items[i % 30]} {text(25)}") for i in range(60)])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    made, windows = [], decontaminate.windows
+
+    def counted(df, *a):
+        out = windows(df, *a)
+        if len(a) > 3:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(decontaminate, "windows", counted)
+    got = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
+    every = F.sequence(F.lit(1), F.lit(200))
+    monkeypatch.setattr(decontaminate, "_places", lambda few, *a: few.select(
+        F.col("_id").alias("_cid"), F.col("_row").alias("_crow"), every.alias("_near")))
+    want = sorted(map(tuple, decontaminate.leaks(docs, bench).collect()))
+    assert got == want and len(want) > 30
+    assert made[0] < 0.8 * made[1]
