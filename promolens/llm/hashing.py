@@ -34,9 +34,12 @@ def _power(base: int, n: int) -> np.ndarray:
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def running(raw: np.ndarray) -> np.ndarray:
@@ -47,7 +50,11 @@ def running(raw: np.ndarray) -> np.ndarray:
 
 
 def span(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix((sums[end] - sums[start]) * _power(_BASE, len(sums))[start] + (end - start).astype(np.uint64))
+    out = sums.take(end)
+    out -= sums.take(start)
+    out *= _power(_BASE, len(sums)).take(start)
+    out += (end - start).astype(np.uint64)
+    return mix(out)
 
 
 def _words_of_block(raw: np.ndarray) -> np.ndarray:

@@ -48,6 +48,8 @@ from promolens.llm.hashing import batch_word_hashes, mix, running, span
 SLOT_BITS, SLOT_BYTES, MOST_BITS, RANGE_BITS = 21, 128, 31, 17
 #: Counts of eight bytes that a task holds before it sends them: those that occur again are sent once.
 HELD = 8_000_000
+#: Most times a symbol is counted in one number.
+MANY = 0xFFFF
 #: Texts the first weights are learned on, at least, and one of how many; they are not in the tables.
 WEIGHT_TEXTS, WEIGHT_EACH = 64, 1024
 #: Hashed predictors, inputs of a sum (with the pointer and a constant), classes of counts.
@@ -55,6 +57,7 @@ PREDICTORS, INPUTS, SEEN = 3, 5, 4
 GATES = SEEN * SEEN * 2
 #: Step of the weights for each decision, and the decisions a step counts for at most.
 RATE, MOST = 0.016, 64
+SPREAD = np.uint32(0x85EBCA6B)
 END = 0xFF  # never a byte of UTF-8
 HISTORY = 8  # zero bytes before each text
 #: Bytes counted together, and bytes hashed for that, and scored, side by side; steps of a text between new weights.
@@ -68,8 +71,6 @@ WORD_BUCKET = 40 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 255)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 @dataclass
 class Trees:
@@ -80,19 +81,16 @@ class Trees:
     bit: np.ndarray
 
     def __post_init__(self):
-        # the same by (last byte, byte) first, and the outcomes as one number, the first in its highest bit
-        self.nodes, self.paths = self.node.T.ravel(), np.ascontiguousarray(self.bit.T)
+        # the outcomes as one number, the first in its highest bit
         high = np.uint32(1) << np.arange(31, 31 - len(self.bit), -1, dtype=np.uint32)  # depths are bounded, see ``trees``
-        self.route = (self.paths * high).sum(1, dtype=np.uint32)
+        self.route = (self.bit.T * high).sum(1, dtype=np.uint32)
 
-    def decisions(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Number of decisions of each symbol; and of each decision, symbol after symbol, its level, node and outcome."""
-        length = self.length.take(code)
-        end = np.cumsum(length)
-        level = np.arange(int(length.sum())) - np.repeat(end - length, length)
-        at = np.repeat(code * self.paths.shape[1], length)
-        at += level
-        return length, level, self.nodes.take(at), self.paths.reshape(-1).take(at)
+    def levels(self, length: np.ndarray) -> list[tuple[int, int]]:
+        """For symbols with so many decisions, falling: how many of them have a decision at each
+        level, and how many decisions there are before it, level after level."""
+        deep = int(length[0]) if len(length) else 0
+        there = np.searchsorted(-length, -np.arange(deep), side="left")
+        return list(zip(there.tolist(), (np.cumsum(there) - there).tolist()))
 
     def common(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
         """How many first decisions two bytes after the same byte share; 127 for the same byte."""
@@ -130,7 +128,7 @@ def trees(pairs: np.ndarray) -> Trees:
 def _laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts in one array, each after zeros and before its end mark; first place and number of symbols."""
     gap = bytes(HISTORY)
-    raw = _LOWER[np.frombuffer(b"".join([gap + t + b"\xff" for t in texts]), np.uint8)]
+    raw = np.frombuffer(b"".join([gap + t + b"\xff" for t in texts]).lower(), np.uint8)  # A-Z only
     size = np.array([len(t) + 1 for t in texts], np.int64)
     return raw, np.cumsum(size + HISTORY) - size, size
 
@@ -139,19 +137,29 @@ def _places(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
-def _contexts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Hashes (PREDICTORS, len(at)) of what comes before each place."""
-    back = [raw[at - k].astype(np.uint64) for k in range(1, 6)]
-    two = back[0] | back[1] << np.uint64(8)
-    three = two | back[2] << np.uint64(16)
-    five = three | back[3] << np.uint64(24) | back[4] << np.uint64(32)
-    letter = _LETTER[raw]
-    begin = np.maximum.accumulate(np.where(letter, 0, np.arange(1, len(raw) + 1)))  # after the last other byte
-    start = begin[at - 1]
-    word = span(running(raw), start, at) + raw[start - 1]
-    out = np.stack([three + np.uint64(1 << 50), five + np.uint64(1 << 51), word])
+def _eight(raw: np.ndarray, kind: str) -> np.ndarray:
+    """The eight bytes before each place from ``HISTORY`` on as one number."""
+    return np.ndarray(len(raw) - HISTORY, kind, raw, strides=(1,)).astype(np.uint64)
+
+
+def _contexts(raw: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes (PREDICTORS, len(at)) of what comes before each place; of all places without ``at``
+    (those before ``HISTORY`` have none)."""
+    out = np.zeros((PREDICTORS, len(raw)), np.uint64)
+    three, five, word = out[:, HISTORY:]
+    before = _eight(raw, ">u8")
+    np.bitwise_and(before, np.uint64((1 << 24) - 1), out=three)
+    three += np.uint64(1 << 50)
+    np.bitwise_and(before, np.uint64((1 << 40) - 1), out=five)
+    five += np.uint64(1 << 51)
+    begin = np.arange(1, len(raw) + 1)
+    begin[_LETTER.take(raw)] = 0
+    start = np.maximum.accumulate(begin, out=begin)[HISTORY - 1:-1]  # after the last other byte
+    word[:] = span(running(raw), start, np.arange(HISTORY, len(raw)))
+    word += raw.take(start - 1)
     out *= np.uint64(0x9E3779B97F4A7C15)
-    return (out >> np.uint64(32)).astype(np.uint32)
+    out >>= np.uint64(32)
+    return out.astype(np.uint32) if at is None else out.take(at, 1).astype(np.uint32)
 
 
 def slot_bits(size: int) -> int:
@@ -162,7 +170,7 @@ def slot_bits(size: int) -> int:
 def _slots(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
     """``node`` comes multiplied (see ``Trees``)."""
     mixed = context + node
-    mixed *= np.uint32(0x85EBCA6B)
+    mixed *= SPREAD
     mixed >>= np.uint32(32 - bits)
     return mixed
 
@@ -175,38 +183,83 @@ def count_pairs(texts: list[bytes]) -> np.ndarray:
 
 def count_decisions(texts: list[bytes], tree: Trees, total: np.ndarray) -> None:
     """Adds to ``total`` (PREDICTORS, 2 * slots): decisions by slot and outcome."""
-    for k, found in enumerate(decisions(texts, tree, total.shape[1].bit_length() - 2)):
-        total[k] += np.bincount(found, minlength=total.shape[1])
+    for k, found in enumerate(decisions(texts)):
+        counts = _decided(_symbols(found), tree, total.shape[1].bit_length() - 2)
+        total[k][(counts >> np.uint64(32)).astype(np.int64)] += (counts & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def decisions(texts: list[bytes], tree: Trees, bits: int) -> Iterator[np.ndarray]:
-    """For each predictor all decisions, as 2 * slot + outcome."""
+def decisions(texts: list[bytes]) -> np.ndarray:
+    """(PREDICTORS, symbols): what all decisions of a symbol follow from, its context and, below, its byte and the one before."""
     raw, first, size = _laid_out(texts)
     at = _places(first, size)
-    code = (raw[at - 1].astype(np.int64) << 8) | raw[at]
-    context = _contexts(raw, at)
-    length, _, node, bit = tree.decisions(code)
-    for k in range(PREDICTORS):
-        found = _slots(np.repeat(context[k], length), node, bits)
-        found <<= np.uint32(1)
-        found |= bit.view(np.uint8)
-        yield found
+    out = _contexts(raw, at).astype(np.uint64)
+    out <<= np.uint64(16)
+    out |= _codes(raw).take(at)
+    return out
+
+
+def _codes(raw: np.ndarray) -> np.ndarray:
+    """(last byte, byte) of each place but the first."""
+    code = raw.astype(np.uint16)
+    code[1:] |= code[:-1] << np.uint16(8)
+    return code
+
+
+def _symbols(found: np.ndarray, counted: bool = False) -> np.ndarray:
+    """Sorted symbols (see ``decisions``), each once with how often it is there in the low 16 bits;
+    once more for every ``MANY`` times.  ``counted``: they come with such counts."""
+    if not len(found):
+        return found
+    found.sort()
+    code = found >> np.uint64(16) if counted else found
+    last = np.flatnonzero(np.append(code[1:] != code[:-1], True))
+    total = np.cumsum(found & np.uint64(MANY))[last].astype(np.int64) if counted else last + 1
+    times, code = np.diff(total, prepend=0), code[last]
+    if len(times) and times.max() > MANY:
+        more = (times - 1) // MANY
+        code, times = np.append(code, np.repeat(code, more)), np.append(times - more * MANY, np.full(more.sum(), MANY))
+    return code << np.uint64(16) | times.astype(np.uint64)
+
+
+def _decided(symbols: np.ndarray, tree: Trees, bits: int) -> np.ndarray:
+    """Counted decisions (see ``_added``), as 2 * slot + outcome, of counted symbols."""
+    if not len(symbols):
+        return symbols
+    code = (symbols >> np.uint64(16)).astype(np.uint16)
+    length = tree.length.take(code)
+    order = np.argsort((-length).astype(np.int8), kind="stable")
+    code, length, symbols = code[order].astype(np.int64), length[order], symbols[order]
+    context, times = (symbols >> np.uint64(32)).astype(np.uint32), symbols & np.uint64(MANY)
+    out = np.empty(int(length.sum()), np.uint64)
+    for d, (k, before) in enumerate(tree.levels(length)):
+        found = _slots(context[:k], tree.node[d].take(code[:k]), bits).astype(np.uint64)
+        found <<= np.uint64(1)
+        found |= tree.bit[d].take(code[:k]).view(np.uint8)
+        found <<= np.uint64(32)
+        np.add(found, times[:k], out=out[before:before + k])
+    return _added([out])
 
 
 def _added(runs: list[np.ndarray]) -> np.ndarray:
     """Counts (the decision in the high 32 bits, how often in the low ones), sorted and added up.
     A task sends far fewer than 2^32 decisions."""
-    packed = np.sort(np.concatenate(runs))
-    code = packed >> np.uint64(32)
-    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-    return (code[first] << np.uint64(32)) | np.add.reduceat(packed & np.uint64(0xFFFFFFFF), first)
+    packed = np.concatenate(runs)
+    packed.sort()
+    last = np.flatnonzero(np.append(packed[1:] ^ packed[:-1] > np.uint64(0xFFFFFFFF), True))
+    code = packed[last] >> np.uint64(32)
+    packed &= np.uint64(0xFFFFFFFF)
+    return (code << np.uint64(32)) | np.diff(np.cumsum(packed, out=packed)[last], prepend=np.uint64(0))
 
 
-def _hold(runs: list[np.ndarray], new: np.ndarray) -> None:
+def _hold(runs: list[np.ndarray], new: np.ndarray, added=_added) -> None:
     """Adds a run of counts to those held; a run is added to the one before once it is half as long."""
     runs.append(new)
     while len(runs) > 1 and len(runs[-2]) < 2 * len(runs[-1]):
-        runs[-2:] = [_added(runs[-2:])]
+        runs[-2:] = [added(runs[-2:])]
+
+
+def _added_symbols(runs: list[np.ndarray]) -> np.ndarray:
+    return _symbols(np.concatenate(runs), counted=True)
 
 
 def _counted(found: np.ndarray) -> np.ndarray:
@@ -226,9 +279,8 @@ def log_odds(counts: np.ndarray) -> np.ndarray:
 def _pointed(raw: np.ndarray, at: np.ndarray, who: np.ndarray) -> np.ndarray:
     """For each place the byte after the last earlier stand of the same six bytes in
     the same text, or -1."""
-    key = np.zeros(len(at), np.uint64)
-    for k in range(1, 7):
-        key = (key << np.uint64(8)) | raw[at - k]
+    key = _eight(raw, "<u8").take(at - HISTORY)
+    key >>= np.uint64(16)
     places = np.uint64(max(1, int(len(at) - 1).bit_length()))
     hashed = (key + (who.astype(np.uint64) << np.uint64(48))) * np.uint64(0x9E3779B97F4A7C15)
     hashed ^= hashed >> np.uint64(29)
@@ -267,48 +319,65 @@ class MixModel:
         """Texts from long to short."""
         raw, first, size = _laid_out(texts)
         n = len(texts)
-        every = _places(first, size)
-        pointed = np.full(len(raw), -1, np.int16)
-        pointed[every] = _pointed(raw, every, np.repeat(np.arange(n), size))
-        contexts = np.zeros((PREDICTORS, len(raw)), np.uint32)
-        contexts[:, every] = _contexts(raw, every)
+        every, who = _places(first, size), np.repeat(np.arange(n), size)
+        code = _codes(raw).take(every)
+        guess = _pointed(raw, every, who)
+        # the guessed byte agrees with what is known of the byte up to the level where they part
+        agreed = self.tree.common(code, (code & np.uint16(0xFF00)) | np.maximum(guess, 0).view(np.uint16))
+        agreed[guess < 0] = -1
+        length = self.tree.length.take(code)
+        # step after step, and in a step the symbols with most decisions first
+        ends = np.cumsum(STEPS)
+        nth = np.arange(len(every)) - np.repeat(np.cumsum(size) - size, size)
+        step = np.where(nth < ends[-1], np.searchsorted(ends, nth, side="right"), len(STEPS) + (nth - ends[-1]) // LAST_STEP)
+        by = (step << 5) + (31 - length)
+        order = np.argsort(by.astype(np.uint16) if by.max() < 1 << 16 else by, kind="stable")
+        bounds = np.cumsum(np.bincount(step)).tolist()
+        code, agreed, length, who = code[order].astype(np.int64), agreed[order], length[order], who[order]
+        contexts = _contexts(raw).take(every[order], 1)
         weights = np.repeat(self.weights[:, None, :], n, 1).reshape(INPUTS, n * GATES).astype(np.float32)
-        cost = np.zeros(n)
-        at, step = 0, 0
-        while at < size[0]:
-            width = STEPS[step] if step < len(STEPS) else LAST_STEP
-            live = int(np.searchsorted(-size, -at, side="left"))  # texts longer than ``at``
-            now = np.minimum(size[:live] - at, width)
-            here = _places(first[:live] + at, now)
-            who = np.repeat(np.arange(live), now)
-            self._step(raw, pointed, contexts, here, who, weights, cost)
-            at, step = at + width, step + 1
+        cost = np.zeros(len(every))
+        for lo, hi in zip([0, *bounds], bounds):
+            here = slice(lo, hi)
+            cost[here] = self._step(code[here], agreed[here], length[here], contexts[:, here], who[here], weights)
         if keep:
             self.weights = weights.reshape(INPUTS, n, GATES).mean(1)
-        return cost
-
-    def _step(self, raw, pointed, contexts, here, who, weights, cost) -> None:
-        """All decisions of the symbols at ``here``, symbol after symbol."""
-        code = (raw[here - 1].astype(np.int64) << 8) | raw[here]
-        guess = pointed[here]
-        length, level, node, bit = self.tree.decisions(code)
-        texts = int(who[-1]) + 1
-        # the guessed byte agrees with what is known of the byte up to the level where they part
-        agreed = np.where(guess < 0, np.int8(-1), self.tree.common(code, (code & 0xFF00) | np.maximum(guess, 0)))
-        agreed, level = np.repeat(agreed, length), level.astype(np.int8)
-        follows, says = level <= agreed, bit ^ (level == agreed)
-        bits = self.tables.shape[1].bit_length() - 1
-        looked = [self.tables[k].take(_slots(np.repeat(contexts[k].take(here), length), node, bits)) for k in range(PREDICTORS)]
-        gate = (((looked[-2] & 3) * np.int16(SEEN) + (looked[-1] & 3)) * np.int16(2) + follows)
-        g = np.repeat(who * GATES, length)
+        return np.bincount(who, weights=cost, minlength=n)
+
+    def _step(self, code, agreed, length, contexts, who, weights) -> np.ndarray:
+        """Cost in bits of each symbol of a step.  Those with most decisions come first, and all decisions
+        are made together, level after level."""
+        levels, count = self.tree.levels(length), int(length.sum())
+        slots, g = np.empty((PREDICTORS, count), np.uint32), np.empty(count, np.int64)
+        bit, follows, says = (np.empty(count, np.float32), *np.empty((2, count), np.int8))
+        route, whose = self.tree.route.take(code), who * GATES
+        for d, (k, before) in enumerate(levels):
+            at = slice(before, before + k)
+            np.add(contexts[:, :k], self.tree.node[d].take(code[:k], mode="clip"), out=slots[:, at])
+            one = ((route[:k] >> np.uint32(31 - d)) & np.uint32(1)).astype(np.int8)
+            bit[at] = one
+            np.less_equal(d, agreed[:k], out=follows[at].view(bool))
+            np.bitwise_xor(one, (agreed[:k] == d).view(np.int8), out=says[at])
+            g[at] = whose[:k]
+        slots *= SPREAD  # as in ``_slots``
+        slots >>= np.uint32(32 - (self.tables.shape[1].bit_length() - 1))
+        looked = [self.tables[k].take(slots[k], mode="clip") for k in range(PREDICTORS)]  # no place is outside: "clip" is faster
+        gate = looked[-2] & np.int16(3)
+        gate *= np.int16(SEEN)
+        gate += looked[-1] & np.int16(3)
+        gate *= np.int16(2)
+        gate += follows
         g += gate
-        gates = texts * GATES
-        inputs = [(x >> 8).astype(np.float32) for x in looked]
-        inputs.append((says * np.float32(4 * SCALE) - np.float32(2 * SCALE)) * follows)
-        total = weights[INPUTS - 1].take(g)
+        inputs = [np.right_shift(x, 8, out=x).astype(np.float32) for x in looked]
+        for x in inputs:
+            x *= np.float32(1 / SCALE)
+        says += says
+        says -= np.int8(1)
+        says *= follows
+        inputs.append(says * (np.float32(2 * SCALE) * np.float32(1 / SCALE)))
+        total = weights[INPUTS - 1].take(g, mode="clip")
         for k in range(INPUTS - 1):
-            inputs[k] *= np.float32(1 / SCALE)
-            part = weights[k].take(g)
+            part = weights[k].take(g, mode="clip")
             part *= inputs[k]
             total += part
         np.clip(total, -14, 14, out=total)
@@ -316,18 +385,21 @@ class MixModel:
         np.exp(total, out=total)
         total += 1
         np.reciprocal(total, out=total)  # the probability of the outcome 1
-        error = bit - total
+        error = np.subtract(bit, total, out=bit)
         np.abs(error, out=total)
         np.subtract(1, total, out=total)  # the probability of what came
         np.log2(total, out=total)
-        first = np.searchsorted(who, np.arange(texts))  # each text has a symbol here
-        cost[:texts] -= np.add.reduceat(total, (np.cumsum(length) - length)[first], dtype=np.float64)
+        cost = np.zeros(len(code))
+        for k, before in levels:
+            cost[:k] -= total[before:before + k]
+        gates = (int(who.max()) + 1) * GATES
         seen = np.bincount(g, minlength=gates)
         change = np.empty((INPUTS, gates))
         for k in range(INPUTS - 1):
             change[k] = np.bincount(g, weights=np.multiply(inputs[k], error, out=inputs[k]), minlength=gates)
         change[INPUTS - 1] = np.bincount(g, weights=error, minlength=gates)
         weights[:, :gates] += change * (RATE * np.minimum(1, MOST / np.maximum(seen, 1)))
+        return cost
 
 
 def first_weights() -> np.ndarray:
@@ -385,21 +457,32 @@ def _pass_decisions(tree, bits: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = pickle.loads(tree.value)
-        held: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]
+        made: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]  # symbols
+        held: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]  # their decisions
+
+        def decide() -> None:
+            for k, runs in enumerate(made):
+                if runs:
+                    _hold(held[k], _decided(runs[0] if len(runs) == 1 else _added_symbols(runs), t, bits))
+                    runs.clear()
+
         for chunk in _chunks(batches):
             # what the hashes need is several times the text, so they are made of a part at a time
-            found = list(zip(*[decisions(part, t, bits) for part in _runs(chunk, SIDE)]))
+            found = [decisions(part) for part in _runs(chunk, SIDE)]
             for k in range(PREDICTORS):
-                _hold(held[k], _counted(np.concatenate(found[k])))
-                found[k] = None
+                _hold(made[k], _symbols(np.concatenate([x[k] for x in found])), _added_symbols)
+            del found
+            if sum(len(x) for runs in made for x in runs) > HELD // 4:
+                decide()
             if sum(len(x) for runs in held for x in runs) > HELD:
                 held = [[_added(runs)] for runs in held]
                 if sum(len(x[0]) for x in held) > HELD // 2:
                     yield frame([x[0] for x in held])
                     held = [[] for _ in range(PREDICTORS)]
+        decide()
         if held[0]:
             yield frame([_added(runs) for runs in held])
-        del held
+        held.clear()
         give_back()
     return run
 

@@ -110,3 +110,33 @@ def test_a_step_scores_all_levels_of_its_symbols_together():
                 want -= np.log2(one if bit else 1 - one)
                 follows = follows and says == bit
         assert abs(want - cost) < 1e-4 * max(1, want)
+
+
+def test_decisions_of_a_repeated_symbol_are_made_once(monkeypatch):
+    """A symbol in the same context is counted before its decisions are made, however often it comes."""
+    texts = ["the cat sat on the mat " * 40] * 60 + _texts()
+    raw, first, size = lm._laid_out(lm._texts(texts))
+    at, bits = lm._places(first, size), 12
+    tree = lm.trees(lm.count_pairs(lm._texts(texts)).reshape(256, 256))
+    code = (raw[at - 1].astype(np.int64) << 8) | raw[at]
+    length = tree.length[code]
+    want = np.zeros((lm.PREDICTORS, 2 << bits), np.int64)
+    for k, context in enumerate(lm._contexts(raw, at)):
+        for d in range(int(length.max())):
+            some = length > d
+            slot = lm._slots(context[some], tree.node[d, code[some]], bits).astype(np.int64)
+            np.add.at(want[k], 2 * slot + tree.bit[d, code[some]], 1)
+    made, plain = [], lm._slots
+    monkeypatch.setattr(lm, "_slots", lambda context, *a: (made.append(len(context)), plain(context, *a))[1])
+
+    class Shared:
+        value = pickle.dumps(tree)
+
+    for many in (lm.MANY, 3):
+        monkeypatch.setattr(lm, "MANY", many)
+        sent = list(lm._pass_decisions(Shared, bits)([pd.DataFrame({"_t": texts})]))
+        merged = pd.concat(lm._merged_decisions(bits)(sent)).set_index("part")
+        assert all(merged.loc[k]["data"] == lm.log_odds(want[k]).tobytes() for k in range(lm.PREDICTORS))
+        if many == lm.MANY and many > 3:
+            assert sum(made) < lm.PREDICTORS * int(length.sum()) / 2
+    assert len(lm._symbols(np.empty(0, np.uint64))) == 0
