@@ -64,9 +64,10 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids, decoded_sha256``."""
+    """``doc_id, n_tokens, ids, decoded_sha256``.  The ids are stored before they are decoded: else each
+    task has two Python workers, all of which stay, with what they hold, while later jobs run."""
     path = tokenizer_path()
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    return bpe.decode(stored(bpe.encode(docs, path), "ids"), path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -275,6 +275,7 @@ def decode(df: DataFrame, path: str, *, ids="ids", out="decoded") -> DataFrame:
                          for a, b, ok in zip(offsets[:-1], offsets[1:], valid)]
                 columns = [part.column(part.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*names, out])
+        del vocabulary
         give_back()
 
     return df.mapInArrow(run, schema)

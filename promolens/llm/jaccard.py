@@ -42,6 +42,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,13 +69,18 @@ BROADCAST_IDS = 2_000_000
 _TEXTS = 256
 
 
-def _sets(batch: pd.DataFrame, n: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(row, id, set) of each row."""
-    for lo in range(0, len(batch), _TEXTS):
-        part = batch.iloc[lo:lo + _TEXTS]
-        words = batch_word_hashes([(t or "").encode() for t in part["_text"]])
-        for i, (key, w) in enumerate(zip(part["_id"], words)):
-            yield lo + i, key, shingles(w, n)
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time: their texts are Python objects only while they are at hand."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, _TEXTS):
+            yield batch.slice(lo, _TEXTS)
+
+
+def _sets(part: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(id, set) of each row."""
+    words = batch_word_hashes([(t or "").encode() for t in part.column("_text").to_pylist()])
+    for key, w in zip(part.column("_id").to_pylist(), words):
+        yield key, shingles(w, n)
 
 
 def _ranges(s: np.ndarray) -> bytes:
@@ -102,19 +108,23 @@ def prefix_length(size: int) -> int:
 def _count(n: int, bits: int):
     slots, each = 1 << bits, (1 << bits) // PARTS
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(*columns) -> pa.RecordBatch:
+        kinds = [pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)],
+                                          names=["part", "none", "id", "row", "n", "whole", "odd", "data"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int32)
         seen = False
-        for batch in batches:
-            sizes, ranges, wholes, odd = [], [], [], []
-            n_rows = len(batch)
-            pending, held = [], 0
+        pending, held = [], 0
 
-            def add():
-                at, times = np.unique(np.concatenate(pending), return_counts=True)
-                total[at] += times.astype(np.int32)
+        def add():
+            at, times = np.unique(np.concatenate(pending), return_counts=True)
+            total[at] += times.astype(np.int32)
 
-            for _, _, s in _sets(batch, n):
+        for batch in _parts(batches):
+            sizes, ranges, wholes, odd = [], [], [], []
+            for _, s in _sets(batch, n):
                 sizes.append(len(s))
                 ranges.append(_ranges(s))
                 wholes.append(_whole(s))
@@ -124,16 +134,15 @@ def _count(n: int, bits: int):
                 if held > 1 << 20:
                     add()
                     pending, held = [], 0
-            if held:
-                add()
-            seen = seen or n_rows > 0
-            # no column of the input has a null: pandas would round it through doubles
-            yield pd.DataFrame({"part": pd.array([None] * n_rows, "Int32"), "none": batch["_none"], "id": batch["_id"], "row": batch["_row"],
-                                "n": sizes, "whole": wholes, "odd": odd, "data": ranges})
+            seen = True
+            yield rows([None] * len(sizes), batch.column("_none"), batch.column("_id"), batch.column("_row"), sizes, wholes, odd, ranges)
+        if held:
+            add()
+        pending.clear()
         if seen:
-            yield pd.DataFrame({"part": pd.array(range(PARTS), "Int32"), "none": [True] * PARTS, "id": [0] * PARTS, "row": [0] * PARTS,
-                                "n": [0] * PARTS, "whole": [None] * PARTS, "odd": [None] * PARTS,
-                                "data": [zstandard.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in range(PARTS)]})
+            yield rows(range(PARTS), [True] * PARTS, [0] * PARTS, [0] * PARTS, [0] * PARTS, [None] * PARTS, [None] * PARTS,
+                       [zstandard.compress(total[i * each:(i + 1) * each].tobytes(), 1) for i in range(PARTS)])
+        del total
         give_back()
     return run
 
@@ -155,29 +164,30 @@ def _send_prefixes(order, n: int, buckets: int):
     """Packed postings for each bucket of shingles: 40 bits of the hash (with the bucket,
     as good as unique; the pairs are verified on whole hashes), the document, the size of its
     set and the place in its order."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.frombuffer(order.value, np.uint8)
-        for batch in batches:
-            h, doc, place, ids, sizes, held = [], [], [], [], [], 0
-
-            def frame():
-                keys, who, at = np.concatenate(h), np.concatenate(doc), np.concatenate(place)
-                bucket = ((keys & np.uint64(0xFFFF)).astype(np.int64) * buckets) >> 16
-                by = np.argsort(bucket, kind="stable")
-                cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
-                every, size = np.array(ids, np.int64), np.array(sizes, np.uint32)
-                rows = []
-                for b in range(buckets):
-                    part = by[cut[b]:cut[b + 1]]
-                    if len(part):
-                        there, which = np.unique(who[part], return_inverse=True)
-                        short = (keys[part] >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-                        step = np.diff(which, prepend=0).astype(np.uint16)
-                        rows.append((b, zstandard.compress(pickle.dumps(
-                            (short, step, at[part].astype(np.uint32), every[there], size[there]), protocol=5), 1)))
-                return pd.DataFrame(rows, columns=["bucket", "data"])
-
-            for _, key, s in _sets(batch, n):
+        h, doc, place, ids, sizes, held = [], [], [], [], [], 0
+
+        def frame():
+            keys, who, at = np.concatenate(h), np.concatenate(doc), np.concatenate(place)
+            bucket = ((keys & np.uint64(0xFFFF)).astype(np.int64) * buckets) >> 16
+            by = np.argsort(bucket, kind="stable")
+            cut = np.searchsorted(bucket[by], np.arange(buckets + 1))
+            every, size = np.array(ids, np.int64), np.array(sizes, np.uint32)
+            named, data = [], []
+            for b in range(buckets):
+                part = by[cut[b]:cut[b + 1]]
+                if len(part):
+                    there, which = np.unique(who[part], return_inverse=True)
+                    short = (keys[part] >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+                    step = np.diff(which, prepend=0).astype(np.uint16)
+                    named.append(b)
+                    data.append(zstandard.compress(pickle.dumps(
+                        (short, step, at[part].astype(np.uint32), every[there], size[there]), protocol=5), 1))
+            return pa.RecordBatch.from_arrays([pa.array(named, pa.int32()), pa.array(data, pa.binary())], names=["bucket", "data"])
+
+        for batch in _parts(batches):
+            for key, s in _sets(batch, n):
                 if not len(s):
                     continue
                 k = prefix_length(len(s))
@@ -192,8 +202,9 @@ def _send_prefixes(order, n: int, buckets: int):
                 if held > HELD or len(ids) > 60_000:
                     yield frame()
                     h, doc, place, ids, sizes, held = [], [], [], [], [], 0
-            if held:
-                yield frame()
+        if held:
+            yield frame()
+        h, doc, place, ids, sizes = [], [], [], [], []
         give_back()
     return run
 
@@ -230,17 +241,10 @@ def _lists(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _full_sets(n: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keys, sets = [], []
-            for _, key, s in _sets(batch, n):
-                keys.append(key)
-                sets.append(s.view(np.int64))
-                if len(keys) >= _TEXTS:
-                    yield pd.DataFrame({"doc": keys, "members": sets})
-                    keys, sets = [], []
-            if keys:
-                yield pd.DataFrame({"doc": keys, "members": sets})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            sets = [s.view(np.int64) for _, s in _sets(batch, n)]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "members"])
         give_back()
     return run
 
@@ -258,7 +262,7 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
                          F.xxhash64(text).alias("_row"), F.col(text).alias("_text"))
     size = source.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     bits = min(MOST_BITS, max(LEAST_BITS, (size // SLOT_BYTES).bit_length()))
-    counted = stored(source.mapInPandas(_count(n, bits), "part int, none boolean, id long, row long, n long, whole binary, "
+    counted = stored(source.mapInArrow(_count(n, bits), "part int, none boolean, id long, row long, n long, whole binary, "
                                                        "odd array<long>, data binary"), "counted")
     info = counted.where("part is null").select(F.expr("if(none, null, id)").alias("id"), "row", "n", "whole", "odd", "data")
     source = source.where("NOT _none").drop("_none")
@@ -271,7 +275,7 @@ def similar(docs: DataFrame, *, key="doc_id", text="text", n: int = N) -> DataFr
     classes = each.groupBy("n", "whole").agg(F.min("doc").alias("class"), F.count("*").alias("k")).where("k > 1").drop("k")
     copies = stored(each.join(classes, ["n", "whole"]).where("doc <> class").select("doc", "class"), "copies")
     source = _one_row_each(source, each, copies)
-    sent = source.mapInPandas(_send_prefixes(spark.sparkContext.broadcast(order), n, buckets), "bucket int, data binary")
+    sent = source.mapInArrow(_send_prefixes(spark.sparkContext.broadcast(order), n, buckets), "bucket int, data binary")
     found = stored(sent.groupBy("bucket").applyInPandas(
         _lists, "h long, doc long, n int, place int, weight long, s1 long, s2 long, head boolean"), "postings")
     # shingles of the same documents in other buckets
@@ -392,7 +396,7 @@ def _verified(source: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """The pairs whose full sets are similar enough; each document's set is made once."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "ids")
     wanted = source.join(bounded_broadcast(ids, BROADCAST_IDS), "_id", "left_semi")
-    sets = wanted.mapInPandas(_full_sets(n), "doc long, members array<long>")
+    sets = wanted.mapInArrow(_full_sets(n), "doc long, members array<long>")
     # one row for each document; the aggregate makes one exchange that is read twice
     one = sets.groupBy("doc").agg(F.first("members").alias("members"))
     a = one.select(F.col("doc").alias("a"), F.col("members").alias("ma"))
