@@ -77,6 +77,17 @@ def give_back() -> None:
         pass  # another C library: it keeps what it has
 
 
+def keep_freed() -> None:
+    """Let a Python worker use freed memory again at once, up to 64 MB of it, and not give it to the system and take
+    it back, page by page, for every array of some MB.  ``give_back`` returns it when the task ends."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD: larger blocks go back on their own
+        libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def bounded_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``rows`` rows; else as it is.
     ``df`` must be cheap to count, such as a stored table."""

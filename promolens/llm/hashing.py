@@ -34,26 +34,38 @@ def _power(base: int, n: int) -> np.ndarray:
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> _U(30))
+    part = x >> _U(30)
+    x = np.bitwise_xor(x, part)
     x *= _U(0xBF58476D1CE4E5B9)
-    x ^= x >> _U(27)
+    x ^= np.right_shift(x, _U(27), out=part)
     x *= _U(0x94D049BB133111EB)
-    x ^= x >> _U(31)
+    x ^= np.right_shift(x, _U(31), out=part)
     return x
 
 
 def running(raw: np.ndarray) -> np.ndarray:
     """S with the hash of raw[a:b] being (S[b] - S[a]) * base^a (see ``span``)."""
     out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_LETTERS[raw] * _power(_INVERSE, len(raw)), out=out[1:])
+    each = _LETTERS.take(raw)
+    each *= _power(_INVERSE, len(raw))
+    np.cumsum(each, out=out[1:])
     return out
 
 
 def span(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    out = sums.take(end)
+    return _spans(sums, start, end, sums.take(end))
+
+
+def spans_to(sums: np.ndarray, start: np.ndarray, first: int) -> np.ndarray:
+    """``span`` for ends that follow one another from ``first`` on."""
+    end = np.arange(first, first + len(start))
+    return _spans(sums, start, end, sums[first:first + len(start)].copy())
+
+
+def _spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray, out: np.ndarray) -> np.ndarray:
     out -= sums.take(start)
     out *= _power(_BASE, len(sums)).take(start)
-    out += (end - start).astype(np.uint64)
+    out += (end - start).view(np.uint64)
     return mix(out)
 
 

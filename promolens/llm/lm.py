@@ -40,8 +40,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promolens.llm.common import give_back, pieces, stored
-from promolens.llm.hashing import batch_word_hashes, mix, running, span
+from promolens.llm.common import give_back, keep_freed, pieces, stored
+from promolens.llm.hashing import batch_word_hashes, mix, running, spans_to
 
 #: Fewest slots of a predictor's table (2^bits), bytes of training text for a slot, most slots (the
 #: hashes have 32 bits, of which a count takes one for the outcome), slots of a range (2^bits).
@@ -62,6 +62,8 @@ END = 0xFF  # never a byte of UTF-8
 HISTORY = 8  # zero bytes before each text
 #: Bytes counted together, and bytes hashed for that, and scored, side by side; steps of a text between new weights.
 CHUNK, SIDE = 3 << 19, 1 << 18
+#: Bytes whose contexts are made at a time: what that needs stays in a processor's cache.
+PART = 1 << 15
 STEPS = [*[128] * 4, *[256] * 4, *[512] * 4, *[1024] * 4]
 LAST_STEP = 4096
 #: Log-odds are kept as whole numbers of 1 / SCALE.
@@ -69,8 +71,8 @@ SCALE = 14.0
 #: Bytes of text for each bucket of words.
 WORD_BUCKET = 40 << 20
 
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(97, 123), *range(128, 255)]] = True
+_OTHER = np.ones(256, np.int64)
+_OTHER[[*range(97, 123), *range(128, 255)]] = 0  # letters
 
 @dataclass
 class Trees:
@@ -95,7 +97,8 @@ class Trees:
     def common(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
         """How many first decisions two bytes after the same byte share; 127 for the same byte."""
         apart = self.route.take(one) ^ self.route.take(other)
-        return np.where(apart == 0, 127, 32 - np.frexp(apart.astype(np.float64))[1]).astype(np.int8)
+        highest = (apart.astype(np.float64).view(np.int64) >> 52) - 1023  # the exponent of a double
+        return np.where(apart == 0, 127, 31 - highest).astype(np.int8)
 
 
 def trees(pairs: np.ndarray) -> Trees:
@@ -137,29 +140,56 @@ def _places(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
+def _in_order(first: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """Places by ``first``, and where that is equal by the high bits of ``then`` (32 bits), as many as one number has room for."""
+    places = np.uint64(max(1, int(len(first) - 1).bit_length()))
+    free = np.uint64(64 - int(first.max(initial=0)).bit_length())
+    key = then.astype(np.uint64)
+    key <<= np.uint64(32)
+    key >>= np.uint64(64) - free
+    key >>= places
+    key <<= places
+    key |= first.view(np.uint64) << free
+    key |= np.arange(len(first), dtype=np.uint64)
+    key.sort()
+    key &= (np.uint64(1) << places) - np.uint64(1)
+    return key.view(np.int64)
+
+
 def _eight(raw: np.ndarray, kind: str) -> np.ndarray:
     """The eight bytes before each place from ``HISTORY`` on as one number."""
     return np.ndarray(len(raw) - HISTORY, kind, raw, strides=(1,)).astype(np.uint64)
 
 
-def _contexts(raw: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-    """Hashes (PREDICTORS, len(at)) of what comes before each place; of all places without ``at``
-    (those before ``HISTORY`` have none)."""
-    out = np.zeros((PREDICTORS, len(raw)), np.uint64)
-    three, five, word = out[:, HISTORY:]
-    before = _eight(raw, ">u8")
-    np.bitwise_and(before, np.uint64((1 << 24) - 1), out=three)
-    three += np.uint64(1 << 50)
-    np.bitwise_and(before, np.uint64((1 << 40) - 1), out=five)
-    five += np.uint64(1 << 51)
+def _hash(context: np.ndarray) -> np.ndarray:
+    context *= np.uint64(0x9E3779B97F4A7C15)
+    context >>= np.uint64(32)
+    return context
+
+
+def _short(before: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the last ``size`` (3 or 5) of the bytes ``before``."""
+    context = before & np.uint64((1 << 8 * size) - 1)
+    context += np.uint64(1 << (50 if size == 3 else 51))
+    return _hash(context)
+
+
+def _word(raw: np.ndarray) -> np.ndarray:
+    """Hash of the word so far and the byte before it, at each place from ``HISTORY`` on."""
     begin = np.arange(1, len(raw) + 1)
-    begin[_LETTER.take(raw)] = 0
+    begin *= _OTHER.take(raw)
     start = np.maximum.accumulate(begin, out=begin)[HISTORY - 1:-1]  # after the last other byte
-    word[:] = span(running(raw), start, np.arange(HISTORY, len(raw)))
-    word += raw.take(start - 1)
-    out *= np.uint64(0x9E3779B97F4A7C15)
-    out >>= np.uint64(32)
-    return out.astype(np.uint32) if at is None else out.take(at, 1).astype(np.uint32)
+    context = spans_to(running(raw), start, HISTORY)
+    context += raw.take(start - 1)
+    return _hash(context)
+
+
+def _contexts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hashes (PREDICTORS, len(at)) of what comes before each place."""
+    before = _eight(raw, ">u8")
+    out = np.empty((PREDICTORS, len(before)), np.uint32)
+    out[0], out[1], out[2] = _short(before, 3), _short(before, 5), _word(raw)
+    return out.take(at - HISTORY, 1)
 
 
 def slot_bits(size: int) -> int:
@@ -177,25 +207,62 @@ def _slots(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
 
 def count_pairs(texts: list[bytes]) -> np.ndarray:
     raw, first, size = _laid_out(texts)
-    at = _places(first, size)
-    return np.bincount((raw[at - 1].astype(np.int64) << 8) | raw[at], minlength=65536)
+    return np.bincount(_codes(raw).take(_places(first, size)), minlength=65536)
 
 
 def count_decisions(texts: list[bytes], tree: Trees, total: np.ndarray) -> None:
     """Adds to ``total`` (PREDICTORS, 2 * slots): decisions by slot and outcome."""
-    for k, found in enumerate(decisions(texts)):
-        counts = _decided(_symbols(found), tree, total.shape[1].bit_length() - 2)
+    for k, symbols in enumerate(_predicted(*map(_symbols, decisions(texts)))):
+        counts = _decided(symbols, tree, total.shape[1].bit_length() - 2)
         total[k][(counts >> np.uint64(32)).astype(np.int64)] += (counts & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 def decisions(texts: list[bytes]) -> np.ndarray:
-    """(PREDICTORS, symbols): what all decisions of a symbol follow from, its context and, below, its byte and the one before."""
-    raw, first, size = _laid_out(texts)
-    at = _places(first, size)
-    out = _contexts(raw, at).astype(np.uint64)
-    out <<= np.uint64(16)
-    out |= _codes(raw).take(at)
-    return out
+    """(2, symbols): what all decisions of a symbol follow from, the five bytes before it and itself; the context of
+    its word and, below, its byte and the one before."""
+    out = []
+    for part in _runs(texts, PART):
+        raw, first, size = _laid_out(part)
+        at = _places(first, size)
+        found = np.empty((2, len(at)), np.uint64)
+        grams, words = found
+        _eight(raw, ">u8").take(at - HISTORY, out=grams)
+        grams &= np.uint64((1 << 40) - 1)
+        grams <<= np.uint64(8)
+        grams |= raw.take(at)
+        _word(raw).take(at - HISTORY, out=words)
+        words <<= np.uint64(16)
+        words |= _codes(raw).take(at)
+        out.append(found)
+    return np.concatenate(out, 1) if out else np.empty((2, 0), np.uint64)
+
+
+def _predicted(grams: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
+    """Counted symbols of each predictor (its context, the byte before, the byte, how often), of those of ``decisions``:
+    what follows three bytes is added up from what follows five."""
+    out = []
+    for size in (3, 5):
+        last = grams if size == 5 else _symbols(grams & np.uint64((1 << 48) - 1), counted=True)
+        symbols = _short(last >> np.uint64(24), size)
+        symbols <<= np.uint64(32)
+        symbols |= last & np.uint64(0xFFFFFFFF)
+        out.append(symbols)
+    return [*out, words]
+
+
+def _read(texts: list[bytes], tree: Trees) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all symbols of the texts (last byte, byte), the level up to which the byte pointed to agrees with what is known
+    of the byte (where they part; -1 without such a byte) and the contexts; how many each text has."""
+    out = []
+    for part in _runs(texts, PART):
+        raw, first, size = _laid_out(part)
+        at = _places(first, size)
+        code = _codes(raw).take(at)
+        guess = _pointed(raw, at, np.repeat(np.arange(len(part)), size))
+        agreed = tree.common(code, (code & np.uint16(0xFF00)) | np.maximum(guess, 0).view(np.uint16))
+        agreed[guess < 0] = -1
+        out.append((code, agreed, _contexts(raw, at), size))
+    return tuple(np.concatenate(x, -1) for x in zip(*out))
 
 
 def _codes(raw: np.ndarray) -> np.ndarray:
@@ -205,16 +272,19 @@ def _codes(raw: np.ndarray) -> np.ndarray:
     return code
 
 
-def _symbols(found: np.ndarray, counted: bool = False) -> np.ndarray:
+def _symbols(found: np.ndarray, counted: bool = False, kind: str | None = None) -> np.ndarray:
     """Sorted symbols (see ``decisions``), each once with how often it is there in the low 16 bits;
-    once more for every ``MANY`` times.  ``counted``: they come with such counts."""
+    once more for every ``MANY`` times.  ``counted``: they come with such counts.  ``kind``: how to sort them."""
     if not len(found):
         return found
-    found.sort()
+    found.sort(kind=kind)
     code = found >> np.uint64(16) if counted else found
-    last = np.flatnonzero(np.append(code[1:] != code[:-1], True))
-    total = np.cumsum(found & np.uint64(MANY))[last].astype(np.int64) if counted else last + 1
-    times, code = np.diff(total, prepend=0), code[last]
+    last = np.append(np.flatnonzero(code[1:] != code[:-1]), len(code) - 1)
+    code = code.take(last)
+    if counted:
+        found &= np.uint64(MANY)
+        last = np.cumsum(found, out=found).take(last).view(np.int64) - 1
+    times = np.diff(last, prepend=-1)
     if len(times) and times.max() > MANY:
         more = (times - 1) // MANY
         code, times = np.append(code, np.repeat(code, more)), np.append(times - more * MANY, np.full(more.sum(), MANY))
@@ -241,14 +311,17 @@ def _decided(symbols: np.ndarray, tree: Trees, bits: int) -> np.ndarray:
 
 
 def _added(runs: list[np.ndarray]) -> np.ndarray:
-    """Counts (the decision in the high 32 bits, how often in the low ones), sorted and added up.
-    A task sends far fewer than 2^32 decisions."""
+    """Counts (the decision in the high 32 bits, how often in the low ones), sorted and added up; several runs
+    come sorted.  A task sends far fewer than 2^32 decisions."""
     packed = np.concatenate(runs)
-    packed.sort()
-    last = np.flatnonzero(np.append(packed[1:] ^ packed[:-1] > np.uint64(0xFFFFFFFF), True))
-    code = packed[last] >> np.uint64(32)
+    packed.sort(kind="stable" if len(runs) > 1 else None)  # "stable" merges sorted runs
+    code = packed >> np.uint64(32)
+    last = np.append(np.flatnonzero(code[1:] != code[:-1]), len(code) - 1)
+    code = code.take(last)
+    code <<= np.uint64(32)
     packed &= np.uint64(0xFFFFFFFF)
-    return (code << np.uint64(32)) | np.diff(np.cumsum(packed, out=packed)[last], prepend=np.uint64(0))
+    code |= np.diff(np.cumsum(packed, out=packed).take(last), prepend=np.uint64(0))
+    return code
 
 
 def _hold(runs: list[np.ndarray], new: np.ndarray, added=_added) -> None:
@@ -259,7 +332,7 @@ def _hold(runs: list[np.ndarray], new: np.ndarray, added=_added) -> None:
 
 
 def _added_symbols(runs: list[np.ndarray]) -> np.ndarray:
-    return _symbols(np.concatenate(runs), counted=True)
+    return _symbols(np.concatenate(runs), counted=True, kind="stable")  # merges sorted runs
 
 
 def _counted(found: np.ndarray) -> np.ndarray:
@@ -288,8 +361,9 @@ def _pointed(raw: np.ndarray, at: np.ndarray, who: np.ndarray) -> np.ndarray:
     packed = np.sort(((hashed >> places) << places) | np.arange(len(at), dtype=np.uint64))
     nth = (packed & ((np.uint64(1) << places) - np.uint64(1))).astype(np.int64)
     same = (packed[1:] >> places) == (packed[:-1] >> places)
+    again = np.flatnonzero(same)
     out = np.full(len(at), -1, np.int16)
-    out[nth[1:][same]] = raw[at[nth[:-1][same]]]
+    out[nth.take(again + 1)] = raw.take(at.take(nth.take(again)))
     return out
 
 
@@ -317,26 +391,20 @@ class MixModel:
 
     def _side_by_side(self, texts: list[bytes], keep: bool) -> np.ndarray:
         """Texts from long to short."""
-        raw, first, size = _laid_out(texts)
         n = len(texts)
-        every, who = _places(first, size), np.repeat(np.arange(n), size)
-        code = _codes(raw).take(every)
-        guess = _pointed(raw, every, who)
-        # the guessed byte agrees with what is known of the byte up to the level where they part
-        agreed = self.tree.common(code, (code & np.uint16(0xFF00)) | np.maximum(guess, 0).view(np.uint16))
-        agreed[guess < 0] = -1
+        code, agreed, contexts, size = _read(texts, self.tree)
+        who = np.repeat(np.arange(n), size)
         length = self.tree.length.take(code)
-        # step after step, and in a step the symbols with most decisions first
-        ends = np.cumsum(STEPS)
-        nth = np.arange(len(every)) - np.repeat(np.cumsum(size) - size, size)
-        step = np.where(nth < ends[-1], np.searchsorted(ends, nth, side="right"), len(STEPS) + (nth - ends[-1]) // LAST_STEP)
-        by = (step << 5) + (31 - length)
-        order = np.argsort(by.astype(np.uint16) if by.max() < 1 << 16 else by, kind="stable")
+        # step after step, and in a step the symbols with most decisions first, those of one context side by side: they
+        # look up the same places, and are of several texts (sums of one text wait for each other)
+        steps = np.append(np.repeat(np.arange(len(STEPS)), STEPS), np.arange(len(STEPS), len(STEPS) + size[0] // LAST_STEP + 1).repeat(LAST_STEP))
+        step = np.concatenate([steps[:k] for k in size])
+        order = _in_order((step << 5) + (31 - length), contexts[1])
         bounds = np.cumsum(np.bincount(step)).tolist()
-        code, agreed, length, who = code[order].astype(np.int64), agreed[order], length[order], who[order]
-        contexts = _contexts(raw).take(every[order], 1)
+        code, agreed, length, who = code.take(order).astype(np.int64), agreed.take(order), length.take(order), who.take(order)
+        contexts = contexts.take(order, 1)
         weights = np.repeat(self.weights[:, None, :], n, 1).reshape(INPUTS, n * GATES).astype(np.float32)
-        cost = np.zeros(len(every))
+        cost = np.zeros(len(code))
         for lo, hi in zip([0, *bounds], bounds):
             here = slice(lo, hi)
             cost[here] = self._step(code[here], agreed[here], length[here], contexts[:, here], who[here], weights)
@@ -350,11 +418,11 @@ class MixModel:
         levels, count = self.tree.levels(length), int(length.sum())
         slots, g = np.empty((PREDICTORS, count), np.uint32), np.empty(count, np.int64)
         bit, follows, says = (np.empty(count, np.float32), *np.empty((2, count), np.int8))
-        route, whose = self.tree.route.take(code), who * GATES
+        whose = who * GATES
         for d, (k, before) in enumerate(levels):
             at = slice(before, before + k)
             np.add(contexts[:, :k], self.tree.node[d].take(code[:k], mode="clip"), out=slots[:, at])
-            one = ((route[:k] >> np.uint32(31 - d)) & np.uint32(1)).astype(np.int8)
+            one = self.tree.bit[d].take(code[:k], mode="clip")
             bit[at] = one
             np.less_equal(d, agreed[:k], out=follows[at].view(bool))
             np.bitwise_xor(one, (agreed[:k] == d).view(np.int8), out=says[at])
@@ -393,12 +461,13 @@ class MixModel:
         for k, before in levels:
             cost[:k] -= total[before:before + k]
         gates = (int(who.max()) + 1) * GATES
-        seen = np.bincount(g, minlength=gates)
-        change = np.empty((INPUTS, gates))
+        sums, change = np.empty((INPUTS, gates)), np.empty(count)
         for k in range(INPUTS - 1):
-            change[k] = np.bincount(g, weights=np.multiply(inputs[k], error, out=inputs[k]), minlength=gates)
-        change[INPUTS - 1] = np.bincount(g, weights=error, minlength=gates)
-        weights[:, :gates] += change * (RATE * np.minimum(1, MOST / np.maximum(seen, 1)))
+            sums[k] = np.bincount(g, weights=np.multiply(inputs[k], error, out=change), minlength=gates)
+        sums[-1] = np.bincount(g, weights=error, minlength=gates)
+        seen = np.bincount(g, minlength=gates)
+        share = RATE * np.minimum(1, MOST / np.maximum(seen, 1))
+        weights[:, :gates] += sums * share
         return cost
 
 
@@ -432,6 +501,7 @@ def _runs(texts: Iterable[bytes], most: int) -> Iterator[list[bytes]]:
 
 
 def _pass_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    keep_freed()
     total, size = np.zeros(65536, np.int64), 0
     for chunk in _chunks(batches):
         total += count_pairs(chunk)
@@ -456,20 +526,23 @@ def _pass_decisions(tree, bits: int):
         return pd.DataFrame({"part": parts, "size": 0, "data": data})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_freed()
         t = pickle.loads(tree.value)
-        made: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]  # symbols
+        made: list[list[np.ndarray]] = [[], []]  # symbols, see ``decisions``
         held: list[list[np.ndarray]] = [[] for _ in range(PREDICTORS)]  # their decisions
 
         def decide() -> None:
-            for k, runs in enumerate(made):
-                if runs:
-                    _hold(held[k], _decided(runs[0] if len(runs) == 1 else _added_symbols(runs), t, bits))
+            if made[0]:
+                whole = [runs[0] if len(runs) == 1 else _added_symbols(runs) for runs in made]
+                for runs in made:
                     runs.clear()
+                for k, symbols in enumerate(_predicted(*whole)):
+                    _hold(held[k], _decided(symbols, t, bits))
 
         for chunk in _chunks(batches):
             # what the hashes need is several times the text, so they are made of a part at a time
             found = [decisions(part) for part in _runs(chunk, SIDE)]
-            for k in range(PREDICTORS):
+            for k in range(len(made)):
                 _hold(made[k], _symbols(np.concatenate([x[k] for x in found])), _added_symbols)
             del found
             if sum(len(x) for runs in made for x in runs) > HELD // 4:
@@ -552,6 +625,7 @@ def bits(docs: DataFrame, model: MixModel, *, text="text"):
 
     @F.pandas_udf("double")
     def cost(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        keep_freed()
         m = shared.value
         for batch in batches:
             yield pd.Series(m.costs(_texts(batch)))
@@ -571,6 +645,7 @@ def _send_words(buckets: int):
     which documents hold them how often.  ``home`` names the documents that were sent together; one
     message of each home (``own``, in any bucket) holds their keys and numbers of words."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_freed()
         for whole in batches:
             for lo in range(0, len(whole), TOGETHER):
                 batch = whole.iloc[lo:lo + TOGETHER]

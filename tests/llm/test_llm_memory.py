@@ -140,3 +140,49 @@ def test_decisions_of_a_repeated_symbol_are_made_once(monkeypatch):
         if many == lm.MANY and many > 3:
             assert sum(made) < lm.PREDICTORS * int(length.sum()) / 2
     assert len(lm._symbols(np.empty(0, np.uint64))) == 0
+
+
+def test_symbols_after_three_bytes_come_from_those_after_five(monkeypatch):
+    """All symbols are sorted for two predictors only; the third adds up what is left of one of them."""
+    texts = ["the cat sat on the mat " * 40] * 60 + _texts()
+    raw, first, size = lm._laid_out(lm._texts(texts))
+    at = lm._places(first, size)
+    found, made, plain = lm.decisions(lm._texts(texts)), [], lm._symbols
+    monkeypatch.setattr(lm, "_symbols", lambda x, *a, **k: (made.append(len(x)), plain(x, *a, **k))[1])
+    for many in (lm.MANY, 3):
+        monkeypatch.setattr(lm, "MANY", many)
+        got = lm._predicted(*(lm._symbols(x.copy()) for x in found))
+        for symbols, context in zip(got, lm._contexts(raw, at)):
+            want = np.unique(context.astype(np.uint64) << np.uint64(16) | lm._codes(raw).take(at), return_counts=True)
+            code, which = np.unique(symbols >> np.uint64(16), return_inverse=True)
+            assert code.tolist() == want[0].tolist()
+            assert np.bincount(which, weights=symbols & np.uint64(0xFFFF)).tolist() == want[1].tolist()
+        if many > 3:
+            assert made[:2] == [len(at), len(at)] and made[2] < len(at) / 4 and len(made) == 3
+
+
+def test_symbols_of_a_context_are_side_by_side_in_a_step():
+    rng = np.random.default_rng(5)
+    first, then = rng.integers(0, 90, 3000), rng.integers(0, 1 << 32, 40).astype(np.uint32)[rng.integers(0, 40, 3000)]
+    order = lm._in_order(first, then)
+    assert np.array_equal(order, np.lexsort((np.arange(3000), then, first)))
+    assert lm._in_order(first[:0], then[:0]).tolist() == []
+    # no room for ``then``: still every place once, by ``first``
+    far = first << 45
+    assert (np.diff(far[lm._in_order(far, then)]) >= 0).all()
+
+
+def test_tasks_of_the_model_use_freed_memory_again(monkeypatch):
+    """Arrays of some MB were given to the system and taken back page by page."""
+    kept = []
+    monkeypatch.setattr(lm, "keep_freed", lambda: kept.append(1))
+    texts = _texts()
+    tree = lm.trees(lm.count_pairs(lm._texts(texts)).reshape(256, 256))
+
+    class Shared:
+        value = pickle.dumps(tree)
+
+    list(lm._pass_pairs([pd.DataFrame({"_t": texts})]))
+    list(lm._pass_decisions(Shared, 10)([pd.DataFrame({"_t": texts})]))
+    assert len(kept) == 2
+    common.keep_freed()
