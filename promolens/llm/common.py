@@ -38,12 +38,12 @@ def scratch(spark: SparkSession, prefix: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, prefix: str) -> DataFrame:
+def stored(df: DataFrame, prefix: str, **options: str) -> DataFrame:
     """``df`` written once as Parquet in the checkpoint folder and read back:
-    cuts the lineage in storage that every executor can read."""
+    cuts the lineage in storage that every executor can read.  ``options`` are the writer's."""
     spark = df.sparkSession
     path = scratch(spark, prefix)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
