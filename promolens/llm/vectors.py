@@ -2,8 +2,8 @@
 
 On the unit sphere, cosine >= t means a chord of at most r = sqrt(2 - 2t).  Vectors are
 dealt to the cell of their nearest pivot and packed, cell after cell, into blocks of a
-bounded size, of which each vector is in one.  Every pair of blocks is read where it is
-joined, so vectors are never copied to other cells.
+bounded size, of which each vector is in one.  A task reads two parts of the blocks and
+joins every block of the one with those of the other, so vectors are never copied to other cells.
 
 Within a pair of blocks, cells p and q are joined by what any x and y within r of each
 other must fulfil.  Along the direction e from pivot q to pivot p, e.x - e.y <= r: both
@@ -37,10 +37,11 @@ from promolens.llm.components import components
 
 #: Vectors for each cell, most pivots (a bound for what is broadcast), most vectors and bytes of a block, and
 #: rows and columns of a tile: so many of a block are compared with so many of the other one at a time.
-CELL, PIVOTS, BLOCK, BYTES, TILE = 4096, 1024, 65536, 16 << 20, (256, 4096)
-#: Blocks that a table is cut into at least, unless they had fewer vectors than LEAST.
-CUT, LEAST = 16, 4096
-#: Vectors that axes are taken from, and links of a pair of blocks that are held at most.
+CELL, PIVOTS, BLOCK, BYTES, TILE = 4096, 2048, 65536, 4 << 20, (256, 4096)
+#: Blocks that a table is cut into at least, unless they had fewer vectors than LEAST; bytes of the
+#: parts of which a task joins two (if the session reads no larger ones).
+CUT, LEAST, PART = 16, 4096, 16 << 20
+#: Vectors that axes are taken from at least, and links of a pair of blocks that are held before they are worked on.
 SAMPLE, HELD = 512, 1 << 18
 #: Allowance for rounding in single precision, on the safe side.
 MARGIN = 1e-4
@@ -205,7 +206,7 @@ class Pair:
         self.space, self.one, self.two, self.same = space, one, two, one is two
         self.shift = 0 if self.same else len(one.ids)
         self.ids = one.ids if self.same else np.concatenate([one.ids, two.ids])
-        self.edges, self.held = [], 0
+        self.edges, self.held, self.open, self.waiting = [], 0, [], 0
 
     def join(self) -> tuple[np.ndarray, np.ndarray]:
         """Links that connect the same vectors as all do, as two arrays of ids; counts are added to the blocks."""
@@ -213,6 +214,7 @@ class Pair:
             for q, y in self.two.parts:
                 if not self.same or p <= q:
                     self._cells(p, x, q, y)
+        self._decide()
         self._reduce()
         a, b = self.edges[0]
         return self.ids[a], self.ids[b]
@@ -253,13 +255,22 @@ class Pair:
             edges = _spanning(linked)
             self._add(i[edges[:, 0]], j[edges[:, 1]])
             return
-        at = np.flatnonzero(may)
+        at = _set(may)
         a, b = i[at // len(j)], j[at % len(j)]
         keep = one.ids[a] != two.ids[b]
         if mine:
             keep &= a < b
-        a, b = a[keep], b[keep]
-        step = max(1, (1 << 20) // one.values.shape[1])
+        self.open.append((a[keep], b[keep]))
+        self.waiting += len(a)
+        if self.waiting > HELD:
+            self._decide()
+
+    def _decide(self) -> None:
+        """Cosines of the pairs that short products leave."""
+        one, two = self.one, self.two
+        a, b = (np.concatenate([x[k] for x in self.open] or [np.zeros(0, np.int64)]) for k in (0, 1))
+        self.open, self.waiting = [], 0
+        step = max(1, (1 << 17) // one.values.shape[1])
         near = [np.einsum("ij,ij->i", _unit(one.values[a[lo:lo + step]]), _unit(two.values[b[lo:lo + step]])) >= self.space.threshold
                 for lo in range(0, len(a), step)]
         if near:
@@ -290,27 +301,44 @@ class Pair:
 
 
 def _join(spaces: dict[int, Space], kind: type) -> Callable:
-    """Function batches of pairs of blocks -> ``_id, _links, _with``: counts, and links without one."""
+    """Function batches of pairs of blocks -> ``_id, _links, _with``: counts, and links without one.  A task joins a
+    part of each side.  A block comes with the first pair that has it, and is kept: of the left side the last one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep_freed()
+        left, right = {}, {}
         for batch in batches:
             for k in range(batch.num_rows):
-                size, no, *one = (c[k] for c in batch.columns[:6])
-                _, other, *two = (c[k] for c in batch.columns[6:])
-                space, same = spaces[size.as_py()], no.as_py() == other.as_py()
-                one = Block(space, kind, *(x.as_buffer() for x in one))
-                two = one if same else Block(space, kind, *(x.as_buffer() for x in two))
-                a, b = Pair(space, one, two).join()
-                some = [(x.ids[at], x.links[at]) for x in ([one] if same else [one, two]) for at in [np.flatnonzero(x.links)]]
-                ids = np.concatenate([*(x for x, _ in some), a])
-                links = np.concatenate([*(x for _, x in some), np.zeros(len(a), np.int64)])
-                with_ = np.concatenate([np.zeros(len(ids) - len(a), np.int64), b])
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(with_, mask=np.arange(len(ids)) < len(ids) - len(a))],
-                                                 names=["_id", "_links", "_with"])
+                size, one, two, wanted = (c[k].as_py() for c in batch.columns[:4])
+                for held, name, at in ((left, one, 4), (right, two, 9)):
+                    if batch.columns[at].is_valid()[k].as_py():
+                        if held is left:
+                            yield from _counts(left)
+                            left.clear()
+                        length, *packed = (c[k].as_py() for c in batch.columns[at:at + 5])
+                        held[length, name] = Block(spaces[length], kind, *packed)
+                if wanted:
+                    x = left[size, one]
+                    a, b = Pair(spaces[size], x, x if one == two else right[size, two]).join()
+                    yield _links(a, np.zeros(len(a), np.int64), b)
+        yield from _counts(left)
+        yield from _counts(right)
+        left.clear()
+        right.clear()
         give_back()
     return run
 
 
+def _counts(blocks: dict) -> Iterator[pa.RecordBatch]:
+    for x in blocks.values():
+        at = np.flatnonzero(x.links)
+        yield _links(x.ids[at], x.links[at], None)
+
+
+def _links(ids: np.ndarray, links: np.ndarray, others: np.ndarray | None) -> pa.RecordBatch:
+    others = pa.nulls(len(ids), pa.int64()) if others is None else pa.array(others)
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), others], names=["_id", "_links", "_with"])
+
+
 def range_join(groups: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Classes ``(_id, _n, _v)`` -> ``(_id, n_links)`` of linked rows outside the
     class, and ``(a, b)``, links that connect the same classes as all links do."""
@@ -338,10 +366,17 @@ def range_join(groups: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
     blocks = stored(dealt.groupBy("_size", "_no").applyInArrow(
         _pack, "_size int, _no int, _cells binary, _ids binary, _ns binary, _vs binary"), "blocks", **FORMAT)
     drop(groups)
-    # each pair once, dealt to both sides in turn; read by partitions, of which a task holds the blocks of one
-    one, two = (blocks.select([F.col(c).alias(side + c) for c in blocks.columns]) for side in ("a", "b"))
+    # each pair once, dealt to both sides in turn; a task goes through its part of the right side for each block of the left
+    whole = sum(int(s.counts.sum()) * s.pivots.shape[1] for s in spaces.values()) * np.dtype(kind).itemsize
+    first = (F.monotonically_increasing_id() % 2**33 == 0).alias("first")
+    one, two = (blocks.coalesce(max(CUT, pieces(whole, PART))).select("*", first) for _ in range(2))
+    one, two = (df.select([F.col(c).alias(side + c) for c in df.columns]) for side, df in (("a", one), ("b", two)))
     a, b = F.col("a_no"), F.col("b_no")
-    pairs = one.hint("shuffle_replicate_nl").join(two, (F.col("a_size") == F.col("b_size")) & ((a == b) | ((a < b) == ((a + b) % 2 == 0))))
+    wanted = (F.col("a_size") == F.col("b_size")) & ((a == b) | ((a < b) == ((a + b) % 2 == 0)))
+    new = [F.when(F.col(other + "first"), F.col(side + c)).alias(side + c) for side, other in (("a", "b"), ("b", "a"))
+           for c in ("_size", "_cells", "_ids", "_ns", "_vs")]
+    pairs = (one.hint("shuffle_replicate_nl").join(two, wanted | F.col("afirst") | F.col("bfirst"))
+             .select(F.col("a_size").alias("_size"), "a_no", "b_no", wanted.alias("_wanted"), *new))
     found = stored(pairs.mapInArrow(_join(spaces, kind), "_id long, _links long, _with long"), "found")
     drop(blocks)
     found = found.select(F.col("_id").cast(id_type).alias("_id"), "_links", F.col("_with").cast(id_type).alias("_with"))
@@ -349,6 +384,14 @@ def range_join(groups: DataFrame, threshold: float) -> tuple[DataFrame, DataFram
             found.where("_with is not null").select(F.col("_id").alias("a"), F.col("_with").alias("b")).distinct())
 
 
+def _set(flags: np.ndarray) -> np.ndarray:
+    """Places of the few set flags of an array, in the order of its rows: eight are looked at at once."""
+    flat = flags.ravel()
+    whole = len(flat) // 8 * 8
+    at = (np.flatnonzero(flat[:whole].view(np.uint64))[:, None] * 8 + np.arange(8)).ravel()
+    return np.concatenate([at[flat[at]], whole + np.flatnonzero(flat[whole:])])
+
+
 def _spanning(linked: np.ndarray) -> np.ndarray:
     """Links (row, column) of a forest that spans the components of a block."""
     rows_left = linked.any(1)
